@@ -98,7 +98,10 @@ def round_to_second(ts: Column) -> Column:
 
 
 def datetime(raw: Column, nullable: bool) -> Column:
-    rounded = round_to_second(F.to_timestamp_ntz(raw))      # timestamp(0)
+    parsed = F.to_timestamp_ntz(raw)
+    # timestamp(0); the source normally sends whole seconds, so the rounding
+    # only runs for texts that carry a fraction
+    rounded = F.when(raw.contains("."), round_to_second(parsed)).otherwise(parsed)
     return F.when(raw == ZERO_DATETIME, F.lit(None).cast("timestamp_ntz")).otherwise(rounded) if nullable else rounded
 
 
@@ -173,8 +176,16 @@ def _line_builder(sec: SectionDesc, master_value: Column):
     return line
 
 
-def decode_row(row: Column, desc: TableDescription) -> list[Column]:
-    """Typed mirror columns, in description order, from a parsed source row."""
+def _master_field(sec: SectionDesc) -> str:
+    return "_master_" + sec.columns[0].name
+
+
+def decode_row(row: Column, desc: TableDescription, sections: bool = True) -> list[Column]:
+    """Typed mirror columns, in description order, from a parsed source row.
+
+    With ``sections=False`` a section column is returned raw, together with
+    its decoded master key (``_master_<name>``), for `decode_sections`.
+    """
     out = []
     key = set(desc.key)
     for c in desc.columns:
@@ -182,15 +193,36 @@ def decode_row(row: Column, desc: TableDescription) -> list[Column]:
             sec = desc.sections[c.name]
             first = sec.columns[0]
             master_value = decode_value(row.getField(first.name_src), first, False, _sibling(row, first))
-
-            out.append(F.coalesce(F.transform(row.getField(c.name_src), _line_builder(sec, master_value)),
-                                  F.array().cast(sec.spark_type())).alias(c.name))
+            if sections:
+                out.append(F.coalesce(F.transform(row.getField(c.name_src), _line_builder(sec, master_value)),
+                                      F.array().cast(sec.spark_type())).alias(c.name))
+            else:
+                out.append(row.getField(c.name_src).alias(c.name))
+                out.append(master_value.alias(_master_field(sec)))
         else:
             out.append(decode_value(row.getField(c.name_src), c, c.name not in key, _sibling(row, c)).alias(c.name))
     return out
 
 
+def decode_sections(df: DataFrame, desc: TableDescription, keep: list[str]) -> DataFrame:
+    """Second step of `decode_json`: lines decoded, master key taken from the
+    already decoded column (evaluated once per row, not once per line)."""
+    cols = []
+    for c in desc.columns:
+        if c.engine == ty.SECTION:
+            sec = desc.sections[c.name]
+            lines = F.transform(F.col(c.name), _line_builder(sec, F.col(_master_field(sec))))
+            cols.append(F.coalesce(lines, F.array().cast(sec.spark_type())).alias(c.name))
+        else:
+            cols.append(F.col(c.name))
+    return df.select(*keep, *cols)
+
+
 def decode_json(df: DataFrame, json_col: str, desc: TableDescription, keep: list[str] | None = None) -> DataFrame:
     """Parse one JSON object per row and project the typed mirror columns."""
-    parsed = df.select(*(keep or []), F.from_json(F.col(json_col), read_schema(desc)).alias("_row"))
-    return parsed.select(*(keep or []), *decode_row(F.col("_row"), desc))
+    keep = keep or []
+    parsed = df.select(*keep, F.from_json(F.col(json_col), read_schema(desc)).alias("_row"))
+    if not desc.sections:
+        return parsed.select(*keep, *decode_row(F.col("_row"), desc))
+    staged = parsed.select(*keep, *decode_row(F.col("_row"), desc, sections=False))
+    return decode_sections(staged, desc, keep)

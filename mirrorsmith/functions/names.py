@@ -54,13 +54,21 @@ def assign_names(columns: DataFrame, group_cols: list[str], order_col: str, name
     """Unique names per group (table): the first candidate not taken earlier.
 
     Taken names are compared case-insensitively (Spark resolves columns that
-    way).  The choice of one column depends on the choices before it, so the
-    groups (one table's columns, bounded by the metadata) are resolved with
-    `applyInPandas`; the candidate lists themselves come from the JVM.
+    way).  When the first candidates of a group are already distinct, every
+    column simply takes its first one (exact, and JVM-only).  Groups with a
+    collision need the sequential rule (a choice depends on the choices
+    before it); they are resolved with `applyInPandas`, one table's columns
+    per group, bounded by the metadata.
     """
     cand = F.filter(abbreviation_candidates(F.col(name_col)), lambda c: fits(c, max_bytes)) if short \
         else abbreviation_candidates(F.col(name_col))
     prepared = columns.withColumn("_cands", cand)
+    first = F.lower(F.element_at("_cands", 1))
+    w = Window.partitionBy(*group_cols)
+    flagged = prepared.withColumn(
+        "_clash", (F.size(F.collect_set(first).over(w)) < F.count(F.lit(1)).over(w)) | (F.size("_cands") == 0))
+    simple = (flagged.filter(~F.col("_clash")).drop("_clash")
+              .withColumn("name_pg", F.element_at("_cands", 1)))
     out_schema = T.StructType(list(prepared.schema.fields) + [T.StructField("name_pg", T.StringType())])
 
     def pick(pdf):
@@ -77,7 +85,9 @@ def assign_names(columns: DataFrame, group_cols: list[str], order_col: str, name
         pdf["name_pg"] = chosen
         return pdf
 
-    return prepared.groupBy(*group_cols).applyInPandas(pick, out_schema).drop("_cands")
+    clashing = flagged.filter(F.col("_clash")).drop("_clash")
+    resolved = clashing.groupBy(*group_cols).applyInPandas(pick, out_schema)
+    return simple.unionByName(resolved).drop("_cands")
 
 
 def numbered(df: DataFrame, group_cols: list[str], order_cols: list[str], name: str = "n") -> DataFrame:

@@ -16,7 +16,7 @@ import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from mirrorsmith.functions.decode import decode_row, read_schema
+from mirrorsmith.functions.decode import decode_row, decode_sections, read_schema
 from mirrorsmith.operators.dedup import first_arrival
 from mirrorsmith.operators.merge import DELETE, INSERT, SAME, UPDATE, apply_changes, change_set
 from mirrorsmith.plans.description import TableDescription
@@ -95,7 +95,8 @@ class MirrorStore:
 def load_from_pages(pages: DataFrame, desc: TableDescription) -> DataFrame:
     """Landed pages → decoded, deduplicated load (first arrival wins)."""
     rows = read_pages(pages, read_schema(desc))
-    decoded = rows.select("page_no", "pos", *decode_row(F.col("row"), desc))
+    staged = rows.select("page_no", "pos", *decode_row(F.col("row"), desc, sections=False))
+    decoded = decode_sections(staged, desc, ["page_no", "pos"])
     return first_arrival(decoded, desc.key).drop("page_no", "pos")
 
 

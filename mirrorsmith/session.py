@@ -20,6 +20,10 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Local runs only: the heap of the single JVM (ignored once it is running;
+# on a cluster executor memory comes from spark-submit).
+LOCAL_DRIVER_MEMORY = "16g"
+
 
 def build_session(master: str | None = None, app_name: str = "mirrorsmith",
                   shuffle_partitions: int | None = None,
@@ -33,6 +37,8 @@ def build_session(master: str | None = None, app_name: str = "mirrorsmith",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = LOCAL_DRIVER_MEMORY
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
