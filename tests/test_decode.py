@@ -1,0 +1,113 @@
+"""Decoding rules of a source JSON row (empty values, composites, sections)."""
+
+import datetime as dt
+import json
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from mirrorsmith.functions.decode import decode_json, type_ref, value_any
+from mirrorsmith.plans.description import ColumnDesc, SectionDesc, TableDescription
+
+ZERO = "00000000-0000-0000-0000-000000000000"
+REF = "6f9619ff-8b86-d011-b42d-00cf4fc964ff"
+
+SECTION = SectionDesc("КонтактнаяИнформация", "Контрагенты_КонтактнаяИнформация", [
+    ColumnDesc("Ref_Key", "Edm.Guid", "Ссылка", "uuid"),
+    ColumnDesc("LineNumber", "Edm.Int64", "НомерСтроки", "int8"),
+    ColumnDesc("Страна", "Edm.String", "Страна", "text"),
+    ColumnDesc("Склад_Key", "Edm.Guid", "Склад", "uuid"),
+])
+DESC = TableDescription(
+    table="Справочник.Контрагенты", kind="Catalog", entity="Catalog_Контрагенты",
+    columns=[ColumnDesc("Ref_Key", "Edm.Guid", "Ссылка", "uuid"),
+             ColumnDesc("DataVersion", "Edm.String", "ВерсияДанных", "text"),
+             ColumnDesc("DeletionMark", "Edm.Boolean", "ПометкаУдаления", "bool"),
+             ColumnDesc("Description", "Edm.String", "Наименование", "text"),
+             ColumnDesc("Parent_Key", "Edm.Guid", "Родитель", "uuid"),
+             ColumnDesc("Дата", "Edm.DateTime", "Дата", "timestamp"),
+             ColumnDesc("Сумма", "Edm.Double", "Сумма", "numeric"),
+             ColumnDesc("Количество", "Edm.Int64", "Количество", "int8"),
+             ColumnDesc("Менеджер", "Edm.String", "Менеджер", "value_any"),
+             ColumnDesc("Фото_Base64Data", "Edm.Binary", "Фото", "bytea"),
+             ColumnDesc("ValueType", "StandardODATA.TypeDescription", "ТипЗначения", "varchar[]"),
+             ColumnDesc("КонтактнаяИнформация", "Collection(StandardODATA.X_RowType)", "КонтактнаяИнформация",
+                        "section[]")],
+    key=["Ссылка"], sections={"КонтактнаяИнформация": SECTION})
+
+ROW = {"Ref_Key": REF.upper(), "DataVersion": "AAAAAQ==", "DeletionMark": False, "Description": "A",
+       "Parent_Key": ZERO, "Дата": "0001-01-01T00:00:00", "Сумма": 1.50,
+       "Менеджер": "x", "Менеджер_Type": "StandardODATA.Catalog_Сотрудники", "Фото_Base64Data": "",
+       "ValueType": {"Types": ["CatalogRef.Контрагенты", "EnumRef.Пол", "string"]},
+       "КонтактнаяИнформация": [{"LineNumber": "1", "Страна": "РОССИЯ", "Склад_Key": ZERO}]}
+
+
+def _decode(spark, row):
+    df = spark.createDataFrame([(json.dumps(row, ensure_ascii=False),)], "j string")
+    return decode_json(df, "j", DESC).first()
+
+
+def test_fixture_row(spark):
+    r = _decode(spark, ROW)
+    assert r["Ссылка"] == REF                       # lower-cased key
+    assert r["Родитель"] is None                    # zero GUID, not a key
+    assert r["Дата"] is None                        # zero date, not a key
+    assert r["Сумма"] == Decimal("1.5")
+    assert r["Количество"] == 0                     # missing number
+    assert r["ВерсияДанных"] == "AAAAAQ=="
+    assert r["ПометкаУдаления"] is False
+    assert r["Фото"] is None                        # empty base64, not a key
+    assert r["Менеджер"]["value"] == "x" and r["Менеджер"]["type"] == "Справочник.Сотрудники"
+    assert r["ТипЗначения"] == ["Справочник.Контрагенты", "Перечисление.Пол", "string"]
+    line = r["КонтактнаяИнформация"][0]
+    assert line["Ссылка"] == REF                    # column 1 from the master
+    assert line["НомерСтроки"] == 1                 # text "1" cast
+    assert line["Склад"] == ZERO                    # zero GUID kept inside a section
+
+
+def test_missing_values(spark):
+    r = _decode(spark, {"Ref_Key": REF})
+    assert r["ПометкаУдаления"] is False
+    assert r["Наименование"] == ""
+    assert r["Сумма"] == Decimal(0)
+    assert r["ТипЗначения"] == []
+    assert r["КонтактнаяИнформация"] == []
+    assert r["Менеджер"]["value"] is None and r["Менеджер"]["type"] == "null"
+
+
+def test_datetime_rounds_to_second(spark):
+    r = _decode(spark, {"Ref_Key": REF, "Дата": "2020-05-01T10:00:01.6"})
+    assert r["Дата"] == dt.datetime(2020, 5, 1, 10, 0, 2)
+    r = _decode(spark, {"Ref_Key": REF, "Дата": "2020-05-01T10:00:01.4"})
+    assert r["Дата"] == dt.datetime(2020, 5, 1, 10, 0, 1)
+
+
+def test_exact_decimal(spark):
+    df = spark.createDataFrame([('{"Ref_Key":"%s","Сумма":12345678901234567.89}' % REF,)], "j string")
+    assert decode_json(df, "j", DESC).first()["Сумма"] == Decimal("12345678901234567.89")
+
+
+def test_value_any_rules(spark):
+    cases = [("v", "StandardODATA.Undefined", (None, "null")),
+             ("v", "", (None, "null")),
+             ("v", None, (None, "null")),
+             (None, "Edm.String", (None, "null")),
+             ("7", "Edm.Int64", ("7", "int8")),
+             ("g", "StandardODATA.Пол", ("g", "Перечисление.Пол")),
+             ("g", "StandardODATA.Document_Заказ", ("g", "Документ.Заказ")),
+             ("g", "StandardODATA.DocumentJournal_Все", ("g", "ЖурналДокументов.Все"))]
+    df = spark.createDataFrame([(v, t) for v, t, _ in cases], "v string, t string")
+    got = [tuple(r[0]) for r in df.select(value_any(F.col("v"), F.col("t"))).collect()]
+    assert got == [e for _, _, e in cases]
+
+
+def test_type_ref(spark):
+    df = spark.createDataFrame([("CatalogRef.X",), ("EnumRef.Y",), ("Edm.String",), ("ChartOfAccountsRef.Z",)], "r string")
+    got = [r[0] for r in df.select(type_ref(F.col("r"))).collect()]
+    assert got == ["Справочник.X", "Перечисление.Y", "Edm.String", "ПланСчетов.Z"]
+
+
+def test_invalid_guid_raises(spark):
+    import pytest
+    with pytest.raises(Exception):
+        _decode(spark, {"Ref_Key": "not-a-guid"})
