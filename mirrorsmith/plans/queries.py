@@ -21,7 +21,8 @@ from mirrorsmith.operators import sections as sc
 from mirrorsmith.operators.dedup import first_arrival
 from mirrorsmith.operators.ordinal import with_ordinal
 from mirrorsmith.plans.description import ColumnDesc, TableDescription
-from mirrorsmith.plans.refresh import MirrorStore, default_fetch_size, load_from_pages, materialize, select_refresh
+from mirrorsmith.plans.refresh import (MirrorStore, default_fetch_size, ensure_snapshot, load_from_pages, materialize,
+                                       select_refresh)
 from mirrorsmith.sources import pages as pg
 from mirrorsmith.sources import tables as tb
 
@@ -296,12 +297,33 @@ def dedup_first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sections (OP-22..26)
 # ==========================================================================
 
-def order_documents(spark: SparkSession, sf_dir: str, state: str = "all") -> DataFrame:
-    """Decoded order documents (header + lines section) of one state."""
+def source_pages(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
+    """The source's responses for the order documents of one state: JSON
+    objects in key order, paged with half-page overlap."""
     o = _t(spark, sf_dir, "orders")
     li = _t(spark, sf_dir, "lineitem")
+    src_json = tb.document_json(tb.order_state(o, state), tb.order_lines(li))
+    numbered = with_ordinal(src_json, ["o_orderkey"], "n")
+    return pg.land_pages(numbered, "json", "n", DOCUMENT_FETCH_SIZE, tb.DOCUMENT_ENTITY)
+
+
+def stored_mirror(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
+    """The order document mirror as stored by its last refresh.
+
+    Queries read the stored snapshot, as users of the mirror do; the JSON is
+    decoded by the refresh that writes it.  When no snapshot of this state of
+    the given tables exists yet, one full refresh from the source pages
+    writes it (see `mirrorsmith.plans.refresh.ensure_snapshot`).
+    """
     desc = tb.document_description(spark)
-    return decode_json(tb.document_json(tb.order_state(o, state), tb.order_lines(li)), "json", desc)
+    inputs = [f"{sf_dir}/orders.parquet", f"{sf_dir}/lineitem.parquet"]
+    return ensure_snapshot(spark, f"{tb.DOCUMENT_TABLE}@{state}", desc, inputs,
+                           lambda: source_pages(spark, sf_dir, state))
+
+
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order documents (header + lines section) of the mirror of all orders."""
+    return stored_mirror(spark, sf_dir, "all")
 
 
 def build_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -468,19 +490,13 @@ def enum_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh the order document mirror from landed source pages.
 
-    ``cur`` is the mirror as last written; the source now holds ``src``,
+    ``cur`` is the stored mirror as last written; the source now holds ``src``,
     returned in pages with half-page overlap; the pages are decoded,
     deduplicated (first arrival) and merged by version.
     """
-    o = _t(spark, sf_dir, "orders")
-    li = _t(spark, sf_dir, "lineitem")
     desc = tb.document_description(spark)
-    lines = tb.order_lines(li)
-    current = decode_json(tb.document_json(tb.order_state(o, "cur"), lines), "json", desc)
-    src_json = tb.document_json(tb.order_state(o, "src"), lines)
-    numbered = with_ordinal(src_json, ["o_orderkey"], "n")
-    pages = pg.land_pages(numbered, "json", "n", DOCUMENT_FETCH_SIZE, desc.entity)
-    load = load_from_pages(pages, desc)
+    current = stored_mirror(spark, sf_dir, "cur")
+    load = load_from_pages(source_pages(spark, sf_dir, "src"), desc)
     return mg.merge_full(current, load, desc.key, desc.version)
 
 

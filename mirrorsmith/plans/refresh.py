@@ -12,6 +12,7 @@ machine-local temporary folder.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -106,7 +107,7 @@ def refresh_full(current: DataFrame, load: DataFrame, desc: TableDescription) ->
     return apply_changes(changes, desc.key), changes
 
 
-def refresh_and_commit(store: MirrorStore, desc: TableDescription, pages: DataFrame) -> dict:
+def refresh_and_commit(store: MirrorStore, desc: TableDescription, pages: DataFrame, table: str | None = None) -> dict:
     """Full refresh of one table from landed pages, committed as a new version.
 
     Returns the statistics the control table records: row count, start, duration
@@ -114,16 +115,44 @@ def refresh_and_commit(store: MirrorStore, desc: TableDescription, pages: DataFr
     the same write, no extra pass).
     """
     started = time.time()
-    current = store.read(desc.table, desc.spark_schema())
+    table = table or desc.table
+    current = store.read(table, desc.spark_schema())
     snapshot, changes = refresh_full(current, load_from_pages(pages, desc), desc)
     obs = Observation(f"changes_{abs(hash((desc.table, started)))}")
     counted = changes.observe(obs, *[F.count_if(F.col("action") == a).alias(a) for a in (INSERT, UPDATE, DELETE, SAME)])
-    version, rows = store.commit(desc.table, apply_changes(counted, desc.key), started)
+    version, rows = store.commit(table, apply_changes(counted, desc.key), started)
     stats = {k: int(v) for k, v in obs.get.items()}
     stats.update(version=version, row_count=rows, duration_ms=int((time.time() - started) * 1000))
     return stats
 
 
+# Bumped whenever the stored layout of a snapshot changes.
+SNAPSHOT_LAYOUT = 1
+
+
+def _input_signature(spark: SparkSession, paths: list[str]) -> str:
+    """Digest of input paths, sizes and modification times (a changed input
+    makes a new snapshot, never a stale read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parts = [str(SNAPSHOT_LAYOUT)]
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        st = p.getFileSystem(conf).getFileStatus(p)
+        parts.append(f"{path}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+def ensure_snapshot(spark: SparkSession, table: str, desc: TableDescription, inputs: list[str],
+                    pages_fn) -> DataFrame:
+    """The stored mirror of ``table`` for these inputs; the first call runs a
+    full refresh from ``pages_fn()`` into an empty mirror and commits it."""
+    store = MirrorStore(spark, checkpoint_dir(spark).rstrip("/") + "/mirror/" + _input_signature(spark, inputs))
+    if store.current_version(table) is None:
+        refresh_and_commit(store, desc, pages_fn(), table)
+    return store.read(table)
+
+
 def materialize(store: MirrorStore, name: str, df: DataFrame) -> DataFrame:
     """Materialised view (OP-54): write the result as a new version, read it back.
     A refresh is simply another call; readers of the old version are untouched."""
