@@ -176,6 +176,13 @@ def _line_builder(sec: SectionDesc, master_value: Column):
     return line
 
 
+def decode_some(row: Column, desc: TableDescription, names: list[str]) -> list[Column]:
+    """Decoded expressions of the named (non-section) columns only."""
+    key = set(desc.key)
+    return [decode_value(row.getField(c.name_src), c, c.name not in key, _sibling(row, c)).alias(c.name)
+            for c in desc.columns if c.name in names and c.engine != ty.SECTION]
+
+
 def _master_field(sec: SectionDesc) -> str:
     return "_master_" + sec.columns[0].name
 

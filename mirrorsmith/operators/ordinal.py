@@ -25,10 +25,13 @@ def _bucket_expr(col: Column, bounds: list[float], lo: int = 0) -> Column:
 
 
 def with_ordinal(df: DataFrame, order_cols: list[str], name: str = "ordinal",
-                 buckets: int | None = None, rel_error: float = 0.001) -> DataFrame:
+                 buckets: int | None = None, rel_error: float = 0.001,
+                 total_name: str | None = None) -> DataFrame:
     """Add the 0-based position of each row in the order of ``order_cols``.
 
     ``order_cols`` must order the rows completely (e.g. end with a key).
+    With ``total_name`` the total row count is added as well (taken from the
+    range sizes, no extra pass over the rows).
     """
     spark = df.sparkSession
     n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -40,11 +43,15 @@ def with_ordinal(df: DataFrame, order_cols: list[str], name: str = "ordinal",
         bounds = []
     bucketed = df.withColumn("_bucket", _bucket_expr(F.col(first), bounds))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    # one row per range: a single-partition window over at most `buckets` rows
     offsets = sizes.select(
         "_bucket",
         F.coalesce(F.sum("_size").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_offset"))
+                   F.lit(0)).alias("_offset"),
+        F.sum("_size").over(Window.partitionBy()).alias("_total"))
     numbered = bucketed.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols)))
-    return (numbered.join(F.broadcast(offsets), "_bucket")
-            .withColumn(name, (F.col("_offset") + F.col("_local") - 1).cast("long"))
-            .drop("_bucket", "_offset", "_local"))
+    out = (numbered.join(F.broadcast(offsets), "_bucket")
+           .withColumn(name, (F.col("_offset") + F.col("_local") - 1).cast("long")))
+    if total_name:
+        out = out.withColumn(total_name, F.col("_total").cast("long"))
+    return out.drop("_bucket", "_offset", "_local", "_total")

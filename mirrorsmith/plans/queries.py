@@ -38,6 +38,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tb.table(spark, sf_dir, name)
 
 
+def _rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table for row-wise work with no shuffle before it."""
+    return tb.table(spark, sf_dir, name, spread_rows=True)
+
+
 def _dbl(c: Column) -> Column:
     return F.round(c, 2).cast("double")
 
@@ -62,7 +67,7 @@ PROPS_DESC = TableDescription(
 def json_to_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-11: ``events.props`` decoded by a description; absent fields take
     their type's empty value."""
-    ev = _t(spark, sf_dir, "events")
+    ev = _rows(spark, sf_dir, "events")
     out = decode_json(ev, "props", PROPS_DESC, keep=["event_id"])
     return out.select("event_id", "k", F.col("z_num").cast("double").alias("z_num"), "z_bool", "z_text")
 
@@ -79,7 +84,7 @@ EVENT_DESC = TableDescription(
     key=["Ссылка"])
 
 
-def event_json(ev: DataFrame) -> DataFrame:
+def event_json(ev: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Events as the source would send them, with empty values where the
     event type says so (JSON nulls are simply left out)."""
     t = F.col("event_type")
@@ -93,12 +98,12 @@ def event_json(ev: DataFrame) -> DataFrame:
         F.when(t != "click", t).alias("Kind"),
         F.when(t == "error", F.lit("")).otherwise(F.base64(F.encode(t, "UTF-8"))).alias("Data_Base64Data"),
     ]
-    return ev.select("event_id", F.to_json(F.struct(*fields)).alias("json"))
+    return ev.select("event_id", *(keep or []), F.to_json(F.struct(*fields)).alias("json"))
 
 
 def json_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-12: every empty-value rule on one decoded register."""
-    dec = decode_json(event_json(_t(spark, sf_dir, "events")), "json", EVENT_DESC)
+    dec = decode_json(event_json(_rows(spark, sf_dir, "events")), "json", EVENT_DESC)
     return dec.select(
         tb.key_of_guid(F.col("Ссылка")).alias("event_id"),
         F.col("Пользователь").alias("user_guid"),
@@ -128,7 +133,7 @@ def _zero_desc() -> TableDescription:
 def zero_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-12: zero date / zero GUID become NULL in non-key master columns and
     stay values in keys and in section lines."""
-    o = _t(spark, sf_dir, "orders")
+    o = _rows(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     date = F.when(k % 7 == 0, F.lit(ZERO_DATETIME)).otherwise(F.date_format("o_orderdate", tb.ISO_SECONDS))
     cust = F.when(k % 7 == 0, F.lit(ZERO_GUID)).otherwise(tb.guid_of(F.col("o_custkey")))
@@ -161,7 +166,7 @@ def _event_source_type(ev: DataFrame) -> Column:
 
 def value_any_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-13: composite values from (value, type) pairs."""
-    ev = _t(spark, sf_dir, "events")
+    ev = _rows(spark, sf_dir, "events")
     v = value_any(F.col("user_id").cast("string"), _event_source_type(ev))
     return ev.select("event_id", v.getField("value").alias("any_value"), v.getField("type").alias("any_type"))
 
@@ -175,7 +180,7 @@ def _event_type_ref(ev: DataFrame) -> Column:
 
 def type_ref_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-14 / OP-15: type references and type-description arrays."""
-    ev = _t(spark, sf_dir, "events")
+    ev = _rows(spark, sf_dir, "events")
     ref = _event_type_ref(ev)
     types = F.when(F.col("event_type") == "error", F.lit(None).cast("array<string>")) \
         .otherwise(F.array(ref, F.lit("EnumRef.Пол"), F.lit("string")))
@@ -195,7 +200,7 @@ def _event_type_src(ev: DataFrame) -> Column:
 
 def map_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-16: source type → engine type, composite fields first."""
-    ev = _t(spark, sf_dir, "events")
+    ev = _rows(spark, sf_dir, "events")
     composite = F.col("user_id") % 3 == 0
     src = _event_type_src(ev)
     return ev.select("event_id", src.alias("type_src"), composite.alias("composite"),
@@ -208,7 +213,7 @@ SHORT_NAME_BYTES = 12
 def abbreviate_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-17: abbreviation chain of capitalised part names + a Cyrillic word,
     and the first candidate that fits ``SHORT_NAME_BYTES`` bytes."""
-    p = _t(spark, sf_dir, "part")
+    p = _rows(spark, sf_dir, "part")
     name = F.concat(nm.capitalised(F.col("p_name")), F.lit("Информация"))
     c = nm.abbreviation_candidates(name)
     return p.select("p_partkey", name.alias("name"),
@@ -220,7 +225,7 @@ def abbreviate_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-18: typed ``$filter`` text of a composite key per order."""
-    o = _t(spark, sf_dir, "orders")
+    o = _rows(spark, sf_dir, "orders")
     terms = [key_term("Ref_Key", "uuid", tb.guid_of(F.col("o_orderkey"))),
              key_term("Date", "timestamp", F.col("o_orderdate")),
              key_term("Priority", "text", F.concat(F.col("o_orderpriority"), F.lit("'s"))),
@@ -235,7 +240,7 @@ def _with_credentials(url: Column, page_id: Column) -> Column:
 
 def mask_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-09: request URLs with credentials, password masked for the log."""
-    p = _t(spark, sf_dir, "pages")
+    p = _rows(spark, sf_dir, "pages")
     return p.select("page_id", mask_credentials(_with_credentials(F.col("url"), F.col("page_id"))).alias("logged_url"))
 
 
@@ -281,9 +286,9 @@ def dedup_first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-01 + OP-03: events paged with half-page overlap, later copies
     altered; reading and deduplicating keeps each first arrival."""
     ev = _t(spark, sf_dir, "events")
-    js = event_json(ev)
-    numbered = with_ordinal(js, ["event_id"], "n")
-    pages = pg.land_pages(numbered, "json", "n", DEDUP_FETCH_SIZE, "events", later_copy=_altered)
+    numbered = with_ordinal(ev, ["event_id"], "n", total_name="n_total")
+    js = event_json(numbered, keep=["n", "n_total"])
+    pages = pg.land_pages(js, "json", "n", DEDUP_FETCH_SIZE, "events", later_copy=_altered, total_col="n_total")
     from mirrorsmith.functions.decode import decode_row, read_schema
     rows = pg.read_pages(pages, read_schema(EVENT_DESC))
     dec = rows.select("page_no", "pos", *decode_row(F.col("row"), EVENT_DESC))
@@ -302,9 +307,11 @@ def source_pages(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
     objects in key order, paged with half-page overlap."""
     o = _t(spark, sf_dir, "orders")
     li = _t(spark, sf_dir, "lineitem")
-    src_json = tb.document_json(tb.order_state(o, state), tb.order_lines(li))
-    numbered = with_ordinal(src_json, ["o_orderkey"], "n")
-    return pg.land_pages(numbered, "json", "n", DOCUMENT_FETCH_SIZE, tb.DOCUMENT_ENTITY)
+    # positions are taken on the narrow header rows, before the documents
+    # (with their lines) are built, so no sort moves whole documents
+    numbered = with_ordinal(tb.order_state(o, state), ["o_orderkey"], "n", total_name="n_total")
+    src_json = tb.document_json(numbered, tb.order_lines(li), keep=["n", "n_total"])
+    return pg.land_pages(src_json, "json", "n", DOCUMENT_FETCH_SIZE, tb.DOCUMENT_ENTITY, total_col="n_total")
 
 
 def stored_mirror(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
@@ -535,7 +542,7 @@ def materialized_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-44: one pass of column checks over a mirror candidate built from
     orders, where some rows carry values a mirror column must not hold."""
-    o = _t(spark, sf_dir, "orders")
+    o = _rows(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     cand = o.select(
         tb.guid_of(k).alias("Ссылка"),

@@ -17,7 +17,7 @@ import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from mirrorsmith.functions.decode import decode_row, decode_sections, read_schema
+from mirrorsmith.functions.decode import decode_row, decode_sections, decode_some, read_schema
 from mirrorsmith.operators.dedup import first_arrival
 from mirrorsmith.operators.merge import DELETE, INSERT, SAME, UPDATE, apply_changes, change_set
 from mirrorsmith.plans.description import TableDescription
@@ -51,10 +51,20 @@ class MirrorStore:
         return f"{self.root}/{table}"
 
     def current_version(self, table: str) -> int | None:
-        commits = self._dir(table) + "/_commits"
-        if not _fs_exists(self.spark, commits):
+        """Highest version whose write committed (Spark's job commit leaves
+        ``_SUCCESS``); a listing, not a job."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self._dir(table))
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
             return None
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(commits).agg(F.max("version")).first()[0]
+        versions = []
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("v=") and name[2:].isdigit() and \
+                    fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                versions.append(int(name[2:]))
+        return max(versions) if versions else None
 
     def read(self, table: str, schema=None) -> DataFrame | None:
         v = self.current_version(table)
@@ -94,11 +104,17 @@ class MirrorStore:
 # --------------------------------------------------------------------------
 
 def load_from_pages(pages: DataFrame, desc: TableDescription) -> DataFrame:
-    """Landed pages → decoded, deduplicated load (first arrival wins)."""
+    """Landed pages → decoded, deduplicated load (first arrival wins).
+
+    Only the key columns are decoded before the dedup; the other columns are
+    decoded for the winning copy of each key alone.
+    """
     rows = read_pages(pages, read_schema(desc))
-    staged = rows.select("page_no", "pos", *decode_row(F.col("row"), desc, sections=False))
-    decoded = decode_sections(staged, desc, ["page_no", "pos"])
-    return first_arrival(decoded, desc.key).drop("page_no", "pos")
+    names = [c.name for c in desc.columns]
+    keyed = rows.select("page_no", "pos", "row", *decode_some(F.col("row"), desc, desc.key))
+    winners = first_arrival(keyed, desc.key).select("row")
+    staged = winners.select(*decode_row(F.col("row"), desc, sections=False))
+    return decode_sections(staged, desc, []).select(*names)
 
 
 def refresh_full(current: DataFrame, load: DataFrame, desc: TableDescription) -> tuple[DataFrame, DataFrame]:

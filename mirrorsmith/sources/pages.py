@@ -57,7 +57,7 @@ def plan_requests(tables: DataFrame, publication: str = "InfoBase") -> DataFrame
 
 
 def land_pages(rows: DataFrame, json_col: str, ordinal_col: str, fetch_size: int, table: str,
-               later_copy=None) -> DataFrame:
+               later_copy=None, total_col: str | None = None) -> DataFrame:
     """Source responses for rows already numbered in paging order.
 
     A row at position ``n`` is returned by every page ``k`` with
@@ -68,7 +68,7 @@ def land_pages(rows: DataFrame, json_col: str, ordinal_col: str, fetch_size: int
     """
     step = (fetch_size + 1) // 2
     n = F.col(ordinal_col)
-    total = rows.agg(F.count(F.lit(1)).cast("long")).scalar()
+    total = F.col(total_col) if total_col else rows.agg(F.count(F.lit(1)).cast("long")).scalar()
     last_page = page_count(total, F.lit(fetch_size)) - 1
     first = F.greatest(F.lit(0).cast("long"), F.ceil((n - fetch_size + 1) / step).cast("long"))
     last = F.least(F.floor(n / step).cast("long"), last_page)

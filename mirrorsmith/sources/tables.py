@@ -29,8 +29,36 @@ PRIORITY_ENUM = "Приоритеты"
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# A scan should give every core work: one task per this many input bytes.
+SPLIT_BYTES = 1 << 20
+
+
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
+def spread(df: DataFrame, input_bytes: int) -> DataFrame:
+    """Round-robin a scan that lands in fewer tasks than its size warrants.
+
+    A parquet file with a single row group is read by one task however large
+    it is; every per-row step before the first shuffle then runs on one core.
+    Large inputs on a cluster are split by the reader and never hit this.
+    """
+    spark = df.sparkSession
+    want = min(spark.sparkContext.defaultParallelism, input_bytes // SPLIT_BYTES)
+    if want > 1 and df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """One given table.  ``spread_rows`` for row-wise work that runs before
+    any shuffle (decoding, formatting): see `spread`."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return spread(df, _input_bytes(spark, path)) if spread_rows else df
 
 
 # FIXED VALUES: first hex digit of generated GUIDs (never the empty GUID).
@@ -162,7 +190,7 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
     return grouped.select("l_orderkey", F.transform("_ls", line).alias("lines"))
 
 
-def document_json(state: DataFrame, lines: DataFrame | None) -> DataFrame:
+def document_json(state: DataFrame, lines: DataFrame | None, keep: list[str] | None = None) -> DataFrame:
     """(o_orderkey, json) — one source JSON object per order of a state.
 
     Orders without lines have no ``Товары`` field at all (decoded as ``[]``).
@@ -184,4 +212,4 @@ def document_json(state: DataFrame, lines: DataFrame | None) -> DataFrame:
     ]
     if lines is not None:
         fields.append(F.col("lines").alias(LINES_PROPERTY))
-    return joined.select(k, F.to_json(F.struct(*fields)).alias("json"))
+    return joined.select(k, *(keep or []), F.to_json(F.struct(*fields)).alias("json"))
