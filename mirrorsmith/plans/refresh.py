@@ -40,6 +40,10 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 class MirrorStore:
     """Versioned parquet snapshots under one shared root."""
 
@@ -93,10 +97,11 @@ class MirrorStore:
         """Temp views: the table by its own name and one detail view per section."""
         df = self.read(table, desc.spark_schema() if desc else None)
         short = table.split(".", 1)[-1]
-        df.createOrReplaceTempView(short)
+        df.createOrReplaceTempView(_quoted(short))
         if desc:
             for col, sec in desc.sections.items():
-                df.select(F.explode(col).alias("_l")).select("_l.*").createOrReplaceTempView(sec.view)
+                detail = df.select(F.explode_outer(col).alias("_l")).filter(F.col("_l").isNotNull()).select("_l.*")
+                detail.createOrReplaceTempView(_quoted(sec.view))
 
 
 # --------------------------------------------------------------------------
@@ -189,3 +194,29 @@ def select_refresh(control: DataFrame, server: str | None = None, fast: bool = F
     if fast:
         sel = sel.filter(F.col("row_count") < F.col("fetch_size"))
     return sel.orderBy("table")
+
+
+# --------------------------------------------------------------------------
+# Audit rows (OP-09)
+# --------------------------------------------------------------------------
+
+AUDIT_SCHEMA = ("ts timestamp_ntz, duration_ms long, user string, server string, url string, "
+                "fixed boolean, exception string")
+
+
+def audit_requests(requests: DataFrame, base_url: str, server: str, user: str,
+                   started: dt.datetime | None = None) -> DataFrame:
+    """Request log rows for planned requests (``plan_requests`` output):
+    full URL with the password masked, as the request log keeps it."""
+    from mirrorsmith.functions.literals import mask_credentials
+    ts = started or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return requests.select(
+        F.lit(ts).cast("timestamp_ntz").alias("ts"), F.lit(0).cast("long").alias("duration_ms"),
+        F.lit(user).alias("user"), F.lit(server).alias("server"),
+        mask_credentials(F.concat(F.lit(base_url.rstrip("/")), F.col("url"))).alias("url"),
+        F.lit(True).alias("fixed"), F.lit(None).cast("string").alias("exception"))
+
+
+def append_audit(store: MirrorStore, rows: DataFrame, name: str = "_audit/requests") -> None:
+    """Append-only audit table (new files per append, nothing rewritten)."""
+    rows.write.mode("append").parquet(f"{store.root}/{name}")
