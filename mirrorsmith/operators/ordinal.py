@@ -24,6 +24,30 @@ def _bucket_expr(col: Column, bounds: list[float], lo: int = 0) -> Column:
         .otherwise(_bucket_expr(col, bounds[mid + 1:], lo + mid + 1))
 
 
+SAMPLES_PER_RANGE = 100
+
+
+def _range_bounds(df: DataFrame, col: str, n: int, rel_error: float) -> list:
+    """Up to ``n - 1`` ascending range bounds of ``col``.
+
+    Numbers: `approxQuantile`.  Other orderable types: a sorted random sample
+    of about ``SAMPLES_PER_RANGE * n`` values (the way a range partitioner
+    picks its bounds); the driver receives that sample, bounded by ``n``, not
+    by the data.
+    """
+    if isinstance(df.schema[col].dataType, _NUMERIC):
+        return sorted(set(df.approxQuantile(col, [i / n for i in range(1, n)], rel_error)))
+    total = df.count()
+    if total == 0:
+        return []
+    fraction = min(1.0, SAMPLES_PER_RANGE * n / total)
+    sample = [r[0] for r in df.select(col).sample(False, fraction, seed=17).dropna().orderBy(col).collect()]
+    if not sample:
+        return []
+    picks = [sample[min(len(sample) - 1, (len(sample) * i) // n)] for i in range(1, n)]
+    return sorted(set(picks))
+
+
 def with_ordinal(df: DataFrame, order_cols: list[str], name: str = "ordinal",
                  buckets: int | None = None, rel_error: float = 0.001,
                  total_name: str | None = None) -> DataFrame:
@@ -36,11 +60,14 @@ def with_ordinal(df: DataFrame, order_cols: list[str], name: str = "ordinal",
     spark = df.sparkSession
     n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     first = order_cols[0]
-    if n > 1 and isinstance(df.schema[first].dataType, _NUMERIC):
-        probs = [i / n for i in range(1, n)]
-        bounds = sorted(set(df.approxQuantile(first, probs, rel_error)))
-    else:
-        bounds = []
+    bounds = _range_bounds(df, first, n, rel_error) if n > 1 else []
+    if not bounds:
+        # a single range (tiny or constant input): plain numbering
+        w = Window.orderBy(*order_cols)
+        out = df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
+        if total_name:
+            out = out.withColumn(total_name, F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
+        return out
     bucketed = df.withColumn("_bucket", _bucket_expr(F.col(first), bounds))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     # one row per range: a single-partition window over at most `buckets` rows

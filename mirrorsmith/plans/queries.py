@@ -268,13 +268,14 @@ def plan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "table", "row_count", F.explode(F.array(F.lit(100), F.lit(1000))).alias("fetch_size"))
     ctl = ctl.withColumn("entity", F.concat(F.lit("Catalog_"), F.col("table"))).withColumn("sort", F.lit("Ref_Key"))
     req = pg.plan_requests(ctl)
-    return req.groupBy("table", "fetch_size", "row_count").agg(
+    per = req.groupBy("table", "entity", "sort", "fetch_size", "row_count").agg(
         F.count(F.lit(1)).cast("long").alias("n_pages"),
         F.sum("rows").cast("long").alias("rows_transferred"),
-        F.max("skip").cast("long").alias("last_skip"),
-        F.max_by("url", "page_no").alias("last_url")).select(
+        F.max("skip").cast("long").alias("last_skip"))
+    last_url = pg.request_url(F.col("entity"), F.col("sort"), F.col("last_skip"), F.col("fetch_size"))
+    return per.select(
         F.col("table").alias("table_name"), F.col("fetch_size").cast("long").alias("fetch_size"),
-        "row_count", "n_pages", "rows_transferred", "last_skip", "last_url")
+        "row_count", "n_pages", "rows_transferred", "last_skip", last_url.alias("last_url"))
 
 
 def _altered(json: Column) -> Column:

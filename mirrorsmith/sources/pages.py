@@ -46,14 +46,20 @@ def plan_requests(tables: DataFrame, publication: str = "InfoBase") -> DataFrame
     pages = page_count(F.col("row_count"), F.col("fetch_size"))
     planned = tables.withColumn("page_no", F.explode(F.sequence(F.lit(0).cast("long"), pages - 1)))
     skip = F.col("page_no") * step
-    order = F.when(F.coalesce(F.col("sort"), F.lit("")) != "",
-                   F.concat(F.lit("$orderby="), F.col("sort"), F.lit("&"))).otherwise(F.lit(""))
-    query = F.concat(order, F.lit("$skip="), skip.cast("string"), F.lit("&$top="), F.col("fetch_size").cast("string"))
     return (planned
             .withColumn("skip", skip)
             .withColumn("top", F.col("fetch_size").cast("long"))
             .withColumn("rows", F.least(F.col("top"), F.greatest(F.lit(0).cast("long"), F.col("row_count") - skip)))
-            .withColumn("url", request_path(publication, F.col("entity"), query)))
+            .withColumn("url", request_url(F.col("entity"), F.col("sort"), F.col("skip"), F.col("fetch_size"),
+                                           publication)))
+
+
+def request_url(entity: Column, sort: Column, skip: Column, fetch_size: Column, publication: str = "InfoBase") -> Column:
+    """``/<publication>/odata/standard.odata/<entity>?$orderby=..&$skip=..&$top=..``"""
+    order = F.when(F.coalesce(sort, F.lit("")) != "",
+                   F.concat(F.lit("$orderby="), sort, F.lit("&"))).otherwise(F.lit(""))
+    query = F.concat(order, F.lit("$skip="), skip.cast("string"), F.lit("&$top="), fetch_size.cast("string"))
+    return request_path(publication, entity, query)
 
 
 def land_pages(rows: DataFrame, json_col: str, ordinal_col: str, fetch_size: int, table: str,
