@@ -6,16 +6,16 @@ changed.  One full outer join on the key classifies each key as ``insert``,
 counts, inserted or deleted rows) is a projection of that change set.
 
 At scale: the join shuffles both sides on the key once.  When the load comes
-out of `first_arrival` (a `groupBy` on the same key) Spark reuses that hash
-partitioning, so only the mirror side is exchanged.  AQE splits skewed key
-ranges.
+out of `first_arrival` (a window partitioned by the same key) Spark reuses
+that hash partitioning, so only the mirror side is exchanged.  AQE splits
+skewed key ranges.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 INSERT, UPDATE, DELETE, SAME = "insert", "update", "delete", "same"
 
@@ -95,11 +95,11 @@ def enum_merge(existing: DataFrame, members: DataFrame, ref: str = "ref", order:
     ones get ``max(order) + their rank by position``; the maximum is taken over
     the table before deletion (one statement, one snapshot).
     """
-    from mirrorsmith.operators.ordinal import with_ordinal
-
     base = existing.agg(F.coalesce(F.max(order), F.lit(0)).cast("long")).scalar()
     kept = existing.join(members.select(ref), on=ref, how="left_semi").select(ref, order)
     new = members.join(existing.select(ref), on=ref, how="left_anti")
-    ranked = with_ordinal(new, [pos, ref], name="_rank")
-    added = ranked.select(ref, (base + F.col("_rank") + 1).alias(order))
+    # members of one enumeration are metadata (bounded by its definition), so
+    # one window over the new members is the whole numbering
+    rank = F.row_number().over(Window.orderBy(pos, ref))
+    added = new.select(ref, (base + rank).cast("long").alias(order))
     return kept.unionByName(added)

@@ -8,7 +8,7 @@ through the exact decimal type are cast to DOUBLE only at the end.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from mirrorsmith.functions import names as nm
 from mirrorsmith.functions import types as ty
@@ -21,8 +21,8 @@ from mirrorsmith.operators import sections as sc
 from mirrorsmith.operators.dedup import first_arrival
 from mirrorsmith.operators.ordinal import with_ordinal
 from mirrorsmith.plans.description import ColumnDesc, TableDescription
-from mirrorsmith.plans.refresh import (MirrorStore, default_fetch_size, ensure_snapshot, load_from_pages, materialize,
-                                       select_refresh)
+from mirrorsmith.plans.refresh import (MirrorStore, default_fetch_size, ensure_snapshot, landed, load_from_pages,
+                                       materialize, select_refresh)
 from mirrorsmith.sources import pages as pg
 from mirrorsmith.sources import tables as tb
 
@@ -324,9 +324,19 @@ def stored_mirror(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
     writes it (see `mirrorsmith.plans.refresh.ensure_snapshot`).
     """
     desc = tb.document_description(spark)
-    inputs = [f"{sf_dir}/orders.parquet", f"{sf_dir}/lineitem.parquet"]
-    return ensure_snapshot(spark, f"{tb.DOCUMENT_TABLE}@{state}", desc, inputs,
-                           lambda: source_pages(spark, sf_dir, state))
+    return ensure_snapshot(spark, f"{tb.DOCUMENT_TABLE}@{state}", desc, _document_inputs(sf_dir),
+                           lambda: landed_pages(spark, sf_dir, state))
+
+
+def _document_inputs(sf_dir: str) -> list[str]:
+    return [f"{sf_dir}/orders.parquet", f"{sf_dir}/lineitem.parquet"]
+
+
+def landed_pages(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
+    """The source's responses for one state as they landed in the shared
+    folder (landed on first use from the given tables)."""
+    return landed(spark, f"{tb.DOCUMENT_ENTITY}@{state}", _document_inputs(sf_dir),
+                  lambda: source_pages(spark, sf_dir, state))
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,7 +471,8 @@ def _priority_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     every priority used by an order, in name order."""
     o = _t(spark, sf_dir, "orders")
     distinct = o.select(F.col("o_orderpriority").alias("ref")).distinct()
-    return with_ordinal(distinct, ["ref"], "pos").withColumn("pos", F.col("pos") + 1)
+    # numbered after the (map-side combined) distinct: one row per member
+    return distinct.select("ref", F.row_number().over(Window.orderBy("ref")).cast("long").alias("pos"))
 
 
 def _priority_existing(members: DataFrame) -> DataFrame:
@@ -499,12 +510,12 @@ def document_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh the order document mirror from landed source pages.
 
     ``cur`` is the stored mirror as last written; the source now holds ``src``,
-    returned in pages with half-page overlap; the pages are decoded,
-    deduplicated (first arrival) and merged by version.
+    whose responses (pages with half-page overlap) have landed; the pages are
+    read, decoded, deduplicated (first arrival) and merged by version.
     """
     desc = tb.document_description(spark)
     current = stored_mirror(spark, sf_dir, "cur")
-    load = load_from_pages(source_pages(spark, sf_dir, "src"), desc)
+    load = load_from_pages(landed_pages(spark, sf_dir, "src"), desc)
     return mg.merge_full(current, load, desc.key, desc.version)
 
 

@@ -174,6 +174,18 @@ def ensure_snapshot(spark: SparkSession, table: str, desc: TableDescription, inp
     return store.read(table)
 
 
+def landed(spark: SparkSession, name: str, inputs: list[str], pages_fn) -> DataFrame:
+    """Source responses landed once per input state in the shared folder
+    (``pages_fn()`` builds them on the first call), read back as page rows."""
+    from mirrorsmith.sources.pages import read_landed, write_pages
+    path = checkpoint_dir(spark).rstrip("/") + "/landed/" + _input_signature(spark, inputs) + "/" + name
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        write_pages(pages_fn(), path)
+    return read_landed(spark, path)
+
+
 def materialize(store: MirrorStore, name: str, df: DataFrame) -> DataFrame:
     """Materialised view (OP-54): write the result as a new version, read it back.
     A refresh is simply another call; readers of the old version are untouched."""

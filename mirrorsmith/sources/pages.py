@@ -102,12 +102,24 @@ def read_pages(pages: DataFrame, row_schema: T.StructType) -> DataFrame:
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Land pages as text, one response per line, partitioned by table and page."""
-    pages.select("table", "page_no", "body").write.mode("errorifexists").partitionBy("table", "page_no").text(path)
+    """Land pages as parquet rows ``(page_no, skip, body)`` partitioned by table.
+
+    One row per response; a directory per page would not survive millions of
+    pages.  Nothing is overwritten: a landing goes to a fresh path.
+    """
+    pages.select("table", "page_no", "skip", "body").write.mode("errorifexists").partitionBy("table").parquet(path)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed page files back as page rows (partition columns give table and page)."""
-    raw = spark.read.text(path)
-    return raw.select(F.col("table").cast("string"), F.col("page_no").cast("int"),
+    """Landed pages back as page rows."""
+    raw = spark.read.parquet(path)
+    return raw.select(F.col("table").cast("string"), F.col("page_no").cast("int"), F.col("skip").cast("long"), "body")
+
+
+def read_response_files(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Raw response files, one response body per line, named ``<page_no>.json``
+    (page number from the file name)."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_f"))
+    return raw.select(F.lit(table).alias("table"),
+                      F.regexp_extract("_f", r"^(\d+)", 1).cast("int").alias("page_no"),
                       F.lit(None).cast("long").alias("skip"), F.col("value").alias("body"))

@@ -124,3 +124,16 @@ def test_first_arrival_hot_key(spark):
     assert got.count() == 1 + 4000
     assert json.loads(got.filter("k = 0").select(F.to_json(F.struct("page_no", "pos"))).first()[0]) == \
         {"page_no": 0, "pos": 0}
+
+
+def test_read_response_files(spark, scratch):
+    import os
+    os.makedirs(scratch + "/resp")
+    bodies = {0: [{"K": 1, "V": "a"}, {"K": 2, "V": "b"}], 1: [{"K": 2, "V": "later"}, {"K": 3, "V": "c"}]}
+    for page, rows in bodies.items():
+        with open(f"{scratch}/resp/{page}.json", "w") as f:
+            f.write(json.dumps({"value": rows}) + "\n")
+    landed = pg.read_response_files(spark, scratch + "/resp", "T")
+    read = pg.read_pages(landed, spark.createDataFrame([], "K long, V string").schema)
+    first = first_arrival(read.select("page_no", "pos", "row.*"), ["K"])
+    assert sorted((r["K"], r["V"], r["page_no"]) for r in first.collect()) == [(1, "a", 0), (2, "b", 0), (3, "c", 1)]
