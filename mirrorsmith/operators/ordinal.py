@@ -20,32 +20,57 @@ def _bucket_expr(col: Column, bounds: list[float], lo: int = 0) -> Column:
     if not bounds:
         return F.lit(lo)
     mid = len(bounds) // 2
-    return F.when(col < F.lit(bounds[mid]), _bucket_expr(col, bounds[:mid], lo)) \
+    return F.when(col < _literal(bounds[mid]), _bucket_expr(col, bounds[:mid], lo)) \
         .otherwise(_bucket_expr(col, bounds[mid + 1:], lo + mid + 1))
 
 
 SAMPLES_PER_RANGE = 100
 
 
-def _range_bounds(df: DataFrame, col: str, n: int, rel_error: float) -> list:
-    """Up to ``n - 1`` ascending range bounds of ``col``.
-
-    Numbers: `approxQuantile`.  Other orderable types: a sorted random sample
+def _sample_bounds(df: DataFrame, key: Column, n: int) -> list:
+    """Up to ``n - 1`` ascending bounds of ``key`` from a sorted random sample
     of about ``SAMPLES_PER_RANGE * n`` values (the way a range partitioner
-    picks its bounds); the driver receives that sample, bounded by ``n``, not
-    by the data.
-    """
-    if isinstance(df.schema[col].dataType, _NUMERIC):
-        return sorted(set(df.approxQuantile(col, [i / n for i in range(1, n)], rel_error)))
+    picks its bounds); the driver receives a sample bounded by ``n``."""
     total = df.count()
     if total == 0:
         return []
     fraction = min(1.0, SAMPLES_PER_RANGE * n / total)
-    sample = [r[0] for r in df.select(col).sample(False, fraction, seed=17).dropna().orderBy(col).collect()]
+    sample = [r[0] for r in df.select(key.alias("_k")).sample(False, fraction, seed=17)
+              .dropna().orderBy("_k").collect()]
     if not sample:
         return []
     picks = [sample[min(len(sample) - 1, (len(sample) * i) // n)] for i in range(1, n)]
-    return sorted(set(picks))
+    out = []
+    for p in picks:
+        if not out or p != out[-1]:
+            out.append(p)
+    return out
+
+
+def _range_bounds(df: DataFrame, order_cols: list[str], n: int, rel_error: float) -> tuple[Column, list]:
+    """(range key, ascending bounds) for ``order_cols``.
+
+    A numeric first column uses `approxQuantile`.  When its quantiles collapse
+    (one value holds a large share of the rows) and more order columns exist,
+    or the first column is not numeric, the bounds come from a sample of the
+    whole ordering tuple, so a hot value is split by the columns after it.
+    """
+    first = order_cols[0]
+    if isinstance(df.schema[first].dataType, _NUMERIC):
+        bounds = sorted(set(df.approxQuantile(first, [i / n for i in range(1, n)], rel_error)))
+        if len(order_cols) == 1 or len(bounds) >= (n - 1) // 2:
+            return F.col(first), bounds
+    if len(order_cols) == 1:
+        return F.col(first), _sample_bounds(df, F.col(first), n)
+    key = F.struct(*[F.col(c) for c in order_cols])
+    rows = _sample_bounds(df, key, n)
+    return key, [tuple(r) for r in rows]
+
+
+def _literal(bound) -> Column:
+    if isinstance(bound, tuple):
+        return F.struct(*[F.lit(v) for v in bound])
+    return F.lit(bound)
 
 
 def with_ordinal(df: DataFrame, order_cols: list[str], name: str = "ordinal",
@@ -59,8 +84,7 @@ def with_ordinal(df: DataFrame, order_cols: list[str], name: str = "ordinal",
     """
     spark = df.sparkSession
     n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    first = order_cols[0]
-    bounds = _range_bounds(df, first, n, rel_error) if n > 1 else []
+    range_key, bounds = _range_bounds(df, order_cols, n, rel_error) if n > 1 else (None, [])
     if not bounds:
         # a single range (tiny or constant input): plain numbering
         w = Window.orderBy(*order_cols)
@@ -68,7 +92,7 @@ def with_ordinal(df: DataFrame, order_cols: list[str], name: str = "ordinal",
         if total_name:
             out = out.withColumn(total_name, F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
         return out
-    bucketed = df.withColumn("_bucket", _bucket_expr(F.col(first), bounds))
+    bucketed = df.withColumn("_bucket", _bucket_expr(range_key, bounds))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     # one row per range: a single-partition window over at most `buckets` rows
     offsets = sizes.select(

@@ -137,3 +137,20 @@ def test_read_response_files(spark, scratch):
     read = pg.read_pages(landed, spark.createDataFrame([], "K long, V string").schema)
     first = first_arrival(read.select("page_no", "pos", "row.*"), ["K"])
     assert sorted((r["K"], r["V"], r["page_no"]) for r in first.collect()) == [(1, "a", 0), (2, "b", 0), (3, "c", 1)]
+
+
+def test_ordinal_with_hot_first_value(spark):
+    # 60% of the rows share one first-column value; the second column splits them
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 10 < 6, F.lit(7)).otherwise(F.col("id")).alias("a"), F.col("id").alias("b"))
+    got = with_ordinal(df, ["a", "b"], "n", buckets=8).orderBy("n").select("a", "b", "n").collect()
+    assert [r["n"] for r in got] == list(range(6000))
+    assert [(r["a"], r["b"]) for r in got] == sorted((r["a"], r["b"]) for r in got)
+    buckets = with_ordinal.__globals__["_range_bounds"](df, ["a", "b"], 8, 0.001)[1]
+    assert len(buckets) >= 4                      # the hot value is split across ranges
+
+
+def test_ordinal_on_text(spark):
+    df = spark.createDataFrame([(f"k{i:05d}",) for i in range(500)], "k string")
+    got = with_ordinal(df, ["k"], "n", buckets=4).orderBy("n").collect()
+    assert [r["k"] for r in got] == sorted(r["k"] for r in got) and got[-1]["n"] == 499
