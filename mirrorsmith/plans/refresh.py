@@ -104,6 +104,18 @@ class MirrorStore:
                 detail.createOrReplaceTempView(_quoted(sec.view))
 
 
+def create_table(store: MirrorStore, desc: TableDescription, table: str | None = None) -> int:
+    """Mirror sink (OP-07): an empty first version with the described schema,
+    registered as a view with one detail view per section.  Does nothing when
+    the table already has a version (like creating an existing table)."""
+    table = table or desc.table
+    version = store.current_version(table)
+    if version is None:
+        version, _ = store.commit(table, store.spark.createDataFrame([], desc.spark_schema()))
+    store.register(table, desc)
+    return version
+
+
 # --------------------------------------------------------------------------
 # Refresh jobs
 # --------------------------------------------------------------------------

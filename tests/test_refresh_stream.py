@@ -90,3 +90,18 @@ def test_keyed_refresh_stream(spark, scratch):
     q.awaitTermination(120)
     snap = {r["Ссылка"]: r["Наименование"] for r in store.read(DESC.table).collect()}
     assert snap == {g(0): "item0", g(1): "changed", g(3): "item3", g(4): "item4", g(7): "item7"}
+
+
+def test_create_table_then_refresh(spark, scratch):
+    store = rf.MirrorStore(spark, scratch + "/store")
+    assert rf.create_table(store, DESC) == 1
+    assert rf.create_table(store, DESC) == 1                 # already there
+    assert spark.sql("SELECT count(*) FROM `Товары`").first()[0] == 0
+    stats = rf.refresh_and_commit(store, DESC, _pages(spark, [row(i) for i in range(3)], 2))
+    assert stats["version"] == 2 and stats["insert"] == 3
+
+
+def test_enum_order_checks(spark):
+    from mirrorsmith.operators.quality import enum_order_checks
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 2), ("d", None)], "`Ссылка` string, `Порядок` long")
+    assert sorted(r["Ссылка"] for r in enum_order_checks(df).collect()) == ["b", "c", "d"]
