@@ -187,15 +187,20 @@ def _master_field(sec: SectionDesc) -> str:
     return "_master_" + sec.columns[0].name
 
 
-def decode_row(row: Column, desc: TableDescription, sections: bool = True) -> list[Column]:
+def decode_row(row: Column, desc: TableDescription, sections: bool = True,
+               decoded: set[str] | frozenset = frozenset()) -> list[Column]:
     """Typed mirror columns, in description order, from a parsed source row.
 
     With ``sections=False`` a section column is returned raw, together with
     its decoded master key (``_master_<name>``), for `decode_sections`.
+    Columns named in ``decoded`` are already present and passed through.
     """
     out = []
     key = set(desc.key)
     for c in desc.columns:
+        if c.name in decoded:
+            out.append(F.col(c.name))
+            continue
         if c.engine == ty.SECTION:
             sec = desc.sections[c.name]
             first = sec.columns[0]

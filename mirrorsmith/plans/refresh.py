@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -24,6 +25,7 @@ from mirrorsmith.plans.description import TableDescription
 from mirrorsmith.session import checkpoint_dir
 from mirrorsmith.sources.pages import read_pages
 
+BUCKET_MARKER = "_BUCKETS"
 COMMIT_SCHEMA = "version long, row_count long, committed_at timestamp_ntz, duration_ms long"
 CONTROL_SCHEMA = ("server string, table string, kind string, schema string, name string, fetch_size int, "
                   "row_count long, refresh_data_ts timestamp_ntz, refresh_data_ms long")
@@ -70,23 +72,68 @@ class MirrorStore:
                 versions.append(int(name[2:]))
         return max(versions) if versions else None
 
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        return jvm, jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(
+            self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _write_marker(self, path: str, text: str) -> None:
+        jvm, fs = self._fs()
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(path), False)
+        out.write(bytearray(text.encode("utf-8")))
+        out.close()
+
+    def _read_marker(self, path: str) -> str | None:
+        jvm, fs = self._fs()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def read(self, table: str, schema=None) -> DataFrame | None:
+        """Current version; a bucketed version is read as a bucketed table, so
+        joins and aggregations on its key need no exchange on this side."""
         v = self.current_version(table)
         if v is None:
             return None if schema is None else self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(f"{self._dir(table)}/v={v}")
-
-    def commit(self, table: str, df: DataFrame, started: float | None = None) -> tuple[int, int]:
+        vdir = f"{self._dir(table)}/v={v}"
+        spec = self._read_marker(vdir + "/" + BUCKET_MARKER)
+        if spec is None:
+            return self.spark.read.parquet(vdir)
+        spec = json.loads(spec)
+        name = "mirrorsmith_" + hashlib.sha1(vdir.encode()).hexdigest()[:16]
+        ddl = self.spark.read.parquet(vdir)._jdf.schema().toDDL()
+        keys = ", ".join(_quoted(k) for k in spec["key"])
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
+                       f"CLUSTERED BY ({keys}) INTO {int(spec['buckets'])} BUCKETS LOCATION '{vdir}'")
+        return self.spark.table(name)
+
+    def commit(self, table: str, df: DataFrame, started: float | None = None,
+               bucket_key: list[str] | None = None) -> tuple[int, int]:
         """Write ``df`` as the next version; returns (version, row count).
 
-        The row count comes from an `Observation` on the write itself, so the
-        snapshot is not scanned a second time.
+        With ``bucket_key`` the version is bucketed by that key into as many
+        buckets as the session's shuffle partitions: the next merge on the key
+        then shuffles only the new load.  The row count comes from an
+        `Observation` on the write itself (no second scan).
         """
         started = started or time.time()
         version = (self.current_version(table) or 0) + 1
+        vdir = f"{self._dir(table)}/v={version}"
         obs = Observation(f"commit_{abs(hash((table, version, started)))}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
-            f"{self._dir(table)}/v={version}")
+        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        if bucket_key:
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            name = "mirrorsmith_w_" + hashlib.sha1(vdir.encode()).hexdigest()[:16]
+            observed.write.bucketBy(buckets, *bucket_key).option("path", vdir).mode("errorifexists").saveAsTable(name)
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")      # external: the files stay
+            self._write_marker(vdir + "/" + BUCKET_MARKER, json.dumps({"buckets": buckets, "key": bucket_key}))
+        else:
+            observed.write.mode("errorifexists").parquet(vdir)
         rows = int(obs.get["rows"])
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         self.spark.createDataFrame([(version, rows, now, int((time.time() - started) * 1000))], COMMIT_SCHEMA) \
@@ -129,8 +176,10 @@ def load_from_pages(pages: DataFrame, desc: TableDescription) -> DataFrame:
     rows = read_pages(pages, read_schema(desc))
     names = [c.name for c in desc.columns]
     keyed = rows.select("page_no", "pos", "row", *decode_some(F.col("row"), desc, desc.key))
-    winners = first_arrival(keyed, desc.key).select("row")
-    staged = winners.select(*decode_row(F.col("row"), desc, sections=False))
+    # the decoded key columns are carried, not decoded again: the rows stay
+    # hash-partitioned by them for the merge join that follows
+    winners = first_arrival(keyed, desc.key).select(*desc.key, "row")
+    staged = winners.select(*decode_row(F.col("row"), desc, sections=False, decoded=set(desc.key)))
     return decode_sections(staged, desc, []).select(*names)
 
 
@@ -153,7 +202,7 @@ def refresh_and_commit(store: MirrorStore, desc: TableDescription, pages: DataFr
     snapshot, changes = refresh_full(current, load_from_pages(pages, desc), desc)
     obs = Observation(f"changes_{abs(hash((desc.table, started)))}")
     counted = changes.observe(obs, *[F.count_if(F.col("action") == a).alias(a) for a in (INSERT, UPDATE, DELETE, SAME)])
-    version, rows = store.commit(table, apply_changes(counted, desc.key), started)
+    version, rows = store.commit(table, apply_changes(counted, desc.key), started, bucket_key=desc.key)
     stats = {k: int(v) for k, v in obs.get.items()}
     stats.update(version=version, row_count=rows, duration_ms=int((time.time() - started) * 1000))
     return stats
