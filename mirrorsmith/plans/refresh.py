@@ -106,7 +106,7 @@ class MirrorStore:
             return self.spark.read.parquet(vdir)
         spec = json.loads(spec)
         name = "mirrorsmith_" + hashlib.sha1(vdir.encode()).hexdigest()[:16]
-        ddl = self.spark.read.parquet(vdir)._jdf.schema().toDDL()
+        ddl = spec["ddl"]
         keys = ", ".join(_quoted(k) for k in spec["key"])
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
                        f"CLUSTERED BY ({keys}) INTO {int(spec['buckets'])} BUCKETS LOCATION '{vdir}'")
@@ -131,7 +131,9 @@ class MirrorStore:
             name = "mirrorsmith_w_" + hashlib.sha1(vdir.encode()).hexdigest()[:16]
             observed.write.bucketBy(buckets, *bucket_key).option("path", vdir).mode("errorifexists").saveAsTable(name)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")      # external: the files stay
-            self._write_marker(vdir + "/" + BUCKET_MARKER, json.dumps({"buckets": buckets, "key": bucket_key}))
+            # the schema goes with the layout: an empty version has no data file to read it from
+            self._write_marker(vdir + "/" + BUCKET_MARKER, json.dumps(
+                {"buckets": buckets, "key": bucket_key, "ddl": df._jdf.schema().toDDL()}, ensure_ascii=False))
         else:
             observed.write.mode("errorifexists").parquet(vdir)
         rows = int(obs.get["rows"])
