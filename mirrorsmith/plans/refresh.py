@@ -36,12 +36,6 @@ def default_fetch_size(work_mem_mb: int = 64) -> int:
     return max(work_mem_mb // 32, 1) * 5000
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -2,11 +2,7 @@
 
 import json
 import os
-import time
 
-from pyspark.sql import functions as F
-
-from mirrorsmith.functions.decode import decode_json
 from mirrorsmith.plans import refresh as rf
 from mirrorsmith.plans.description import ColumnDesc, TableDescription
 from mirrorsmith.sources import pages as pg
