@@ -63,3 +63,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="mirrorsmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext.getCheckpointDir() or conf_dir
+
+
+# Target bytes per task for scans and shuffles: large enough to amortise task
+# overhead, small enough to sort and aggregate without heavy spill.
+TARGET_PARTITION_BYTES = 256 << 20
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings for a job over ``input_bytes`` on ``total_cores`` cores.
+
+    Shuffle partitions start at about one per ``TARGET_PARTITION_BYTES`` of
+    input (at least two waves of tasks); AQE coalesces them at run time to the
+    advisory size and splits skewed ones.  The count also fixes the bucket
+    count of snapshots written in the session, so it should stay the same
+    between refreshes of one mirror.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * TARGET_PARTITION_BYTES),
+    }

@@ -60,3 +60,10 @@ def test_schema_diff_and_apply(spark):
     assert reload and projected.count() == 0 and projected.columns == ["k", "a", "b"]
     ok, reload2 = ev.apply_schema(spark.createDataFrame([(1, "x", True, 5)], "k long, a string, b boolean, old int"), desc)
     assert not reload2 and ok.columns == ["k", "a", "b"]
+
+
+def test_scale_conf():
+    from mirrorsmith.session import scale_conf
+    conf = scale_conf(100 * (1 << 40), 8000)                 # 100 TB on 8000 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(10 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
