@@ -154,3 +154,28 @@ def test_ordinal_on_text(spark):
     df = spark.createDataFrame([(f"k{i:05d}",) for i in range(500)], "k string")
     got = with_ordinal(df, ["k"], "n", buckets=4).orderBy("n").collect()
     assert [r["k"] for r in got] == sorted(r["k"] for r in got) and got[-1]["n"] == 499
+
+
+def test_live_source_reads_page_ranges(spark, scratch):
+    import os
+    from mirrorsmith.sources.odata import PagedSource
+    rows = spark.range(0, 23).select(F.col("id").alias("n"),
+                                     F.to_json(F.struct(F.col("id").alias("K"))).alias("json"))
+    landed = {r["page_no"]: (r["skip"], r["body"]) for r in pg.land_pages(rows, "json", "n", 4, "E").collect()}
+    os.makedirs(f"{scratch}/src/E")
+    for skip, body in landed.values():
+        with open(f"{scratch}/src/E/{skip}.json", "w") as f:
+            f.write(body)
+    spark.dataSource.register(PagedSource)
+
+    def read(count):
+        return (spark.read.format("mirror_pages").option("base_url", f"file://{scratch}/src").option("entity", "E")
+                .option("fetch_size", 4).option("row_count", count).option("pages_per_partition", 3).load())
+
+    got = read(23)
+    assert got.rdd.getNumPartitions() == 4
+    assert {r["page_no"]: (r["skip"], r["body"]) for r in got.collect()} == landed
+    # the control table is stale (15 rows): the last range reads on until a short page
+    assert {r["page_no"] for r in read(15).collect()} == set(landed)
+    keys = read(23).transform(lambda p: pg.read_pages(p, spark.createDataFrame([], "K long").schema))
+    assert first_arrival(keys.select("page_no", "pos", "row.*"), ["K"]).count() == 23
