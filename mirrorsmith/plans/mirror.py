@@ -5,7 +5,8 @@ merge family and the snapshot store.
     m = Mirror(spark, "/shared/meta/$metadata.xml")
     m.list_objects()                                   # what can be mirrored
     m.create_table("Справочник.Контрагенты")           # schema + empty version + views
-    m.refresh("Справочник.Контрагенты", pages)         # full soft refresh from landed pages
+    pages = m.fetch_pages("Справочник.Контрагенты", "http://host/InfoBase", user, password)
+    m.refresh("Справочник.Контрагенты", pages)         # full soft refresh from the pages
     m.refresh_keys("Справочник.Контрагенты", keys, pages)   # refresh by key, as one batch
     m.refresh_all(pages_for, fast=True)                # scheduled bulk refresh
     m.refresh_metadata("Справочник.Контрагенты")      # follow schema changes
@@ -114,6 +115,31 @@ class Mirror:
                                        bucket_key=desc.key)
         return version
 
+    def fetch_pages(self, table: str, base_url: str, user: str = "", password: str = "",
+                    pages_per_partition: int = 16) -> DataFrame:
+        """Pages of a full read from the live source (`sources/odata.py`), one
+        page range per task; the planned requests are appended to the request
+        log with the password masked.  The expected row count comes from the
+        control table (the last range reads on until a short page)."""
+        from mirrorsmith.plans.refresh import append_audit, audit_requests
+        from mirrorsmith.sources.odata import PagedSource
+        from mirrorsmith.sources.pages import plan_requests
+        desc = self.describe(table)
+        ctl = self.control().filter(F.col("table") == table).select("row_count", "fetch_size").first()
+        row_count = int(ctl["row_count"] or 0) if ctl else 0
+        fetch_size = int(ctl["fetch_size"]) if ctl else default_fetch_size()
+        sort = ",".join(desc.sort)
+        plan = self.spark.createDataFrame([(desc.entity, sort, fetch_size, row_count)],
+                                          "entity string, sort string, fetch_size int, row_count long")
+        scheme, rest = base_url.split("://", 1) if "://" in base_url else ("http", base_url)
+        shown = f"{scheme}://{user}:{password}@{rest}" if user else base_url
+        append_audit(self.store, audit_requests(plan_requests(plan), shown, self.server, user or "anonymous"))
+        self.spark.dataSource.register(PagedSource)
+        return (self.spark.read.format(PagedSource.name()).option("base_url", base_url)
+                .option("entity", desc.entity).option("sort", sort).option("fetch_size", fetch_size)
+                .option("row_count", row_count).option("pages_per_partition", pages_per_partition)
+                .option("user", user).option("password", password).load())
+
     def refresh_all(self, pages_for, fast: bool = False) -> list[dict]:
         """Scheduled bulk refresh: the selected tables in name order
         (``pages_for(table)`` returns that table's landed pages)."""

@@ -64,3 +64,15 @@ def test_mirror_workflow(spark, scratch):
     assert m.table(T).count() == 0
     m.refresh(T, pages(spark, [doc(7)]))
     assert m.table(T).first()["ИНН"] == ""
+
+    # the same refresh through the live source: responses under file://<dir>/<entity>/<skip>.json
+    src = os.path.join(scratch, "source", "Catalog_Контрагенты")
+    os.makedirs(src)
+    for r in pages(spark, [doc(7), doc(8), doc(9)], fetch=10000).collect():
+        with open(os.path.join(src, f"{r['skip']}.json"), "w", encoding="utf-8") as f:
+            f.write(r["body"])
+    live = m.fetch_pages(T, "file://" + os.path.join(scratch, "source"), user="odata", password="secret")
+    stats = m.refresh(T, live)
+    assert stats["insert"] == 2 and stats["row_count"] == 3
+    log = spark.read.parquet(m.store.root + "/_audit/requests").collect()
+    assert log and all("secret" not in r["url"] and "odata:[Пароль]@" in r["url"] for r in log)
