@@ -52,14 +52,18 @@ def build_session(master: str | None = None, app_name: str = "mirrorsmith",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when it is unset (a
-    local test run) a fresh scratch folder is created and registered.
+    A cluster names it in ``spark.checkpoint.dir``; only when it is unset on a
+    local master (a test run) a fresh scratch folder is created and registered;
+    on a cluster an unset folder is an error.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: snapshots and landed pages "
+                               "must not live in a machine-local temporary folder on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="mirrorsmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext.getCheckpointDir() or conf_dir
