@@ -67,7 +67,7 @@ _MEMBERS = """members AS (
   SELECT ref, row_number() OVER (ORDER BY ref) AS pos FROM (SELECT DISTINCT o_orderpriority AS ref FROM orders)),
 existing AS (
   SELECT ref, pos * 10 AS ord FROM members WHERE pos > 1
-  UNION ALL SELECT '0-WITHDRAWN' AS ref, 5 AS ord FROM members WHERE pos = 1)"""
+  UNION ALL SELECT '0-WITHDRAWN-' || ref AS ref, 5 AS ord FROM members WHERE pos = 1)"""
 
 _EVENT_TYPE = f"""CASE event_type
     WHEN 'click' THEN 'StandardODATA.' || (SELECT kind FROM kinds WHERE idx = user_id % {_N_KINDS}) || '_Obj' || CAST(user_id % 7 AS VARCHAR)

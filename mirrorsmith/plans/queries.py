@@ -479,7 +479,10 @@ def _priority_existing(members: DataFrame) -> DataFrame:
     """The enumeration mirror before the refresh: all members but the first,
     numbered 10, 20, ..., plus one member the source has since removed."""
     kept = members.filter(F.col("pos") > 1).select("ref", (F.col("pos") * 10).cast("long").alias("ord"))
-    gone = members.filter(F.col("pos") == 1).select(F.lit("0-WITHDRAWN").alias("ref"), F.lit(5).cast("long").alias("ord"))
+    # named after the member it replaced (a column, not a literal: a literal key
+    # would turn the later semi join into a nested loop)
+    gone = members.filter(F.col("pos") == 1).select(F.concat(F.lit("0-WITHDRAWN-"), F.col("ref")).alias("ref"),
+                                                    F.lit(5).cast("long").alias("ord"))
     return kept.unionByName(gone)
 
 
