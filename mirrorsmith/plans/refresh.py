@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+import threading
 import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -50,21 +51,25 @@ class MirrorStore:
     def _dir(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def current_version(self, table: str) -> int | None:
-        """Highest version whose write committed (Spark's job commit leaves
-        ``_SUCCESS``); a listing, not a job."""
+    def _versions(self, table: str) -> list[tuple[int, bool]]:
+        """(version, committed) of every version directory; a listing, not a job."""
         jvm = self.spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(self._dir(table))
         fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(root):
-            return None
-        versions = []
+            return []
+        out = []
         for st in fs.listStatus(root):
             name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v=") and name[2:].isdigit() and \
-                    fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                versions.append(int(name[2:]))
-        return max(versions) if versions else None
+            if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+                out.append((int(name[2:]), fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))))
+        return out
+
+    def current_version(self, table: str) -> int | None:
+        """Highest version whose write committed (Spark's job commit leaves
+        ``_SUCCESS``); a failed write's directory is skipped."""
+        done = [v for v, ok in self._versions(table) if ok]
+        return max(done) if done else None
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
@@ -116,7 +121,8 @@ class MirrorStore:
         `Observation` on the write itself (no second scan).
         """
         started = started or time.time()
-        version = (self.current_version(table) or 0) + 1
+        # past every directory, committed or not: a failed attempt is never reused
+        version = max([v for v, _ in self._versions(table)], default=0) + 1
         vdir = f"{self._dir(table)}/v={version}"
         obs = Observation(f"commit_{abs(hash((table, version, started)))}")
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -221,13 +227,25 @@ def _input_signature(spark: SparkSession, paths: list[str]) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+_BUILD_LOCKS: dict[str, threading.Lock] = {}
+_BUILD_LOCKS_GUARD = threading.Lock()
+
+
+def _build_lock(path: str) -> threading.Lock:
+    """One first-time build per path at a time within this process (queries
+    may be submitted from several threads of one session)."""
+    with _BUILD_LOCKS_GUARD:
+        return _BUILD_LOCKS.setdefault(path, threading.Lock())
+
+
 def ensure_snapshot(spark: SparkSession, table: str, desc: TableDescription, inputs: list[str],
                     pages_fn) -> DataFrame:
     """The stored mirror of ``table`` for these inputs; the first call runs a
     full refresh from ``pages_fn()`` into an empty mirror and commits it."""
     store = MirrorStore(spark, checkpoint_dir(spark).rstrip("/") + "/mirror/" + _input_signature(spark, inputs))
-    if store.current_version(table) is None:
-        refresh_and_commit(store, desc, pages_fn(), table)
+    with _build_lock(store.root + "/" + table):
+        if store.current_version(table) is None:
+            refresh_and_commit(store, desc, pages_fn(), table)
     return store.read(table)
 
 
@@ -235,11 +253,20 @@ def landed(spark: SparkSession, name: str, inputs: list[str], pages_fn) -> DataF
     """Source responses landed once per input state in the shared folder
     (``pages_fn()`` builds them on the first call), read back as page rows."""
     from mirrorsmith.sources.pages import read_landed, write_pages
-    path = checkpoint_dir(spark).rstrip("/") + "/landed/" + _input_signature(spark, inputs) + "/" + name
+    base = checkpoint_dir(spark).rstrip("/") + "/landed/" + _input_signature(spark, inputs) + "/" + name
     jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
-        write_pages(pages_fn(), path)
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    with _build_lock(base):
+        # attempt=<k>: a landing that failed half way is left alone, the next one starts fresh
+        attempt = 0
+        while True:
+            path = f"{base}/attempt={attempt}"
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
+                break
+            if not fs.exists(jvm.org.apache.hadoop.fs.Path(path)):
+                write_pages(pages_fn(), path)
+                break
+            attempt += 1
     return read_landed(spark, path)
 
 

@@ -101,3 +101,12 @@ def test_enum_order_checks(spark):
     from mirrorsmith.operators.quality import enum_order_checks
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 2), ("d", None)], "`Ссылка` string, `Порядок` long")
     assert sorted(r["Ссылка"] for r in enum_order_checks(df).collect()) == ["b", "c", "d"]
+
+
+def test_failed_version_is_skipped(spark, scratch):
+    store = rf.MirrorStore(spark, scratch + "/store")
+    store.commit("T", spark.range(3))
+    os.makedirs(f"{store.root}/T/v=2")                       # a write that died before committing
+    assert store.current_version("T") == 1
+    version, rows = store.commit("T", spark.range(5))
+    assert version == 3 and store.current_version("T") == 3 and store.read("T").count() == 5
