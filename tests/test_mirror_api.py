@@ -76,3 +76,28 @@ def test_mirror_workflow(spark, scratch):
     assert stats["insert"] == 2 and stats["row_count"] == 3
     log = spark.read.parquet(m.store.root + "/_audit/requests").collect()
     assert log and all("secret" not in r["url"] and "odata:[Пароль]@" in r["url"] for r in log)
+
+
+def test_section_entity_as_flat_table(spark, scratch):
+    """A large section is mirrored from its own entity set: rows are lines,
+    keyed by master key + line number, so a huge document is never one row."""
+    from mirrorsmith.operators.sections import nest_lines
+    meta = os.path.join(scratch, "meta.xml")
+    with open(meta, "w", encoding="utf-8") as f:
+        f.write(METADATA)
+    m = Mirror(spark, meta, root=scratch + "/mirror")
+    sec = "Справочник.Контрагенты_КонтактнаяИнформация"
+    d = m.describe(sec)
+    assert d.key == ["Ссылка", "НомерСтроки"]
+    # one master holds most lines (a hot document)
+    lines = [{"Ref_Key": g(1), "LineNumber": str(i), "Страна": f"C{i % 7}"} for i in range(1, 301)]
+    lines += [{"Ref_Key": g(2), "LineNumber": "1", "Страна": "X"}]
+    df = spark.createDataFrame([(i, json.dumps(x, ensure_ascii=False)) for i, x in enumerate(lines)], "n long, json string")
+    stats = m.refresh(sec, pg.land_pages(df, "json", "n", 50, "Catalog_Контрагенты_КонтактнаяИнформация"))
+    assert stats["insert"] == 301
+    flat = m.table(sec)
+    assert flat.filter(F.col("Ссылка") == g(1)).count() == 300
+    # the array form on demand, for the masters that ask for it
+    masters = spark.createDataFrame([(g(2),)], "`Ссылка` string")
+    nested = nest_lines(masters, flat, "Ссылка", "Ссылка", "КИ", ["Страна"], ["НомерСтроки"]).first()
+    assert [(x["НомерСтроки"], x["Страна"]) for x in nested["КИ"]] == [(1, "X")]
