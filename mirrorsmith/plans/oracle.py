@@ -296,6 +296,13 @@ WHERE o.o_orderkey % 10 <> 1 AND p.p_type <> '{q.EXCLUDED_TYPE}'
 GROUP BY o.o_custkey, p.p_brand
 ORDER BY SUM(CAST(l.l_extendedprice AS DECIMAL(38,10))) DESC, customer, brand
 LIMIT {q.TOPK}""",
+        "section_entity_refresh": f"""
+SELECT l_orderkey AS o_orderkey,
+  row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS line_no,
+  l_partkey, l_quantity AS quantity, l_extendedprice AS amount,
+  CASE WHEN l_orderkey % 10 = 0 THEN 'insert' ELSE 'same' END AS action
+FROM lineitem
+WHERE l_orderkey % 10 <> 1""",
         "materialized_view": f"""
 SELECT o_orderkey,
   CAST(o_orderkey AS VARCHAR) || '-' || CASE WHEN o_orderkey % 10 = 2 THEN 'true' ELSE 'false' END AS ver

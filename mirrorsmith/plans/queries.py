@@ -522,6 +522,36 @@ def document_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mg.merge_full(current, load, desc.key, desc.version)
 
 
+def _line_pages(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
+    """Landed responses of the lines entity set for the orders of one state."""
+    def build() -> DataFrame:
+        o = _t(spark, sf_dir, "orders")
+        li = _t(spark, sf_dir, "lineitem")
+        js = tb.line_json(li, tb.order_state(o, state))
+        numbered = with_ordinal(js, ["l_orderkey", "line_no"], "n", total_name="n_total")
+        return pg.land_pages(numbered, "json", "n", DOCUMENT_FETCH_SIZE, tb.DOCUMENT_ENTITY + "_" + tb.LINES_PROPERTY,
+                             total_col="n_total")
+    return landed(spark, f"{tb.DOCUMENT_ENTITY}_{tb.LINES_PROPERTY}@{state}", _document_inputs(sf_dir), build)
+
+
+def section_entity_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-01/03/30 on the lines section mirrored as its own flat table: the
+    stored lines of ``cur`` merged with the landed lines of ``src`` (composite
+    key, by value since lines carry no version).  No document is ever one row,
+    however many lines it has."""
+    desc = tb.lines_description(spark)
+    current = ensure_snapshot(spark, f"{tb.LINES_TABLE}@cur", desc, _document_inputs(sf_dir),
+                              lambda: _line_pages(spark, sf_dir, "cur"))
+    load = load_from_pages(_line_pages(spark, sf_dir, "src"), desc)
+    merged = mg.merge_full(current, load, desc.key, version=None, with_action=True)
+    return merged.select(tb.key_of_guid(F.col("Ссылка")).alias("o_orderkey"),
+                         F.col("НомерСтроки").alias("line_no"),
+                         tb.key_of_guid(F.col("Номенклатура")).alias("l_partkey"),
+                         F.col("Количество").cast("double").alias("quantity"),
+                         F.col("Сумма").cast("double").alias("amount"),
+                         "action")
+
+
 def section_sales_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-27 / OP-48: sales per customer and brand over the refreshed mirror
     (master ⋈ section ⋈ catalog), service-type items left out, top 10."""
@@ -644,6 +674,7 @@ REGISTRY = {
     "enum_merge": enum_merge,
     "enum_counts": enum_counts,
     "section_sales_topk": section_sales_topk,
+    "section_entity_refresh": section_entity_refresh,
     "materialized_view": materialized_view,
     "check_columns": check_columns,
     "pk_violations": pk_violations,

@@ -164,6 +164,45 @@ def document_description(spark: SparkSession) -> TableDescription:
     return _DESCRIPTIONS[cache_key]
 
 
+LINES_TABLE = DOCUMENT_TABLE + "_" + LINES_PROPERTY
+
+
+def lines_description(spark: SparkSession) -> TableDescription:
+    """Description of the lines section as its own entity set (flat rows
+    keyed by order and line number), derived by the same catalog jobs."""
+    from mirrorsmith.plans.catalog import classify_objects, describe
+    cache_key = (spark.sparkContext.applicationId, LINES_TABLE)
+    if cache_key not in _DESCRIPTIONS:
+        ents = document_entity_rows(spark)
+        _DESCRIPTIONS[cache_key] = describe(classify_objects(ents, ents.limit(0)), LINES_TABLE)
+    return _DESCRIPTIONS[cache_key]
+
+
+def line_json(lineitem: DataFrame, state: DataFrame) -> DataFrame:
+    """(l_orderkey, line_no, json) — one source JSON object per line of the
+    orders in ``state``.  Lines are numbered per order in `LINE_ORDER` order by
+    a window over the order's lines (streamed and spillable, never gathered
+    into one value)."""
+    from pyspark.sql import Window
+    lines = lineitem.join(state.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    numbered = lines.withColumn("line_no", F.row_number().over(
+        Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)).cast("long"))
+    fields = [
+        guid_of(F.col("l_orderkey")).alias("Ref_Key"),
+        F.col("line_no").cast("string").alias("LineNumber"),
+        guid_of(F.col("l_partkey")).alias("Номенклатура_Key"),
+        guid_of(F.col("l_suppkey")).alias("Поставщик_Key"),
+        F.col("l_quantity").alias("Количество"),
+        F.col("l_extendedprice").alias("Сумма"),
+        F.col("l_discount").alias("Скидка"),
+        F.col("l_tax").alias("Налог"),
+        F.col("l_returnflag").alias("ПризнакВозврата"),
+        F.col("l_linestatus").alias("СтатусСтроки"),
+        _iso(F.col("l_shipdate")).alias("ДатаОтгрузки"),
+    ]
+    return numbered.select("l_orderkey", "line_no", F.to_json(F.struct(*fields)).alias("json"))
+
+
 def _iso(ts: Column) -> Column:
     return F.date_format(ts, ISO_SECONDS)
 
