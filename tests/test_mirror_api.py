@@ -99,5 +99,5 @@ def test_section_entity_as_flat_table(spark, scratch):
     assert flat.filter(F.col("Ссылка") == g(1)).count() == 300
     # the array form on demand, for the masters that ask for it
     masters = spark.createDataFrame([(g(2),)], "`Ссылка` string")
-    nested = nest_lines(masters, flat, "Ссылка", "Ссылка", "КИ", ["Страна"], ["НомерСтроки"]).first()
+    nested = nest_lines(masters, flat, "Ссылка", "Ссылка", "КИ", ["Страна"], ["НомерСтроки"], only_masters=True).first()
     assert [(x["НомерСтроки"], x["Страна"]) for x in nested["КИ"]] == [(1, "X")]
