@@ -286,10 +286,14 @@ def _altered(json: Column) -> Column:
 def dedup_first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-01 + OP-03: events paged with half-page overlap, later copies
     altered; reading and deduplicating keeps each first arrival."""
-    ev = _t(spark, sf_dir, "events")
-    numbered = with_ordinal(ev, ["event_id"], "n", total_name="n_total")
-    js = event_json(numbered, keep=["n", "n_total"])
-    pages = pg.land_pages(js, "json", "n", DEDUP_FETCH_SIZE, "events", later_copy=_altered, total_col="n_total")
+    def build() -> DataFrame:
+        ev = _t(spark, sf_dir, "events")
+        numbered = with_ordinal(ev, ["event_id"], "n", total_name="n_total")
+        js = event_json(numbered, keep=["n", "n_total"])
+        return pg.land_pages(js, "json", "n", DEDUP_FETCH_SIZE, "events", later_copy=_altered, total_col="n_total")
+
+    # the responses land once per input; the query reads and deduplicates them
+    pages = landed(spark, "InformationRegister_События@paged", [f"{sf_dir}/events.parquet"], build)
     from mirrorsmith.functions.decode import decode_row, read_schema
     rows = pg.read_pages(pages, read_schema(EVENT_DESC))
     dec = rows.select("page_no", "pos", *decode_row(F.col("row"), EVENT_DESC))
