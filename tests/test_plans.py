@@ -41,3 +41,10 @@ def test_section_view_parses_once(spark):
     # explode over a decoded column must not copy the decode into a filter
     plan = _plan(q.explode_section(spark, SF))
     assert "from_json" not in plan
+
+
+def test_flat_section_refresh_exchanges_only_the_load(spark):
+    plan = _plan(q.section_entity_refresh(spark, SF))
+    join = plan[plan.index("SortMergeJoin"):]
+    assert "Bucketed: true" in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(Ссылка#\d+, НомерСтроки", join)) == 1
