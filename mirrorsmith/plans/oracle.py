@@ -336,4 +336,5 @@ WITH counts AS ({_COUNTS})
 SELECT table_name, CAST(row_count AS BIGINT) AS row_count FROM counts
 WHERE table_name <> 'region' AND row_count < {fetch}""",
     }
+    sql["refresh_by_key_documents"] = sql["refresh_by_key"]
     return {k: v.strip() for k, v in sql.items()}

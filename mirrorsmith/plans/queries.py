@@ -462,6 +462,33 @@ def refresh_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("o_orderkey", "ver", "o_orderstatus", "o_totalprice")
 
 
+def refresh_by_key_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-34 on the stored document mirror: the orders referenced by returned
+    lines are requested from the source; each answer is a JSON response
+    ``{"keys": ..., "value": [document]}`` (empty ``value``: the order is gone)
+    and the batch is applied by the keyed-refresh step of the stream."""
+    from mirrorsmith.streaming.keyed_refresh import apply_responses
+
+    def build() -> DataFrame:
+        o = _t(spark, sf_dir, "orders")
+        li = _t(spark, sf_dir, "lineitem")
+        keys = li.filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+        src = tb.document_json(tb.order_state(o, "src"), tb.order_lines(li))
+        answers = keys.join(src, "o_orderkey", "left")
+        body = F.concat(F.lit('{"keys":{"Ref_Key":"'), tb.guid_of(F.col("o_orderkey")), F.lit('"},"value":['),
+                        F.coalesce(F.col("json"), F.lit("")), F.lit("]}"))
+        return answers.select(F.lit(tb.DOCUMENT_ENTITY).alias("table"), F.lit(0).alias("page_no"),
+                              F.lit(None).cast("long").alias("skip"), body.alias("body"))
+
+    # the answers land once per input (as the stream would find them); the query applies them
+    responses = landed(spark, f"{tb.DOCUMENT_ENTITY}@keys", _document_inputs(sf_dir), build) \
+        .select(F.col("body").alias("value"))
+    mirror = apply_responses(responses, tb.document_description(spark), stored_mirror(spark, sf_dir, "cur"))
+    return mirror.select(tb.key_of_guid(F.col("Ссылка")).alias("o_orderkey"), F.col("ВерсияДанных").alias("ver"),
+                         F.col("Статус").alias("o_orderstatus"),
+                         F.col("СуммаДокумента").cast("double").alias("o_totalprice"))
+
+
 def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-29: every line with its order after refreshing the referenced keys;
     a key the source no longer has gives NULLs (left outer)."""
@@ -674,6 +701,7 @@ REGISTRY = {
     "diff_by_version": diff_by_version,
     "diff_by_value": diff_by_value,
     "refresh_by_key": refresh_by_key,
+    "refresh_by_key_documents": refresh_by_key_documents,
     "lookup_join": lookup_join,
     "enum_merge": enum_merge,
     "enum_counts": enum_counts,
