@@ -110,3 +110,22 @@ def test_failed_version_is_skipped(spark, scratch):
     assert store.current_version("T") == 1
     version, rows = store.commit("T", spark.range(5))
     assert version == 3 and store.current_version("T") == 3 and store.read("T").count() == 5
+
+
+def test_select_refresh_fast_skips_unknown_sizes(spark):
+    ctl = spark.createDataFrame([("DEFAULT", "b", "Catalog", 10, 5), ("DEFAULT", "a", "Catalog", 10, None),
+                                 ("DEFAULT", "c", "Catalog", 10, 50), ("DEFAULT", "e", "Enumeration", 10, 1)],
+                                "server string, table string, kind string, fetch_size int, row_count long")
+    assert [r["table"] for r in rf.select_refresh(ctl).collect()] == ["a", "b", "c"]
+    assert [r["table"] for r in rf.select_refresh(ctl, fast=True).collect()] == ["b"]
+
+
+def test_duplicate_responses_first_wins(spark, scratch):
+    store = rf.MirrorStore(spark, scratch + "/store")
+    rf.refresh_and_commit(store, DESC, _pages(spark, [row(1)], 10))
+    batch = spark.createDataFrame([(json.dumps({"keys": {"Ref_Key": g(1)}, "value": [row(1, "2", "first")]},
+                                               ensure_ascii=False),),
+                                   (json.dumps({"keys": {"Ref_Key": g(1)}, "value": [row(1, "3", "second")]},
+                                               ensure_ascii=False),)], "value string").coalesce(1)
+    out = kr.apply_responses(batch, DESC, store.read(DESC.table)).collect()
+    assert [(r["Ссылка"], r["Наименование"]) for r in out] == [(g(1), "first")]
