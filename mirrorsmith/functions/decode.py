@@ -90,7 +90,8 @@ def guid(raw: Column, nullable: bool) -> Column:
 def round_to_second(ts: Column) -> Column:
     """TIMESTAMP_NTZ rounded half up to the whole second, without passing
     through the session time zone (``date_trunc`` would)."""
-    micros = F.date_format(ts, "SSSSSS").cast("int")
+    # the sub-second part does not depend on the zone (offsets are whole seconds)
+    micros = F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(1000000)).cast("int")
     whole = ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (micros / F.lit(1000000)).cast("decimal(18,6)"))
     return (F.when(micros == 0, ts)
             .when(micros >= 500000, whole + F.expr("INTERVAL 1 SECOND"))

@@ -111,3 +111,17 @@ def test_invalid_guid_raises(spark):
     import pytest
     with pytest.raises(Exception):
         _decode(spark, {"Ref_Key": "not-a-guid"})
+
+
+def test_second_rounding_ignores_session_zone(spark):
+    from mirrorsmith.functions.decode import datetime as decode_datetime
+    before = spark.conf.get("spark.sql.session.timeZone")
+    vals = ["2021-03-14T02:30:00.7", "0001-01-01T00:00:00.5", "1999-12-31T23:59:59.5"]
+    want = [dt.datetime(2021, 3, 14, 2, 30, 1), dt.datetime(1, 1, 1, 0, 0, 1), dt.datetime(2000, 1, 1)]
+    try:
+        for tz in ("America/New_York", "Asia/Kolkata", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame([(v,) for v in vals], "s string")
+            assert [r[0] for r in df.select(decode_datetime(F.col("s"), False)).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
