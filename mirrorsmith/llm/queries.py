@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorsmith.llm import mix
+from mirrorsmith.llm import mix, neardup
 from mirrorsmith.llm.common import table
 
 
@@ -19,10 +19,16 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op6_near_duplicates": op6_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {
     "op1_mix_sources": mix.ORACLE,
+    "op6_near_duplicates": neardup.ORACLE,
 }
