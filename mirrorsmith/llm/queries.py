@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorsmith.llm import mix, neardup
+from mirrorsmith.llm import linededup, mix, neardup, warc
 from mirrorsmith.llm.common import table
 
 
@@ -19,16 +19,28 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_records(spark, warc.write_archive(table(spark, sf_dir, "pages")))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_warc_archive": op2_warc_archive,
     "op6_near_duplicates": op6_near_duplicates,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op1_mix_sources": mix.ORACLE,
+    "op2_warc_archive": warc.ORACLE,
     "op6_near_duplicates": neardup.ORACLE,
+    "op9_line_dedup": linededup.ORACLE,
 }
