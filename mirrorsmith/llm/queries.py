@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorsmith.llm import linededup, mix, neardup, warc
+from mirrorsmith.llm import fingerprint, linededup, mix, neardup, warc
 from mirrorsmith.llm.common import table
 
 
@@ -31,11 +31,16 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc_archive": op2_warc_archive,
     "op6_near_duplicates": op6_near_duplicates,
     "op9_line_dedup": op9_line_dedup,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE: dict[str, str] = {
