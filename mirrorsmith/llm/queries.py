@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorsmith.llm import fingerprint, linededup, mix, neardup, warc
+from mirrorsmith.llm import fingerprint, linededup, mix, neardup, packing, quality, toxicity, warc
 from mirrorsmith.llm.common import table
 
 
@@ -23,10 +23,22 @@ def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(table(spark, sf_dir, "documents"))
 
@@ -38,7 +50,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc_archive": op2_warc_archive,
+    "op4_quality": op4_quality,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_toxicity": op7_toxicity,
+    "op8_pack_tokens": op8_pack_tokens,
     "op9_line_dedup": op9_line_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
