@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorsmith.llm import fingerprint, linededup, mix, neardup, packing, quality, toxicity, warc
+from mirrorsmith.llm import ann, fingerprint, linededup, mix, neardup, packing, quality, toxicity, warc
 from mirrorsmith.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
@@ -51,6 +55,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc_archive": op2_warc_archive,
     "op4_quality": op4_quality,
+    "op5_nearest_vectors": op5_nearest_vectors,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_toxicity": op7_toxicity,
     "op8_pack_tokens": op8_pack_tokens,
