@@ -206,7 +206,7 @@ def links(docs: DataFrame, profile: DataFrame, k: int, threshold: int = THRESHOL
                     .agg(F.max("n").alias("n")), "family")
     wanted = family.select("doc").union(family.select("leader")).distinct()
     # A document's text is taken once more, and only if it has a candidate.
-    texts = stored(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, F.col("id") == F.col("doc"), "left_semi")
+    texts = stored(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted.hint("shuffle_hash"), F.col("id") == F.col("doc"), "left_semi")
                    .join(classes.select("id", "sig").hint("shuffle_hash"), "id"), "texts")
     blocks = family.groupBy("leader").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
     placed = family.join(blocks, "leader").select("leader", F.lit(0).cast("long").alias("ublock"),
