@@ -57,3 +57,13 @@ def running_total(df: DataFrame, order: list[Column], totals: dict[str, Column],
     return ranged.join(F.broadcast(offsets), "_range") \
         .withColumns({k: F.sum(v).over(within) + F.col(f"_before_{k}") for k, v in totals.items()}) \
         .drop("_range", *[f"_before_{k}" for k in totals])
+
+
+def renamed(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns called c0, c1, ... and the new name of each.
+
+    Operators that carry all columns along work on these, so no column can
+    clash with one they add.
+    """
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorsmith.llm.common import shuffle_partitions, stored
+from mirrorsmith.llm.common import renamed, shuffle_partitions, stored
 from mirrorsmith.llm.text import byte_values, chunks, hash_ranges, word_ranges
 
 MIN_CHARS = 10
@@ -101,9 +101,9 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), n, pa.array(maps, pa.binary())], names=["doc", "mark", "n_dropped", "keep"])
 
 
-def _marked(docs: DataFrame) -> DataFrame:
+def _marked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A document and, to tell rows that share a doc_id apart, its text's hash."""
-    return docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "_mark": F.xxhash64("text")})
+    return docs.withColumns({"_doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)), "_mark": F.xxhash64(text)})
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -135,10 +135,10 @@ def _kept(text: str | None, keep: bytes | None) -> tuple[int, str]:
     return len(lines), "\n".join(x for i, x in enumerate(lines) if i >= len(bits) or bits[i])
 
 
-def with_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with the columns _keep and _dropped (null where nothing goes)."""
-    maps = keep_bitmaps(docs, min_chars).select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("n_dropped").alias("_dropped"), F.col("keep").alias("_keep"))
-    return _marked(docs).join(maps.hint("shuffle_hash"), ["_doc", "_mark"], "left")
+def _with_bitmaps(marked: DataFrame, maps: DataFrame) -> DataFrame:
+    """Adds _keep and _dropped (null where nothing goes)."""
+    maps = maps.select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("n_dropped").alias("_dropped"), F.col("keep").alias("_keep"))
+    return marked.join(maps.hint("shuffle_hash"), ["_doc", "_mark"], "left")
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -151,13 +151,14 @@ def line_report(docs: DataFrame) -> DataFrame:
                                               pa.array([hashlib.sha256(t.encode()).hexdigest() for _, t in kept], pa.string())],
                                              names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
-    return with_bitmaps(docs.select("doc_id", "text")).select("doc_id", "text", "_keep", F.coalesce("_dropped", F.lit(0)).cast("long").alias("_dropped")) \
+    return _with_bitmaps(_marked(docs.select("doc_id", "text")), keep_bitmaps(docs)).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "_keep", F.coalesce("_dropped", F.lit(0)).cast("long").alias("_dropped")) \
         .mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with the kept lines as text; a null text stays null."""
-    at = docs.columns.index("text")
+    rows, name = renamed(docs)
+    names, at = list(name.values()), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -165,9 +166,10 @@ def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             texts = [t if k is None else _kept(t, k)[1] for t, k in zip(old.to_pylist(), b.column(b.num_columns - 1).to_pylist())]
             cols = list(b.columns)[:-1]
             cols[at] = pa.array(texts, old.type)
-            yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return with_bitmaps(docs, min_chars).select(*docs.columns, "_keep").mapInArrow(run, docs.schema)
+    return _with_bitmaps(_marked(rows, name["doc_id"], name["text"]), keep_bitmaps(docs, min_chars)) \
+        .select(*names, "_keep").mapInArrow(run, rows.schema).toDF(*docs.columns)
 
 
 ORACLE = r"""

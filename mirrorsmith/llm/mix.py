@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mirrorsmith.llm.common import running_total, stored
+from mirrorsmith.llm.common import renamed, running_total, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)       # by the sources' rank, repeating
@@ -139,10 +139,12 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: f
     last = m.queue.groupBy("source").agg(*[F.max(F.when(finish(p) <= m.cut, F.col("place"))).alias(f"_last{p}") for p in range(max_passes)])
     last = stored(last, "mix-last")
     times = sum((F.when(F.col("_place") <= F.col(f"_last{p}"), 1).otherwise(0) for p in range(max_passes)), F.lit(0))
+    rows, name = renamed(docs)
     # A blank document has no words to take; it goes nowhere.
-    return attach_sources(docs.filter(words(F.col("text")) > 0).withColumn("_place", _place(F.col("doc_id").cast("long"))), last) \
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(max_passes)))) \
-        .filter(F.col("_copy") <= times).select(*docs.columns)
+    rows = rows.filter(words(F.col(name["text"])) > 0) \
+        .withColumns({"source": F.col(name["source"]), "_place": _place(F.col(name["doc_id"]).cast("long"))})
+    return attach_sources(rows, last).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(max_passes)))) \
+        .filter(F.col("_copy") <= times).select(*name.values()).toDF(*docs.columns)
 
 
 ORACLE = r"""

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorsmith.llm.common import shuffle_partitions, stored
+from mirrorsmith.llm.common import renamed, shuffle_partitions, stored
 from mirrorsmith.llm.components import components
 from mirrorsmith.llm.text import mix64, seeds, shingle_sets
 
@@ -246,8 +246,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD) ->
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each group, that of the smallest doc_id."""
-    dropped = near_duplicates(docs, k, threshold).filter("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped"), "left_anti")
+    rows, name = renamed(docs)
+    dropped = near_duplicates(docs, k, threshold).filter("NOT kept").select(F.col("doc_id").alias("dropped")).distinct()
+    return rows.join(dropped, F.col(name["doc_id"]).cast("long") == F.col("dropped"), "left_anti").toDF(*docs.columns)
 
 
 ORACLE = r"""

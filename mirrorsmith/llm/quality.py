@@ -21,10 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mirrorsmith.llm.common import running_total, stored
+from mirrorsmith.llm.common import renamed, running_total, stored
 from mirrorsmith.llm.text import byte_values, chunks, hash_ranges, mix64, word_ranges
 
 BUCKETS = 1 << 14
@@ -106,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     drawn = known.orderBy(F.xxhash64("_id", F.lit(SEED)), "_id").limit(sample)
     share = drawn.agg(F.avg("_quality")).first()[0]
     good = drawn.filter("_quality = 1").select("_id").distinct().withColumn("_good", F.lit(True))
-    counted = docs.join(F.broadcast(good), F.col("doc_id").cast("long") == F.col("_id"), "left") \
+    counted = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id").cast("long") == F.col("_id"), "left") \
         .select("text", F.coalesce("_good", F.lit(False)).alias("good")).mapInArrow(_counts, "bucket long, raw long, target long") \
         .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
@@ -143,9 +143,9 @@ def _scorer(model: Model, columns: int, keep: float | None = None, id_at: int =
     return run
 
 
-def gumbel() -> F.Column:
+def gumbel(doc_id: str = "doc_id") -> Column:
     """Gumbel noise that depends on the document alone, so every run draws the same."""
-    u = (F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.lit(SEED + 1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    u = (F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)), F.lit(SEED + 1)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     return -F.log(-F.log(u))
 
 
@@ -155,7 +155,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
         .mapInArrow(_scorer(model, 2), "doc_id long, n long, log_weight double, key double")
 
 
-def likely_good(model: Model) -> F.Column:
+def likely_good(model: Model) -> Column:
     """Whether the weight of one n-gram makes good likelier than not: share x weight >= 1/2."""
     per = F.when(F.col("n") > 0, F.col("log_weight") / F.col("n")).otherwise(0.0)
     return per >= math.log(0.5 / max(model.good, 1e-9))
@@ -188,6 +188,6 @@ def draw(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
     scored = stored(scores(docs, model), "quality-scores")
     at = cut(scored, scored.filter(likely_good(model)).count())
-    width = len(docs.columns)
-    return docs.withColumn("_noise", gumbel()).mapInArrow(
-        _scorer(model, width, at, docs.columns.index("doc_id"), docs.columns.index("text")), docs.schema)
+    rows, name = renamed(docs)
+    return rows.withColumn("noise", gumbel(name["doc_id"])).mapInArrow(
+        _scorer(model, len(name), at, docs.columns.index("doc_id"), docs.columns.index("text")), rows.schema).toDF(*docs.columns)

@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mirrorsmith.llm.common import stored
@@ -179,7 +179,7 @@ class Model:
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 
 
-def held_out() -> F.Column:
+def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).cast("binary")) % HELD_OUT == 0
 
 
