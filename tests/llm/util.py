@@ -1,0 +1,37 @@
+"""Small document tables for the tests."""
+
+import random
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, id string, rank int, _copy int"
+
+
+def rows(texts, sources=None, ids=None):
+    """Rows with columns whose names clash with those operators use inside."""
+    out = []
+    for i, t in enumerate(texts):
+        s = sources[i] if sources else f"s{i % 3}"
+        out.append((ids[i] if ids else i, t, "en", s, len(t or ""), -1, "x", i, 7))
+    return out
+
+
+def frame(spark, texts, **kw):
+    return spark.createDataFrame(rows(texts, **kw), SCHEMA).repartition(3)
+
+
+def odd_texts():
+    """Null, empty, blank, ties, repeated, very long, and non-ASCII texts."""
+    rnd = random.Random(3)
+    vocabulary = ["alpha", "Beta,", "gamma.", "é", "日本", "x" * 30, "delta e", "ÉTÉ", "\U0001F600"]
+    make = lambda n: "".join(rnd.choice(vocabulary) + rnd.choice([" ", "\n", "\t ", " ", "\r\n"]) for _ in range(n))
+    some = [make(n) for n in (1, 2, 3, 5, 8, 40, 41, 300)]
+    return [None, "", " \n\t", "one", "one", "two words", *some, some[5], some[6], "\n\n", "y" * 70_000, make(30_000)]
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def labels(spark, pairs):
+    return spark.createDataFrame([(d, q, t) for d, q, t in pairs], "doc_id long, quality int, toxic int")
