@@ -4,10 +4,11 @@ Two generative models are counted: one over all documents (raw), one over
 documents labelled good (target).  A token is the shape of a word - its length,
 capitals, digits, punctuation, and whether it repeats the word before - so the
 models describe form in any language, not topic.  Unigrams and bigrams of
-shapes are hashed into buckets.  A document's log weight is the sum over its
-n-grams of log target - log raw.  Documents are drawn without replacement by
-Gumbel top-k: the k largest of log weight + Gumbel noise.  k is the number of
-documents whose weight per n-gram makes good likelier than not.
+shapes are hashed into buckets.  A document's log weight is the mean over its
+n-grams of log target - log raw, times ``EFFECTIVE``: a sum would let length
+decide.  Documents are drawn without replacement by Gumbel top-k: the k largest
+of log weight + Gumbel noise.  k is the number of documents whose weight per
+n-gram makes good likelier than not.
 
 The raw model counts every document.  The target model is fitted on a bounded
 sample of labelled documents (``SAMPLE``).
@@ -29,6 +30,7 @@ from mirrorsmith.llm.text import byte_values, chunks, hash_ranges, mix64, word_r
 
 BUCKETS = 1 << 14
 SAMPLE = 20_000      # labelled documents at most that the target model is fitted on
+EFFECTIVE = 64       # n-grams that each document's weight counts for
 SEED = 4
 
 _UPPER, _LOWER, _DIGIT, _PUNCT, _STOP, _CONT = range(6)
@@ -132,9 +134,10 @@ def _scorer(model: Model, columns: int, keep: float | None = None, id_at: int =
             for _, _, buf, off in chunks(b.column(text_at)):
                 bucket, doc = ngram_buckets(buf, off)
                 n.append(np.bincount(doc, minlength=len(off) - 1))
-                weight.append(np.bincount(doc, ratio[bucket], minlength=len(off) - 1))
+                weight.append(np.bincount(doc, ratio[bucket], minlength=len(off) - 1).astype(float))
             n = np.concatenate(n) if n else np.zeros(0, np.int64)
             weight = np.concatenate(weight) if weight else np.zeros(0)
+            weight *= EFFECTIVE / np.maximum(n, 1)
             key = weight + b.column(columns).to_numpy(zero_copy_only=False)
             if keep is None:
                 yield pa.RecordBatch.from_arrays([b.column(id_at), pa.array(n, pa.int64()), pa.array(weight, pa.float64()), pa.array(key, pa.float64())], names=["doc_id", "n", "log_weight", "key"])
@@ -157,8 +160,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 def likely_good(model: Model) -> Column:
     """Whether the weight of one n-gram makes good likelier than not: share x weight >= 1/2."""
-    per = F.when(F.col("n") > 0, F.col("log_weight") / F.col("n")).otherwise(0.0)
-    return per >= math.log(0.5 / max(model.good, 1e-9))
+    return F.col("log_weight") / EFFECTIVE >= math.log(0.5 / max(model.good, 1e-9))
 
 
 def cut(scored: DataFrame, k: int) -> float:

@@ -1,0 +1,64 @@
+import hashlib
+import random
+
+import pytest
+
+from mirrorsmith.llm import linededup
+from tests.llm.util import empty, frame, odd_texts
+
+LAST = 1 << 63
+
+
+def brute(texts, ids):
+    order = [LAST if i is None else i for i in ids]
+    key = lambda line: "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+    docs = {}
+    for d, t in zip(order, texts):
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= 10:
+                docs.setdefault(key(line), set()).add(d)
+    out = []
+    for i, d, t in zip(ids, order, texts):
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if not (len(docs.get(key(x), ())) > 1 and min(docs[key(x)]) != d)]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def documents(seed):
+    rnd = random.Random(seed)
+    pool = ["A frequent line here", " a FREQUENT line here\t", "short", "exactly 10", "nine char", "ééééééééé", "éééééééééé", "other line number 7", "",
+            "  ", "unique %d and long", "\x0b vertical tab line\r", "日本語のとても長い一行です", "x" * 500]
+    return ["\n".join(rnd.choice(pool).replace("%d", str(rnd.random())) for _ in range(rnd.randint(0, 12))) for _ in range(200)]
+
+
+def check(spark, df, texts, ids):
+    want = brute(texts, ids)
+    got = linededup.line_report(df).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(((i, n, d, hashlib.sha256(t.encode()).hexdigest()) for i, n, d, t in want), key=repr)
+    out = linededup.drop_lines(df)
+    assert out.dtypes == df.dtypes
+    assert sorted(((r["doc_id"], r["text"] or "") for r in out.collect()), key=repr) == sorted(((i, t) for i, _, _, t in want), key=repr)
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 37])
+def test_against_plain_version(spark, partitions):
+    texts = documents(partitions) + odd_texts()
+    ids = [i * 7 % 1009 for i in range(len(texts))]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)   # the frequent line fills whole ranges
+    try:
+        check(spark, frame(spark, texts, ids=ids), texts, ids)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_shared_and_missing_ids(spark):
+    texts = ["one line of text\nand more text", "one line of text", "one line of text\nx", "one line of text", "and more text\nand more text", None]
+    ids = [None, 4, 4, 9, None, None]
+    check(spark, frame(spark, texts, ids=ids), texts, ids)
+
+
+def test_empty_table(spark):
+    assert linededup.line_report(empty(spark)).collect() == []
+    assert linededup.drop_lines(empty(spark)).collect() == []
