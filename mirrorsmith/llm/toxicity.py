@@ -35,6 +35,7 @@ ENTRIES = 2_000       # lexicon entries at most
 PREFIXES = (4, 5, 6)  # lengths of word beginnings that can be entries
 MIN_SHARE = 0.005     # an entry occurs in this share of the toxic documents at least
 MIN_ODDS = math.log(20)
+MISSPELLED = 0.75     # weight of a misspelling without odds of its own, as a share of its entry's
 FUZZY_FROM = 5        # letters from which an entry may be misspelled by one edit
 PENALTY = 0.005       # L1 penalty of an entry, as a share of the toxic documents of the sample
 WINDOW = 8            # words on each side of a hit that make its context
@@ -275,9 +276,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for x in {k >> 1 for k in c}:
             count[label, x >> 1, x & 1] += 1
     lexicon.weights = np.clip(np.log((count[1] + 0.5) / (toxic + 1)) - np.log((count[0] + 0.5) / (clean + 1)), 0, 8)
-    # A misspelling that the sample hardly holds has no odds of its own: it counts half of its entry.
+    # A misspelling that the sample hardly holds has no odds of its own: it counts for less than its entry.
     rare = (count[0][:, 1] == 0) & (count[1][:, 1] < 5)
-    lexicon.weights[rare, 1] = lexicon.weights[rare, 0] / 2
+    lexicon.weights[rare, 1] = lexicon.weights[rare, 0] * MISSPELLED
     model = Model(lexicon, -3.0, (1.0, 0.3))
     x = np.array([model.evidence(c) for _, c in seen_in])
     # Newton steps from a prior: slope 1 for plain, 0.3 for quoted evidence.
