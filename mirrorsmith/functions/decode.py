@@ -28,6 +28,9 @@ from mirrorsmith.functions.constants import (ENUM_LOCAL_NAME, ENUM_REF_PREFIX, K
                                              ZERO_DATETIME, ZERO_GUID)
 from mirrorsmith.plans.description import ColumnDesc, SectionDesc, TableDescription
 
+# A malformed object or a number its type cannot hold stops the job; with the
+# default mode it would become NULL and then the type's empty value.
+FAIL_FAST = {"mode": "FAILFAST"}
 GUID_PATTERN = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 TYPE_SUFFIX = "_Type"
 
@@ -42,11 +45,11 @@ def _primitive_type_name(type_src: Column) -> Column:
 
 def composite_type(type_src: Column) -> Column:
     """Type part of a composite value: local kind name for references."""
-    rest = F.substring(type_src, len(SOURCE_PREFIX) + 1, 1 << 20)
+    rest = F.substr(type_src, F.lit(len(SOURCE_PREFIX) + 1))
     expr = None
     for kind, name in KINDS:
         prefix = kind + "_"
-        branch = (rest.startswith(prefix), F.concat(F.lit(name + "."), F.substring(rest, len(prefix) + 1, 1 << 20)))
+        branch = (rest.startswith(prefix), F.concat(F.lit(name + "."), F.substr(rest, F.lit(len(prefix) + 1))))
         expr = F.when(*branch) if expr is None else expr.when(*branch)
     reference = expr.otherwise(F.concat(F.lit(ENUM_LOCAL_NAME + "."), rest))
     return F.when(type_src.startswith(SOURCE_PREFIX), reference).otherwise(_primitive_type_name(type_src))
@@ -64,10 +67,10 @@ def type_ref(ref: Column) -> Column:
     expr = None
     for kind, name in KINDS:
         prefix = kind + "Ref."
-        branch = (ref.startswith(prefix), F.concat(F.lit(name + "."), F.substring(ref, len(prefix) + 1, 1 << 20)))
+        branch = (ref.startswith(prefix), F.concat(F.lit(name + "."), F.substr(ref, F.lit(len(prefix) + 1))))
         expr = F.when(*branch) if expr is None else expr.when(*branch)
     return (expr.when(ref.startswith(ENUM_REF_PREFIX),
-                      F.concat(F.lit(ENUM_LOCAL_NAME + "."), F.substring(ref, len(ENUM_REF_PREFIX) + 1, 1 << 20)))
+                      F.concat(F.lit(ENUM_LOCAL_NAME + "."), F.substr(ref, F.lit(len(ENUM_REF_PREFIX) + 1))))
             .otherwise(ref))
 
 
@@ -234,7 +237,7 @@ def decode_sections(df: DataFrame, desc: TableDescription, keep: list[str]) -> D
 def decode_json(df: DataFrame, json_col: str, desc: TableDescription, keep: list[str] | None = None) -> DataFrame:
     """Parse one JSON object per row and project the typed mirror columns."""
     keep = keep or []
-    parsed = df.select(*keep, F.from_json(F.col(json_col), read_schema(desc)).alias("_row"))
+    parsed = df.select(*keep, F.from_json(F.col(json_col), read_schema(desc), FAIL_FAST).alias("_row"))
     if not desc.sections:
         return parsed.select(*keep, *decode_row(F.col("_row"), desc))
     staged = parsed.select(*keep, *decode_row(F.col("_row"), desc, sections=False))

@@ -46,7 +46,7 @@ def first_fitting(candidates: Column, max_bytes: int = MAX_IDENTIFIER_BYTES) ->
 def capitalised(words: Column) -> Column:
     """``'cold widget'`` → ``'ColdWidget'``."""
     return F.array_join(F.transform(F.split(words, " "),
-                                    lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 20))), "")
+                                    lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))), "")
 
 
 def assign_names(columns: DataFrame, group_cols: list[str], order_col: str, name_col: str,
@@ -68,8 +68,8 @@ def assign_names(columns: DataFrame, group_cols: list[str], order_col: str, name
     flagged = prepared.withColumn(
         "_clash", (F.size(F.collect_set(first).over(w)) < F.count(F.lit(1)).over(w)) | (F.size("_cands") == 0))
     simple = (flagged.filter(~F.col("_clash")).drop("_clash")
-              .withColumn("name_pg", F.element_at("_cands", 1)))
-    out_schema = T.StructType(list(prepared.schema.fields) + [T.StructField("name_pg", T.StringType())])
+              .withColumn("name_out", F.element_at("_cands", 1)))
+    out_schema = T.StructType(list(prepared.schema.fields) + [T.StructField("name_out", T.StringType())])
 
     def pick(pdf):
         pdf = pdf.sort_values(order_col, kind="stable")
@@ -82,7 +82,7 @@ def assign_names(columns: DataFrame, group_cols: list[str], order_col: str, name
             used.add(pick_one.lower())
             chosen.append(pick_one)
         pdf = pdf.copy()
-        pdf["name_pg"] = chosen
+        pdf["name_out"] = chosen
         return pdf
 
     clashing = flagged.filter(F.col("_clash")).drop("_clash")

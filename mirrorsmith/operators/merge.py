@@ -20,40 +20,54 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 INSERT, UPDATE, DELETE, SAME = "insert", "update", "delete", "same"
 
 
-def changed_by_version(old: Column, new: Column, version: str) -> Column:
+def old(name: str) -> Column:
+    """A column of the mirror in a change set (NULL for an inserted key)."""
+    return F.col(f"_old_{name}")
+
+
+def new(name: str) -> Column:
+    """A column of the load in a change set (NULL for a deleted key)."""
+    return F.col(f"_new_{name}")
+
+
+def changed_by_version(version: str) -> Column:
     """Version column differs (other columns are not compared)."""
-    return ~old.getField(version).eqNullSafe(new.getField(version))
+    return ~old(version).eqNullSafe(new(version))
 
 
-def changed_by_value(old: Column, new: Column, value_cols: list[str]) -> Column:
+def changed_by_value(value_cols: list[str]) -> Column:
     """Any non-key column differs, NULL-safe (arrays and structs included)."""
     if not value_cols:
         return F.lit(False)
-    return reduce(lambda a, b: a | b, [~old.getField(c).eqNullSafe(new.getField(c)) for c in value_cols])
+    return reduce(lambda a, b: a | b, [~old(c).eqNullSafe(new(c)) for c in value_cols])
 
 
 def change_set(cur: DataFrame, src: DataFrame, key_cols: list[str], version: str | None = None) -> DataFrame:
-    """(key..., action, _old struct, _new struct) for every key of cur ∪ src."""
+    """(key..., action, _old_<column>..., _new_<column>...) for every key of cur ∪ src.
+
+    Columns stay apart (no row structs), so a query over the result reads only
+    the columns it uses, plus the version.
+    """
     value_cols = [c for c in src.columns if c not in key_cols]
-    old = cur.select(*key_cols, F.struct(*value_cols).alias("_old"))
-    new = src.select(*key_cols, F.struct(*value_cols).alias("_new"))
-    joined = old.join(new, on=key_cols, how="full_outer")
-    o, n = F.col("_old"), F.col("_new")
-    changed = changed_by_version(o, n, version) if version else changed_by_value(o, n, value_cols)
-    action = (F.when(o.isNull(), F.lit(INSERT))
-              .when(n.isNull(), F.lit(DELETE))
+    left = cur.select(*key_cols, F.lit(True).alias("_old"), *[F.col(c).alias(f"_old_{c}") for c in value_cols])
+    right = src.select(*key_cols, F.lit(True).alias("_new"), *[F.col(c).alias(f"_new_{c}") for c in value_cols])
+    joined = left.join(right, on=key_cols, how="full_outer")
+    changed = changed_by_version(version) if version else changed_by_value(value_cols)
+    action = (F.when(F.col("_old").isNull(), F.lit(INSERT))
+              .when(F.col("_new").isNull(), F.lit(DELETE))
               .when(changed, F.lit(UPDATE))
               .otherwise(F.lit(SAME)))
-    return joined.select(*key_cols, action.alias("action"), o, n)
+    return joined.withColumn("action", action).drop("_old", "_new")
 
 
 def apply_changes(changes: DataFrame, key_cols: list[str], with_action: bool = False) -> DataFrame:
     """Merged mirror: inserts and updates take the new row, unchanged keys keep
     the old row (with version detection other columns may differ), deletes go."""
-    keep = changes.filter(F.col("action") != DELETE)
-    row = F.when(F.col("action").isin(INSERT, UPDATE), F.col("_new")).otherwise(F.col("_old"))
+    value_cols = [c[len("_new_"):] for c in changes.columns if c.startswith("_new_")]
     extra = ["action"] if with_action else []
-    return keep.select(*key_cols, *extra, row.alias("_row")).select(*key_cols, *extra, "_row.*")
+    taken = F.col("action").isin(INSERT, UPDATE)
+    return changes.filter(F.col("action") != DELETE).select(
+        *key_cols, *extra, *[F.when(taken, new(c)).otherwise(old(c)).alias(c) for c in value_cols])
 
 
 def merge_full(cur: DataFrame, src: DataFrame, key_cols: list[str], version: str | None = None,

@@ -1,108 +1,43 @@
 """Consecutive row positions without a single-partition window.
 
 `row_number().over(Window.orderBy(..))` moves every row into one task.  Here
-the rows are cut into value ranges first (bounds from `approxQuantile`, at
-most `buckets` of them), numbered inside each range in parallel, and shifted
-by the sizes of the ranges before it.  The only broadcast is the table of
-range sizes: one row per range, so its size is bounded by `buckets`.
+the rows are range-partitioned by the order, numbered inside each range, and
+shifted by the sizes of the ranges before it (one row per partition).  A hot
+first value is split by the columns after it, and by a hash of the row where
+the order columns themselves are equal.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-
-
-def _bucket_expr(col: Column, bounds: list[float], lo: int = 0) -> Column:
-    """Index of the value range of ``col``: a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(lo)
-    mid = len(bounds) // 2
-    return F.when(col < _literal(bounds[mid]), _bucket_expr(col, bounds[:mid], lo)) \
-        .otherwise(_bucket_expr(col, bounds[mid + 1:], lo + mid + 1))
-
-
-SAMPLES_PER_RANGE = 100
-
-
-def _sample_bounds(df: DataFrame, key: Column, n: int) -> list:
-    """Up to ``n - 1`` ascending bounds of ``key`` from a sorted random sample
-    of about ``SAMPLES_PER_RANGE * n`` values (the way a range partitioner
-    picks its bounds); the driver receives a sample bounded by ``n``."""
-    total = df.count()
-    if total == 0:
-        return []
-    fraction = min(1.0, SAMPLES_PER_RANGE * n / total)
-    sample = [r[0] for r in df.select(key.alias("_k")).sample(False, fraction, seed=17)
-              .dropna().orderBy("_k").collect()]
-    if not sample:
-        return []
-    picks = [sample[min(len(sample) - 1, (len(sample) * i) // n)] for i in range(1, n)]
-    out = []
-    for p in picks:
-        if not out or p != out[-1]:
-            out.append(p)
-    return out
-
-
-def _range_bounds(df: DataFrame, order_cols: list[str], n: int, rel_error: float) -> tuple[Column, list]:
-    """(range key, ascending bounds) for ``order_cols``.
-
-    A numeric first column uses `approxQuantile`.  When its quantiles collapse
-    (one value holds a large share of the rows) and more order columns exist,
-    or the first column is not numeric, the bounds come from a sample of the
-    whole ordering tuple, so a hot value is split by the columns after it.
-    """
-    first = order_cols[0]
-    if isinstance(df.schema[first].dataType, _NUMERIC):
-        bounds = sorted(set(df.approxQuantile(first, [i / n for i in range(1, n)], rel_error)))
-        if len(order_cols) == 1 or len(bounds) >= (n - 1) // 2:
-            return F.col(first), bounds
-    if len(order_cols) == 1:
-        return F.col(first), _sample_bounds(df, F.col(first), n)
-    key = F.struct(*[F.col(c) for c in order_cols])
-    rows = _sample_bounds(df, key, n)
-    return key, [tuple(r) for r in rows]
-
-
-def _literal(bound) -> Column:
-    if isinstance(bound, tuple):
-        return F.struct(*[F.lit(v) for v in bound])
-    return F.lit(bound)
+from mirrorsmith.session import checkpoint_dir
 
 
 def with_ordinal(df: DataFrame, order_cols: list[str], name: str = "ordinal",
-                 buckets: int | None = None, rel_error: float = 0.001,
-                 total_name: str | None = None) -> DataFrame:
+                 buckets: int | None = None, total_name: str | None = None) -> DataFrame:
     """Add the 0-based position of each row in the order of ``order_cols``.
 
-    ``order_cols`` must order the rows completely (e.g. end with a key).
-    With ``total_name`` the total row count is added as well (taken from the
-    range sizes, no extra pass over the rows).
+    NULLs come first.  Rows equal in ``order_cols`` are placed by a hash of the
+    row.  With ``total_name`` the total row count is added as well.  Number
+    narrow rows and attach wide columns afterwards: the rows are written once
+    to the checkpoint folder, so that a range keeps its rows.
     """
     spark = df.sparkSession
-    n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    range_key, bounds = _range_bounds(df, order_cols, n, rel_error) if n > 1 else (None, [])
-    if not bounds:
-        # a single range (tiny or constant input): plain numbering
-        w = Window.orderBy(*order_cols)
-        out = df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
-        if total_name:
-            out = out.withColumn(total_name, F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
-        return out
-    bucketed = df.withColumn("_bucket", _bucket_expr(range_key, bounds))
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    # one row per range: a single-partition window over at most `buckets` rows
-    offsets = sizes.select(
-        "_bucket",
-        F.coalesce(F.sum("_size").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_offset"),
-        F.sum("_size").over(Window.partitionBy()).alias("_total"))
-    numbered = bucketed.withColumn("_local", F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_cols)))
-    out = (numbered.join(F.broadcast(offsets), "_bucket")
-           .withColumn(name, (F.col("_offset") + F.col("_local") - 1).cast("long")))
+    checkpoint_dir(spark)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c) for c in order_cols] + [F.col("_tie")]
+    ranged = (df.withColumn("_tie", F.xxhash64(*df.columns)).repartitionByRange(n, *order)
+              .withColumn("_range", F.spark_partition_id()).checkpoint())
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+                           F.sum("_size").over(Window.orderBy("_range").rowsBetween(
+                               Window.unboundedPreceding, Window.unboundedFollowing)).alias("_total"))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    # one row per partition: bounded by the partition count
+    out = ranged.withColumn("_local", local).join(F.broadcast(offsets), "_range") \
+        .withColumn(name, (F.col("_offset") + F.col("_local") - 1).cast("long"))
     if total_name:
         out = out.withColumn(total_name, F.col("_total").cast("long"))
-    return out.drop("_bucket", "_offset", "_local", "_total")
+    return out.drop("_tie", "_range", "_offset", "_local", "_total")

@@ -49,11 +49,11 @@ def apply_schema(df: DataFrame, desc: TableDescription) -> tuple[DataFrame, bool
     Returns the projected frame and whether a full reload is needed (a column
     was added or changed type: its values are unknown until the source is
     read again, so the snapshot is emptied like the source-driven truncate).
+    Types are compared by name, as `plan_changes` does: stored files say
+    nothing about nullability.
     """
     target = desc.spark_schema()
-    have = {f.name: f.dataType for f in df.schema.fields}
-    reload = any(f.name not in have or have[f.name] != f.dataType for f in target.fields)
-    if reload:
-        empty = df.sparkSession.createDataFrame([], target)
-        return empty, True
+    changes = plan_changes(df.sparkSession, desc, df.schema)
+    if changes["add"] or changes["retype"]:
+        return df.sparkSession.createDataFrame([], target), True
     return df.select(*[F.col(f.name) for f in target.fields]), False

@@ -4,12 +4,13 @@ merge family and the snapshot store.
 
     m = Mirror(spark, "/shared/meta/$metadata.xml")
     m.list_objects()                                   # what can be mirrored
-    m.create_table("Справочник.Контрагенты")           # schema + empty version + views
+    m.create_table("Справочник.Контрагенты", pages)    # schema, views and a first load
     pages = m.fetch_pages("Справочник.Контрагенты", "http://host/InfoBase", user, password)
     m.refresh("Справочник.Контрагенты", pages)         # full soft refresh from the pages
-    m.refresh_keys("Справочник.Контрагенты", keys, pages)   # refresh by key, as one batch
+    m.key_requests("Справочник.Контрагенты", keys)     # what to ask the source for these keys
+    m.refresh_keys("Справочник.Контрагенты", keys, pages)   # apply the answers as one batch, returns the keys' rows
     m.refresh_all(pages_for, fast=True)                # scheduled bulk refresh
-    m.refresh_metadata("Справочник.Контрагенты")      # follow schema changes
+    m.refresh_metadata("Справочник.Контрагенты", pages)   # follow schema changes, reload if needed
     m.table("Справочник.Контрагенты")                  # the current snapshot
 
 Only table descriptions and control rows (one per table) reach the driver.
@@ -19,19 +20,20 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mirrorsmith.functions.decode import decode_row, decode_sections, decode_some, read_schema
 from mirrorsmith.operators.dedup import first_arrival
-from mirrorsmith.operators.merge import refresh_by_key
+from mirrorsmith.functions.literals import PASSWORD_MASK, key_filter, key_term, request_path
+from mirrorsmith.operators.merge import enum_merge, refresh_by_key
 from mirrorsmith.plans import catalog as cat
 from mirrorsmith.plans import evolve as ev
 from mirrorsmith.plans.description import TableDescription
-from mirrorsmith.plans.refresh import (CONTROL_SCHEMA, MirrorStore, create_table, default_fetch_size,
-                                       refresh_and_commit, select_refresh)
-from mirrorsmith.session import checkpoint_dir
-from mirrorsmith.sources.pages import read_pages
+from mirrorsmith.plans.refresh import (CONTROL_SCHEMA, MirrorStore, append_audit, audit_requests, create_table,
+                                       default_fetch_size, mirror_root, refresh_and_commit, select_refresh)
+from mirrorsmith.sources.pages import plan_requests, read_landed, read_pages, write_pages
 
 
 class Mirror:
@@ -41,12 +43,16 @@ class Mirror:
         self.server = server
         self.short_names = short_names
         self.metadata_path = metadata_path
-        self.store = MirrorStore(spark, root or checkpoint_dir(spark).rstrip("/") + "/mirror/" + server)
+        self.store = MirrorStore(spark, root or f"{mirror_root(spark)}/{server}")
+        self.entity_types = self.enum_types = None
         self._load_metadata()
         self._descriptions: dict[str, TableDescription] = {}
 
     # -- metadata ---------------------------------------------------------
     def _load_metadata(self) -> None:
+        for old in (self.entity_types, self.enum_types):
+            if old is not None:
+                old.unpersist()
         ents, cplx, enums = cat.read_metadata_xml(self.spark, self.metadata_path, self.server)
         # metadata is read once and reused (small: one row per entity type)
         self.entity_types = cat.classify_objects(ents, cplx).cache()
@@ -81,64 +87,100 @@ class Mirror:
         return latest.select("server", "table", "_r.*")
 
     # -- entries ----------------------------------------------------------
-    def create_table(self, table: str) -> int:
+    def _is_enum(self, table: str) -> bool:
+        return self.describe(table).kind == "Enumeration"
+
+    def _fill_enum(self, table: str) -> int:
+        """Enumeration refresh: members of the metadata, order numbers kept."""
+        started = time.time()
+        desc = self.describe(table)
+        ref, order = (c.name for c in desc.columns)
+        base = self.store.current_version(table)
+        merged = enum_merge(self.store.read(table, desc.spark_schema()).withColumnsRenamed({ref: "ref", order: "ord"}),
+                            cat.enum_members(self.enum_types, table)).select(F.col("ref").alias(ref), F.col("ord").alias(order))
+        version, rows = self.store.commit(table, merged, bucket_key=desc.key, base=base)
+        self.store.register(table, desc)
+        self._record(desc, rows, started)
+        return version
+
+    def create_table(self, table: str, pages: DataFrame | None = None, fetch_size: int | None = None) -> int:
+        """Mirror a table: its schema and views, and its rows from ``pages`` (an
+        enumeration's from the metadata).  Does nothing to an existing one."""
         desc = self.describe(table)
+        if self.store.current_version(table) is not None:
+            return create_table(self.store, desc)
         version = create_table(self.store, desc)
+        if self._is_enum(table):
+            return self._fill_enum(table)
         self._record(desc, None, None)
-        return version
+        return self.refresh(table, pages, fetch_size)["version"] if pages is not None else version
 
     def table(self, table: str) -> DataFrame:
         desc = self.describe(table)
         return self.store.read(table, desc.spark_schema())
 
-    def refresh(self, table: str, pages: DataFrame) -> dict:
+    def refresh(self, table: str, pages: DataFrame, fetch_size: int | None = None) -> dict:
         """Full soft refresh from landed pages (entry B); statistics recorded."""
         desc = self.describe(table)
         started = time.time()
-        stats = refresh_and_commit(self.store, desc, pages)
+        stats = refresh_and_commit(self.store, desc, pages, fetch_size=fetch_size)
         self._record(desc, stats["row_count"], started)
         return stats
 
-    def refresh_keys(self, table: str, keys: DataFrame, pages: DataFrame) -> int:
+    def key_requests(self, table: str, keys: DataFrame, publication: str = "InfoBase") -> DataFrame:
+        """``keys`` (mirror names) with the request of each: ``url`` with a
+        typed key filter; a table without a key (constants) is asked whole."""
+        desc = self.describe(table)
+        terms = [key_term(c.name_src, c.engine, F.col(c.name)) for k in desc.key for c in desc.columns if c.name == k]
+        query = F.concat(F.lit("$filter="), key_filter(terms)) if terms else F.lit("")
+        requested = keys.select(*desc.key).distinct() if desc.key else self.spark.range(1).select()
+        return requested.withColumn("url", request_path(publication, desc.entity, query))
+
+    def refresh_keys(self, table: str, keys: DataFrame, pages: DataFrame) -> DataFrame:
         """Refresh by key (entry C) for a batch of keys: ``keys`` holds the
         requested key columns (mirror names), ``pages`` the source responses for
-        them.  Found keys are upserted, the others deleted.  Statistics of full
-        refreshes are not touched."""
+        them.  Found keys are upserted, the others deleted.  Returns the
+        requested keys with their rows, NULL where the source has none.
+        Statistics of full refreshes are not touched."""
         desc = self.describe(table)
         rows = read_pages(pages, read_schema(desc))
         keyed = rows.select("page_no", "pos", "row", *decode_some(F.col("row"), desc, desc.key))
         winners = first_arrival(keyed, desc.key).select(*desc.key, "row")
         fetched = decode_sections(winners.select(*decode_row(F.col("row"), desc, sections=False,
                                                               decoded=set(desc.key))), desc, [])
+        base = self.store.current_version(table)
         current = self.store.read(table, desc.spark_schema())
-        version, _ = self.store.commit(table, refresh_by_key(current, fetched.select(*current.columns), keys, desc.key),
-                                       bucket_key=desc.key)
-        return version
+        self.store.commit(table, refresh_by_key(current, fetched.select(*current.columns), keys, desc.key),
+                          bucket_key=desc.key, base=base)
+        self.store.register(table, desc)
+        return keys.select(*desc.key).distinct().join(self.store.read(table), on=desc.key, how="left")
 
     def fetch_pages(self, table: str, base_url: str, user: str = "", password: str = "",
                     pages_per_partition: int = 16) -> DataFrame:
         """Pages of a full read from the live source (`sources/odata.py`), one
-        page range per task; the planned requests are appended to the request
-        log with the password masked.  The expected row count comes from the
-        control table (the last range reads on until a short page)."""
-        from mirrorsmith.plans.refresh import append_audit, audit_requests
-        from mirrorsmith.sources.odata import PagedSource
-        from mirrorsmith.sources.pages import plan_requests
+        page range per task, landed in the mirror's folder before they are
+        used, so no retry asks the source again.  The planned requests are
+        appended to the request log without the password.  The expected row
+        count comes from the control table; a table not loaded yet asks the
+        source for it."""
+        from mirrorsmith.sources.odata import PagedReader, PagedSource
         desc = self.describe(table)
         ctl = self.control().filter(F.col("table") == table).select("row_count", "fetch_size").first()
-        row_count = int(ctl["row_count"] or 0) if ctl else 0
         fetch_size = int(ctl["fetch_size"]) if ctl else default_fetch_size()
         sort = ",".join(desc.sort)
-        plan = self.spark.createDataFrame([(desc.entity, sort, fetch_size, row_count)],
+        options = {"base_url": base_url, "entity": desc.entity, "sort": sort, "fetch_size": str(fetch_size),
+                   "pages_per_partition": str(pages_per_partition), "user": user, "password": password}
+        row_count = ctl["row_count"] if ctl and ctl["row_count"] is not None else PagedReader(options).count()
+        options["row_count"] = str(row_count)
+        plan = self.spark.createDataFrame([(desc.entity, sort, fetch_size, int(row_count))],
                                           "entity string, sort string, fetch_size int, row_count long")
         scheme, rest = base_url.split("://", 1) if "://" in base_url else ("http", base_url)
-        shown = f"{scheme}://{user}:{password}@{rest}" if user else base_url
-        append_audit(self.store, audit_requests(plan_requests(plan), shown, self.server, user or "anonymous"))
+        shown = f"{scheme}://{user}:{PASSWORD_MASK}@{rest}" if user else base_url
+        append_audit(self.store, audit_requests(plan_requests(plan), shown, self.server, user or "anonymous", masked=True))
         self.spark.dataSource.register(PagedSource)
-        return (self.spark.read.format(PagedSource.name()).option("base_url", base_url)
-                .option("entity", desc.entity).option("sort", sort).option("fetch_size", fetch_size)
-                .option("row_count", row_count).option("pages_per_partition", pages_per_partition)
-                .option("user", user).option("password", password).load())
+        path = f"{self.store.root}/_landed/{table}/{uuid.uuid4().hex}"
+        write_pages(self.spark.read.format(PagedSource.name()).options(**options).load(), path)
+        return read_landed(self.spark, path)
 
     def refresh_all(self, pages_for, fast: bool = False) -> list[dict]:
         """Scheduled bulk refresh: the selected tables in name order
@@ -148,16 +190,25 @@ class Mirror:
             out.append({"table": r["table"], **self.refresh(r["table"], pages_for(r["table"]))})
         return out
 
-    def refresh_metadata(self, table: str) -> dict:
+    def refresh_metadata(self, table: str, pages: DataFrame | None = None, fetch_size: int | None = None) -> dict:
         """Follow schema changes: re-read the metadata, diff against the current
-        snapshot, project it; a needed reload empties the table (the next
-        refresh fills it)."""
+        snapshot, project it.  An unchanged table is left alone, a dropped
+        column leaves the rows; an added or retyped one empties the table,
+        which is then reloaded from ``pages`` (or by the next refresh).  An
+        enumeration takes the members of the new metadata."""
         self._load_metadata()
         self._descriptions.pop(table, None)
         desc = self.describe(table)
+        if self._is_enum(table):
+            self._fill_enum(table)
+            return {"reload": False, "add": [], "drop": [], "retype": [], "same": [c.name for c in desc.columns]}
+        base = self.store.current_version(table)
         current = self.store.read(table, desc.spark_schema())
         changes = ev.plan_changes(self.spark, desc, current.schema)
         projected, reload = ev.apply_schema(current, desc)
         if changes["drop"] or reload:
-            self.store.commit(table, projected, bucket_key=desc.key)
+            self.store.commit(table, projected, bucket_key=desc.key, base=base)
+            self.store.register(table, desc)
+        if reload and pages is not None:
+            self.refresh(table, pages, fetch_size)
         return {"reload": reload, **changes}

@@ -296,11 +296,26 @@ WHERE o.o_orderkey % 10 <> 1 AND p.p_type <> '{q.EXCLUDED_TYPE}'
 GROUP BY o.o_custkey, p.p_brand
 ORDER BY SUM(CAST(l.l_extendedprice AS DECIMAL(38,10))) DESC, customer, brand
 LIMIT {q.TOPK}""",
+        "page_set_check": f"""
+WITH n AS (SELECT COUNT(*) AS n FROM orders WHERE o_orderkey % 10 <> 1),
+pages AS (
+  SELECT UNNEST(range(0, CASE WHEN n < {q.DOCUMENT_FETCH_SIZE} THEN 1
+                              ELSE (n - {q.DOCUMENT_FETCH_SIZE}) // {(q.DOCUMENT_FETCH_SIZE + 1) // 2} + 2 END)) AS page_no, n FROM n),
+have AS (
+  SELECT page_no, CASE WHEN page_no % 7 <> 3 THEN least({q.DOCUMENT_FETCH_SIZE}, n - page_no * {(q.DOCUMENT_FETCH_SIZE + 1) // 2}) END AS n_rows
+  FROM pages WHERE page_no % 11 <> 5),
+last AS (SELECT MAX(page_no) AS p FROM have),
+expected AS (SELECT page_no + 1 AS page_no FROM have, last WHERE page_no < p UNION ALL SELECT 0)
+SELECT page_no, n_rows,
+  CASE WHEN n_rows IS NULL THEN 'corrupt' WHEN page_no = p AND n_rows >= {q.DOCUMENT_FETCH_SIZE} THEN 'no short page'
+       WHEN page_no < p AND n_rows < {q.DOCUMENT_FETCH_SIZE} THEN 'short' ELSE 'ok' END AS state
+FROM have, last
+UNION ALL SELECT page_no, NULL, 'gap' FROM expected WHERE page_no NOT IN (SELECT page_no FROM have)""",
         "section_entity_refresh": f"""
 SELECT l_orderkey AS o_orderkey,
   row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS line_no,
-  l_partkey, l_quantity AS quantity, l_extendedprice AS amount,
-  CASE WHEN l_orderkey % 10 = 0 THEN 'insert' ELSE 'same' END AS action
+  l_partkey, l_quantity + CASE WHEN l_orderkey % 10 = 2 THEN 1 ELSE 0 END AS quantity, l_extendedprice AS amount,
+  CASE l_orderkey % 10 WHEN 0 THEN 'insert' WHEN 2 THEN 'update' ELSE 'same' END AS action
 FROM lineitem
 WHERE l_orderkey % 10 <> 1""",
         "materialized_view": f"""

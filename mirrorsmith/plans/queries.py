@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from mirrorsmith.fixtures import source as fx
 from mirrorsmith.functions import names as nm
 from mirrorsmith.functions import types as ty
 from mirrorsmith.functions.constants import KINDS, ZERO_DATETIME, ZERO_GUID
@@ -38,11 +39,6 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tb.table(spark, sf_dir, name)
 
 
-def _rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table for row-wise work with no shuffle before it."""
-    return tb.table(spark, sf_dir, name, spread_rows=True)
-
-
 def _dbl(c: Column) -> Column:
     return F.round(c, 2).cast("double")
 
@@ -67,7 +63,7 @@ PROPS_DESC = TableDescription(
 def json_to_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-11: ``events.props`` decoded by a description; absent fields take
     their type's empty value."""
-    ev = _rows(spark, sf_dir, "events")
+    ev = _t(spark, sf_dir, "events")
     out = decode_json(ev, "props", PROPS_DESC, keep=["event_id"])
     return out.select("event_id", "k", F.col("z_num").cast("double").alias("z_num"), "z_bool", "z_text")
 
@@ -84,26 +80,9 @@ EVENT_DESC = TableDescription(
     key=["Ссылка"])
 
 
-def event_json(ev: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Events as the source would send them, with empty values where the
-    event type says so (JSON nulls are simply left out)."""
-    t = F.col("event_type")
-    fields = [
-        tb.guid_of(F.col("event_id")).alias("Ref_Key"),
-        F.when(F.col("user_id") % 5 == 0, F.lit(ZERO_GUID)).otherwise(tb.guid_of(F.col("user_id"))).alias("User_Key"),
-        F.when(t == "error", F.lit(ZERO_DATETIME))
-         .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("Period"),
-        F.when(t != "view", F.col("value")).alias("Value"),
-        F.when(t != "signup", t == "purchase").alias("Success"),
-        F.when(t != "click", t).alias("Kind"),
-        F.when(t == "error", F.lit("")).otherwise(F.base64(F.encode(t, "UTF-8"))).alias("Data_Base64Data"),
-    ]
-    return ev.select("event_id", *(keep or []), F.to_json(F.struct(*fields)).alias("json"))
-
-
 def json_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-12: every empty-value rule on one decoded register."""
-    dec = decode_json(event_json(_rows(spark, sf_dir, "events")), "json", EVENT_DESC)
+    dec = decode_json(fx.event_json(_t(spark, sf_dir, "events")), "json", EVENT_DESC)
     return dec.select(
         tb.key_of_guid(F.col("Ссылка")).alias("event_id"),
         F.col("Пользователь").alias("user_guid"),
@@ -133,7 +112,7 @@ def _zero_desc() -> TableDescription:
 def zero_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-12: zero date / zero GUID become NULL in non-key master columns and
     stay values in keys and in section lines."""
-    o = _rows(spark, sf_dir, "orders")
+    o = _t(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     date = F.when(k % 7 == 0, F.lit(ZERO_DATETIME)).otherwise(F.date_format("o_orderdate", tb.ISO_SECONDS))
     cust = F.when(k % 7 == 0, F.lit(ZERO_GUID)).otherwise(tb.guid_of(F.col("o_custkey")))
@@ -166,7 +145,7 @@ def _event_source_type(ev: DataFrame) -> Column:
 
 def value_any_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-13: composite values from (value, type) pairs."""
-    ev = _rows(spark, sf_dir, "events")
+    ev = _t(spark, sf_dir, "events")
     v = value_any(F.col("user_id").cast("string"), _event_source_type(ev))
     return ev.select("event_id", v.getField("value").alias("any_value"), v.getField("type").alias("any_type"))
 
@@ -180,7 +159,7 @@ def _event_type_ref(ev: DataFrame) -> Column:
 
 def type_ref_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-14 / OP-15: type references and type-description arrays."""
-    ev = _rows(spark, sf_dir, "events")
+    ev = _t(spark, sf_dir, "events")
     ref = _event_type_ref(ev)
     types = F.when(F.col("event_type") == "error", F.lit(None).cast("array<string>")) \
         .otherwise(F.array(ref, F.lit("EnumRef.Пол"), F.lit("string")))
@@ -200,7 +179,7 @@ def _event_type_src(ev: DataFrame) -> Column:
 
 def map_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-16: source type → engine type, composite fields first."""
-    ev = _rows(spark, sf_dir, "events")
+    ev = _t(spark, sf_dir, "events")
     composite = F.col("user_id") % 3 == 0
     src = _event_type_src(ev)
     return ev.select("event_id", src.alias("type_src"), composite.alias("composite"),
@@ -213,7 +192,7 @@ SHORT_NAME_BYTES = 12
 def abbreviate_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-17: abbreviation chain of capitalised part names + a Cyrillic word,
     and the first candidate that fits ``SHORT_NAME_BYTES`` bytes."""
-    p = _rows(spark, sf_dir, "part")
+    p = _t(spark, sf_dir, "part")
     name = F.concat(nm.capitalised(F.col("p_name")), F.lit("Информация"))
     c = nm.abbreviation_candidates(name)
     return p.select("p_partkey", name.alias("name"),
@@ -225,7 +204,7 @@ def abbreviate_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-18: typed ``$filter`` text of a composite key per order."""
-    o = _rows(spark, sf_dir, "orders")
+    o = _t(spark, sf_dir, "orders")
     terms = [key_term("Ref_Key", "uuid", tb.guid_of(F.col("o_orderkey"))),
              key_term("Date", "timestamp", F.col("o_orderdate")),
              key_term("Priority", "text", F.concat(F.col("o_orderpriority"), F.lit("'s"))),
@@ -240,7 +219,7 @@ def _with_credentials(url: Column, page_id: Column) -> Column:
 
 def mask_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-09: request URLs with credentials, password masked for the log."""
-    p = _rows(spark, sf_dir, "pages")
+    p = _t(spark, sf_dir, "pages")
     return p.select("page_id", mask_credentials(_with_credentials(F.col("url"), F.col("page_id"))).alias("logged_url"))
 
 
@@ -278,19 +257,14 @@ def plan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row_count", "n_pages", "rows_transferred", "last_skip", last_url.alias("last_url"))
 
 
-def _altered(json: Column) -> Column:
-    """A later copy of a row, changed at the source between two requests."""
-    return F.regexp_replace(json, '"Kind":"', '"Kind":"changed-')
-
-
 def dedup_first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-01 + OP-03: events paged with half-page overlap, later copies
     altered; reading and deduplicating keeps each first arrival."""
     def build() -> DataFrame:
         ev = _t(spark, sf_dir, "events")
         numbered = with_ordinal(ev, ["event_id"], "n", total_name="n_total")
-        js = event_json(numbered, keep=["n", "n_total"])
-        return pg.land_pages(js, "json", "n", DEDUP_FETCH_SIZE, "events", later_copy=_altered, total_col="n_total")
+        js = fx.event_json(numbered, keep=["n", "n_total"])
+        return fx.land_pages(js, "json", "n", DEDUP_FETCH_SIZE, "events", later_copy=fx.altered, total_col="n_total")
 
     # the responses land once per input; the query reads and deduplicates them
     pages = landed(spark, "InformationRegister_События@paged", [f"{sf_dir}/events.parquet"], build)
@@ -303,6 +277,15 @@ def dedup_first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("Значение").cast("double").alias("value"), F.col("Вид").alias("kind"))
 
 
+def page_set_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-01/06: the state of each landed page of the order documents, where
+    some answers were cut off and some are missing; a refresh from such pages
+    is refused (`pages.check_page_set`)."""
+    landed_now = landed_pages(spark, sf_dir, "src").filter(F.col("page_no") % 11 != 5)
+    cut_off = F.when(F.col("page_no") % 7 == 3, F.substr("body", F.lit(1), F.length("body") - 20)).otherwise(F.col("body"))
+    return pg.page_states(landed_now.withColumn("body", cut_off), DOCUMENT_FETCH_SIZE)
+
+
 # ==========================================================================
 # Sections (OP-22..26)
 # ==========================================================================
@@ -315,8 +298,8 @@ def source_pages(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
     # positions are taken on the narrow header rows, before the documents
     # (with their lines) are built, so no sort moves whole documents
     numbered = with_ordinal(tb.order_state(o, state), ["o_orderkey"], "n", total_name="n_total")
-    src_json = tb.document_json(numbered, tb.order_lines(li), keep=["n", "n_total"])
-    return pg.land_pages(src_json, "json", "n", DOCUMENT_FETCH_SIZE, tb.DOCUMENT_ENTITY, total_col="n_total")
+    src_json = fx.document_json(numbered, fx.order_lines(li), keep=["n", "n_total"])
+    return fx.land_pages(src_json, "json", "n", DOCUMENT_FETCH_SIZE, tb.DOCUMENT_ENTITY, total_col="n_total")
 
 
 def stored_mirror(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
@@ -433,8 +416,8 @@ def _changed(spark: SparkSession, sf_dir: str, by_version: bool) -> DataFrame:
     ch = mg.change_set(cur, src, KEY, version="ver" if by_version else None)
     return ch.filter(F.col("action") == mg.UPDATE).select(
         "o_orderkey",
-        F.col("_old.o_orderstatus").alias("old_status"), F.col("_new.o_orderstatus").alias("new_status"),
-        F.col("_old.o_totalprice").alias("old_price"), F.col("_new.o_totalprice").alias("new_price"))
+        mg.old("o_orderstatus").alias("old_status"), mg.new("o_orderstatus").alias("new_status"),
+        mg.old("o_totalprice").alias("old_price"), mg.new("o_totalprice").alias("new_price"))
 
 
 def diff_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -473,7 +456,7 @@ def refresh_by_key_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         o = _t(spark, sf_dir, "orders")
         li = _t(spark, sf_dir, "lineitem")
         keys = li.filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-        src = tb.document_json(tb.order_state(o, "src"), tb.order_lines(li))
+        src = fx.document_json(tb.order_state(o, "src"), fx.order_lines(li))
         answers = keys.join(src, "o_orderkey", "left")
         body = F.concat(F.lit('{"keys":{"Ref_Key":"'), tb.guid_of(F.col("o_orderkey")), F.lit('"},"value":['),
                         F.coalesce(F.col("json"), F.lit("")), F.lit("]}"))
@@ -502,8 +485,7 @@ def _priority_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     every priority used by an order, in name order."""
     o = _t(spark, sf_dir, "orders")
     distinct = o.select(F.col("o_orderpriority").alias("ref")).distinct()
-    # numbered after the (map-side combined) distinct: one row per member
-    return distinct.select("ref", F.row_number().over(Window.orderBy("ref")).cast("long").alias("pos"))
+    return with_ordinal(distinct, ["ref"], "pos").select("ref", (F.col("pos") + 1).alias("pos"))
 
 
 def _priority_existing(members: DataFrame) -> DataFrame:
@@ -528,7 +510,8 @@ def enum_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept.  Orders are counted per priority first (map-side combined), so the
     join sees one row per member on each side."""
     members = _priority_members(spark, sf_dir)
-    enum = mg.enum_merge(_priority_existing(members), members)
+    # the enumeration is read from the store, where its refresh wrote it
+    enum = materialize(MirrorStore(spark), f"enums/{tb.PRIORITY_ENUM}", mg.enum_merge(_priority_existing(members), members))
     per = _t(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("ref")).agg(
         F.count(F.lit(1)).alias("n"))
     return (enum.join(per, "ref", "left")
@@ -558,10 +541,11 @@ def _line_pages(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
     def build() -> DataFrame:
         o = _t(spark, sf_dir, "orders")
         li = _t(spark, sf_dir, "lineitem")
-        js = tb.line_json(li, tb.order_state(o, state))
-        numbered = with_ordinal(js, ["l_orderkey", "line_no"], "n", total_name="n_total")
-        return pg.land_pages(numbered, "json", "n", DOCUMENT_FETCH_SIZE, tb.DOCUMENT_ENTITY + "_" + tb.LINES_PROPERTY,
-                             total_col="n_total")
+        # the narrow lines are numbered, then printed as JSON
+        rows = fx.line_rows(li, tb.order_state(o, state), changed=state == "src")
+        numbered = with_ordinal(rows, ["l_orderkey", "line_no"], "n", total_name="n_total")
+        return fx.land_pages(fx.line_json(numbered, ["n", "n_total"]), "json", "n", DOCUMENT_FETCH_SIZE,
+                             tb.DOCUMENT_ENTITY + "_" + tb.LINES_PROPERTY, total_col="n_total")
     return landed(spark, f"{tb.DOCUMENT_ENTITY}_{tb.LINES_PROPERTY}@{state}", _document_inputs(sf_dir), build)
 
 
@@ -618,7 +602,7 @@ def materialized_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-44: one pass of column checks over a mirror candidate built from
     orders, where some rows carry values a mirror column must not hold."""
-    o = _rows(spark, sf_dir, "orders")
+    o = _t(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     cand = o.select(
         tb.guid_of(k).alias("Ссылка"),
@@ -690,6 +674,7 @@ REGISTRY = {
     "mask_url": mask_url,
     "plan_pages": plan_pages,
     "dedup_first_page": dedup_first_page,
+    "page_set_check": page_set_check,
     "build_sections": build_sections,
     "explode_section": explode_section,
     "section_field_array": section_field_array,

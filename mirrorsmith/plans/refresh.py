@@ -1,12 +1,11 @@
 """Mirror snapshots, full and keyed refresh, control table (OP-06, 07, 10, 54, 55).
 
 Storage is plain parquet: every refresh writes a *new* version directory
-``<root>/<table>/v=<n>`` and then appends one commit row to
-``<root>/<table>/_commits``.  Readers take the highest committed version, so
-a path being read is never overwritten and a failed job leaves no partial
-snapshot behind (its version has no commit row).  The root must be a shared
-folder (the cluster's checkpoint directory by default), never a
-machine-local temporary folder.
+``<root>/<table>/v=<n>``.  A version is committed once it has both Spark's
+``_SUCCESS`` and, written last, its layout marker; readers take the highest
+committed version, so a path being read is never overwritten and a failed job
+leaves no partial snapshot behind.  The root must be a shared folder that
+outlives the application (`mirror_root`), never a machine-local temporary one.
 """
 
 from __future__ import annotations
@@ -24,9 +23,9 @@ from mirrorsmith.operators.dedup import first_arrival
 from mirrorsmith.operators.merge import DELETE, INSERT, SAME, UPDATE, apply_changes, change_set
 from mirrorsmith.plans.description import TableDescription
 from mirrorsmith.session import checkpoint_dir
-from mirrorsmith.sources.pages import read_pages
+from mirrorsmith.sources.pages import check_page_set, read_pages
 
-BUCKET_MARKER = "_BUCKETS"
+LAYOUT_MARKER = "_LAYOUT"
 COMMIT_SCHEMA = "version long, row_count long, committed_at timestamp_ntz, duration_ms long"
 CONTROL_SCHEMA = ("server string, table string, kind string, schema string, name string, fetch_size int, "
                   "row_count long, refresh_data_ts timestamp_ntz, refresh_data_ms long")
@@ -41,12 +40,34 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+ROOT_SETTING = "spark.mirrorsmith.root"
+
+
+def mirror_root(spark: SparkSession) -> str:
+    """Where mirrors, the control table and stream progress live.
+
+    A cluster names a folder in ``spark.mirrorsmith.root``: the checkpoint
+    folder is new for each application, so a mirror there would be lost at the
+    next start.  Unset, a local run (tests) uses the checkpoint folder.
+    """
+    root = spark.conf.get(ROOT_SETTING, None)
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {ROOT_SETTING} to a shared folder that outlives the application")
+    return checkpoint_dir(spark).rstrip("/") + "/mirror"
+
+
+class StaleBase(RuntimeError):
+    """Another writer committed a version since the one that was merged from."""
+
+
 class MirrorStore:
     """Versioned parquet snapshots under one shared root."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = (root or checkpoint_dir(spark).rstrip("/") + "/mirror").rstrip("/")
+        self.root = (root or mirror_root(spark)).rstrip("/")
 
     def _dir(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -62,12 +83,12 @@ class MirrorStore:
         for st in fs.listStatus(root):
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-                out.append((int(name[2:]), fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))))
+                done = all(fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), f)) for f in ("_SUCCESS", LAYOUT_MARKER))
+                out.append((int(name[2:]), done))
         return out
 
     def current_version(self, table: str) -> int | None:
-        """Highest version whose write committed (Spark's job commit leaves
-        ``_SUCCESS``); a failed write's directory is skipped."""
+        """Highest committed version; a failed write's directory is skipped."""
         done = [v for v, ok in self._versions(table) if ok]
         return max(done) if done else None
 
@@ -100,10 +121,9 @@ class MirrorStore:
         if v is None:
             return None if schema is None else self.spark.createDataFrame([], schema)
         vdir = f"{self._dir(table)}/v={v}"
-        spec = self._read_marker(vdir + "/" + BUCKET_MARKER)
-        if spec is None:
-            return self.spark.read.parquet(vdir)
-        spec = json.loads(spec)
+        spec = json.loads(self._read_marker(vdir + "/" + LAYOUT_MARKER))
+        if not spec["buckets"]:
+            return self.spark.read.schema(spec["ddl"]).parquet(vdir)
         name = "mirrorsmith_" + hashlib.sha1(vdir.encode()).hexdigest()[:16]
         ddl = spec["ddl"]
         keys = ", ".join(_quoted(k) for k in spec["key"])
@@ -112,9 +132,12 @@ class MirrorStore:
         return self.spark.table(name)
 
     def commit(self, table: str, df: DataFrame, started: float | None = None,
-               bucket_key: list[str] | None = None) -> tuple[int, int]:
+               bucket_key: list[str] | None = None, base: int | None = None) -> tuple[int, int]:
         """Write ``df`` as the next version; returns (version, row count).
 
+        ``base`` is the version that ``df`` was merged from: if another writer
+        has committed since, nothing is committed and `StaleBase` is raised.
+
         With ``bucket_key`` the version is bucketed by that key into as many
         buckets as the session's shuffle partitions: the next merge on the key
         then shuffles only the new load.  The row count comes from an
@@ -131,26 +154,42 @@ class MirrorStore:
             name = "mirrorsmith_w_" + hashlib.sha1(vdir.encode()).hexdigest()[:16]
             observed.write.bucketBy(buckets, *bucket_key).option("path", vdir).mode("errorifexists").saveAsTable(name)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")      # external: the files stay
-            # the schema goes with the layout: an empty version has no data file to read it from
-            self._write_marker(vdir + "/" + BUCKET_MARKER, json.dumps(
-                {"buckets": buckets, "key": bucket_key, "ddl": df._jdf.schema().toDDL()}, ensure_ascii=False))
         else:
+            buckets = 0
             observed.write.mode("errorifexists").parquet(vdir)
+        if base is not None and self.current_version(table) != base:
+            raise StaleBase(f"{table}: merged from version {base}, the current one is {self.current_version(table)}")
+        # Written last: it makes the version current.  The schema goes with the
+        # layout, since an empty version has no data file to read it from.
+        self._write_marker(vdir + "/" + LAYOUT_MARKER, json.dumps(
+            {"buckets": buckets, "key": bucket_key, "ddl": df._jdf.schema().toDDL()}, ensure_ascii=False))
         rows = int(obs.get["rows"])
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         self.spark.createDataFrame([(version, rows, now, int((time.time() - started) * 1000))], COMMIT_SCHEMA) \
             .coalesce(1).write.mode("append").parquet(self._dir(table) + "/_commits")
         return version, rows
 
+    def prune(self, table: str, keep: int = 2) -> list[int]:
+        """Delete all but the last ``keep`` committed versions (and failed ones
+        older than those); returns the versions deleted.  A reader of an older
+        version loses it, so keep as many as the longest reader needs."""
+        jvm, fs = self._fs()
+        versions = self._versions(table)
+        first = sorted([v for v, ok in versions if ok], reverse=True)[:keep][-1:]
+        old = [v for v, _ in versions if first and v < first[0]]
+        for v in old:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self._dir(table)}/v={v}"), True)
+        return sorted(old)
+
     def register(self, table: str, desc: TableDescription | None = None) -> None:
-        """Temp views: the table by its own name and one detail view per section."""
+        """Temp views over the current version: the table by its full name
+        (kind and object) and one detail view per section."""
         df = self.read(table, desc.spark_schema() if desc else None)
-        short = table.split(".", 1)[-1]
-        df.createOrReplaceTempView(_quoted(short))
+        df.createOrReplaceTempView(_quoted(table))
         if desc:
             for col, sec in desc.sections.items():
                 detail = df.select(F.explode_outer(col).alias("_l")).filter(F.col("_l").isNotNull()).select("_l.*")
-                detail.createOrReplaceTempView(_quoted(sec.view))
+                detail.createOrReplaceTempView(_quoted(f"{table.split('.', 1)[0]}.{sec.view}"))
 
 
 def create_table(store: MirrorStore, desc: TableDescription, table: str | None = None) -> int:
@@ -191,27 +230,34 @@ def refresh_full(current: DataFrame, load: DataFrame, desc: TableDescription) ->
     return apply_changes(changes, desc.key), changes
 
 
-def refresh_and_commit(store: MirrorStore, desc: TableDescription, pages: DataFrame, table: str | None = None) -> dict:
+def refresh_and_commit(store: MirrorStore, desc: TableDescription, pages: DataFrame, table: str | None = None,
+                       fetch_size: int | None = None) -> dict:
     """Full refresh of one table from landed pages, committed as a new version.
 
+    The pages must be one complete read (`check_page_set`): the merge deletes
+    what the load lacks, so an incomplete load stops before it.
+
     Returns the statistics the control table records: row count, start, duration
     and the number of inserted / updated / deleted / unchanged rows (observed on
     the same write, no extra pass).
     """
     started = time.time()
     table = table or desc.table
+    check_page_set(pages, fetch_size, default_fetch_size())
+    base = store.current_version(table)
     current = store.read(table, desc.spark_schema())
-    snapshot, changes = refresh_full(current, load_from_pages(pages, desc), desc)
+    _, changes = refresh_full(current, load_from_pages(pages, desc), desc)
     obs = Observation(f"changes_{abs(hash((desc.table, started)))}")
     counted = changes.observe(obs, *[F.count_if(F.col("action") == a).alias(a) for a in (INSERT, UPDATE, DELETE, SAME)])
-    version, rows = store.commit(table, apply_changes(counted, desc.key), started, bucket_key=desc.key)
+    version, rows = store.commit(table, apply_changes(counted, desc.key), started, bucket_key=desc.key, base=base)
+    store.register(table, desc)
     stats = {k: int(v) for k, v in obs.get.items()}
     stats.update(version=version, row_count=rows, duration_ms=int((time.time() - started) * 1000))
     return stats
 
 
 # Bumped whenever the stored layout of a snapshot changes.
-SNAPSHOT_LAYOUT = 1
+SNAPSHOT_LAYOUT = 2
 
 
 def _input_signature(spark: SparkSession, paths: list[str]) -> str:
@@ -272,8 +318,10 @@ def landed(spark: SparkSession, name: str, inputs: list[str], pages_fn) -> DataF
 
 def materialize(store: MirrorStore, name: str, df: DataFrame) -> DataFrame:
     """Materialised view (OP-54): write the result as a new version, read it back.
-    A refresh is simply another call; readers of the old version are untouched."""
+    A refresh is simply another call; readers of the version before are
+    untouched, older ones are deleted."""
     store.commit(name, df)
+    store.prune(name)
     return store.read(name)
 
 
@@ -301,15 +349,18 @@ AUDIT_SCHEMA = ("ts timestamp_ntz, duration_ms long, user string, server string,
 
 
 def audit_requests(requests: DataFrame, base_url: str, server: str, user: str,
-                   started: dt.datetime | None = None) -> DataFrame:
+                   started: dt.datetime | None = None, masked: bool = False) -> DataFrame:
     """Request log rows for planned requests (``plan_requests`` output):
-    full URL with the password masked, as the request log keeps it."""
+    full URL with the password masked, as the request log keeps it.  With
+    ``masked`` the base URL holds the mask already: a password may contain
+    ``/`` and ``@``, so it is best never put into a URL."""
     from mirrorsmith.functions.literals import mask_credentials
+    mask = (lambda c: c) if masked else mask_credentials
     ts = started or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     return requests.select(
         F.lit(ts).cast("timestamp_ntz").alias("ts"), F.lit(0).cast("long").alias("duration_ms"),
         F.lit(user).alias("user"), F.lit(server).alias("server"),
-        mask_credentials(F.concat(F.lit(base_url.rstrip("/")), F.col("url"))).alias("url"),
+        mask(F.concat(F.lit(base_url.rstrip("/")), F.col("url"))).alias("url"),
         F.lit(True).alias("fixed"), F.lit(None).cast("string").alias("exception"))
 
 

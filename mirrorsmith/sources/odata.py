@@ -76,7 +76,8 @@ class PagedReader(DataSourceReader):
         with urllib.request.urlopen(req, timeout=600) as resp:
             return resp.read().decode("utf-8")
 
-    def _count(self) -> int:
+    def count(self) -> int:
+        """Rows the source holds: the option, or the source's own count."""
         if self.row_count is not None:
             return self.row_count
         return int(self._get(f"{self.entity}/$count", "$count").strip())
@@ -84,11 +85,11 @@ class PagedReader(DataSourceReader):
     def page(self, page_no: int) -> tuple[str, int, int]:
         skip = page_no * ((self.fetch_size + 1) // 2)
         body = self._get(f"{self.entity}?{self._query(skip)}", f"{skip}.json")
-        return body, skip, len(json.loads(body).get("value", []))
+        return body, skip, len(json.loads(body)["value"])
 
     # -- Spark reader -----------------------------------------------------
     def partitions(self):
-        pages = _page_count(self._count(), self.fetch_size)
+        pages = _page_count(self.count(), self.fetch_size)
         parts = max(1, math.ceil(pages / self.per_partition))
         out = []
         for i in range(parts):

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from mirrorsmith.functions.decode import FAIL_FAST
 from mirrorsmith.functions.literals import request_path
 
 PAGE_SCHEMA = "table string, page_no int, skip bigint, body string"
@@ -62,48 +63,73 @@ def request_url(entity: Column, sort: Column, skip: Column, fetch_size: Column,
     return request_path(publication, entity, query)
 
 
-def land_pages(rows: DataFrame, json_col: str, ordinal_col: str, fetch_size: int, table: str,
-               later_copy=None, total_col: str | None = None) -> DataFrame:
-    """Source responses for rows already numbered in paging order.
-
-    A row at position ``n`` is returned by every page ``k`` with
-    ``k*step <= n < k*step + F``; ``later_copy`` (JSON column → JSON column)
-    may alter the copies after the first one, as a row changed at the source
-    between two requests would be.  A page holds at most ``F`` rows, so each
-    `collect_list` group is bounded by the fetch size.
-    """
-    step = (fetch_size + 1) // 2
-    n = F.col(ordinal_col)
-    total = F.col(total_col) if total_col else rows.agg(F.count(F.lit(1)).cast("long")).scalar()
-    last_page = page_count(total, F.lit(fetch_size)) - 1
-    first = F.greatest(F.lit(0).cast("long"), F.ceil((n - fetch_size + 1) / step).cast("long"))
-    last = F.least(F.floor(n / step).cast("long"), last_page)
-    copies = rows.select(n.alias("_n"), F.col(json_col).alias("_json"), first.alias("_first"),
-                         F.explode(F.sequence(first, last)).alias("page_no"))
-    body = F.col("_json")
-    if later_copy is not None:
-        body = F.when(F.col("page_no") > F.col("_first"), later_copy(body)).otherwise(body)
-    placed = copies.select("page_no", (F.col("_n") - F.col("page_no") * step).alias("pos"), body.alias("_json"))
-    grouped = placed.groupBy("page_no").agg(F.array_sort(F.collect_list(F.struct("pos", "_json"))).alias("_rows"))
-    return grouped.select(
-        F.lit(table).alias("table"),
-        F.col("page_no").cast("int").alias("page_no"),
-        (F.col("page_no") * step).cast("long").alias("skip"),
-        F.concat(F.lit('{"value":['), F.array_join(F.transform("_rows", lambda r: r.getField("_json")), ","),
-                 F.lit("]}")).alias("body"))
-
-
 def read_pages(pages: DataFrame, row_schema: T.StructType) -> DataFrame:
     """Rows of landed pages: ``(table, page_no, pos, row)`` with ``row`` parsed
-    by ``row_schema`` (numbers straight into their types, never via double)."""
-    resp = T.StructType([T.StructField("value", T.ArrayType(row_schema))])
-    parsed = pages.select("table", "page_no", F.from_json("body", resp).getField("value").alias("_rows"))
+    by ``row_schema`` (numbers straight into their types, never via double).
+
+    A cut body, a body without ``value`` (an error answer) or a number that its
+    type cannot hold stops the job.
+    """
+    array = T.ArrayType(row_schema)
+    resp = T.StructType([T.StructField("value", array)])
+    # coalesce, not a test: the parsed array is named once and parsed once
+    missing = F.raise_error(F.concat(F.lit("page "), F.col("page_no").cast("string"), F.lit(" of "), F.col("table"),
+                                     F.lit(" has no rows field"))).cast(array)
+    rows = F.coalesce(F.from_json("body", resp, FAIL_FAST).getField("value"), missing)
+    parsed = pages.select("table", "page_no", rows.alias("_rows"))
     # posexplode_outer + null filter: plain posexplode makes the optimizer push
     # an inferred size(from_json(body)) > 0 into the scan, parsing every body twice
     return (parsed.select("table", "page_no", F.posexplode_outer("_rows").alias("pos", "row"))
             .filter(F.col("row").isNotNull()))
 
 
+OK, CORRUPT, GAP, SHORT, NO_SHORT_PAGE = "ok", "corrupt", "gap", "short", "no short page"
+
+
+class IncompleteLoad(ValueError):
+    """The pages are not one complete read of the source."""
+
+
+def page_states(pages: DataFrame, fetch_size: int) -> DataFrame:
+    """(page_no, n_rows, state) of a page set, one row per page and per gap.
+
+    ``corrupt``: no readable rows; ``gap``: the first number missing after a
+    page (or 0); ``short``: fewer rows than the fetch size before the last
+    page; ``no short page``: the last page is full, so reading stopped early.
+    """
+    have = (pages.select(F.col("page_no").cast("long").alias("page_no"),
+                         F.json_array_length(F.get_json_object("body", "$.value")).cast("long").alias("n_rows"))
+            .groupBy("page_no").agg(F.when(F.count("n_rows") == F.count(F.lit(1)), F.min("n_rows")).alias("n_rows")))
+    last = have.agg(F.max("page_no")).scalar()
+    full = F.col("n_rows") >= fetch_size
+    state = (F.when(F.col("n_rows").isNull(), CORRUPT)
+             .when((F.col("page_no") == last) & full, NO_SHORT_PAGE)
+             .when((F.col("page_no") < last) & ~full, SHORT).otherwise(OK))
+    # the page that should follow each page but the last, and page 0
+    expected = have.filter(F.col("page_no") < last).select((F.col("page_no") + 1).alias("page_no")) \
+        .unionByName(have.sparkSession.range(1).select(F.lit(0).cast("long").alias("page_no")))
+    gaps = expected.join(have.select("page_no"), "page_no", "left_anti") \
+        .select("page_no", F.lit(None).cast("long").alias("n_rows"), F.lit(GAP).alias("state"))
+    return have.select("page_no", "n_rows", state.alias("state")).unionByName(gaps)
+
+
+def check_page_set(pages: DataFrame, fetch_size: int | None = None, default: int = 10000) -> None:
+    """Raise `IncompleteLoad` unless ``pages`` are one complete read.
+
+    Without a fetch size it is that of the fullest page, or ``default`` if
+    there is one page only.  Called before a merge, which deletes what a load
+    lacks.
+    """
+    if fetch_size is None:
+        n, most = pages.agg(F.countDistinct("page_no"),
+                            F.max(F.json_array_length(F.get_json_object("body", "$.value")))).first()
+        fetch_size = most if n > 1 and most else default
+    bad = page_states(pages, fetch_size).filter(F.col("state") != OK)
+    found = bad.orderBy("page_no").limit(5).collect()
+    if found:
+        raise IncompleteLoad("; ".join(f"page {r['page_no']}: {r['state']}" for r in found))
+
+
 def write_pages(pages: DataFrame, path: str) -> None:
     """Land pages as parquet rows ``(page_no, skip, body)`` partitioned by table.
 

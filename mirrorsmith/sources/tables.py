@@ -29,36 +29,9 @@ PRIORITY_ENUM = "Приоритеты"
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
 
-# A scan should give every core work: one task per this many input bytes.
-SPLIT_BYTES = 1 << 20
-
-
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
-
-
-def spread(df: DataFrame, input_bytes: int) -> DataFrame:
-    """Round-robin a scan that lands in fewer tasks than its size warrants.
-
-    A parquet file with a single row group is read by one task however large
-    it is; every per-row step before the first shuffle then runs on one core.
-    Large inputs on a cluster are split by the reader and never hit this.
-    """
-    spark = df.sparkSession
-    want = min(spark.sparkContext.defaultParallelism, input_bytes // SPLIT_BYTES)
-    if want > 1 and df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """One given table.  ``spread_rows`` for row-wise work that runs before
-    any shuffle (decoding, formatting): see `spread`."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    return spread(df, _input_bytes(spark, path)) if spread_rows else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One given table, as the reader splits it."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # FIXED VALUES: first hex digit of generated GUIDs (never the empty GUID).
@@ -178,77 +151,3 @@ def lines_description(spark: SparkSession) -> TableDescription:
     return _DESCRIPTIONS[cache_key]
 
 
-def line_json(lineitem: DataFrame, state: DataFrame) -> DataFrame:
-    """(l_orderkey, line_no, json) — one source JSON object per line of the
-    orders in ``state``.  Lines are numbered per order in `LINE_ORDER` order by
-    a window over the order's lines (streamed and spillable, never gathered
-    into one value)."""
-    from pyspark.sql import Window
-    lines = lineitem.join(state.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
-    numbered = lines.withColumn("line_no", F.row_number().over(
-        Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)).cast("long"))
-    fields = [
-        guid_of(F.col("l_orderkey")).alias("Ref_Key"),
-        F.col("line_no").cast("string").alias("LineNumber"),
-        guid_of(F.col("l_partkey")).alias("Номенклатура_Key"),
-        guid_of(F.col("l_suppkey")).alias("Поставщик_Key"),
-        F.col("l_quantity").alias("Количество"),
-        F.col("l_extendedprice").alias("Сумма"),
-        F.col("l_discount").alias("Скидка"),
-        F.col("l_tax").alias("Налог"),
-        F.col("l_returnflag").alias("ПризнакВозврата"),
-        F.col("l_linestatus").alias("СтатусСтроки"),
-        _iso(F.col("l_shipdate")).alias("ДатаОтгрузки"),
-    ]
-    return numbered.select("l_orderkey", "line_no", F.to_json(F.struct(*fields)).alias("json"))
-
-
-def _iso(ts: Column) -> Column:
-    return F.date_format(ts, ISO_SECONDS)
-
-
-def order_lines(lineitem: DataFrame) -> DataFrame:
-    """(l_orderkey, lines) — the section of each order as source JSON structs,
-    numbered 1.. in `LINE_ORDER` order.  One group per document."""
-    grouped = lineitem.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct(*LINE_ORDER))).alias("_ls"))
-
-    def line(x: Column, i: Column) -> Column:
-        return F.struct(
-            (i + 1).cast("string").alias("LineNumber"),
-            guid_of(x.getField("l_partkey")).alias("Номенклатура_Key"),
-            guid_of(x.getField("l_suppkey")).alias("Поставщик_Key"),
-            x.getField("l_quantity").alias("Количество"),
-            x.getField("l_extendedprice").alias("Сумма"),
-            x.getField("l_discount").alias("Скидка"),
-            x.getField("l_tax").alias("Налог"),
-            x.getField("l_returnflag").alias("ПризнакВозврата"),
-            x.getField("l_linestatus").alias("СтатусСтроки"),
-            _iso(x.getField("l_shipdate")).alias("ДатаОтгрузки"))
-
-    return grouped.select("l_orderkey", F.transform("_ls", line).alias("lines"))
-
-
-def document_json(state: DataFrame, lines: DataFrame | None, keep: list[str] | None = None) -> DataFrame:
-    """(o_orderkey, json) — one source JSON object per order of a state.
-
-    Orders without lines have no ``Товары`` field at all (decoded as ``[]``).
-    """
-    k = F.col("o_orderkey")
-    joined = state if lines is None else state.join(lines, state["o_orderkey"] == lines["l_orderkey"], "left")
-    fields = [
-        guid_of(k).alias("Ref_Key"),
-        F.col("ver").alias("DataVersion"),
-        (F.upper("o_orderstatus") == "P").alias("DeletionMark"),
-        F.lpad(k.cast("string"), 9, "0").alias("Number"),
-        _iso(F.col("o_orderdate")).alias("Date"),
-        (F.upper("o_orderstatus") == "F").alias("Posted"),
-        guid_of(F.col("o_custkey")).alias("Покупатель_Key"),
-        F.col("o_orderstatus").alias("Статус"),
-        F.col("o_totalprice").alias("СуммаДокумента"),
-        F.col("o_orderpriority").alias("Приоритет"),
-        F.lit("StandardODATA." + PRIORITY_ENUM).alias("Приоритет_Type"),
-    ]
-    if lines is not None:
-        fields.append(F.col("lines").alias(LINES_PROPERTY))
-    return joined.select(k, *(keep or []), F.to_json(F.struct(*fields)).alias("json"))

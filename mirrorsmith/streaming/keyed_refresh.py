@@ -2,10 +2,12 @@
 
 The per-key refresh of the studied system (fetch one key inside a query,
 upsert or delete it) becomes a Structured Streaming query: responses to key
-requests land as JSON lines ``{"keys": {<key fields>}, "value": [rows]}``
-in a folder; each micro-batch is applied as one batch refresh
-(`mirrorsmith.operators.merge.refresh_by_key`): requested keys that came
-back are upserted, requested keys that did not are deleted, other rows stay.
+requests land as JSON lines ``{"keys": {<key fields>}, "value": [rows],
+"seq": <n>}`` in a folder; each micro-batch is applied as one batch refresh:
+the last response of each requested key counts, one with a row upserts it, one
+with an empty ``value`` deletes it, other rows stay.  ``seq`` orders the
+responses; without it they count in the order of their files' times and names
+and of their lines.  A response that cannot be read stops the batch.
 
 Each micro-batch commits one new snapshot version (the previous one stays
 readable); a replayed batch after a failure yields the same rows again.  The
@@ -14,52 +16,67 @@ streaming checkpoint must live in the shared checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
-from mirrorsmith.functions.decode import decode_row, decode_sections, decode_some, read_schema
-from mirrorsmith.operators.dedup import first_arrival
-from mirrorsmith.operators.merge import refresh_by_key
+from mirrorsmith.functions.decode import FAIL_FAST, decode_row, decode_sections, decode_some, read_schema
 from mirrorsmith.plans.description import TableDescription
-from mirrorsmith.plans.refresh import MirrorStore
-from mirrorsmith.session import checkpoint_dir
+from mirrorsmith.plans.refresh import MirrorStore, mirror_root
 
 
 def response_schema(desc: TableDescription) -> T.StructType:
     row = read_schema(desc)
     key_fields = [f for f in row.fields if f.name in {c.name_src for c in desc.columns if c.name in desc.key}]
     return T.StructType([T.StructField("keys", T.StructType(key_fields)),
-                         T.StructField("value", T.ArrayType(row))])
+                         T.StructField("value", T.ArrayType(row)),
+                         T.StructField("seq", T.LongType())])
 
 
 def apply_responses(batch: DataFrame, desc: TableDescription, current: DataFrame) -> DataFrame:
-    """New snapshot after one batch of key responses (``value`` text lines)."""
-    parsed = batch.select(F.monotonically_increasing_id().alias("_resp"),
-                          F.from_json("value", response_schema(desc)).alias("r"))
-    keys = parsed.select(*decode_some(F.col("r.keys"), desc, desc.key)).distinct()
-    rows = parsed.select(F.col("_resp").cast("long").alias("page_no"),
-                         F.posexplode("r.value").alias("pos", "row"))
-    keyed = rows.select("page_no", "pos", "row", *decode_some(F.col("row"), desc, desc.key))
-    # several responses for one key in a batch: the first one wins
-    winners = first_arrival(keyed, desc.key,
-                            order_cols=("page_no", "pos")).select("row")
-    fetched = decode_sections(winners.select(*decode_row(F.col("row"), desc, sections=False)), desc, [])
-    return refresh_by_key(current, fetched.select(*[c.name for c in desc.columns]), keys, desc.key)
+    """New snapshot after one batch of key responses (``value`` text lines,
+    optionally with their file's ``file_time`` and ``file_name``).
+
+    A response is parsed once; the last one per key is taken before anything
+    is joined, and one outer join with the stored side (bucketed by the key)
+    replaces, adds and deletes.
+    """
+    names = [c.name for c in desc.columns]
+    placed = [F.col(c) for c in ("file_time", "file_name") if c in batch.columns]
+    schema = response_schema(desc)
+    parsed = batch.select(F.from_json("value", schema, FAIL_FAST).alias("r"), *placed, F.monotonically_increasing_id().alias("_line"))
+    need = lambda field: F.coalesce(F.col(f"r.{field}"), F.raise_error(F.lit(f"a key response has no {field}"))
+                                    .cast(schema[field].dataType))
+    fields = parsed.select(need("keys").alias("k"), need("value").alias("v"), F.col("r.seq").alias("_seq"), *placed, "_line")
+    keyed = fields.select(*decode_some(F.col("k"), desc, desc.key), "v", "_seq", *placed, "_line")
+    order = [F.col("_seq").desc_nulls_last(), *[c.desc() for c in placed], F.col("_line").desc()]
+    last = keyed.withColumn("_n", F.row_number().over(Window.partitionBy(*desc.key).orderBy(*order))).filter("_n = 1")
+    # the row of the answer, NULL if the key is gone
+    rows = last.select(*desc.key, F.get("v", F.lit(0)).alias("row"))
+    decoded = rows.select(F.col("row").isNotNull().alias("_found"), *decode_row(F.col("row"), desc, sections=False, decoded=set(desc.key)))
+    fetched = decode_sections(decoded, desc, ["_found"])
+    value_cols = [c for c in names if c not in desc.key]
+    answers = fetched.select(*desc.key, "_found", *[F.col(c).alias(f"_new_{c}") for c in value_cols])
+    joined = current.join(answers, on=desc.key, how="full_outer").filter(F.coalesce(F.col("_found"), F.lit(True)))
+    return joined.select(*[F.col(c) if c in desc.key else
+                           F.when(F.col("_found").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in names])
 
 
 def start(spark: SparkSession, landed_dir: str, desc: TableDescription, store: MirrorStore,
           table: str | None = None, checkpoint: str | None = None, available_now: bool = True):
     """Start the stream; with ``available_now`` it processes what has landed and stops."""
     table = table or desc.table
-    checkpoint = checkpoint or checkpoint_dir(spark).rstrip("/") + f"/streams/{table}"
+    checkpoint = checkpoint or mirror_root(spark) + f"/_streams/{table}"
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
+        base = store.current_version(table)
         current = store.read(table, desc.spark_schema())
-        store.commit(table, apply_responses(batch, desc, current))
+        store.commit(table, apply_responses(batch, desc, current), bucket_key=desc.key, base=base)
+        store.register(table, desc)
 
-    stream = spark.readStream.format("text").load(landed_dir)
+    stream = spark.readStream.format("text").load(landed_dir).select(
+        "value", F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_name").alias("file_name"))
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

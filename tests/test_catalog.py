@@ -112,11 +112,11 @@ def test_abbreviation_chain(spark):
 def test_assign_names_sequential(spark):
     df = spark.createDataFrame([("e", 1, "ИмяФайла"), ("e", 2, "ИмяФайла"), ("e", 3, "ИмяФ"), ("f", 1, "Имя")],
                                "entity string, o int, n string")
-    got = sorted((r["entity"], r["o"], r["name_pg"]) for r in assign_names(df, ["entity"], "o", "n").collect())
+    got = sorted((r["entity"], r["o"], r["name_out"]) for r in assign_names(df, ["entity"], "o", "n").collect())
     assert got == [("e", 1, "ИмяФайла"), ("e", 2, "ИмяФ"), ("e", 3, "ИФ"), ("f", 1, "Имя")]
 
 
 def test_assign_names_short(spark):
     df = spark.createDataFrame([("e", 1, "КонтактнаяИнформация")], "entity string, o int, n string")
-    got = assign_names(df, ["entity"], "o", "n", short=True, max_bytes=30).first()["name_pg"]
+    got = assign_names(df, ["entity"], "o", "n", short=True, max_bytes=30).first()["name_out"]
     assert got == "КонтактнаяИ"                     # 40 bytes does not fit, 22 does

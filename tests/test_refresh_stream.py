@@ -3,6 +3,9 @@
 import json
 import os
 
+import pytest
+
+from mirrorsmith.fixtures import source as fx
 from mirrorsmith.plans import refresh as rf
 from mirrorsmith.plans.description import ColumnDesc, TableDescription
 from mirrorsmith.sources import pages as pg
@@ -27,7 +30,7 @@ def row(i, ver="1", name=None, deleted=False):
 
 def _pages(spark, rows, fetch):
     df = spark.createDataFrame([(i, json.dumps(r, ensure_ascii=False)) for i, r in enumerate(rows)], "n long, json string")
-    return pg.land_pages(df, "json", "n", fetch, DESC.entity)
+    return fx.land_pages(df, "json", "n", fetch, DESC.entity)
 
 
 def test_full_refresh_versions_and_views(spark, scratch):
@@ -39,7 +42,7 @@ def test_full_refresh_versions_and_views(spark, scratch):
     assert (s2["insert"], s2["update"], s2["delete"], s2["same"]) == (1, 1, 2, 4)
     assert store.current_version(DESC.table) == 2
     store.register(DESC.table, DESC)
-    got = dict(spark.sql("SELECT `Ссылка`, `Наименование` FROM `Товары`").collect())
+    got = dict(spark.sql("SELECT `Ссылка`, `Наименование` FROM `Справочник.Товары`").collect())
     assert got[g(0)] == "renamed" and len(got) == 6
     # the previous version is untouched
     assert spark.read.parquet(f"{store.root}/{DESC.table}/v=1").count() == 7
@@ -51,7 +54,7 @@ def test_sql_table_function_over_mirror(spark, scratch):
     store.register(DESC.table, DESC)
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION live_items(skip_deleted BOOLEAN)
                  RETURNS TABLE (ref STRING, name STRING)
-                 RETURN SELECT `Ссылка`, `Наименование` FROM `Товары`
+                 RETURN SELECT `Ссылка`, `Наименование` FROM `Справочник.Товары`
                         WHERE NOT (skip_deleted AND `ПометкаУдаления`)""")
     assert spark.sql("SELECT count(*) FROM live_items(true)").first()[0] == 3
     assert spark.sql("SELECT count(*) FROM live_items(false)").first()[0] == 6
@@ -92,7 +95,7 @@ def test_create_table_then_refresh(spark, scratch):
     store = rf.MirrorStore(spark, scratch + "/store")
     assert rf.create_table(store, DESC) == 1
     assert rf.create_table(store, DESC) == 1                 # already there
-    assert spark.sql("SELECT count(*) FROM `Товары`").first()[0] == 0
+    assert spark.sql("SELECT count(*) FROM `Справочник.Товары`").first()[0] == 0
     stats = rf.refresh_and_commit(store, DESC, _pages(spark, [row(i) for i in range(3)], 2))
     assert stats["version"] == 2 and stats["insert"] == 3
 
@@ -107,6 +110,7 @@ def test_failed_version_is_skipped(spark, scratch):
     store = rf.MirrorStore(spark, scratch + "/store")
     store.commit("T", spark.range(3))
     os.makedirs(f"{store.root}/T/v=2")                       # a write that died before committing
+    open(f"{store.root}/T/v=2/_SUCCESS", "w").close()        # ... or before its layout was written
     assert store.current_version("T") == 1
     version, rows = store.commit("T", spark.range(5))
     assert version == 3 and store.current_version("T") == 3 and store.read("T").count() == 5
@@ -120,12 +124,30 @@ def test_select_refresh_fast_skips_unknown_sizes(spark):
     assert [r["table"] for r in rf.select_refresh(ctl, fast=True).collect()] == ["b"]
 
 
-def test_duplicate_responses_first_wins(spark, scratch):
+def _responses(spark, *answers):
+    return spark.createDataFrame([(json.dumps(a, ensure_ascii=False),) for a in answers], "value string").coalesce(1)
+
+
+def _answer(i, *rows, **more):
+    return {"keys": {"Ref_Key": g(i)}, "value": list(rows), **more}
+
+
+def test_last_response_of_a_key_counts(spark, scratch):
+    store = rf.MirrorStore(spark, scratch + "/store")
+    rf.refresh_and_commit(store, DESC, _pages(spark, [row(1), row(2), row(3), row(4)], 10))
+    current = store.read(DESC.table)
+    batch = _responses(spark, _answer(1, row(1, "2", "first")), _answer(1, row(1, "3", "second")),
+                       _answer(2, row(2, "2", "upsert")), _answer(2),                      # then deleted
+                       _answer(3), _answer(3, row(3, "2", "back")),                       # deleted, then there again
+                       _answer(9, row(9, "1", "new"), seq=5), _answer(9, seq=7), _answer(9, row(9, "2", "late"), seq=6))
+    out = kr.apply_responses(batch, DESC, current)
+    assert {r["Ссылка"]: r["Наименование"] for r in out.collect()} == {g(1): "second", g(3): "back", g(4): "item4"}
+    assert out._jdf.queryExecution().executedPlan().toString().count("from_json") <= 2     # one parse (and its name)
+
+
+def test_unreadable_response_stops_the_batch(spark, scratch):
     store = rf.MirrorStore(spark, scratch + "/store")
     rf.refresh_and_commit(store, DESC, _pages(spark, [row(1)], 10))
-    batch = spark.createDataFrame([(json.dumps({"keys": {"Ref_Key": g(1)}, "value": [row(1, "2", "first")]},
-                                               ensure_ascii=False),),
-                                   (json.dumps({"keys": {"Ref_Key": g(1)}, "value": [row(1, "3", "second")]},
-                                               ensure_ascii=False),)], "value string").coalesce(1)
-    out = kr.apply_responses(batch, DESC, store.read(DESC.table)).collect()
-    assert [(r["Ссылка"], r["Наименование"]) for r in out] == [(g(1), "first")]
+    for bad in ('{"keys": {"Ref_Key"', '{"value": []}', '{"keys": {"Ref_Key": "%s"}}' % g(1)):
+        with pytest.raises(Exception):
+            kr.apply_responses(spark.createDataFrame([(bad,)], "value string"), DESC, store.read(DESC.table)).collect()
