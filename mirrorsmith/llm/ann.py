@@ -93,30 +93,34 @@ _APART = np.bitwise_count(_ALL[:, None] ^ _ALL[None, :])
 
 
 class Index:
-    """The substring indexes of a block of codes."""
+    """The substring indexes of a block of codes.
+
+    The posting list of a byte value in a substring is a bitmap over the
+    block.  Probing all values within some distance of a byte is one lookup:
+    their united bitmaps are made once per substring and distance.
+    """
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
         self.words = np.ascontiguousarray(codes).view(np.uint64)
-        self.order = [np.argsort(codes[:, j], kind="stable").astype(np.int32) for j in range(TABLES)]
-        self.at = [np.concatenate([[0], np.cumsum(np.bincount(codes[:, j], minlength=256))]).tolist() for j in range(TABLES)]
+        self.reached: dict[tuple[int, int], np.ndarray] = {}
+
+    def postings(self, j: int, reach: int) -> np.ndarray:
+        """Per byte value: the codes whose substring ``j`` is within ``reach`` of it."""
+        if (j, reach) not in self.reached:
+            own = np.packbits(self.codes[:, j][None, :] == _ALL[:, None], axis=1)
+            self.reached[j, reach] = np.stack([np.bitwise_or.reduce(own[_APART[v] <= reach], axis=0) for v in range(256)])
+        return self.reached[j, reach]
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """All positions of codes within ``radius`` of ``code``."""
         whole, more = divmod(radius, TABLES)
-        seen = np.zeros(len(self.codes), bool)
+        found = np.zeros(-(-len(self.codes) // 8), np.uint8)
         for j in range(TABLES):
             reach = whole if j <= more else whole - 1
-            if reach < 0:
-                continue
-            order, at = self.order[j], self.at[j]
-            if reach >= 8:
-                seen[:] = True
-                break
-            for v in np.flatnonzero(_APART[code[j]] <= reach).tolist():
-                if at[v] < at[v + 1]:
-                    seen[order[at[v]:at[v + 1]]] = True
-        near = np.flatnonzero(seen)
+            if reach >= 0:
+                found |= self.postings(j, min(reach, 8))[code[j]]
+        near = np.flatnonzero(np.unpackbits(found, count=len(self.codes)))
         apart = np.bitwise_count(self.words[near] ^ code.view(np.uint64)).sum(axis=1, dtype=np.int64)
         return near[apart <= radius]
 
