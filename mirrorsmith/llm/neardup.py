@@ -39,7 +39,7 @@ BLOCK_SHINGLES = 1 << 20  # shingles of a family that one group confirms at once
 # A pair is passed over if its estimate is this much below the threshold: over
 # six standard errors of an estimate from 80 minima of 4 bits.
 MARGIN = 0.33
-SPREAD = 1 << 14          # shingles hashed at once for one document
+SPREAD = 1 << 12          # shingles hashed at once for one document
 
 
 def minima(s: np.ndarray) -> np.ndarray:

@@ -13,8 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 4 << 20   # bytes of text handled at once (a longer text is its own chunk)
-BLOCK = 1 << 19   # bytes hashed at once
+CHUNK = 1 << 20   # bytes of text handled at once (a longer text is its own chunk)
+BLOCK = 1 << 18   # bytes hashed at once
 SPACE = b" \t\n\x0b\x0c\r"
 
 _U = np.uint64
