@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorsmith.llm import ann, fingerprint, linededup, mix, neardup, packing, quality, toxicity, warc
+from mirrorsmith.llm import ann, fingerprint, licenses, linededup, mix, neardup, packing, quality, toxicity, warc
 from mirrorsmith.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, warc.write_archive(table(spark, sf_dir, "pages")))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -54,6 +58,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc_archive": op2_warc_archive,
+    "op3_license_scan": op3_license_scan,
     "op4_quality": op4_quality,
     "op5_nearest_vectors": op5_nearest_vectors,
     "op6_near_duplicates": op6_near_duplicates,
