@@ -4,7 +4,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from mirrorsmith.plans import queries as q
 
 SF = "/root/testdata/sf0.001"
@@ -15,9 +14,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(q.REGISTRY))
 def test_no_pairwise_joins(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
+    plan = _plan(q.REGISTRY[name](spark, SF))
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
@@ -48,3 +47,11 @@ def test_flat_section_refresh_exchanges_only_the_load(spark):
     join = plan[plan.index("SortMergeJoin"):]
     assert "Bucketed: true" in plan
     assert len(re.findall(r"Exchange hashpartitioning\(Ссылка#\d+, НомерСтроки", join)) == 1
+
+
+def test_report_reads_only_its_columns(spark):
+    # master key, version, customer and lines of the stored side; no other column
+    plan = _plan(q.section_sales_topk(spark, SF))
+    stored = next(line for line in plan.splitlines() if "FileScan parquet" in line and "Bucketed: true" in line)
+    read = re.search(r"\[(.*?)\]", stored.split("FileScan parquet")[1])[1]
+    assert {re.sub(r"#.*", "", c) for c in read.split(",")} == {"Ссылка", "ВерсияДанных", "Покупатель", "Товары"}
