@@ -29,3 +29,9 @@ def test_query_matches_sql(spark, name):
     assert sorted(cols) == sorted(df.columns)
     norm = lambda v: repr(round(v, 9)) if isinstance(v, float) and not math.isnan(v) else repr(v)
     assert sorted(tuple(norm(r[c]) for c in cols) for r in df.collect()) == sorted(tuple(map(norm, r)) for r in cur.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(queries.REGISTRY))
+def test_no_pairwise_joins(spark, name):
+    plan = queries.REGISTRY[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
