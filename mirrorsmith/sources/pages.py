@@ -107,7 +107,7 @@ def page_states(pages: DataFrame, fetch_size: int) -> DataFrame:
              .when((F.col("page_no") < last) & ~full, SHORT).otherwise(OK))
     # the page that should follow each page but the last, and page 0
     expected = have.filter(F.col("page_no") < last).select((F.col("page_no") + 1).alias("page_no")) \
-        .unionByName(have.sparkSession.range(1).select(F.lit(0).cast("long").alias("page_no")))
+        .unionByName(have.sparkSession.range(1).withColumnRenamed("id", "page_no"))
     gaps = expected.join(have.select("page_no"), "page_no", "left_anti") \
         .select("page_no", F.lit(None).cast("long").alias("n_rows"), F.lit(GAP).alias("state"))
     return have.select("page_no", "n_rows", state.alias("state")).unionByName(gaps)
