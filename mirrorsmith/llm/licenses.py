@@ -8,12 +8,18 @@ share at least t n / (2 - t) of a template's n bigrams and be at most
 n (2 - t) / t long, so a template is a candidate only where that many of its
 bigrams stand that close together.  Whole texts are read; a passage may start
 and end anywhere.
+
+Templates are short notices (``TEMPLATES``) and whole licence texts
+(``whole_texts``), siblings included, so that the closest one wins.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -25,31 +31,70 @@ from mirrorsmith.llm.text import byte_values, chunks, hash_ranges, shingles, wor
 THRESHOLD = 0.8
 
 # FIXED VALUES: licence notices as their licences word them.
+_HEADER = "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License " \
+          "as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+_GNU = "This work is licensed under the GNU {}General Public License, version {}."
+_CC = "This work is licensed under a Creative Commons {} 4.0 International License."
 TEMPLATES = {
+    "agpl-3.0": _GNU.format("Affero ", "3"),
+    "agpl-3.0-header": _HEADER.format("program", ":", "Affero ", ",", "3"),
     "all-rights-reserved": "All rights reserved.",
+    "apache-1.0": "Licensed under the Apache License, Version 1.0.",
+    "apache-1.1": "Licensed under the Apache License, Version 1.1.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
                          "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-    "bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-                    "following conditions are met",
-    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    # The BSD licences open alike; which one it is, their whole texts tell.
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+           "following conditions are met",
+    "bsl-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "cc-by-4.0": _CC.format("Attribution"),
+    "cc-by-4.0-short": "Licensed under CC BY 4.0.",
+    "cc-by-sa-4.0": _CC.format("Attribution-ShareAlike"),
+    "cc-by-sa-4.0-short": "Licensed under CC BY-SA 4.0.",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
+    "cc-by-nc-4.0-notice": _CC.format("Attribution-NonCommercial"),
+    "cc-by-nc-nd-4.0": _CC.format("Attribution-NonCommercial-NoDerivatives"),
+    "cc-by-nc-nd-4.0-short": "Licensed under CC BY-NC-ND 4.0.",
+    "cc-by-nc-sa-4.0": _CC.format("Attribution-NonCommercial-ShareAlike"),
+    "cc-by-nc-sa-4.0-short": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nd-4.0": _CC.format("Attribution-NoDerivatives"),
+    "cc-by-nd-4.0-short": "Licensed under CC BY-ND 4.0.",
     "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-                      "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-                      "later version.",
+    "epl-1.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which "
+               "accompanies this distribution",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+               "is available at",
+    "gpl-1.0": _GNU.format("", "1"),
+    "gpl-1.0-header": _HEADER.replace(" of the License,", ",").format("program", ";", "", ";", "1"),
+    "gpl-2.0": _GNU.format("", "2"),
+    "gpl-2.0-header": _HEADER.format("program", ";", "", ";", "2"),
+    "gpl-3.0": _GNU.format("", "3"),
+    "gpl-3.0-header": _HEADER.format("program", ":", "", ",", "3"),
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
            "provided that the above copyright notice and this permission notice appear in all copies.",
+    "lgpl-2.0": _GNU.format("Library ", "2"),
+    "lgpl-2.0-header": _HEADER.format("library", ";", "Library ", ";", "2"),
+    "lgpl-2.1": _GNU.format("Lesser ", "2.1"),
+    "lgpl-2.1-header": _HEADER.format("library", ";", "Lesser ", ";", "2.1"),
+    "lgpl-3.0": _GNU.format("Lesser ", "3"),
+    "lgpl-3.0-header": _HEADER.format("program", ":", "Lesser ", ",", "3"),
     "mit": "Released under the MIT License.",
     "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
                 "documentation files (the \"Software\"), to deal in the Software without restriction",
+    "mpl-1.1": "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this "
+               "file except in compliance with the License.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
 
+def whole_texts() -> dict[str, str]:
+    """The licence texts of ``license_texts``, named <licence>-whole."""
+    found = (f for f in files("mirrorsmith.llm").joinpath("license_texts").iterdir() if f.name.endswith(".txt"))
+    return {f"{f.name[:-4]}-whole": f.read_text(encoding="utf-8") for f in sorted(found, key=lambda f: f.name)}
+
+
 def _plain() -> np.ndarray:
     """Byte table of the normalisation: punctuation becomes a space."""
     t = np.arange(256, dtype=np.uint8)
@@ -82,69 +127,88 @@ def passages(seq: np.ndarray, wanted: np.ndarray, threshold: float) -> list[tupl
     n = len(wanted)
     least, longest = math.ceil(threshold * n / (2 - threshold) - 1e-9), math.floor(n * (2 - threshold) / threshold + 1e-9)
     place = np.minimum(np.searchsorted(wanted, seq), n - 1)
-    hit = np.flatnonzero(wanted[place] == seq)
+    on = wanted[place] == seq
+    hit = np.flatnonzero(on)
     if len(hit) < least:
         return []
     # Hits that start a window with enough hits in it (repeats count here, so none is missed).
-    ahead = np.searchsorted(hit, hit + _span(seq, hit, longest))
-    found = []
-    for i in np.flatnonzero(ahead - np.arange(len(hit)) >= least).tolist():
-        a = int(hit[i])
-        seen: set[int] = set()
-        both, pos = 0, a
-        for j in hit[i:ahead[i]].tolist():
-            for x in seq[pos:j + 1].tolist():   # bigrams up to this hit
-                if x not in seen:
-                    seen.add(x)
-                    k = int(np.searchsorted(wanted, np.uint64(x)))
-                    both += k < n and int(wanted[k]) == x
-            pos = j + 1
-            if len(seen) > longest:
-                break
-            dice = 2 * both / (n + len(seen))
-            if dice >= threshold:
-                found.append((dice, a, j + 1))
+    before = _before(seq)
+    reach = hit + _span(before, hit, longest)
+    starts = np.flatnonzero(np.searchsorted(hit, reach) - np.arange(len(hit)) >= least)
+
+    def closest(a: int, end: int) -> tuple[float, int, int]:
+        """The best passage from ``a`` that ends by ``end``, as (-dice, a, its end)."""
+        new = before[a:end] < a
+        at = np.flatnonzero(on[a:end])
+        dice = 2 * np.cumsum(new & on[a:end])[at] / (n + np.cumsum(new)[at])
+        i = int(dice.argmax())
+        return -float(dice[i]), a, a + int(at[i]) + 1
+
+    heap = [x for x in (closest(int(hit[i]), int(reach[i])) for i in starts) if -x[0] >= threshold]
+    heapify(heap)
     best: list[tuple[float, int, int]] = []
-    for d, a, b in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-        if all(b <= p or q <= a for _, p, q in best):
-            best.append((d, a, b))
+    firsts: list[int] = []
+    ends: list[int] = []
+    while heap:
+        d, a, b = heappop(heap)
+        i = bisect_right(firsts, a)
+        if i and ends[i - 1] > a:
+            continue
+        if i < len(firsts) and b > firsts[i]:   # runs into a better one: what is best before that
+            x = closest(a, firsts[i])
+            if -x[0] >= threshold:
+                heappush(heap, x)
+            continue
+        firsts.insert(i, a)
+        ends.insert(i, b)
+        best.append((-d, a, b))
     return best
 
 
-def _span(seq: np.ndarray, hit: np.ndarray, longest: int) -> np.ndarray:
+def _before(seq: np.ndarray) -> np.ndarray:
+    """Where each bigram of the sequence occurred last, -1 at its first occurrence."""
+    order = np.argsort(seq, kind="stable")
+    before = np.full(len(seq), -1, np.int64)
+    same = seq[order][1:] == seq[order][:-1]
+    before[order[1:][same]] = order[:-1][same]
+    return before
+
+
+def _span(before: np.ndarray, hit: np.ndarray, longest: int) -> np.ndarray:
     """How far a passage from each hit may reach: ``longest`` distinct bigrams.
 
     Without repeats that is ``longest`` places; where a bigram repeats soon
     after itself the passage may be longer, up to the place where the distinct
     bigrams exceed the bound.
     """
-    out = np.full(len(hit), longest, np.int64)
-    _, code = np.unique(seq, return_inverse=True)
-    order = np.lexsort((np.arange(len(seq)), code))
-    before = np.full(len(seq), -1, np.int64)
-    same = code[order][1:] == code[order][:-1]
-    before[order[1:][same]] = order[:-1][same]
+    out = np.minimum(longest, len(before) - hit)
     for i, a in enumerate(hit.tolist()):
         if not (before[a + 1:a + longest + 1] >= a).any():
             continue
         new, end, step = 0, a, 4 * longest
-        while end < len(seq) and new <= longest:   # distinct so far: first occurrences since a
+        while end < len(before) and new <= longest:   # distinct so far: first occurrences since a
             new += int((before[end:end + step] < a).sum())
             end += step
-        out[i] = min(end, len(seq)) - a
+        out[i] = min(end, len(before)) - a
     return out
 
 
-def licence_of(seq: np.ndarray, templates: list[tuple[str, np.ndarray]], threshold: float) -> list[tuple[str, float, int, int]]:
-    """All agreeing passages: (template, dice, first word, end word), best first."""
+def licence_of(seq: np.ndarray, templates: list[tuple[str, np.ndarray]], threshold: float, whole: frozenset[str] = frozenset()) -> list[tuple[str, float, int, int]]:
+    """All agreeing passages: (template, dice, first word, end word), best first.
+
+    A notice inside a passage that agrees with a template of ``whole`` is part
+    of that text and comes after all others.
+    """
     out = [(name, d, a, b + 1) for name, wanted in templates for d, a, b in passages(seq, wanted, threshold)]
-    return sorted(out, key=lambda x: (-x[1], -(x[3] - x[2]), x[0], x[2]))
+    texts = [(a, b) for name, _, a, b in out if name in whole]
+    part = lambda x: x[0] not in whole and any(a <= x[2] and x[3] <= b for a, b in texts)
+    return sorted(out, key=lambda x: (part(x), -x[1], -(x[3] - x[2]), x[0], x[2]))
 
 
 SCHEMA = "doc_id long, license string, dice double, first_word long, end_word long, n_passages long, licenses array<string>"
 
 
-def scanner(templates: dict[str, str], threshold: float):
+def scanner(templates: dict[str, str], threshold: float, whole: frozenset[str] = frozenset()):
     names = list(templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,14 +216,23 @@ def scanner(templates: dict[str, str], threshold: float):
         for s, at in bigrams(pa.array([templates[n] for n in names], pa.large_string())):
             sets += [(names[len(sets) + i], np.unique(s[at[i]:at[i + 1]])) for i in range(len(at) - 1)]
         known = np.unique(np.concatenate([s for _, s in sets]))
-        fewest = min(math.ceil(threshold * len(s) / (2 - threshold) - 1e-9) for _, s in sets)
+        least = np.array([math.ceil(threshold * len(s) / (2 - threshold) - 1e-9) for _, s in sets])
+        # The templates that hold each known bigram, one after the other.
+        held = np.concatenate([np.searchsorted(known, s) for _, s in sets])
+        owner = np.repeat(np.arange(len(sets)), [len(s) for _, s in sets])[np.argsort(held, kind="stable")]
+        from_ = np.searchsorted(np.sort(held), np.arange(len(known) + 1))
         for b in batches:
             got = []
             for s, at in bigrams(b.column(1)):
                 place = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                hits = np.concatenate([[0], np.cumsum(known[place] == s)])
-                some = hits[at[1:]] - hits[at[:-1]] >= fewest
-                got += [licence_of(s[at[i]:at[i + 1]], sets, threshold) if some[i] else [] for i in range(len(at) - 1)]
+                hit = np.flatnonzero(known[place] == s)
+                # Distinct bigrams that each text shares with each template.
+                doc, which = np.divmod(np.unique((np.searchsorted(at, hit, "right") - 1) * len(known) + place[hit]), len(known))
+                many = from_[which + 1] - from_[which]
+                step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                shared = np.bincount(np.repeat(doc, many) * len(sets) + owner[np.repeat(from_[which], many) + step], minlength=(len(at) - 1) * len(sets))
+                near = shared.reshape(-1, len(sets)) >= least
+                got += [licence_of(s[at[i]:at[i + 1]], [sets[t] for t in np.flatnonzero(near[i])], threshold, whole) if near[i].any() else [] for i in range(len(at) - 1)]
             first = [g[0] if g else (None, 0.0, None, None) for g in got]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([f[0] for f in first], pa.string()), pa.array([f[1] for f in first], pa.float64()),
@@ -174,7 +247,10 @@ def license_report(docs: DataFrame, templates: dict[str, str] | None = None, thr
 
     ``docs`` needs doc_id and text; other columns are ignored.  A null, blank
     or one-word text has no passage: license null, dice 0.  Ties go to the
-    longer passage, then the smaller name.  Templates need two words or more.
-    Texts are read once where they lie; nothing is shuffled.
+    longer passage, then the smaller name; a notice inside a whole licence text
+    does not stand for the document.  Templates need two words or more.  Texts
+    are read once where they lie; nothing is shuffled.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scanner(templates or TEMPLATES, threshold), SCHEMA)
+    whole = {} if templates else whole_texts()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
+        .mapInArrow(scanner(templates or TEMPLATES | whole, threshold, frozenset(whole)), SCHEMA)

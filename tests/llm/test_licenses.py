@@ -79,3 +79,38 @@ def test_empty_and_shared_ids(spark):
     assert licenses.license_report(empty(spark)).collect() == []
     rows = licenses.license_report(frame(spark, ["All rights reserved.", "x", None], ids=[1, 1, None])).collect()
     assert sorted((r["doc_id"] or 0, r["license"] or "") for r in rows) == [(0, ""), (1, ""), (1, "all-rights-reserved")]
+
+
+SIBLINGS = {
+    "This work is licensed under the GNU General Public License, version 2.": "gpl-2.0",
+    "This work is licensed under the GNU Affero General Public License, version 3.": "agpl-3.0",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+    "by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.": "lgpl-2.1-header",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published "
+    "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "agpl-3.0-header",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+    "Free Software Foundation; either version 2 of the License, or (at your option) any later version.": "gpl-2.0-header",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "cc-by-nc-4.0-notice",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "cc-by-nd-4.0",
+    "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa-4.0-short",
+    "Licensed under the Apache License, Version 1.1.": "apache-1.1",
+}
+
+
+def test_siblings_and_whole_texts(spark):
+    whole = licenses.whole_texts()
+    rnd = random.Random(5)
+    texts, want = list(SIBLINGS), list(SIBLINGS.values())
+    for name, t in whole.items():
+        w = t.split()
+        for _ in range(len(w) // 60):
+            w[rnd.randrange(len(w))] = "changed"
+        texts += [f"notes before it\n{t}\nand after", " ".join(w)]
+        want += [name, name]
+    at = whole["apache-2.0-whole"].index("2. Grant of Copyright License")
+    texts.append(whole["apache-2.0-whole"][:at])   # a small part of a text is not the text
+    want.append(None)
+    rows = {r["doc_id"]: r for r in licenses.license_report(frame(spark, texts)).collect()}
+    for i, name in enumerate(want):
+        assert rows[i]["license"] == name, (name, rows[i]["license"], rows[i]["dice"])
+    assert all(rows[i]["dice"] == 1.0 for i in range(len(SIBLINGS)))
