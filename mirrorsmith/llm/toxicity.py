@@ -7,7 +7,10 @@
 2. The lexicon is a trie.  A Levenshtein automaton is run over it: a state is
    the set of (trie node, edits so far) that a word's letters can lead to, made
    when first needed and kept.  A word is read letter by letter through the
-   states and accepted with the entry it spells or misspells.
+   states and accepted with the entry it spells or misspells.  A beginning is
+   misspelled by a word one edit from a word that the sample holds under it,
+   or, if long enough, by a word that spells it with one edit before its last
+   letter.
 3. A hit counts as quoted if quotation marks or words of reporting stand around
    it.  Evidence of a document is the sum over entries of their log odds, apart
    for plain and quoted hits; a logistic regression makes it a score.
@@ -61,26 +64,35 @@ class Lexicon:
 
     entries: list[str]
     weights: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))   # per entry: spelled, misspelled
+    forms: dict[str, str] = field(default_factory=dict)                     # known words under a beginning: that beginning
 
     def __post_init__(self) -> None:
         self.children: list[dict[str, int]] = [{}]
         self.whole: dict[int, int] = {}      # node: entry that ends there
         self.begun: dict[int, int] = {}      # node: entry whose beginning ends there
+        self.formed: dict[int, int] = {}     # node: entry whose known word ends there
         for i, e in enumerate(self.entries):
-            node = 0
-            for c in e.rstrip("*"):
-                if c not in self.children[node]:
-                    self.children.append({})
-                    self.children[node][c] = len(self.children) - 1
-                node = self.children[node][c]
-            (self.begun if e.endswith("*") else self.whole)[node] = i
+            (self.begun if e.endswith("*") else self.whole)[self._node(e.rstrip("*"))] = i
+        place = {e: i for i, e in enumerate(self.entries)}
+        for w, e in self.forms.items():
+            if e in place and len(w) >= FUZZY_FROM:
+                self.formed[self._node(w)] = place[e]
         self.ids: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
-        self.steps: list[dict[str, int]] = []
+        self.steps: list[dict[str, tuple[int, tuple[int, int] | None]]] = []   # per letter: state, beginning misspelled there
         self.accepts: list[tuple[int, int] | None] = []
         self.sure: list[tuple[int, int] | None] = []
         self.start = self._state({(0, 0)})
 
+    def _node(self, word: str) -> int:
+        node = 0
+        for c in word:
+            if c not in self.children[node]:
+                self.children.append({})
+                self.children[node][c] = len(self.children) - 1
+            node = self.children[node][c]
+        return node
+
     def _state(self, nodes: set[tuple[int, int]]) -> int:
         """The number of the state of these (node, edits); a letter of the trie may be missing from the word."""
         nodes = nodes | {(c, 1) for n, e in nodes if e == 0 for c in self.children[n].values()}
@@ -90,35 +102,42 @@ class Lexicon:
             self.sets.append(key)
             self.steps.append({})
             spelled = [(e, self.whole[n]) for n, e in key if n in self.whole and (e == 0 or len(self.entries[self.whole[n]]) >= FUZZY_FROM)]
+            spelled += [(1, self.formed[n]) for n, e in key if e == 1 and n in self.formed]
             begun = [(e, self.begun[n]) for n, e in key if e == 0 and n in self.begun]
             self.accepts.append(min(spelled, default=None))
             self.sure.append(min(begun, default=None))
         return self.ids[key]
 
-    def _step(self, state: int, c: str) -> int:
-        to = set()
+    def _step(self, state: int, c: str) -> tuple[int, tuple[int, int] | None]:
+        to, slips = set(), []
         for n, e in self.sets[state]:
             if c in self.children[n]:
-                to.add((self.children[n][c], e))
+                x = self.children[n][c]
+                to.add((x, e))
+                # the last letter has to be right, or any word with the letters before it would do
+                if e == 1 and x in self.begun and len(self.entries[self.begun[x]]) > FUZZY_FROM:
+                    slips.append((1, self.begun[x]))
             if e == 0:
                 to.add((n, 1))
                 to.update((x, 1) for x in self.children[n].values())
-        return self._state(to) if to else -1
+        return self._state(to) if to else -1, min(slips, default=None)
 
     def match(self, word: str) -> int:
         """2 x entry + (1 if misspelled) of the entry that a word matches, or -1."""
-        state, found = self.start, None
+        state, found, near = self.start, None, None
         for c in word:
-            to = self.steps[state].get(c)
-            if to is None:
-                to = self.steps[state][c] = self._step(state, c)
-            if to < 0:
+            step = self.steps[state].get(c)
+            if step is None:
+                step = self.steps[state][c] = self._step(state, c)
+            if step[0] < 0:
                 break
-            state = to
+            state = step[0]
             found = found or self.sure[state]
+            near = near or step[1]
         else:
             if self.accepts[state] is not None and (found is None or self.accepts[state][0] == 0):
                 found = self.accepts[state]
+        found = found or near
         return -1 if found is None else 2 * found[1] + found[0]
 
 
@@ -224,6 +243,15 @@ def choose_entries(rows: list[tuple[str, int]]) -> list[str]:
     return list(kept)
 
 
+def known_forms(counted: DataFrame, begun: list[str]) -> dict[str, str]:
+    """The words under these beginnings, each with its shortest; the most frequent ENTRIES at most."""
+    if not begun:
+        return {}
+    under = F.coalesce(*[F.when((F.length("term") > n) & start.isin(begun), start) for n in PREFIXES for start in [F.concat(F.substring("term", 1, n), F.lit("*"))]])
+    words = counted.filter((F.col("toxic") > 0) & ~F.col("term").endswith("*")).withColumn("under", under).filter("under IS NOT NULL")
+    return {r["term"]: r["under"] for r in words.orderBy(F.col("toxic").desc(), "term").limit(ENTRIES).collect()}
+
+
 def needed(present: np.ndarray, toxic: np.ndarray, penalty: float, rounds: int = 300) -> np.ndarray:
     """Weights (0 or more) of a logistic regression with an L1 penalty on the columns of ``present``."""
     theta, bias = np.zeros(present.shape[1]), -1.0
@@ -248,12 +276,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if not toxic or not clean:
         return Model(Lexicon([]), 5.0 if toxic else -5.0, (0.0, 0.0))
     odds = lambda t, c: F.log((t + 0.5) / (toxic + 1)) - F.log((c + 0.5) / (clean + 1))
-    forms = taught.mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")) \
-        .filter((F.col("toxic") >= max(3, MIN_SHARE * toxic)) & (odds(F.col("toxic"), F.col("clean")) >= MIN_ODDS))
-    entries = choose_entries([(r["term"], r["toxic"]) for r in forms.orderBy(F.col("toxic").desc(), "term").limit(ENTRIES).collect()])
+    counted = taught.mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    often = counted.filter((F.col("toxic") >= max(3, MIN_SHARE * toxic)) & (odds(F.col("toxic"), F.col("clean")) >= MIN_ODDS))
+    entries = choose_entries([(r["term"], r["toxic"]) for r in often.orderBy(F.col("toxic").desc(), "term").limit(ENTRIES).collect()])
+    forms = known_forms(counted.filter(odds(F.col("toxic"), F.col("clean")) > 0), [e for e in entries if e.endswith("*")])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, seen = Lexicon(entries), {}
+        lexicon, seen = Lexicon(entries, forms=forms), {}
         for b in batches:
             got = list(hits(b.column(0), lexicon, seen))
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([list(c) for _, c in got], pa.list_(pa.int64())), pa.array([list(c.values()) for _, c in got], pa.list_(pa.int64()))], names=["toxic", "what", "times"])
@@ -268,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     surprise = 2 * with_toxic * np.log(np.maximum(with_toxic, 0.5) / (with_toxic + with_clean + 1e-9) * (toxic + clean) / toxic + 1e-9)
     frequent = (with_toxic >= 0.2 * with_toxic.max(initial=0)) & (surprise >= 20)
     use = np.flatnonzero((surprise >= 12) & (frequent | (needed(present, y, max(PENALTY * toxic, 1.5)) > 0))).tolist()
-    lexicon = Lexicon([entries[i] for i in use])
+    lexicon = Lexicon([entries[i] for i in use], forms=forms)
     place = {e: i for i, e in enumerate(use)}
     seen_in = [(label, Counter({4 * place[k >> 2] + (k & 3): n for k, n in c.items() if k >> 2 in place})) for label, c in seen_in]
     count = np.zeros((2, len(use), 2))
@@ -296,9 +325,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(lexicon, float(theta[0]), (float(max(0, theta[1])), float(max(0, theta[2]))))
 
 
-def scorer(entries: list[str], weights: np.ndarray, bias: float, slopes: tuple[float, float]) -> Callable:
+def scorer(entries: list[str], weights: np.ndarray, forms: dict[str, str], bias: float, slopes: tuple[float, float]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen = Model(Lexicon(entries, weights), bias, slopes), {}
+        model, seen = Model(Lexicon(entries, weights, forms), bias, slopes), {}
         for b in batches:
             got = list(hits(b.column(2), model.lexicon, seen))
             score = [model.score(c) for _, c in got]
@@ -317,5 +346,5 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     model = fit(docs, labels)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text") \
-        .mapInArrow(scorer(model.lexicon.entries, model.lexicon.weights, model.bias, model.slopes),
+        .mapInArrow(scorer(model.lexicon.entries, model.lexicon.weights, model.lexicon.forms, model.bias, model.slopes),
                     "doc_id long, held_out boolean, score double, predicted int, n_hits long")

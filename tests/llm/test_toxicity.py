@@ -110,3 +110,24 @@ def test_empty_tables_and_odd_labels(spark):
     assert toxicity.toxicity_report(frame(spark, texts[:9], ids=[None, 1, 1, 2, 3, 4, 5, 6, 7]), odd).count() == 9
     for lb in (labels(spark, []), labels(spark, [x for x in lab if not x[2]])):
         assert {r["predicted"] for r in toxicity.toxicity_report(frame(spark, texts[:9]), lb).collect()} == {0}
+
+
+def test_misspelled_beginnings():
+    short = Lexicon(["idio*"], forms={"idiots": "idio*", "idiotic": "idio*"})
+    assert [short.match(w) for w in ("idiots", "idioms", "iddiots", "idjots", "diotic", "idxxots", "idols")] == [0, 0, 1, 1, 1, -1, -1]
+    long = Lexicon(["idiot*", "trash"])
+    assert [long.match(w) for w in ("idiotically", "iddiotically", "idjotically", "diotically", "idiom", "idxxtically", "trasch")] == [0, 1, 1, 1, -1, -1, 3]
+    assert Lexicon(["idiot*", "idjots"]).match("idjots") == 2
+
+
+def test_misspelled_inflected_term(spark):
+    texts, lab = corpus()
+    rnd = random.Random(3)
+    texts = [" ".join(w for w in t.split() if w not in ("wretch", "vermin", "numbskull", "dimwit")) for t in texts]
+    forms = ["idiot", "idiots", "idiotic", "idiotically", "idiocy"]
+    texts = [f"{t} {rnd.choice(forms)}" if lab[i][2] else t for i, t in enumerate(texts)]
+    more = ["waa iddiots wba", "waa idjots wba", "waa iddiotically wba"]
+    df, lb = frame(spark, texts + more), labels(spark, lab)
+    assert toxicity.fit(df, lb).lexicon.entries[0].endswith("*")
+    rows = {r["doc_id"]: r for r in toxicity.toxicity_report(df, lb).collect()}
+    assert [(rows[len(texts) + i]["n_hits"], rows[len(texts) + i]["predicted"]) for i in range(len(more))] == [(1, 1)] * 3
