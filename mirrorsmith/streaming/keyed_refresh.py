@@ -7,7 +7,8 @@ requests land as JSON lines ``{"keys": {<key fields>}, "value": [rows],
 the last response of each requested key counts, one with a row upserts it, one
 with an empty ``value`` deletes it, other rows stay.  ``seq`` orders the
 responses; without it they count in the order of their files' times and names
-and of their lines.  A response that cannot be read stops the batch.
+and of their lines.  A response that cannot be read stops the batch, and so does
+one that counts and holds more than one row.
 
 Each micro-batch commits one new snapshot version (the previous one stays
 readable); a replayed batch after a failure yields the same rows again.  The
@@ -51,7 +52,8 @@ def apply_responses(batch: DataFrame, desc: TableDescription, current: DataFrame
     order = [F.col("_seq").desc_nulls_last(), *[c.desc() for c in placed], F.col("_line").desc()]
     last = keyed.withColumn("_n", F.row_number().over(Window.partitionBy(*desc.key).orderBy(*order))).filter("_n = 1")
     # the row of the answer, NULL if the key is gone
-    rows = last.select(*desc.key, F.get("v", F.lit(0)).alias("row"))
+    many = F.raise_error(F.concat(F.lit("a key response has "), F.size("v").cast("string"), F.lit(" rows"))).cast(schema["value"].dataType.elementType)
+    rows = last.select(*desc.key, F.when(F.size("v") > 1, many).otherwise(F.get("v", F.lit(0))).alias("row"))
     decoded = rows.select(F.col("row").isNotNull().alias("_found"), *decode_row(F.col("row"), desc, sections=False, decoded=set(desc.key)))
     fetched = decode_sections(decoded, desc, ["_found"])
     value_cols = [c for c in names if c not in desc.key]

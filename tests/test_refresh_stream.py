@@ -151,3 +151,13 @@ def test_unreadable_response_stops_the_batch(spark, scratch):
     for bad in ('{"keys": {"Ref_Key"', '{"value": []}', '{"keys": {"Ref_Key": "%s"}}' % g(1)):
         with pytest.raises(Exception):
             kr.apply_responses(spark.createDataFrame([(bad,)], "value string"), DESC, store.read(DESC.table)).collect()
+
+
+def test_response_with_two_rows_stops_the_batch(spark, scratch):
+    store = rf.MirrorStore(spark, scratch + "/store")
+    rf.refresh_and_commit(store, DESC, _pages(spark, [row(1)], 10))
+    current = store.read(DESC.table)
+    with pytest.raises(Exception, match="a key response has 2 rows"):
+        kr.apply_responses(_responses(spark, _answer(1, row(1, "2", "one"), row(1, "3", "two"))), DESC, current).collect()
+    out = kr.apply_responses(_responses(spark, _answer(1, row(1, "2", "one"))), DESC, current)
+    assert [r["Наименование"] for r in out.collect()] == ["one"]
