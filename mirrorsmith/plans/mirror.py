@@ -22,6 +22,7 @@ import datetime as dt
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mirrorsmith.functions.decode import decode_row, decode_sections, decode_some, read_schema
@@ -71,10 +72,18 @@ class Mirror:
     def _control_path(self) -> str:
         return f"{self.store.root}/_control"
 
-    def _record(self, desc: TableDescription, row_count: int | None, started: float | None) -> None:
+    def _fetch_size(self, table: str) -> int:
+        """The fetch size recorded last for a table."""
+        try:
+            last = self.control().filter((F.col("server") == self.server) & (F.col("table") == table)).select("fetch_size").first()
+        except AnalysisException:   # nothing recorded yet
+            last = None
+        return int(last["fetch_size"]) if last else default_fetch_size()
+
+    def _record(self, desc: TableDescription, row_count: int | None, started: float | None, fetch_size: int | None = None) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         row = (self.server, desc.table, desc.kind, desc.table.split(".", 1)[0], desc.table.split(".", 1)[-1],
-               default_fetch_size(), row_count, now if started else None,
+               fetch_size or default_fetch_size(), row_count, now if started else None,
                int((time.time() - started) * 1000) if started else None)
         self.spark.createDataFrame([row], CONTROL_SCHEMA).coalesce(1).write.mode("append").parquet(self._control_path())
 
@@ -120,11 +129,14 @@ class Mirror:
         return self.store.read(table, desc.spark_schema())
 
     def refresh(self, table: str, pages: DataFrame, fetch_size: int | None = None) -> dict:
-        """Full soft refresh from landed pages (entry B); statistics recorded."""
+        """Full soft refresh from landed pages (entry B); statistics recorded,
+        with the fetch size, which holds for later refreshes that do not give
+        one (unless their pages carry it)."""
         desc = self.describe(table)
         started = time.time()
-        stats = refresh_and_commit(self.store, desc, pages, fetch_size=fetch_size)
-        self._record(desc, stats["row_count"], started)
+        usual = fetch_size or self._fetch_size(table)
+        stats = refresh_and_commit(self.store, desc, pages, fetch_size=fetch_size, usual=usual)
+        self._record(desc, stats["row_count"], started, usual)
         return stats
 
     def key_requests(self, table: str, keys: DataFrame, publication: str = "InfoBase") -> DataFrame:
@@ -179,7 +191,7 @@ class Mirror:
         append_audit(self.store, audit_requests(plan_requests(plan), shown, self.server, user or "anonymous", masked=True))
         self.spark.dataSource.register(PagedSource)
         path = f"{self.store.root}/_landed/{table}/{uuid.uuid4().hex}"
-        write_pages(self.spark.read.format(PagedSource.name()).options(**options).load(), path)
+        write_pages(self.spark.read.format(PagedSource.name()).options(**options).load().withColumn("fetch_size", F.lit(fetch_size)), path)
         return read_landed(self.spark, path)
 
     def refresh_all(self, pages_for, fast: bool = False) -> list[dict]:

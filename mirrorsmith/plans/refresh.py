@@ -231,11 +231,12 @@ def refresh_full(current: DataFrame, load: DataFrame, desc: TableDescription) ->
 
 
 def refresh_and_commit(store: MirrorStore, desc: TableDescription, pages: DataFrame, table: str | None = None,
-                       fetch_size: int | None = None) -> dict:
+                       fetch_size: int | None = None, usual: int | None = None) -> dict:
     """Full refresh of one table from landed pages, committed as a new version.
 
     The pages must be one complete read (`check_page_set`): the merge deletes
-    what the load lacks, so an incomplete load stops before it.
+    what the load lacks, so an incomplete load stops before it.  ``usual`` is
+    the table's fetch size where neither the caller nor the pages tell it.
 
     Returns the statistics the control table records: row count, start, duration
     and the number of inserted / updated / deleted / unchanged rows (observed on
@@ -243,7 +244,7 @@ def refresh_and_commit(store: MirrorStore, desc: TableDescription, pages: DataFr
     """
     started = time.time()
     table = table or desc.table
-    check_page_set(pages, fetch_size, default_fetch_size())
+    check_page_set(pages, fetch_size, usual or default_fetch_size())
     base = store.current_version(table)
     current = store.read(table, desc.spark_schema())
     _, changes = refresh_full(current, load_from_pages(pages, desc), desc)

@@ -9,8 +9,9 @@ not missed.  Reading stops at the first page with fewer than ``F`` rows:
                 = floor((N - F) / step) + 2 otherwise
 
 Landed pages are rows ``(table, page_no, skip, body)`` where ``body`` is the
-JSON response ``{"value": [row, ...]}``; they can live in any Spark-readable
-place (here: text files partitioned by page number).  Reading a page set is
+JSON response ``{"value": [row, ...]}``, and ``fetch_size`` where it is known;
+they can live in any Spark-readable place (here: text files partitioned by page
+number).  Reading a page set is
 `from_json` + `posexplode`: page number and position inside the page are
 kept, because the dedup keeps the first arrival.
 """
@@ -116,10 +117,12 @@ def page_states(pages: DataFrame, fetch_size: int) -> DataFrame:
 def check_page_set(pages: DataFrame, fetch_size: int | None = None, default: int = 10000) -> None:
     """Raise `IncompleteLoad` unless ``pages`` are one complete read.
 
-    Without a fetch size it is that of the fullest page, or ``default`` if
-    there is one page only.  Called before a merge, which deletes what a load
-    lacks.
+    Without a fetch size it is the one landed with the pages, else that of the
+    fullest page, or ``default`` if there is one page only.  Called before a
+    merge, which deletes what a load lacks.
     """
+    if fetch_size is None and "fetch_size" in pages.columns:
+        fetch_size = pages.agg(F.max("fetch_size")).first()[0]
     if fetch_size is None:
         n, most = pages.agg(F.countDistinct("page_no"),
                             F.max(F.json_array_length(F.get_json_object("body", "$.value")))).first()
@@ -131,18 +134,20 @@ def check_page_set(pages: DataFrame, fetch_size: int | None = None, default: int
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Land pages as parquet rows ``(page_no, skip, body)`` partitioned by table.
+    """Land pages as parquet rows ``(page_no, skip, body)``, with the fetch size
+    if the pages have it, partitioned by table.
 
     One row per response; a directory per page would not survive millions of
     pages.  Nothing is overwritten: a landing goes to a fresh path.
     """
-    pages.select("table", "page_no", "skip", "body").write.mode("errorifexists").partitionBy("table").parquet(path)
+    pages.select("table", "page_no", "skip", "body", *[c for c in pages.columns if c == "fetch_size"]).write.mode("errorifexists").partitionBy("table").parquet(path)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Landed pages back as page rows."""
     raw = spark.read.parquet(path)
-    return raw.select(F.col("table").cast("string"), F.col("page_no").cast("int"), F.col("skip").cast("long"), "body")
+    return raw.select(F.col("table").cast("string"), F.col("page_no").cast("int"), F.col("skip").cast("long"), "body",
+                      *[F.col(c).cast("int") for c in raw.columns if c == "fetch_size"])
 
 
 def read_response_files(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -215,3 +215,21 @@ def test_old_versions_go_and_lost_updates_do_not_happen(spark, scratch):
     assert store.current_version("T") == 4
     assert store.prune("T", keep=2) == [1, 2]
     assert store.read("T").count() == 4 and store.commit("T", spark.range(7))[0] == 6
+
+
+def test_one_full_page_of_a_smaller_fetch_size_is_refused(spark, scratch):
+    meta = os.path.join(scratch, "meta.xml")
+    with open(meta, "w", encoding="utf-8") as f:
+        f.write(METADATA)
+    all_pages = pages(spark, [doc(i) for i in range(7)], fetch=5)
+    first = all_pages.filter("page_no = 0")
+    m = Mirror(spark, meta, root=scratch + "/mirror")
+    m.create_table(T, all_pages, fetch_size=5)
+    with pytest.raises(pg.IncompleteLoad, match="no short page"):
+        m.refresh(T, first)                                  # the recorded fetch size
+    assert m.table(T).count() == 7
+    pg.write_pages(first.withColumn("fetch_size", F.lit(5)), scratch + "/landed")
+    landed = pg.read_landed(spark, scratch + "/landed")
+    with pytest.raises(pg.IncompleteLoad, match="no short page"):
+        pg.check_page_set(landed)                            # the landed one
+    pg.check_page_set(landed, fetch_size=6)
