@@ -59,6 +59,20 @@ def running_total(df: DataFrame, order: list[Column], totals: dict[str, Column],
         .drop("_range", *[f"_before_{k}" for k in totals])
 
 
+def join_counted(rows: DataFrame, keys: DataFrame, on: str, count: str) -> DataFrame:
+    """``rows`` joined to the unique ``keys``, whose ``count`` says how many rows hold each.
+
+    A key with more than a partition's share of all rows would make one task of
+    a shuffle join long.  There are fewer such keys than partitions, so they are
+    broadcast; the rows of all others meet by shuffle.
+    """
+    keys = stored(keys, "keys")
+    share = (keys.agg(F.sum(count)).first()[0] or 0) / shuffle_partitions(rows.sparkSession)
+    hot = F.broadcast(keys.filter(F.col(count) > share))
+    return rows.join(hot, on).unionByName(
+        rows.join(hot.select(on), on, "left_anti").join(keys.filter(F.col(count) <= share), on))
+
+
 def renamed(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with its columns called c0, c1, ... and the new name of each.
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorsmith.llm import ann, fingerprint, licenses, linededup, mix, neardup, packing, quality, toxicity, warc
+from mirrorsmith.llm import ann, fingerprint, licenses, linededup, mix, neardup, packing, quality, simhash, toxicity, warc
 from mirrorsmith.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc_archive": op2_warc_archive,
@@ -66,6 +70,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack_tokens": op8_pack_tokens,
     "op9_line_dedup": op9_line_dedup,
     "op10_fingerprints": op10_fingerprints,
+    "op11_simhash_groups": op11_simhash_groups,
 }
 
 ORACLE: dict[str, str] = {
