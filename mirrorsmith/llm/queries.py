@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mirrorsmith.llm import ann, fingerprint, licenses, linededup, mix, neardup, packing, quality, simhash, toxicity, warc, whitening
+from mirrorsmith.llm import alignment, ann, fingerprint, licenses, linededup, mix, neardup, packing, quality, simhash, toxicity, warc, whitening
 from mirrorsmith.llm.common import table
 
 
@@ -59,6 +59,10 @@ def op11_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -75,6 +79,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_fingerprints": op10_fingerprints,
     "op11_simhash_groups": op11_simhash_groups,
+    "op12_alignment": op12_alignment,
     "op13_whitening": op13_whitening,
 }
 

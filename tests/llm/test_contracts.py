@@ -14,7 +14,7 @@ TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversati
 
 def test_every_operator_is_registered():
     got = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert got == {f"op{n}" for n in range(1, 12)}
+    assert got == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in entry.queries()
 
 
