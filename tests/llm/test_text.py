@@ -36,7 +36,6 @@ def test_hashes_do_not_depend_on_chunks(monkeypatch):
     texts = odd_texts()
     want = words_of(texts, pa.string())
     monkeypatch.setattr(text, "CHUNK", 50)
-    monkeypatch.setattr(text, "BLOCK", 64)
     assert words_of(texts, pa.string()) == want
     assert words_of(texts[3:], pa.string()) == want[3:]
 
@@ -54,3 +53,21 @@ def test_shingle_sets_have_the_sizes_of_plain_sets(texts, k):
     for i in range(len(texts)):
         for j in range(i):
             assert len(np.intersect1d(got[i], got[j])) == len(want[i] & want[j])
+
+
+def test_structured_texts_have_different_hashes():
+    """Two letters in the Thue-Morse order and swapped, at every length and seed; ranges over and under the lanes."""
+    bits = [bin(i).count("1") & 1 for i in range(1 << 13)]
+    for n in (1, 2, 8, 16, 32, 33, 64, 1024, 8192):
+        one, two = (bytes(b"ab"[x ^ s] for x in bits[:n]) for s in (0, 1))
+        buf = np.frombuffer(one + two, np.uint8)
+        for seed in (1, 21, 22, 41):
+            a, b = text.hash_ranges(buf, np.array([0, n]), np.array([n, 2 * n]), text.byte_values(seed, True))
+            assert a != b
+
+
+def test_zero_bytes_count():
+    buf = np.zeros(200, np.uint8)
+    starts = np.zeros(100, np.int64)
+    h = text.hash_ranges(buf, starts, np.arange(100), text.byte_values(1, False))
+    assert len(set(h.tolist())) == 100
