@@ -33,68 +33,134 @@ TIERS = (2048, 1024, 512, 256)     # window sizes of full sequences
 STEP_TOKENS = 1 << 16              # tokens of a step group
 END = 1                            # id after each document
 POOL_TOKENS = 1 << 21              # tokens packed at once
-CACHED_WORDS = 1 << 20
-
-# Words of these characters alone go the short way: the tokenizer's normalizer
-# only lower-cases them and its splitter only tells letters, digits and others.
+CACHED_WORDS = 1 << 19
+
+# What the files do whose texts are tokenized word by word.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+WORD_END = "</w>"
+
+# Words of these characters alone go the short way: the normalizer above only
+# lower-cases them and the splitter only tells letters, digits and others.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_STOP = "\0"   # stands for the end of a part; no plain word holds it
+
+
+def cut_at_spaces(spec: dict) -> bool:
+    """Whether a file's ids of a text are those of its words in turn: its
+    normalizer and splitter are the ones above and no special token holds a space."""
+    return spec.get("normalizer") == NORMALIZER and spec.get("pre_tokenizer") == SPLITTER \
+        and all(t["content"].startswith("<|") and not re.search(r"\s", t["content"]) and not t["lstrip"] and not t["rstrip"]
+                for t in spec.get("added_tokens", []))
+
+
+def ranked_parts(spec: dict) -> dict[bytes, int] | None:
+    """Bytes of each id, a word end as ``_STOP``, where ids are in the order of
+    the merges after 256 bytes and 256 bytes at a word's end; None otherwise."""
+    model = spec["model"]
+    if model.get("type") != "BPE" or model.get("end_of_word_suffix") != WORD_END or \
+            any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")):
+        return None
+    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    other = [b for b in range(256) if b not in set(printable)]
+    # Byte-level alphabet: printable bytes stand for themselves, the others follow 255 in order.
+    letters = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(other)}
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    vocabulary = {t: i for t, i in model["vocab"].items() if t not in special}
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    if len(vocabulary) != 512 + len(merged) or any(vocabulary.get(c, 256) > 255 or not 256 <= vocabulary.get(c + WORD_END, 0) < 512 for c in letters) \
+            or any(vocabulary.get(m) != 512 + i for i, m in enumerate(merged)):
+        return None
+    out = {}
+    for t, i in vocabulary.items():
+        end = t.endswith(WORD_END)
+        raw = bytes(letters[c] for c in (t[:-len(WORD_END)] if end else t))
+        if 0 not in raw:  # no plain word holds that byte
+            out[raw + _STOP.encode() * end] = i
+    return out | {_STOP.encode(): len(vocabulary) + len(special)}
 
 
 class Words:
-    """Ids of words by a ``tokenizers`` file.
+    """Ids by a ``tokenizers`` file.
 
-    The tokenizer splits at white space first, so a text's ids are those of its
-    words in turn.  A plain word is split and looked up in the tokenizer's own
-    model; any other word, also one that may hold a special token, is encoded
-    by the whole tokenizer.
+    If the file's ids of a text are those of its words in turn (`cut_at_spaces`),
+    distinct words are tokenized once: plain words, all of a chunk in one call,
+    by the file's ranks (`ranked_parts`), any other word, also one that may hold
+    a special token, by the whole tokenizer.  With any other file each text is
+    encoded whole.
     """
 
     def __init__(self, path: str):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
-        self.model = self.full.model
-        self.parts: dict[str, list[int]] = {}
-        printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-        other = [b for b in range(256) if b not in set(printable)]
-        # Byte-level alphabet: printable bytes stand for themselves, the others follow 255 in order.
-        self.letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
-
-    def __call__(self, word: str) -> list[int]:
-        if not _PLAIN.fullmatch(word) or "<|" in word:
-            return self.full.encode(word, add_special_tokens=False).ids
-        out: list[int] = []
-        for part in _PARTS.findall(word.lower()):
-            ids = self.parts.get(part)
-            if ids is None:
-                raw = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-                ids = [t.id for t in self.model.tokenize(raw)]
-                if len(self.parts) < CACHED_WORDS:
-                    self.parts[part] = ids
-            out += ids
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.by_word = cut_at_spaces(spec)
+        ranks = ranked_parts(spec) if self.by_word else None
+        self.short = None
+        if ranks:
+            import tiktoken
+
+            self.short = tiktoken.Encoding("parts", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+            self.ends = np.zeros(max(ranks.values()) + 1, bool)
+            self.ends[[i for raw, i in ranks.items() if raw.endswith(_STOP.encode())]] = True
+
+    def texts(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts."""
+        return [np.array(x.ids, np.uint32) for x in self.full.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of words without white space."""
+        out: list[np.ndarray | None] = [None] * len(words)
+        plain, parts, count, rest = [], [], [], []
+        for i, raw in enumerate(words):
+            w = raw.decode()
+            if self.short and _PLAIN.fullmatch(w) and "<|" not in w:
+                own = _PARTS.findall(w.lower())
+                plain.append(i)
+                count.append(len(own))
+                parts += own
+            else:
+                rest.append((i, w))
+        if plain:
+            ids = np.array(self.short.encode_ordinary(_STOP.join(parts) + _STOP), np.uint32)
+            part_end = np.flatnonzero(self.ends[ids]) + 1
+            cut = part_end[np.cumsum(count) - 1]
+            for i, a, b in zip(plain, [0, *cut[:-1].tolist()], cut.tolist()):
+                out[i] = ids[a:b]
+        for (i, _), x in zip(rest, self.texts([w for _, w in rest]) if rest else []):
+            out[i] = x
         return out
 
 
-def token_chunks(texts: pa.Array, words: Words, seen: dict[int, np.ndarray]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def token_chunks(texts: pa.Array, words: Words, seen: dict[bytes, np.ndarray]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield (first row, end row, ids, row offsets into the ids), each row closed by ``END``."""
-    values = byte_values(41, lower=False)
+    how, end = byte_values(41, lower=False), np.array([END], np.uint32)
     for a, b, buf, off in chunks(texts):
-        starts, ends, row = word_ranges(buf, off)
-        keys, first, where = np.unique(hash_ranges(buf, starts, ends, values), return_index=True, return_inverse=True)
         raw = buf.tobytes()
-        ids: list[np.ndarray] = []
-        for key, i in zip(keys.tolist(), first.tolist()):
-            x = seen.get(key)
-            if x is None:
-                x = np.array(words(raw[starts[i]:ends[i]].decode()), np.uint32)
-                if len(seen) < CACHED_WORDS:
-                    seen[key] = x
-            ids.append(x)
-        ids.append(np.array([END], np.uint32))
+        if not words.by_word:
+            ids = [x for t in words.texts([raw[i:j].decode() for i, j in zip(off, off[1:])]) for x in (t, end)]
+            at = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+            yield a, b, np.concatenate(ids), at[::2]
+            continue
+        starts, ends, row = word_ranges(buf, off)
+        keys, first, where = np.unique(hash_ranges(buf, starts, ends, how), return_index=True, return_inverse=True)
+        found = [raw[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())]
+        new = [w for w in found if w not in seen]
+        fresh = dict(zip(new, words(new)))
+        ids = [seen[w] if w in seen else fresh[w] for w in found]
+        if len(seen) < CACHED_WORDS:
+            seen.update((w, x.copy()) for w, x in fresh.items())
+        ids.append(end)
         size = np.array([len(x) for x in ids], np.int64)
         at = np.concatenate([[0], np.cumsum(size)])
         # The words of each row, then the closing id as one more word.

@@ -1,3 +1,5 @@
+import functools
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -22,9 +24,14 @@ def tokenizer():
     return Tokenizer.from_file(PATH)
 
 
+@functools.cache
+def words():
+    return packing.Words(PATH)
+
+
 def encoded(texts):
     out = []
-    for a, b, ids, off in packing.token_chunks(pa.array(texts, pa.string()), packing.Words(PATH), {}):
+    for a, b, ids, off in packing.token_chunks(pa.array(texts, pa.string()), words(), {}):
         out += [ids[off[i]:off[i + 1]].tolist() for i in range(b - a)]
     return out
 
@@ -34,10 +41,36 @@ def test_ids_are_those_of_the_tokenizer(tokenizer):
     assert encoded(texts) == [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
 
 
+def test_other_tokenizer_files(tmp_path):
+    """Texts are cut into words only where the file allows it."""
+    texts = ["Hello World 12", *ODD, *odd_texts()]
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    changed = tmp_path / "changed.json"
+    spec = json.load(open(PATH, encoding="utf-8"))
+    spec["normalizer"]["normalizers"].pop()   # keeps capitals
+    changed.write_text(json.dumps(spec), encoding="utf-8")
+    merges = tmp_path / "merges.json"
+    spec = json.load(open(PATH, encoding="utf-8"))
+    spec["model"]["merges"] = spec["model"]["merges"][:1000]   # ids no longer follow the merges alone
+    merges.write_text(json.dumps(spec), encoding="utf-8")
+    for path, by_word, short in ((PATH, True, True), (other, False, False), (str(changed), False, False), (str(merges), True, False)):
+        t, words = Tokenizer.from_file(path), packing.Words(path)
+        assert (words.by_word, bool(words.short)) == (by_word, short)
+        got = []
+        for a, b, ids, off in packing.token_chunks(pa.array(texts, pa.string()), words, {}):
+            got += [ids[off[i]:off[i + 1]].tolist() for i in range(b - a)]
+        assert got == [t.encode(x or "", add_special_tokens=False).ids + [1] for x in texts]
+
+
+def test_ids_of_many_documents(spark, tokenizer):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    assert encoded(texts) == [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet="abzAZ'sdtlrem09.,!<|>-éÀßÿ×÷ µ̀Σİ日 \x1c \n", max_size=30), max_size=5))
 def test_ids_of_any_text(texts):
-    t = Tokenizer.from_file(PATH)
+    t = words().full
     assert encoded(texts) == [t.encode(x, add_special_tokens=False).ids + [1] for x in texts]
 
 
