@@ -8,7 +8,7 @@ merge family and the snapshot store.
     pages = m.fetch_pages("Справочник.Контрагенты", "http://host/InfoBase", user, password)
     m.refresh("Справочник.Контрагенты", pages)         # full soft refresh from the pages
     m.key_requests("Справочник.Контрагенты", keys)     # what to ask the source for these keys
-    m.refresh_keys("Справочник.Контрагенты", keys, pages)   # apply the answers as one batch, returns the keys' rows
+    m.refresh_keys("Справочник.Контрагенты", keys, answers)   # apply the answers as one batch, returns the keys' rows
     m.refresh_all(pages_for, fast=True)                # scheduled bulk refresh
     m.refresh_metadata("Справочник.Контрагенты", pages)   # follow schema changes, reload if needed
     m.table("Справочник.Контрагенты")                  # the current snapshot
@@ -23,18 +23,24 @@ import time
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import types as T
 
-from mirrorsmith.functions.decode import decode_row, decode_sections, decode_some, read_schema
-from mirrorsmith.operators.dedup import first_arrival
+from mirrorsmith.functions.decode import FAIL_FAST
 from mirrorsmith.functions.literals import PASSWORD_MASK, key_filter, key_term, request_path
-from mirrorsmith.operators.merge import enum_merge, refresh_by_key
+from mirrorsmith.operators.merge import enum_merge
 from mirrorsmith.plans import catalog as cat
 from mirrorsmith.plans import evolve as ev
 from mirrorsmith.plans.description import TableDescription
-from mirrorsmith.plans.refresh import (CONTROL_SCHEMA, MirrorStore, append_audit, audit_requests, create_table,
-                                       default_fetch_size, mirror_root, refresh_and_commit, select_refresh)
-from mirrorsmith.sources.pages import plan_requests, read_landed, read_pages, write_pages
+from mirrorsmith.plans.refresh import (CONTROL_SCHEMA, SEQ, append_audit, audit_requests, commit_answers, create_table,
+                                       default_fetch_size, lookup, refresh_and_commit, select_refresh)
+from mirrorsmith.plans.store import MirrorStore, mirror_root
+from mirrorsmith.sources.pages import plan_requests, read_landed, write_pages
+from mirrorsmith.streaming.keyed_refresh import decoded_answers, response_schema
+
+
+class MissingAnswers(ValueError):
+    """A requested key has no answer, so nothing is known about it."""
 
 
 class Mirror:
@@ -108,6 +114,7 @@ class Mirror:
         merged = enum_merge(self.store.read(table, desc.spark_schema()).withColumnsRenamed({ref: "ref", order: "ord"}),
                             cat.enum_members(self.enum_types, table)).select(F.col("ref").alias(ref), F.col("ord").alias(order))
         version, rows = self.store.commit(table, merged, bucket_key=desc.key, base=base)
+        self.store.prune(table)
         self.store.register(table, desc)
         self._record(desc, rows, started)
         return version
@@ -148,24 +155,38 @@ class Mirror:
         requested = keys.select(*desc.key).distinct() if desc.key else self.spark.range(1).select()
         return requested.withColumn("url", request_path(publication, desc.entity, query))
 
-    def refresh_keys(self, table: str, keys: DataFrame, pages: DataFrame) -> DataFrame:
+    def refresh_keys(self, table: str, keys: DataFrame, answers: DataFrame) -> DataFrame:
         """Refresh by key (entry C) for a batch of keys: ``keys`` holds the
-        requested key columns (mirror names), ``pages`` the source responses for
-        them.  Found keys are upserted, the others deleted.  Returns the
-        requested keys with their rows, NULL where the source has none.
-        Statistics of full refreshes are not touched."""
+        requested key columns (mirror names); ``answers`` the source's response
+        to each: the key columns, ``body`` and, where responses have an order,
+        ``seq``.  A row upserts its key, an empty response deletes it.  A key
+        without an answer, or one that cannot be read, raises `MissingAnswers`
+        and changes nothing.  Returns the requested keys with their rows, NULL
+        where the source has none.  Statistics of full refreshes are not
+        touched."""
         desc = self.describe(table)
-        rows = read_pages(pages, read_schema(desc))
-        keyed = rows.select("page_no", "pos", "row", *decode_some(F.col("row"), desc, desc.key))
-        winners = first_arrival(keyed, desc.key).select(*desc.key, "row")
-        fetched = decode_sections(winners.select(*decode_row(F.col("row"), desc, sections=False,
-                                                              decoded=set(desc.key))), desc, [])
-        base = self.store.current_version(table)
-        current = self.store.read(table, desc.spark_schema())
-        self.store.commit(table, refresh_by_key(current, fetched.select(*current.columns), keys, desc.key),
-                          bucket_key=desc.key, base=base)
+        schema = response_schema(desc)["value"].dataType
+        asked = keys.select(*desc.key).distinct()
+        seq = F.col("seq").cast("long") if "seq" in answers.columns else F.lit(None).cast("long")
+        given = answers.select(*desc.key, "body", seq.alias(SEQ))
+        missing = asked.join(given.filter("body IS NOT NULL"), desc.key, "left_anti")
+        lost = missing.limit(5).collect()
+        if lost:
+            raise MissingAnswers(f"{table}: no answer for " + "; ".join(str(tuple(r)) for r in lost))
+        last = given.join(asked, desc.key, "left_semi").withColumn("_n", F.row_number().over(
+            Window.partitionBy(*desc.key).orderBy(F.col(SEQ).desc_nulls_last(), F.col("body").desc()))).filter("_n = 1")
+        rows = F.from_json("body", T.StructType([T.StructField("value", schema)]), FAIL_FAST).getField("value")
+        value = F.coalesce(rows, F.raise_error(F.lit("a key response has no value")).cast(schema))
+        commit_answers(self.store, table, decoded_answers(last.select(*desc.key, SEQ, value.alias("v")), desc, schema.elementType), desc.key)
+        self.store.prune(table)
         self.store.register(table, desc)
-        return keys.select(*desc.key).distinct().join(self.store.read(table), on=desc.key, how="left")
+        return self.lookup(table, asked)
+
+    def lookup(self, table: str, keys: DataFrame) -> DataFrame:
+        """The rows of some keys, NULL where the mirror has none; only the
+        buckets that the keys fall into are read."""
+        desc = self.describe(table)
+        return lookup(self.store, table, keys.select(*desc.key).distinct(), desc.key)
 
     def fetch_pages(self, table: str, base_url: str, user: str = "", password: str = "",
                     pages_per_partition: int = 16) -> DataFrame:
@@ -196,16 +217,20 @@ class Mirror:
 
     def refresh_all(self, pages_for, fast: bool = False) -> list[dict]:
         """Scheduled bulk refresh: the selected tables in name order
-        (``pages_for(table)`` returns that table's landed pages)."""
+        (``pages_for(table)`` returns that table's landed pages).  A table that
+        cannot be refreshed is reported with its ``error``."""
         out = []
         for r in select_refresh(self.control().filter(F.col("server") == self.server), fast=fast).collect():
-            out.append({"table": r["table"], **self.refresh(r["table"], pages_for(r["table"]))})
+            try:
+                out.append({"table": r["table"], **self.refresh(r["table"], pages_for(r["table"]))})
+            except Exception as e:  # noqa: BLE001 - one refused table does not stop the others
+                out.append({"table": r["table"], "error": f"{type(e).__name__}: {e}"})
         return out
 
     def refresh_metadata(self, table: str, pages: DataFrame | None = None, fetch_size: int | None = None) -> dict:
         """Follow schema changes: re-read the metadata, diff against the current
-        snapshot, project it.  An unchanged table is left alone, a dropped
-        column leaves the rows; an added or retyped one empties the table,
+        snapshot.  An unchanged table is left alone, a dropped column leaves the
+        files as they are; an added or retyped one empties the table,
         which is then reloaded from ``pages`` (or by the next refresh).  An
         enumeration takes the members of the new metadata."""
         self._load_metadata()
@@ -218,8 +243,12 @@ class Mirror:
         current = self.store.read(table, desc.spark_schema())
         changes = ev.plan_changes(self.spark, desc, current.schema)
         projected, reload = ev.apply_schema(current, desc)
-        if changes["drop"] or reload:
+        if reload:
             self.store.commit(table, projected, bucket_key=desc.key, base=base)
+        elif changes["drop"]:
+            self.store.alter(table, drop=changes["drop"])   # no file is written
+        if changes["drop"] or reload:
+            self.store.prune(table)
             self.store.register(table, desc)
         if reload and pages is not None:
             self.refresh(table, pages, fetch_size)

@@ -229,6 +229,24 @@ GROUP BY o.o_orderkey""",
 SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_lines
 FROM lineitem GROUP BY l_orderkey
 HAVING bool_or(l_returnflag = 'A') AND bool_or(l_returnflag = 'R')""",
+        "section_contains_indexed": """
+WITH p AS (SELECT l_partkey AS p FROM lineitem ORDER BY l_extendedprice DESC, l_partkey DESC LIMIT 1)
+SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_lines
+FROM lineitem WHERE l_orderkey % 10 <> 1 GROUP BY l_orderkey
+HAVING bool_or(l_partkey IN (SELECT p FROM p))""",
+        "sales_view_refresh": f"""
+WITH {_STATES}
+SELECT o_custkey AS customer, COUNT(*) AS n_orders, CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(38,10))), 2) AS DOUBLE) AS total
+FROM src GROUP BY o_custkey""",
+        "deferred_fk_violations": """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 1)""",
+        "refresh_counts": f"""
+WITH {_CHANGES},
+c AS (SELECT COUNT(*) FILTER (WHERE action = 'insert') AS i, COUNT(*) FILTER (WHERE action = 'update') AS u,
+             COUNT(*) FILTER (WHERE action = 'delete') AS d, COUNT(*) FILTER (WHERE action = 'same') AS s FROM changes)
+SELECT 1::BIGINT AS run, i AS n_insert, u AS n_update, d AS n_delete, s AS n_same, i + u + s AS row_count, i + u + d > 0 AS wrote, true AS timed FROM c
+UNION ALL SELECT 2, 0, 0, 0, i + u + s, i + u + s, false, true FROM c""",
         "merge_full": f"""
 WITH {_STATES}
 SELECT s.o_orderkey,
@@ -351,5 +369,5 @@ WITH counts AS ({_COUNTS})
 SELECT table_name, CAST(row_count AS BIGINT) AS row_count FROM counts
 WHERE table_name <> 'region' AND row_count < {fetch}""",
     }
-    sql["refresh_by_key_documents"] = sql["refresh_by_key"]
+    sql["refresh_by_key_documents"] = sql["key_answers_in_batches"] = sql["refresh_by_key"]
     return {k: v.strip() for k, v in sql.items()}

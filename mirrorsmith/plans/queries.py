@@ -8,6 +8,8 @@ through the exact decimal type are cast to DOUBLE only at the end.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from mirrorsmith.fixtures import source as fx
@@ -16,14 +18,17 @@ from mirrorsmith.functions import types as ty
 from mirrorsmith.functions.constants import KINDS, ZERO_DATETIME, ZERO_GUID
 from mirrorsmith.functions.decode import decode_json, type_list, type_ref, value_any
 from mirrorsmith.functions.literals import key_filter as join_terms, key_term, mask_credentials
+from mirrorsmith.operators import incremental as inc
 from mirrorsmith.operators import merge as mg
 from mirrorsmith.operators import quality as qa
 from mirrorsmith.operators import sections as sc
 from mirrorsmith.operators.dedup import first_arrival
 from mirrorsmith.operators.ordinal import with_ordinal
 from mirrorsmith.plans.description import ColumnDesc, TableDescription
-from mirrorsmith.plans.refresh import (MirrorStore, default_fetch_size, ensure_snapshot, landed, load_from_pages,
-                                       materialize, select_refresh)
+from mirrorsmith.plans.refresh import (commit_answers, containing, default_fetch_size, ensure_snapshot, landed, load_from_pages, lookup,
+                                       maintain_view, materialize, refresh_and_commit, select_refresh, snapshot_root)
+from mirrorsmith.plans.store import MirrorStore
+from mirrorsmith.session import checkpoint_dir
 from mirrorsmith.sources import pages as pg
 from mirrorsmith.sources import tables as tb
 
@@ -376,6 +381,18 @@ def section_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
                     sc.line_count(F.col("Товары")).cast("long").alias("n_lines")))
 
 
+def section_contains_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-26 through a value index that a refresh has kept up: the mirror is
+    indexed, refreshed to the source's state, and searched for documents that
+    hold the first and the last part of `part` that any line names."""
+    store, desc = _branch(spark, sf_dir)
+    store.create_index(desc.table, "Товары", "Номенклатура")
+    refresh_and_commit(store, desc, landed_pages(spark, sf_dir, "src"), fetch_size=DOCUMENT_FETCH_SIZE)
+    one = _t(spark, sf_dir, "lineitem").agg(F.max_by("l_partkey", F.struct("l_extendedprice", "l_partkey")).alias("p")).select(tb.guid_of(F.col("p"))).first()[0]
+    hits = containing(store, desc.table, "Товары", "Номенклатура", [one])
+    return hits.select(tb.key_of_guid(F.col("Ссылка")).alias("o_orderkey"), sc.line_count(F.col("Товары")).cast("long").alias("n_lines"))
+
+
 # ==========================================================================
 # Merge (OP-29..35)
 # ==========================================================================
@@ -472,12 +489,69 @@ def refresh_by_key_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("СуммаДокумента").cast("double").alias("o_totalprice"))
 
 
+def _branch(spark: SparkSession, sf_dir: str, state: str = "cur", desc: TableDescription | None = None, pages=None) -> tuple[MirrorStore, TableDescription]:
+    """A mirror of its own over the stored one's files, for a query that refreshes it."""
+    desc = desc or tb.document_description(spark)
+    name = f"{desc.table}@{state}"
+    ensure_snapshot(spark, name, desc, _document_inputs(sf_dir), pages or (lambda: landed_pages(spark, sf_dir, state)))
+    source = MirrorStore(spark, snapshot_root(spark, _document_inputs(sf_dir)))
+    store = MirrorStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/branches/{uuid.uuid4().hex}")
+    source.clone(name, store, desc.table)
+    return store, desc
+
+
+def key_answers_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-34 across batches: each order of a returned line is answered twice, as
+    it was (first) and as the source has it now (second; some are gone).  The
+    answers land in two batches in mixed order, one of them comes again: the
+    later answer of each key counts, whichever batch brought it."""
+    from mirrorsmith.streaming.keyed_refresh import apply_batch
+
+    def build() -> DataFrame:
+        o = _t(spark, sf_dir, "orders")
+        li = _t(spark, sf_dir, "lineitem")
+        keys = li.filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+        lines = fx.order_lines(li)
+        told = [keys.join(fx.document_json(tb.order_state(o, state), lines), "o_orderkey", "left").withColumn("seq", F.lit(seq))
+                for seq, state in ((1, "all"), (2, "src"))]
+        answers = told[0].unionByName(told[1])
+        body = F.concat(F.lit('{"keys":{"Ref_Key":"'), tb.guid_of(F.col("o_orderkey")), F.lit('"},"seq":'), F.col("seq"), F.lit(',"value":['),
+                        F.coalesce(F.col("json"), F.lit("")), F.lit("]}"))
+        # of every second key the later answer comes first
+        return answers.select(F.lit(tb.DOCUMENT_ENTITY).alias("table"), ((F.col("o_orderkey") + F.col("seq")) % 2).cast("int").alias("page_no"),
+                              F.lit(None).cast("long").alias("skip"), body.alias("body"))
+
+    answers = landed(spark, f"{tb.DOCUMENT_ENTITY}@batches", _document_inputs(sf_dir), build)
+    store, desc = _branch(spark, sf_dir)
+    for number, batch in enumerate((0, 1)):
+        apply_batch(store, desc, answers.filter(F.col("page_no") == batch).select(F.col("body").alias("value")), stream="answers", number=number)
+    apply_batch(store, desc, answers.filter(F.col("page_no") == 0).select(F.col("body").alias("value")), stream="answers", number=0)
+    return store.read(desc.table).select(tb.key_of_guid(F.col("Ссылка")).alias("o_orderkey"), F.col("ВерсияДанных").alias("ver"),
+                                         F.col("Статус").alias("o_orderstatus"), F.col("СуммаДокумента").cast("double").alias("o_totalprice"))
+
+
 def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OP-29: every line with its order after refreshing the referenced keys;
-    a key the source no longer has gives NULLs (left outer)."""
-    m = _refreshed_by_lines(spark, sf_dir, None)
+    """OP-29 on the document mirror: the orders that lines refer to are asked
+    for and refreshed by key, then every line meets its order; a key the source
+    no longer has gives NULLs (left outer)."""
+    from mirrorsmith.streaming.keyed_refresh import answers_of
+
+    def build() -> DataFrame:
+        li = _t(spark, sf_dir, "lineitem")
+        src = fx.document_json(tb.order_state(_t(spark, sf_dir, "orders"), "src"), fx.order_lines(li))
+        asked = li.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+        body = F.concat(F.lit('{"keys":{"Ref_Key":"'), tb.guid_of(F.col("o_orderkey")), F.lit('"},"value":['),
+                        F.coalesce(F.col("json"), F.lit("")), F.lit("]}"))
+        return asked.join(src, "o_orderkey", "left").select(F.lit(tb.DOCUMENT_ENTITY).alias("table"), F.lit(0).alias("page_no"),
+                                                            F.lit(None).cast("long").alias("skip"), body.alias("body"))
+
+    answers = landed(spark, f"{tb.DOCUMENT_ENTITY}@lookup", _document_inputs(sf_dir), build)
+    store, desc = _branch(spark, sf_dir)
+    commit_answers(store, desc.table, answers_of(answers.select(F.col("body").alias("value")), desc), desc.key)
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return li.join(m.select(F.col("o_orderkey").alias("l_orderkey"), "ver", "o_totalprice"), "l_orderkey", "left")
+    found = lookup(store, desc.table, li.select(tb.guid_of(F.col("l_orderkey")).alias("Ссылка")).distinct(), desc.key)
+    return li.join(found.select(tb.key_of_guid(F.col("Ссылка")).alias("l_orderkey"), F.col("ВерсияДанных").alias("ver"),
+                                F.col("СуммаДокумента").cast("double").alias("o_totalprice")), "l_orderkey", "left")
 
 
 def _priority_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -595,6 +669,20 @@ def materialized_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(MirrorStore(spark), "views/first_live", first_live(VIEW_LIMIT))
 
 
+def sales_view_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-54 kept up, not recomputed: orders and their total per customer, as
+    stored for `cur`, after the change set of the refresh to `src`."""
+    desc = tb.document_description(spark)
+    group, sums = ["Покупатель"], {"total": lambda r: r("СуммаДокумента")}
+    current = stored_mirror(spark, sf_dir, "cur")
+    store = MirrorStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/branches/{uuid.uuid4().hex}")
+    store.commit("views/customer_sales", inc.grouped(current, group, sums))
+    changes = mg.change_set(current, load_from_pages(landed_pages(spark, sf_dir, "src"), desc), desc.key, desc.version)
+    view = maintain_view(store, "views/customer_sales", changes, group, sums)
+    return view.select(tb.key_of_guid(F.col("Покупатель")).alias("customer"), F.col(inc.ROW_COUNT).cast("long").alias("n_orders"),
+                       _dbl(F.col("total")).alias("total"))
+
+
 # ==========================================================================
 # Quality (OP-44..46)
 # ==========================================================================
@@ -640,6 +728,15 @@ def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey")
 
 
+def deferred_fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-46 at commit: lines that a refresh of the order mirror would leave
+    without their order, found from the deleted orders of its change set."""
+    desc = tb.document_description(spark)
+    changes = mg.change_set(stored_mirror(spark, sf_dir, "cur"), load_from_pages(landed_pages(spark, sf_dir, "src"), desc), desc.key, desc.version)
+    lines = _t(spark, sf_dir, "lineitem").select(tb.guid_of(F.col("l_orderkey")).alias("Заказ"), "l_orderkey", "l_linenumber", "l_partkey")
+    return qa.deferred_fk_violations(lines, ["Заказ"], changes, desc.key).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
 # ==========================================================================
 # Control table (OP-10, OP-55)
 # ==========================================================================
@@ -651,6 +748,18 @@ def refresh_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "row_count", pg.page_count(F.col("row_count"), F.col("fetch_size")).alias("n_pages"))
 
 
+def refresh_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-10 of a real refresh: what refreshing the order mirror from the landed
+    pages inserted, updated, deleted and left, the rows it has then, and whether
+    the same refresh once more writes anything."""
+    store, desc = _branch(spark, sf_dir)
+    rows = []
+    for run in (1, 2):
+        s = refresh_and_commit(store, desc, landed_pages(spark, sf_dir, "src"), fetch_size=DOCUMENT_FETCH_SIZE)
+        rows.append((run, *[s[a] for a in (mg.INSERT, mg.UPDATE, mg.DELETE, mg.SAME)], s["row_count"], s["buckets_written"] > 0, s["duration_ms"] > 0))
+    return spark.createDataFrame(rows, "run long, n_insert long, n_update long, n_delete long, n_same long, row_count long, wrote boolean, timed boolean")
+
+
 def select_refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-55: tables a full bulk refresh visits (enumerations excluded)."""
     return select_refresh(control_table(spark, sf_dir)).select(F.col("table").alias("table_name"), "row_count")
@@ -679,6 +788,7 @@ REGISTRY = {
     "explode_section": explode_section,
     "section_field_array": section_field_array,
     "section_contains": section_contains,
+    "section_contains_indexed": section_contains_indexed,
     "merge_full": merge_full,
     "merge_change_counts": merge_change_counts,
     "merge_inserts": merge_inserts,
@@ -687,16 +797,20 @@ REGISTRY = {
     "diff_by_value": diff_by_value,
     "refresh_by_key": refresh_by_key,
     "refresh_by_key_documents": refresh_by_key_documents,
+    "key_answers_in_batches": key_answers_in_batches,
     "lookup_join": lookup_join,
     "enum_merge": enum_merge,
     "enum_counts": enum_counts,
     "section_sales_topk": section_sales_topk,
     "section_entity_refresh": section_entity_refresh,
     "materialized_view": materialized_view,
+    "sales_view_refresh": sales_view_refresh,
     "check_columns": check_columns,
     "pk_violations": pk_violations,
     "fk_violations": fk_violations,
+    "deferred_fk_violations": deferred_fk_violations,
     "refresh_stats": refresh_stats,
+    "refresh_counts": refresh_counts,
     "select_refresh": select_refresh_all,
     "select_refresh_fast": select_refresh_fast,
 }

@@ -1,32 +1,31 @@
-"""Mirror snapshots, full and keyed refresh, control table (OP-06, 07, 10, 54, 55).
-
-Storage is plain parquet: every refresh writes a *new* version directory
-``<root>/<table>/v=<n>``.  A version is committed once it has both Spark's
-``_SUCCESS`` and, written last, its layout marker; readers take the highest
-committed version, so a path being read is never overwritten and a failed job
-leaves no partial snapshot behind.  The root must be a shared folder that
-outlives the application (`mirror_root`), never a machine-local temporary one.
+"""Full and keyed refresh, views, control table (OP-06, 07, 10, 54, 55).
+
+A refresh merges a load with the stored version and writes the buckets that
+change (`mirrorsmith.plans.store`); a report over a refresh in flight uses the
+same merge without writing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import json
 import threading
 import time
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from mirrorsmith.functions.decode import decode_row, decode_sections, decode_some, read_schema
 from mirrorsmith.operators.dedup import first_arrival
+from mirrorsmith.operators.incremental import ROW_COUNT, VALUE_COUNT, maintained, view_delta
+from mirrorsmith.operators.sections import contains_all
 from mirrorsmith.operators.merge import DELETE, INSERT, SAME, UPDATE, apply_changes, change_set
 from mirrorsmith.plans.description import TableDescription
+from mirrorsmith.plans.store import ANSWERS, BUCKET, ROWS, MirrorStore, StaleBase, bucket_of, mirror_root, quoted  # noqa: F401
 from mirrorsmith.session import checkpoint_dir
 from mirrorsmith.sources.pages import check_page_set, read_pages
 
-LAYOUT_MARKER = "_LAYOUT"
-COMMIT_SCHEMA = "version long, row_count long, committed_at timestamp_ntz, duration_ms long"
+ACTIONS = (INSERT, UPDATE, DELETE, SAME)
 CONTROL_SCHEMA = ("server string, table string, kind string, schema string, name string, fetch_size int, "
                   "row_count long, refresh_data_ts timestamp_ntz, refresh_data_ms long")
 
@@ -36,162 +35,6 @@ def default_fetch_size(work_mem_mb: int = 64) -> int:
     return max(work_mem_mb // 32, 1) * 5000
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-ROOT_SETTING = "spark.mirrorsmith.root"
-
-
-def mirror_root(spark: SparkSession) -> str:
-    """Where mirrors, the control table and stream progress live.
-
-    A cluster names a folder in ``spark.mirrorsmith.root``: the checkpoint
-    folder is new for each application, so a mirror there would be lost at the
-    next start.  Unset, a local run (tests) uses the checkpoint folder.
-    """
-    root = spark.conf.get(ROOT_SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {ROOT_SETTING} to a shared folder that outlives the application")
-    return checkpoint_dir(spark).rstrip("/") + "/mirror"
-
-
-class StaleBase(RuntimeError):
-    """Another writer committed a version since the one that was merged from."""
-
-
-class MirrorStore:
-    """Versioned parquet snapshots under one shared root."""
-
-    def __init__(self, spark: SparkSession, root: str | None = None):
-        self.spark = spark
-        self.root = (root or mirror_root(spark)).rstrip("/")
-
-    def _dir(self, table: str) -> str:
-        return f"{self.root}/{table}"
-
-    def _versions(self, table: str) -> list[tuple[int, bool]]:
-        """(version, committed) of every version directory; a listing, not a job."""
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self._dir(table))
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-                done = all(fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), f)) for f in ("_SUCCESS", LAYOUT_MARKER))
-                out.append((int(name[2:]), done))
-        return out
-
-    def current_version(self, table: str) -> int | None:
-        """Highest committed version; a failed write's directory is skipped."""
-        done = [v for v, ok in self._versions(table) if ok]
-        return max(done) if done else None
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        return jvm, jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(
-            self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _write_marker(self, path: str, text: str) -> None:
-        jvm, fs = self._fs()
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(path), False)
-        out.write(bytearray(text.encode("utf-8")))
-        out.close()
-
-    def _read_marker(self, path: str) -> str | None:
-        jvm, fs = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def read(self, table: str, schema=None) -> DataFrame | None:
-        """Current version; a bucketed version is read as a bucketed table, so
-        joins and aggregations on its key need no exchange on this side."""
-        v = self.current_version(table)
-        if v is None:
-            return None if schema is None else self.spark.createDataFrame([], schema)
-        vdir = f"{self._dir(table)}/v={v}"
-        spec = json.loads(self._read_marker(vdir + "/" + LAYOUT_MARKER))
-        if not spec["buckets"]:
-            return self.spark.read.schema(spec["ddl"]).parquet(vdir)
-        name = "mirrorsmith_" + hashlib.sha1(vdir.encode()).hexdigest()[:16]
-        ddl = spec["ddl"]
-        keys = ", ".join(_quoted(k) for k in spec["key"])
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
-                       f"CLUSTERED BY ({keys}) INTO {int(spec['buckets'])} BUCKETS LOCATION '{vdir}'")
-        return self.spark.table(name)
-
-    def commit(self, table: str, df: DataFrame, started: float | None = None,
-               bucket_key: list[str] | None = None, base: int | None = None) -> tuple[int, int]:
-        """Write ``df`` as the next version; returns (version, row count).
-
-        ``base`` is the version that ``df`` was merged from: if another writer
-        has committed since, nothing is committed and `StaleBase` is raised.
-
-        With ``bucket_key`` the version is bucketed by that key into as many
-        buckets as the session's shuffle partitions: the next merge on the key
-        then shuffles only the new load.  The row count comes from an
-        `Observation` on the write itself (no second scan).
-        """
-        started = started or time.time()
-        # past every directory, committed or not: a failed attempt is never reused
-        version = max([v for v, _ in self._versions(table)], default=0) + 1
-        vdir = f"{self._dir(table)}/v={version}"
-        obs = Observation(f"commit_{abs(hash((table, version, started)))}")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if bucket_key:
-            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            name = "mirrorsmith_w_" + hashlib.sha1(vdir.encode()).hexdigest()[:16]
-            observed.write.bucketBy(buckets, *bucket_key).option("path", vdir).mode("errorifexists").saveAsTable(name)
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")      # external: the files stay
-        else:
-            buckets = 0
-            observed.write.mode("errorifexists").parquet(vdir)
-        if base is not None and self.current_version(table) != base:
-            raise StaleBase(f"{table}: merged from version {base}, the current one is {self.current_version(table)}")
-        # Written last: it makes the version current.  The schema goes with the
-        # layout, since an empty version has no data file to read it from.
-        self._write_marker(vdir + "/" + LAYOUT_MARKER, json.dumps(
-            {"buckets": buckets, "key": bucket_key, "ddl": df._jdf.schema().toDDL()}, ensure_ascii=False))
-        rows = int(obs.get["rows"])
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self.spark.createDataFrame([(version, rows, now, int((time.time() - started) * 1000))], COMMIT_SCHEMA) \
-            .coalesce(1).write.mode("append").parquet(self._dir(table) + "/_commits")
-        return version, rows
-
-    def prune(self, table: str, keep: int = 2) -> list[int]:
-        """Delete all but the last ``keep`` committed versions (and failed ones
-        older than those); returns the versions deleted.  A reader of an older
-        version loses it, so keep as many as the longest reader needs."""
-        jvm, fs = self._fs()
-        versions = self._versions(table)
-        first = sorted([v for v, ok in versions if ok], reverse=True)[:keep][-1:]
-        old = [v for v, _ in versions if first and v < first[0]]
-        for v in old:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self._dir(table)}/v={v}"), True)
-        return sorted(old)
-
-    def register(self, table: str, desc: TableDescription | None = None) -> None:
-        """Temp views over the current version: the table by its full name
-        (kind and object) and one detail view per section."""
-        df = self.read(table, desc.spark_schema() if desc else None)
-        df.createOrReplaceTempView(_quoted(table))
-        if desc:
-            for col, sec in desc.sections.items():
-                detail = df.select(F.explode_outer(col).alias("_l")).filter(F.col("_l").isNotNull()).select("_l.*")
-                detail.createOrReplaceTempView(_quoted(f"{table.split('.', 1)[0]}.{sec.view}"))
-
-
 def create_table(store: MirrorStore, desc: TableDescription, table: str | None = None) -> int:
     """Mirror sink (OP-07): an empty first version with the described schema,
     registered as a view with one detail view per section.  Does nothing when
@@ -230,35 +73,215 @@ def refresh_full(current: DataFrame, load: DataFrame, desc: TableDescription) ->
     return apply_changes(changes, desc.key), changes
 
 
+class Staged:
+    """Rows written once under the checkpoint folder in the buckets of a mirror,
+    so that steps over them neither repeat the work before nor exchange rows."""
+
+    def __init__(self, spark: SparkSession, rows: DataFrame, key: list[str], buckets: int):
+        self.spark, self.key, self.n = spark, key, buckets
+        self.name = f"mirrorsmith_s_{uuid.uuid4().hex[:16]}"
+        self.columns = rows.columns
+        plain = {c: f"c{i}" for i, c in enumerate(rows.columns)}
+        out = rows.select(*[F.col(quoted(c)).alias(n) for c, n in plain.items()])
+        keys = [plain[k] for k in key]
+        path = f"{checkpoint_dir(spark).rstrip('/')}/staged/{self.name}"
+        out.withColumn(BUCKET, bucket_of(keys, buckets)).write.partitionBy(BUCKET).bucketBy(buckets, *keys) \
+            .option("path", path).mode("errorifexists").saveAsTable(self.name)
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        df = self.spark.table(self.name)
+        if buckets is not None:
+            df = df.filter(F.col(BUCKET).isin(buckets))
+        return df.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(self.columns)])
+
+    def held(self) -> list[int]:
+        """The buckets that hold rows: at most as many as there are."""
+        return sorted(r[0] for r in self.spark.table(self.name).select(BUCKET).distinct().collect())
+
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+ATTEMPTS = 5     # times that a keyed change is merged again after another writer's commit
+
+
+def commit_changes(store: MirrorStore, table: str, load: DataFrame, key: list[str], version: str | None = None,
+                   started: float | None = None, check=None) -> dict:
+    """Make the mirror equal to a complete load; write the buckets that change.
+
+    The load is staged once in the mirror's buckets.  A narrow pass (key and
+    version, or all columns where there is no version) counts the actions of
+    each bucket; only buckets with a change are read, merged and written, the
+    others stay where they are.  ``check(changes)`` may raise: nothing is
+    published then.  Returns the counts, the row count, the version and how many
+    buckets were written.
+    """
+    base = store.current_version(table)
+    before = store.manifest(table)
+    spec = before["parts"][ROWS] if before else None
+    if spec is None or not spec["buckets"] or spec["key"] != key or [c["name"] for c in spec["columns"]] != load.columns:
+        # nothing to merge with in place: the first load, or one after a change of the schema
+        current = store.read(table, load.schema)
+        same = current if current.schema.names == load.columns else store.spark.createDataFrame([], load.schema)
+        changes = change_set(same, load, key, version)
+        if check:
+            check(changes)
+        obs = Observation(f"changes_{uuid.uuid4().hex}")
+        counted = changes.observe(obs, *[F.count_if(F.col("action") == a).alias(a) for a in ACTIONS])
+        number, rows = store.commit(table, apply_changes(counted, key), started, bucket_key=key, base=base)
+        n = store.manifest(table, number)["parts"][ROWS]["at"]
+        return {**{a: int(obs.get[a]) for a in ACTIONS}, "version": number, "row_count": rows, "buckets_written": sum(g is not None for g in n)}
+    n = spec["buckets"]
+    staged = Staged(store.spark, load, key, n)
+    try:
+        changes = change_set(store.read(table, version=base), staged.read(), key, version)
+        if check:
+            check(changes)
+        counts = changes.filter(F.col("action") != SAME).groupBy(bucket_of(key, n).alias("_b"), "action").agg(F.count(F.lit(1)).alias("n")).collect()
+        total = {a: sum(r["n"] for r in counts if r["action"] == a) for a in ACTIONS}
+        total[SAME] = before["row_count"] - total[UPDATE] - total[DELETE]
+        touched = sorted({r["_b"] for r in counts})
+        parts = before["parts"]
+        if touched:
+            some = None if len(touched) == n else touched
+            merged = apply_changes(change_set(store.read(table, version=base, buckets=some), staged.read(some), key, version), key)
+            parts = {**parts, ROWS: store.write_part(table, ROWS, merged.select(*load.columns), key, spec, touched)}
+            parts = store.renewed(table, before, parts, touched)
+        rows = before["row_count"] + total[INSERT] - total[DELETE]
+        number = store.publish(table, base, parts, rows, started, batches=before.get("batches", {}))
+    finally:
+        staged.close()
+    return {**total, "version": number, "row_count": rows, "buckets_written": len(touched)}
+
+
+SEQ, FOUND = "_seq", "_found"
+
+
+def commit_answers(store: MirrorStore, table: str, answers: DataFrame, key: list[str], stream: str | None = None, batch: int | None = None) -> int | None:
+    """Apply key answers (key, `FOUND`, `SEQ` and the other columns; one row a
+    key): a found row is upserted, the others' keys are deleted, in the buckets
+    of the keys alone.
+
+    The last `SEQ` of each key is kept beside the rows, of deleted keys too: an
+    answer that is not later than that is passed over, whenever it arrives.  An
+    answer without one counts as the latest.  ``batch`` is the number of a
+    stream's batch: one that a version holds already is skipped.  If another
+    writer commits first, the answers are merged again onto its version.
+    Returns the version, None if there was nothing to do.
+    """
+    n = store.buckets(table)
+    if not n:   # an empty table as it was created: from now on in buckets
+        found = store.read(table)
+        store.commit(table, found, bucket_key=key, base=store.current_version(table))
+        n = store.buckets(table)
+    staged = Staged(store.spark, answers, key, n)
+    try:
+        touched = staged.held()
+        for attempt in range(ATTEMPTS):
+            base = store.current_version(table)
+            before = store.manifest(table, base)
+            done = dict(before.get("batches", {}))
+            if stream is not None and done.get(stream, -1) >= batch:
+                return None
+            if not touched:
+                return None
+            if before["parts"][ROWS]["buckets"] != n:   # rewritten in other buckets meanwhile
+                staged.close()
+                n = before["parts"][ROWS]["buckets"]
+                staged = Staged(store.spark, answers, key, n)
+                touched = staged.held()
+            try:
+                return _apply(store, table, staged, touched, key, before, done | ({stream: batch} if stream is not None else {}))
+            except StaleBase:
+                if attempt == ATTEMPTS - 1:
+                    raise
+    finally:
+        staged.close()
+
+
+def _apply(store: MirrorStore, table: str, staged: Staged, touched: list[int], key: list[str], before: dict, batches: dict) -> int:
+    spec, last_spec = before["parts"][ROWS], before["parts"].get(ANSWERS)
+    answers = staged.read()
+    last_schema = answers.select(*key, F.col(SEQ).alias("_last")).schema
+    last = store.read(table, last_schema, before["version"], ANSWERS, touched)
+    if last_spec and last_spec["buckets"] != spec["buckets"]:
+        last = store.read(table, last_schema, before["version"], ANSWERS)
+    ruled = answers.join(last, key, "left")
+    valid = ruled.filter(F.col("_last").isNull() | F.col(SEQ).isNull() | (F.col(SEQ) > F.col("_last"))).drop("_last")
+    current = store.read(table, version=before["version"], buckets=touched)
+    merged = applied(current, valid, key)
+    counts = current.select(*key, F.lit(True).alias("_had")).join(valid.select(*key, FOUND), key, "full_outer").agg(
+        F.count_if(F.col("_had").isNull() & F.col(FOUND)).alias("more"), F.count_if(F.col("_had") & ~F.col(FOUND)).alias("less")).first()
+    parts = {**before["parts"], ROWS: store.write_part(table, ROWS, merged.select(*current.columns), key, spec, touched)}
+    parts = store.renewed(table, before, parts, touched)
+    if answers.filter(F.col(SEQ).isNotNull()).limit(1).count() or last_spec:
+        kept = last.join(answers.select(*key, SEQ), key, "full_outer").select(*key, F.greatest("_last", SEQ).alias("_last")).filter("_last IS NOT NULL")
+        if last_spec and last_spec["buckets"] == spec["buckets"]:
+            parts[ANSWERS] = store.write_part(table, ANSWERS, kept, key, last_spec, touched)
+        else:
+            parts[ANSWERS] = store.write_part(table, ANSWERS, kept, key, None, None, spec["buckets"])
+    return store.publish(table, before["version"], parts, before["row_count"] + counts["more"] - counts["less"], batches=batches)
+
+
+def applied(current: DataFrame, answers: DataFrame, key: list[str]) -> DataFrame:
+    """Rows after key answers: one outer join replaces, adds and deletes."""
+    values = [c for c in current.columns if c not in key]
+    new = answers.select(*key, FOUND, *[F.col(quoted(c)).alias(f"_new_{c}") for c in values])
+    joined = current.join(new, on=key, how="full_outer").filter(F.coalesce(F.col(FOUND), F.lit(True)))
+    return joined.select(*[F.col(quoted(c)) if c in key else F.when(F.col(FOUND).isNotNull(), F.col(quoted(f"_new_{c}"))).otherwise(F.col(quoted(c))).alias(c)
+                           for c in current.columns])
+
+
+def containing(store: MirrorStore, table: str, section: str, field: str, wanted: list) -> DataFrame:
+    """Rows whose section's lines hold all ``wanted`` values in a field (OP-26).
+    With a value index only the buckets that hold them are read."""
+    some = store.buckets_with(table, section, field, wanted)
+    n = store.buckets(table)
+    return store.read(table, buckets=some if some is not None and len(some) < n else None).filter(contains_all(F.col(section).getField(field), wanted))
+
+
+def lookup(store: MirrorStore, table: str, keys: DataFrame, key: list[str]) -> DataFrame:
+    """``keys`` (distinct) with their rows, NULL where there are none (OP-29).
+
+    The buckets of the keys, at most as many as the table has, choose the files
+    that are read; both sides then meet by bucket.
+    """
+    n = store.buckets(table)
+    if not n:
+        return keys.join(store.read(table), key, "left")
+    some = [r[0] for r in keys.select(bucket_of(key, n).alias("_b")).distinct().collect()]
+    return keys.join(store.read(table, buckets=some if len(some) < n else None), key, "left")
+
+
 def refresh_and_commit(store: MirrorStore, desc: TableDescription, pages: DataFrame, table: str | None = None,
-                       fetch_size: int | None = None, usual: int | None = None) -> dict:
+                       fetch_size: int | None = None, usual: int | None = None, check=None) -> dict:
     """Full refresh of one table from landed pages, committed as a new version.
 
     The pages must be one complete read (`check_page_set`): the merge deletes
     what the load lacks, so an incomplete load stops before it.  ``usual`` is
     the table's fetch size where neither the caller nor the pages tell it.
+    ``check(changes)`` is `commit_changes`'s.
 
     Returns the statistics the control table records: row count, start, duration
-    and the number of inserted / updated / deleted / unchanged rows (observed on
-    the same write, no extra pass).
+    and the number of inserted / updated / deleted / unchanged rows; old
+    versions are pruned.
     """
     started = time.time()
     table = table or desc.table
     check_page_set(pages, fetch_size, usual or default_fetch_size())
-    base = store.current_version(table)
-    current = store.read(table, desc.spark_schema())
-    _, changes = refresh_full(current, load_from_pages(pages, desc), desc)
-    obs = Observation(f"changes_{abs(hash((desc.table, started)))}")
-    counted = changes.observe(obs, *[F.count_if(F.col("action") == a).alias(a) for a in (INSERT, UPDATE, DELETE, SAME)])
-    version, rows = store.commit(table, apply_changes(counted, desc.key), started, bucket_key=desc.key, base=base)
+    load = load_from_pages(pages, desc)
+    if desc.key:
+        stats = commit_changes(store, table, load, desc.key, desc.version, started, check)
+    else:   # one row or none: written anew
+        version, rows = store.commit(table, load, started, base=store.current_version(table))
+        stats = {"version": version, "row_count": rows}
+    store.prune(table)
     store.register(table, desc)
-    stats = {k: int(v) for k, v in obs.get.items()}
-    stats.update(version=version, row_count=rows, duration_ms=int((time.time() - started) * 1000))
-    return stats
+    return {**stats, "duration_ms": int((time.time() - started) * 1000)}
 
 
 # Bumped whenever the stored layout of a snapshot changes.
-SNAPSHOT_LAYOUT = 2
+SNAPSHOT_LAYOUT = 3
 
 
 def _input_signature(spark: SparkSession, paths: list[str]) -> str:
@@ -285,11 +308,16 @@ def _build_lock(path: str) -> threading.Lock:
         return _BUILD_LOCKS.setdefault(path, threading.Lock())
 
 
+def snapshot_root(spark: SparkSession, inputs: list[str]) -> str:
+    """Where the mirrors of these inputs are stored."""
+    return checkpoint_dir(spark).rstrip("/") + "/mirror/" + _input_signature(spark, inputs)
+
+
 def ensure_snapshot(spark: SparkSession, table: str, desc: TableDescription, inputs: list[str],
                     pages_fn) -> DataFrame:
     """The stored mirror of ``table`` for these inputs; the first call runs a
     full refresh from ``pages_fn()`` into an empty mirror and commits it."""
-    store = MirrorStore(spark, checkpoint_dir(spark).rstrip("/") + "/mirror/" + _input_signature(spark, inputs))
+    store = MirrorStore(spark, snapshot_root(spark, inputs))
     with _build_lock(store.root + "/" + table):
         if store.current_version(table) is None:
             refresh_and_commit(store, desc, pages_fn(), table)
@@ -326,6 +354,17 @@ def materialize(store: MirrorStore, name: str, df: DataFrame) -> DataFrame:
     return store.read(name)
 
 
+def maintain_view(store: MirrorStore, name: str, changes: DataFrame, group: list, sums: dict) -> DataFrame:
+    """A grouped view kept up from a refresh's change set (OP-54): the stored
+    groups and the changes are read, the mirror is not (`incremental.maintained`)."""
+    base = store.current_version(name)
+    view = store.read(name)
+    keys = [c for c in view.columns if c != ROW_COUNT and not c.startswith(VALUE_COUNT) and c not in sums]
+    store.commit(name, maintained(view, view_delta(changes, group, sums), keys, list(sums)), base=base)
+    store.prune(name)
+    return store.read(name)
+
+
 # --------------------------------------------------------------------------
 # Control table and refresh selection (OP-10, OP-55)
 # --------------------------------------------------------------------------

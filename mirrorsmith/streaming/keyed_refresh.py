@@ -6,13 +6,15 @@ requests land as JSON lines ``{"keys": {<key fields>}, "value": [rows],
 "seq": <n>}`` in a folder; each micro-batch is applied as one batch refresh:
 the last response of each requested key counts, one with a row upserts it, one
 with an empty ``value`` deletes it, other rows stay.  ``seq`` orders the
-responses; without it they count in the order of their files' times and names
-and of their lines.  A response that cannot be read stops the batch, and so does
-one that counts and holds more than one row.
+responses, also across batches: the last one of each key is kept beside the
+mirror, so a later batch cannot bring an older state back.  Responses without it
+count in the order of their batches, of their files' times and names and of
+their lines.  A response that cannot be read stops the batch, and so does one
+that counts and holds more than one row.
 
-Each micro-batch commits one new snapshot version (the previous one stays
-readable); a replayed batch after a failure yields the same rows again.  The
-streaming checkpoint must live in the shared checkpoint folder.
+Each micro-batch commits one new version that rewrites the buckets of its keys;
+the version names the stream and the batch, so a batch replayed after a failure
+is skipped.  The streaming checkpoint must live in a shared folder.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from pyspark.sql import types as T
 
 from mirrorsmith.functions.decode import FAIL_FAST, decode_row, decode_sections, decode_some, read_schema
 from mirrorsmith.plans.description import TableDescription
-from mirrorsmith.plans.refresh import MirrorStore, mirror_root
+from mirrorsmith.plans.refresh import FOUND, SEQ, applied, commit_answers
+from mirrorsmith.plans.store import MirrorStore, mirror_root
 
 
 def response_schema(desc: TableDescription) -> T.StructType:
@@ -33,34 +36,51 @@ def response_schema(desc: TableDescription) -> T.StructType:
                          T.StructField("seq", T.LongType())])
 
 
-def apply_responses(batch: DataFrame, desc: TableDescription, current: DataFrame) -> DataFrame:
-    """New snapshot after one batch of key responses (``value`` text lines,
-    optionally with their file's ``file_time`` and ``file_name``).
+def answers_of(batch: DataFrame, desc: TableDescription) -> DataFrame:
+    """The last answer of each key in a batch of responses (``value`` text lines,
+    optionally with their file's ``file_time`` and ``file_name``), as
+    `commit_answers` takes them: key, found, seq and the other columns.
 
     A response is parsed once; the last one per key is taken before anything
-    is joined, and one outer join with the stored side (bucketed by the key)
-    replaces, adds and deletes.
+    is decoded or joined.
     """
-    names = [c.name for c in desc.columns]
     placed = [F.col(c) for c in ("file_time", "file_name") if c in batch.columns]
     schema = response_schema(desc)
     parsed = batch.select(F.from_json("value", schema, FAIL_FAST).alias("r"), *placed, F.monotonically_increasing_id().alias("_line"))
     need = lambda field: F.coalesce(F.col(f"r.{field}"), F.raise_error(F.lit(f"a key response has no {field}"))
                                     .cast(schema[field].dataType))
-    fields = parsed.select(need("keys").alias("k"), need("value").alias("v"), F.col("r.seq").alias("_seq"), *placed, "_line")
-    keyed = fields.select(*decode_some(F.col("k"), desc, desc.key), "v", "_seq", *placed, "_line")
-    order = [F.col("_seq").desc_nulls_last(), *[c.desc() for c in placed], F.col("_line").desc()]
+    fields = parsed.select(need("keys").alias("k"), need("value").alias("v"), F.col("r.seq").alias(SEQ), *placed, "_line")
+    keyed = fields.select(*decode_some(F.col("k"), desc, desc.key), "v", SEQ, *placed, "_line")
+    order = [F.col(SEQ).desc_nulls_last(), *[c.desc() for c in placed], F.col("_line").desc()]
     last = keyed.withColumn("_n", F.row_number().over(Window.partitionBy(*desc.key).orderBy(*order))).filter("_n = 1")
-    # the row of the answer, NULL if the key is gone
-    many = F.raise_error(F.concat(F.lit("a key response has "), F.size("v").cast("string"), F.lit(" rows"))).cast(schema["value"].dataType.elementType)
-    rows = last.select(*desc.key, F.when(F.size("v") > 1, many).otherwise(F.get("v", F.lit(0))).alias("row"))
-    decoded = rows.select(F.col("row").isNotNull().alias("_found"), *decode_row(F.col("row"), desc, sections=False, decoded=set(desc.key)))
-    fetched = decode_sections(decoded, desc, ["_found"])
-    value_cols = [c for c in names if c not in desc.key]
-    answers = fetched.select(*desc.key, "_found", *[F.col(c).alias(f"_new_{c}") for c in value_cols])
-    joined = current.join(answers, on=desc.key, how="full_outer").filter(F.coalesce(F.col("_found"), F.lit(True)))
-    return joined.select(*[F.col(c) if c in desc.key else
-                           F.when(F.col("_found").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in names])
+    return decoded_answers(last, desc, schema["value"].dataType.elementType)
+
+
+def decoded_answers(rows: DataFrame, desc: TableDescription, element: T.DataType) -> DataFrame:
+    """Answers (key, ``v``: its rows, `SEQ`) with the columns of their row; the
+    row of a key that is gone is NULL."""
+    many = F.raise_error(F.concat(F.lit("a key response has "), F.size("v").cast("string"), F.lit(" rows"))).cast(element)
+    one = rows.select(*desc.key, SEQ, F.when(F.size("v") > 1, many).otherwise(F.get("v", F.lit(0))).alias("row"))
+    decoded = one.select(F.col("row").isNotNull().alias(FOUND), SEQ, *decode_row(F.col("row"), desc, sections=False, decoded=set(desc.key)))
+    fetched = decode_sections(decoded, desc, [FOUND, SEQ])
+    return fetched.select(*desc.key, FOUND, SEQ, *[c.name for c in desc.columns if c.name not in desc.key])
+
+
+def apply_responses(batch: DataFrame, desc: TableDescription, current: DataFrame) -> DataFrame:
+    """Rows after one batch of key responses, without storing them: one outer
+    join with the stored side (bucketed by the key) replaces, adds and deletes."""
+    return applied(current, answers_of(batch, desc), desc.key).select(*[c.name for c in desc.columns])
+
+
+def apply_batch(store: MirrorStore, desc: TableDescription, batch: DataFrame, table: str | None = None,
+                stream: str | None = None, number: int | None = None) -> int | None:
+    """Store a batch of key responses; the version, None if nothing was new."""
+    table = table or desc.table
+    version = commit_answers(store, table, answers_of(batch, desc), desc.key, stream, number)
+    if version is not None:
+        store.prune(table)
+        store.register(table, desc)
+    return version
 
 
 def start(spark: SparkSession, landed_dir: str, desc: TableDescription, store: MirrorStore,
@@ -70,12 +90,7 @@ def start(spark: SparkSession, landed_dir: str, desc: TableDescription, store: M
     checkpoint = checkpoint or mirror_root(spark) + f"/_streams/{table}"
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        base = store.current_version(table)
-        current = store.read(table, desc.spark_schema())
-        store.commit(table, apply_responses(batch, desc, current), bucket_key=desc.key, base=base)
-        store.register(table, desc)
+        apply_batch(store, desc, batch, table, checkpoint, epoch_id)
 
     stream = spark.readStream.format("text").load(landed_dir).select(
         "value", F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_name").alias("file_name"))

@@ -45,7 +45,7 @@ def test_full_refresh_versions_and_views(spark, scratch):
     got = dict(spark.sql("SELECT `Ссылка`, `Наименование` FROM `Справочник.Товары`").collect())
     assert got[g(0)] == "renamed" and len(got) == 6
     # the previous version is untouched
-    assert spark.read.parquet(f"{store.root}/{DESC.table}/v=1").count() == 7
+    assert store.read(DESC.table, version=1).count() == 7
 
 
 def test_sql_table_function_over_mirror(spark, scratch):
@@ -106,14 +106,14 @@ def test_enum_order_checks(spark):
     assert sorted(r["Ссылка"] for r in enum_order_checks(df).collect()) == ["b", "c", "d"]
 
 
-def test_failed_version_is_skipped(spark, scratch):
+def test_failed_write_is_no_version(spark, scratch):
     store = rf.MirrorStore(spark, scratch + "/store")
     store.commit("T", spark.range(3))
-    os.makedirs(f"{store.root}/T/v=2")                       # a write that died before committing
-    open(f"{store.root}/T/v=2/_SUCCESS", "w").close()        # ... or before its layout was written
-    assert store.current_version("T") == 1
+    store.write_part("T", "rows", spark.range(9), None)      # a writer that died before its manifest
+    open(f"{store.root}/T/_versions/2.json.1234.draft", "w").close()   # ... or before it was whole
+    assert store.current_version("T") == 1 and store.read("T").count() == 3
     version, rows = store.commit("T", spark.range(5))
-    assert version == 3 and store.current_version("T") == 3 and store.read("T").count() == 5
+    assert (version, rows) == (2, 5) and store.current_version("T") == 2 and store.read("T").count() == 5
 
 
 def test_select_refresh_fast_skips_unknown_sizes(spark):
