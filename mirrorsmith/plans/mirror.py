@@ -35,7 +35,7 @@ from mirrorsmith.plans.description import TableDescription
 from mirrorsmith.plans.refresh import (CONTROL_SCHEMA, SEQ, append_audit, audit_requests, commit_answers, create_table,
                                        default_fetch_size, lookup, refresh_and_commit, select_refresh)
 from mirrorsmith.plans.store import MirrorStore, mirror_root
-from mirrorsmith.sources.pages import plan_requests, read_landed, write_pages
+from mirrorsmith.sources.pages import request_url
 from mirrorsmith.streaming.keyed_refresh import decoded_answers, response_schema
 
 
@@ -190,30 +190,24 @@ class Mirror:
 
     def fetch_pages(self, table: str, base_url: str, user: str = "", password: str = "",
                     pages_per_partition: int = 16) -> DataFrame:
-        """Pages of a full read from the live source (`sources/odata.py`), one
-        page range per task, landed in the mirror's folder before they are
-        used, so no retry asks the source again.  The planned requests are
-        appended to the request log without the password.  The expected row
-        count comes from the control table; a table not loaded yet asks the
-        source for it."""
-        from mirrorsmith.sources.odata import PagedReader, PagedSource
+        """Pages of a full read from the live source (`sources/odata.py`): page
+        ranges in tasks, rounds of ranges until a short page, landed in the
+        mirror's folder before they are used, so no retry asks the source again.
+        The row count of the control table only sizes the first round.  The
+        requests are appended to the request log without the password."""
+        from mirrorsmith.sources.odata import scan
         desc = self.describe(table)
-        ctl = self.control().filter(F.col("table") == table).select("row_count", "fetch_size").first()
+        ctl = self.control().filter((F.col("server") == self.server) & (F.col("table") == table)).select("row_count", "fetch_size").first()
         fetch_size = int(ctl["fetch_size"]) if ctl else default_fetch_size()
         sort = ",".join(desc.sort)
         options = {"base_url": base_url, "entity": desc.entity, "sort": sort, "fetch_size": str(fetch_size),
                    "pages_per_partition": str(pages_per_partition), "user": user, "password": password}
-        row_count = ctl["row_count"] if ctl and ctl["row_count"] is not None else PagedReader(options).count()
-        options["row_count"] = str(row_count)
-        plan = self.spark.createDataFrame([(desc.entity, sort, fetch_size, int(row_count))],
-                                          "entity string, sort string, fetch_size int, row_count long")
+        pages = scan(self.spark, options, f"{self.store.root}/_landed/{table}/{uuid.uuid4().hex}", ctl["row_count"] if ctl else None)
         scheme, rest = base_url.split("://", 1) if "://" in base_url else ("http", base_url)
         shown = f"{scheme}://{user}:{PASSWORD_MASK}@{rest}" if user else base_url
-        append_audit(self.store, audit_requests(plan_requests(plan), shown, self.server, user or "anonymous", masked=True))
-        self.spark.dataSource.register(PagedSource)
-        path = f"{self.store.root}/_landed/{table}/{uuid.uuid4().hex}"
-        write_pages(self.spark.read.format(PagedSource.name()).options(**options).load().withColumn("fetch_size", F.lit(fetch_size)), path)
-        return read_landed(self.spark, path)
+        sent = pages.select(request_url(F.lit(desc.entity), F.lit(sort), F.col("skip"), F.lit(fetch_size)).alias("url"))
+        append_audit(self.store, audit_requests(sent, shown, self.server, user or "anonymous", masked=True))
+        return pages
 
     def refresh_all(self, pages_for, fast: bool = False) -> list[dict]:
         """Scheduled bulk refresh: the selected tables in name order

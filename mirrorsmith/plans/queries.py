@@ -383,8 +383,8 @@ def section_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def section_contains_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OP-26 through a value index that a refresh has kept up: the mirror is
-    indexed, refreshed to the source's state, and searched for documents that
-    hold the first and the last part of `part` that any line names."""
+    indexed, refreshed to the source's state, and searched for the documents
+    that hold the part of the dearest line."""
     store, desc = _branch(spark, sf_dir)
     store.create_index(desc.table, "Товары", "Номенклатура")
     refresh_and_commit(store, desc, landed_pages(spark, sf_dir, "src"), fetch_size=DOCUMENT_FETCH_SIZE)

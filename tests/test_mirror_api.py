@@ -242,3 +242,46 @@ def test_one_full_page_of_a_smaller_fetch_size_is_refused(spark, scratch):
     with pytest.raises(pg.IncompleteLoad, match="no short page"):
         pg.check_page_set(landed)                            # the landed one
     pg.check_page_set(landed, fetch_size=6)
+
+
+def test_source_that_shrinks_grows_and_empties(spark, scratch):
+    m = Mirror(spark, write_meta(scratch), root=scratch + "/mirror")
+    m.create_table(T)
+    m.refresh(T, pages(spark, [doc(i) for i in range(12)], 4), fetch_size=4)
+    for k, n in enumerate((4, 40, 1, 0, 9)):
+        folder = os.path.join(scratch, f"source{k}", "Catalog_Контрагенты")
+        os.makedirs(folder)
+        for page in range(120):     # behind its end the source answers with empty pages
+            with open(os.path.join(folder, f"{page * 2}.json"), "w", encoding="utf-8") as f:
+                json.dump({"value": [doc(i) for i in range(page * 2, min(n, page * 2 + 4))]}, f, ensure_ascii=False)
+        stats = m.refresh(T, m.fetch_pages(T, "file://" + os.path.join(scratch, f"source{k}"), pages_per_partition=2))
+        assert stats["row_count"] == n and {r["Ссылка"] for r in m.table(T).select("Ссылка").collect()} == {g(i) for i in range(n)}
+
+
+def test_one_refused_table_does_not_stop_the_others(spark, scratch):
+    m = Mirror(spark, write_meta(scratch), root=scratch + "/mirror")
+    m.create_table(T, pages(spark, [doc(1)]))
+    m.create_table("РегистрНакопления.Остатки")
+
+    def pages_for(table):
+        if table == T:
+            return pages(spark, [doc(1), doc(2)])
+        raise pg.IncompleteLoad("no pages")
+
+    done = {d["table"]: d for d in m.refresh_all(pages_for)}
+    assert done[T]["row_count"] == 2 and done["РегистрНакопления.Остатки"]["error"] == "IncompleteLoad: no pages"
+
+
+def test_dropped_column_writes_no_file(spark, scratch):
+    m = Mirror(spark, write_meta(scratch), root=scratch + "/mirror")
+    m.create_table(T, pages(spark, [doc(i) for i in range(3)]))
+    listing = lambda: sorted(os.path.join(d, n) for d, _, ns in os.walk(f"{m.store.root}/{T}/rows") for n in ns)
+    had = listing()
+    line = '    <Property Name="Description" Type="Edm.String"/>\n'
+    write_meta(scratch, METADATA.replace(line, "", 1))
+    assert m.refresh_metadata(T)["drop"] == ["Наименование"] and listing() == had and m.table(T).count() == 3
+    write_meta(scratch, METADATA)
+    back = m.refresh_metadata(T)                    # added again: its values are unknown until the source is read
+    assert back["reload"] and m.table(T).count() == 0
+    m.refresh(T, pages(spark, [doc(1)]))
+    assert m.table(T).first()["Наименование"] == "c1"
