@@ -20,7 +20,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.read_records(spark, warc.write_archive(table(spark, sf_dir, "pages")))
+    return warc.read_records(spark, warc.write_archive(table(spark, sf_dir, "pages")), whole=True).drop("record")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

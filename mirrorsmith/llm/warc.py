@@ -97,6 +97,8 @@ def _restored(whole: bool):
         for b in batches:
             rows = []
             for page, refers, address, warc, http, body in zip(*[c.to_pylist() for c in b.columns]):
+                if body is None:
+                    raise ValueError(f"the payload of the record of page {page} is missing")
                 payload = z.decompress(body)
                 fields = dict(x.split(": ", 1) for x in warc.decode().split("\r\n")[1:] if x)
                 digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
@@ -104,7 +106,10 @@ def _restored(whole: bool):
                 length = len(http) + (len(payload) if kind == "response" else 0)
                 if hashlib.sha256(payload).digest() != address or fields["WARC-Payload-Digest"] != f"sha1:{digest}" or int(fields["Content-Length"]) != length:
                     raise ValueError(f"record of page {page} does not match its payload")
-                rows.append((page, len(payload), digest, kind, refers, *([warc + http + (payload if kind == "response" else b"") + b"\r\n\r\n"] if whole else [])))
+                record = warc + http + (payload if kind == "response" else b"") + b"\r\n\r\n" if whole else b""
+                if whole and len(record) != len(warc) + length + 4:
+                    raise ValueError(f"the record of page {page} has not the length it states")
+                rows.append((page, len(payload), digest, kind, refers, *([record] if whole else [])))
             cols = list(zip(*rows)) or [[]] * (5 + whole)
             types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
@@ -113,11 +118,14 @@ def _restored(whole: bool):
 
 
 def read_records(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
-    """The records of an archive, verified; with ``whole``, their full bytes."""
+    """The records of an archive, verified; with ``whole``, their full bytes.
+
+    A record whose payload is missing, or does not have the digest and length
+    that the record states, stops the job."""
     records = spark.read.schema("page_id long, refers_to long, address binary, warc_header binary, http_header binary").parquet(f"{path}/records")
     payloads = spark.read.schema("address binary, body binary").parquet(f"{path}/payloads")
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return records.join(payloads, "address").select("page_id", "refers_to", "address", "warc_header", "http_header", "body") \
+    return records.join(payloads, "address", "left").select("page_id", "refers_to", "address", "warc_header", "http_header", "body") \
         .mapInArrow(_restored(whole), schema + (", record binary" if whole else ""))
 
 

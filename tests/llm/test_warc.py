@@ -58,5 +58,14 @@ def test_a_changed_payload_is_found(spark):
         warc.read_records(spark, f"{path}-bad").collect()
 
 
+def test_a_lost_payload_is_found(spark):
+    path = warc.write_archive(pages(spark, ROWS))
+    kept = spark.read.parquet(f"{path}/payloads").orderBy("address").offset(1)
+    kept.write.parquet(f"{path}-lost/payloads")
+    spark.read.parquet(f"{path}/records").write.parquet(f"{path}-lost/records")
+    with pytest.raises(Exception, match="is missing"):
+        warc.read_records(spark, f"{path}-lost").collect()
+
+
 def test_no_pages(spark):
     assert warc.read_records(spark, warc.write_archive(pages(spark, []))).collect() == []
