@@ -20,6 +20,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from importlib.resources import files
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -119,10 +120,56 @@ def bigrams(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield s[keep], at - np.concatenate([[0], np.cumsum(single)])
 
 
+class Firsts:
+    """First occurrences of the bigrams of a sequence, seen from any place."""
+
+    BLOCK = 256
+
+    def __init__(self, seq: np.ndarray):
+        n = len(seq)
+        order = np.argsort(seq, kind="stable")
+        same = seq[order][1:] == seq[order][:-1]
+        self.before = np.full(n, -1, np.int64)            # where each bigram occurred last
+        self.before[order[1:][same]] = order[:-1][same]
+        after = np.full(n, n, np.int64)
+        after[order[:-1][same]] = order[1:][same]
+        # per place: the nearest repeat that ends after it, and the distinct bigrams from it on
+        self.repeat = np.minimum.accumulate(after[::-1])[::-1]
+        self.distinct = np.cumsum((after == n)[::-1])[::-1]
+        pad = np.full(-n % self.BLOCK, n, np.int64)
+        self.low = np.concatenate([self.before, pad]).reshape(-1, self.BLOCK).min(axis=1)
+
+    def of(self, a: int, most: int, end: int | None = None) -> np.ndarray:
+        """The first places from ``a`` on (before ``end``) where a bigram occurs
+        that did not since ``a``: ``most`` at least, if there are.
+
+        Blocks without such a place are passed over, so long repetitions cost nothing.
+        """
+        n = len(self.before) if end is None else end
+        have, at, to = [], a, min(n, a + 4 * most)
+        count = 0
+        while True:
+            x = at + np.flatnonzero(self.before[at:to] < a)
+            have.append(x)
+            count += len(x)
+            if to >= n or count >= most or count >= self.distinct[a]:
+                return np.concatenate(have)
+            at = to
+            block = at // self.BLOCK
+            if self.before[at:(block + 1) * self.BLOCK].min(initial=n) >= a:
+                ahead = np.flatnonzero(self.low[block + 1:] < a)[:1]
+                if not len(ahead):
+                    return np.concatenate(have)
+                at = (block + 1 + int(ahead[0])) * self.BLOCK
+            to = min(n, at + 4 * most)
+
+
 def passages(seq: np.ndarray, wanted: np.ndarray, threshold: float) -> list[tuple[float, int, int]]:
     """Passages of a bigram sequence that agree with a template's sorted bigrams.
 
-    Returns (dice, first bigram, end) without overlaps, the best first.
+    Returns (dice, first bigram, end) without overlaps, the best first.  Only
+    first occurrences change a passage's Dice coefficient, so each start looks
+    at a few of them, however much the text repeats itself.
     """
     n = len(wanted)
     least, longest = math.ceil(threshold * n / (2 - threshold) - 1e-9), math.floor(n * (2 - threshold) / threshold + 1e-9)
@@ -131,68 +178,43 @@ def passages(seq: np.ndarray, wanted: np.ndarray, threshold: float) -> list[tupl
     hit = np.flatnonzero(on)
     if len(hit) < least:
         return []
-    # Hits that start a window with enough hits in it (repeats count here, so none is missed).
-    before = _before(seq)
-    reach = hit + _span(before, hit, longest)
-    starts = np.flatnonzero(np.searchsorted(hit, reach) - np.arange(len(hit)) >= least)
+    firsts = Firsts(seq)
+    # Hits with enough hits in as many places as a passage may have; where bigrams repeat, it may have more.
+    enough = np.searchsorted(hit, hit + longest) - np.arange(len(hit)) >= least
+    starts = hit[enough | (firsts.repeat[hit] <= hit + longest)]
 
-    def closest(a: int, end: int) -> tuple[float, int, int]:
+    def closest(a: int, end: int | None) -> tuple[float, int, int] | None:
         """The best passage from ``a`` that ends by ``end``, as (-dice, a, its end)."""
-        new = before[a:end] < a
-        at = np.flatnonzero(on[a:end])
-        dice = 2 * np.cumsum(new & on[a:end])[at] / (n + np.cumsum(new)[at])
+        at = firsts.of(a, longest + 1, end)
+        mine = on[at]
+        hits = np.cumsum(mine)
+        if not len(at) or hits[-1] < least:
+            return None
+        dice = np.where(mine, 2 * hits / (n + np.arange(1, len(at) + 1)), 0)
         i = int(dice.argmax())
-        return -float(dice[i]), a, a + int(at[i]) + 1
+        return (-float(dice[i]), a, int(at[i]) + 1) if dice[i] >= threshold else None
 
-    heap = [x for x in (closest(int(hit[i]), int(reach[i])) for i in starts) if -x[0] >= threshold]
+    heap = [x for x in (closest(int(a), None) for a in starts) if x]
     heapify(heap)
     best: list[tuple[float, int, int]] = []
-    firsts: list[int] = []
+    begun: list[int] = []
     ends: list[int] = []
     while heap:
         d, a, b = heappop(heap)
-        i = bisect_right(firsts, a)
+        i = bisect_right(begun, a)
         if i and ends[i - 1] > a:
             continue
-        if i < len(firsts) and b > firsts[i]:   # runs into a better one: what is best before that
-            x = closest(a, firsts[i])
-            if -x[0] >= threshold:
+        if i < len(begun) and b > begun[i]:   # runs into a better one: what is best before that
+            x = closest(a, begun[i])
+            if x:
                 heappush(heap, x)
             continue
-        firsts.insert(i, a)
+        begun.insert(i, a)
         ends.insert(i, b)
         best.append((-d, a, b))
     return best
 
 
-def _before(seq: np.ndarray) -> np.ndarray:
-    """Where each bigram of the sequence occurred last, -1 at its first occurrence."""
-    order = np.argsort(seq, kind="stable")
-    before = np.full(len(seq), -1, np.int64)
-    same = seq[order][1:] == seq[order][:-1]
-    before[order[1:][same]] = order[:-1][same]
-    return before
-
-
-def _span(before: np.ndarray, hit: np.ndarray, longest: int) -> np.ndarray:
-    """How far a passage from each hit may reach: ``longest`` distinct bigrams.
-
-    Without repeats that is ``longest`` places; where a bigram repeats soon
-    after itself the passage may be longer, up to the place where the distinct
-    bigrams exceed the bound.
-    """
-    out = np.minimum(longest, len(before) - hit)
-    for i, a in enumerate(hit.tolist()):
-        if not (before[a + 1:a + longest + 1] >= a).any():
-            continue
-        new, end, step = 0, a, 4 * longest
-        while end < len(before) and new <= longest:   # distinct so far: first occurrences since a
-            new += int((before[end:end + step] < a).sum())
-            end += step
-        out[i] = min(end, len(before)) - a
-    return out
-
-
 def licence_of(seq: np.ndarray, templates: list[tuple[str, np.ndarray]], threshold: float, whole: frozenset[str] = frozenset()) -> list[tuple[str, float, int, int]]:
     """All agreeing passages: (template, dice, first word, end word), best first.
 
@@ -200,8 +222,13 @@ def licence_of(seq: np.ndarray, templates: list[tuple[str, np.ndarray]], thresho
     of that text and comes after all others.
     """
     out = [(name, d, a, b + 1) for name, wanted in templates for d, a, b in passages(seq, wanted, threshold)]
-    texts = [(a, b) for name, _, a, b in out if name in whole]
-    part = lambda x: x[0] not in whole and any(a <= x[2] and x[3] <= b for a, b in texts)
+    texts = sorted((a, b) for name, _, a, b in out if name in whole)
+    begins, reach = [a for a, _ in texts], list(accumulate((b for _, b in texts), max))
+
+    def part(x: tuple[str, float, int, int]) -> bool:
+        i = bisect_right(begins, x[2])   # of the texts that begin by then, does one reach its end
+        return x[0] not in whole and i > 0 and reach[i - 1] >= x[3]
+
     return sorted(out, key=lambda x: (part(x), -x[1], -(x[3] - x[2]), x[0], x[2]))
 
 

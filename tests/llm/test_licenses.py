@@ -114,3 +114,36 @@ def test_siblings_and_whole_texts(spark):
     for i, name in enumerate(want):
         assert rows[i]["license"] == name, (name, rows[i]["license"], rows[i]["dice"])
     assert all(rows[i]["dice"] == 1.0 for i in range(len(SIBLINGS)))
+
+
+def test_repetitive_texts_take_linear_time():
+    """One notice very many times, alone and before other text; results as for few."""
+    import time
+
+    name = "all-rights-reserved"
+    wanted = next(np.unique(s) for s, _ in licenses.bigrams(pa.array([licenses.TEMPLATES[name]])))
+    seq = lambda t: next(s for s, _ in licenses.bigrams(pa.array([t], pa.large_string())))
+    tail = " ".join(f"word{i}" for i in range(3000))
+    for text, count in (("all rights reserved. " * 8000, 8000), ("all rights reserved. " * 4000 + tail + " all rights reserved", 4001), ("rights all " * 20_000, 0)):
+        s = seq(text)
+        start = time.process_time()
+        found = licenses.passages(s, wanted, 0.8)
+        assert time.process_time() - start < 3 and len(found) == count and all(d == 1.0 for d, *_ in found)
+
+
+def test_first_occurrences_seen_from_any_place():
+    rng = np.random.default_rng(6)
+    for n, kinds in ((1, 1), (40, 5), (700, 3), (900, 400), (1500, 20)):
+        seq = rng.integers(0, kinds, n).astype(np.uint64)
+        seq[n // 3:2 * n // 3] = 1
+        f = licenses.Firsts(seq)
+        for a in range(0, n, 1 + n // 50):
+            for most in (1, 3, 30):
+                for end in (None, (a + n) // 2 + 1):
+                    seen, want = set(), []
+                    for x in range(a, n if end is None else end):
+                        if seq[x] not in seen:
+                            seen.add(seq[x])
+                            want.append(x)
+                    got = f.of(a, most, end).tolist()
+                    assert got == want[:len(got)] and len(got) >= min(most, len(want))
