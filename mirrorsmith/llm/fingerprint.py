@@ -17,14 +17,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mirrorsmith.llm.common import shuffle_partitions
 from mirrorsmith.llm.text import byte_values, chunks, hash_ranges, mix64, seeds, shingles, word_ranges
 
 BINS, BITS, WORDS = 256, 4, 5
-RANGES = 4           # ranges of doc_id per shuffle partition
 SLICE = 4 << 20      # characters of text handled at once
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -90,8 +89,8 @@ SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 
 
 def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted stream (bucket, guest, doc_id, text); each row's next
-    is the row after it in its bucket, and a guest only serves as a next."""
+    """Rows of a sorted stream (range, guest, doc_id, text); each row's next is
+    the row after it in its range, and a guest only serves as a next."""
     held: list[tuple] = []
 
     def done(rows: list[tuple]) -> pa.RecordBatch | None:
@@ -122,41 +121,57 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
+def placer(tops: list[tuple[int, int]]):
+    """Twice the range of each (d, m), plus one for the first row of a range.
+
+    ``tops`` are the first rows of the ranges; ranges and rows are in falling order.
+    """
+    rising = sorted(tops)
+    of_d, of_m = (np.array([t[i] for t in rising], np.int64) for i in (0, 1))
+
+    @F.pandas_udf("long")
+    def place(d: pd.Series, m: pd.Series) -> pd.Series:
+        d, m = d.to_numpy(), m.to_numpy()
+        below, to = np.searchsorted(of_d, d, "left"), np.searchsorted(of_d, d, "right")
+        for x in np.unique(d[to > below]):   # ids that are first in some range: the text's hash decides
+            lo, hi = np.searchsorted(of_d, x, "left"), np.searchsorted(of_d, x, "right")
+            mine = d == x
+            below[mine] = lo + np.searchsorted(of_m[lo:hi], m[mine], "left")
+        at = np.minimum(below, len(of_d) - 1)
+        first = (of_d[at] == d) & (of_m[at] == m)
+        return pd.Series(2 * (len(of_d) - 1 - at) + first)
+
+    return place
+
+
 def fingerprint_report(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document and of its edit with the next document.
 
     Next is the next smaller doc_id, after the smallest the largest; a null
     doc_id comes after all, rows that share a doc_id follow in the order of
     their text's hash.  A null text is empty.  A single document is its own
-    next.  Other columns are ignored.  Texts are range-partitioned by doc_id
-    once; the first row of each range is sent to the range before it as well,
-    so that every row finds its next in its own range.
+    next.  Other columns are ignored.
+
+    Ids and hashes of texts are range-partitioned first, which gives the first
+    row of each range: two numbers a partition reach the driver.  Then texts are
+    dealt to those ranges, one a partition, and the first row of each range to
+    the range before it as well, so that every row finds its next in its own.
+    Rows that share an id, or have none, spread by their texts.
     """
-    spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
+    parts = shuffle_partitions(docs.sparkSession)
     low = F.lit(-(1 << 63))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .select(F.coalesce("doc_id", low).alias("d"), "doc_id", "text", F.xxhash64("text").alias("m"))
-    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), low).alias("d"))
-    n = parts * RANGES
-    # As many bounds as ranges: their number follows the partitions, not the rows.
-    bounds = ids.agg(F.percentile_approx("d", [(i + 1) / n for i in range(n - 1)], 10 * n)).first()[0] if n > 1 else []
-    edges = np.unique(np.array(bounds or [], np.int64))
-
-    @F.pandas_udf("long")
-    def bucket(d: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, d.to_numpy(), "left").astype(np.int64))
-
-    placed = rows.withColumn("bucket", bucket("d"))
-    # One row per range: the first of it, and the range it follows.
-    tops = placed.groupBy("bucket").agg(F.max(F.struct("d", "m")).alias("top"))
-    w = Window.orderBy("bucket")
-    tops = tops.select(F.col("bucket").alias("b"), "top", F.coalesce(F.lead("bucket").over(w), F.first("bucket").over(w)).alias("before"))
-    sent = placed.join(F.broadcast(tops), F.col("bucket") == F.col("b")) \
-        .withColumn("to", F.explode(F.when(F.struct("d", "m") == F.col("top"), F.array(
-            F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest")), F.struct(F.col("before").alias("bucket"), F.lit(True).alias("guest"))))
-            .otherwise(F.array(F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest")))))) \
-        .select("to.bucket", "to.guest", "doc_id", "text", "d", "m")
-    order = [F.col("bucket"), F.col("guest"), F.col("d").desc(), F.col("m").desc()]
-    return sent.repartition(parts, "bucket").sortWithinPartitions(*order).select("bucket", "guest", "doc_id", "text") \
-        .mapInArrow(_paired, SCHEMA)
+    keys = rows.select("d", "m").repartitionByRange(parts, F.col("d").desc(), F.col("m").desc())
+    tops = [(r["top"]["d"], r["top"]["m"]) for r in keys.groupBy(F.spark_partition_id().alias("r")).agg(F.max(F.struct("d", "m")).alias("top")).collect()]
+    if not tops:
+        return docs.sparkSession.createDataFrame([], SCHEMA)
+    last = len(tops) - 1
+    own = (F.col("at") / 2).cast("int")
+    before = F.when(own == 0, last).otherwise(own - 1)
+    place = lambda r, guest: F.struct(r.cast("int").alias("range"), F.lit(guest).alias("guest"))
+    sent = rows.withColumn("at", placer(tops)("d", "m")) \
+        .withColumn("to", F.explode(F.when(F.col("at") % 2 == 1, F.array(place(own, False), place(before, True))).otherwise(F.array(place(own, False))))) \
+        .select("to.range", "to.guest", "doc_id", "text", "d", "m")
+    order = [F.col("range"), F.col("guest"), F.col("d").desc(), F.col("m").desc()]
+    return sent.repartitionById(parts, F.col("range")).sortWithinPartitions(*order).select("range", "guest", "doc_id", "text").mapInArrow(_paired, SCHEMA)

@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from mirrorsmith.llm import fingerprint
 from tests.llm.util import WORD, empty, frame, odd_texts
@@ -82,6 +83,26 @@ def test_missing_and_shared_ids(spark):
     assert fingerprint.fingerprint_report(empty(spark)).collect() == []
 
 
+def test_shared_ids_spread_over_the_ranges(spark):
+    """Half the rows without an id: no range holds more than twice the median."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    try:
+        n = 2000
+        df = frame(spark, [f"text {i} of {i * i}" for i in range(n)], ids=[None if i % 2 else i for i in range(n)])
+        got = fingerprint.fingerprint_report(df)
+        sizes = sorted(r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        assert sum(sizes) == n and len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+        want = {(i, f"text {j} of {j * j}") for i, j in zip(range(0, n, 2), range(-2, n - 2, 2)) if j >= 0}
+        digest = {(r["doc_id"], r["edited_sha256"]) for r in got.collect()}
+        for i, after in want:
+            own = f"text {i} of {i * i}"
+            half = len(own) // 2
+            assert (i, hashlib.sha256((own[:len(own) - half] + after[:half]).encode()).hexdigest()) in digest
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_likeness_is_unbiased():
     rng = np.random.default_rng(3)
     for share in (0.0, 0.25, 0.5, 0.9, 1.0):
