@@ -1,12 +1,12 @@
-import base64
 import collections
 import hashlib
+import json
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
-import tiktoken
+from tokenizers import Tokenizer
 
 from mirrorsmith.llm import alignment
 from mirrorsmith.llm.alignment import CSR
@@ -17,15 +17,16 @@ COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
 
 @pytest.fixture(scope="module")
 def plain():
-    """Token ids and bytes by other means: the rank file and the model's own pieces."""
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
-    a = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    """Token ids and bytes by the files' own libraries, one text at a time."""
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    letters = alignment.byte_letters()
     b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
 
     def tokens(text):
         if not text:
             return [], []
-        x = [(i, a.decode_single_token_bytes(i)) for i in a.encode_ordinary(" " + text)]
+        x = [(i, bytes(letters[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids]
         y = []
         for i in b.encode(text):
             p = b.id_to_piece(i)
@@ -88,6 +89,21 @@ def test_long_texts(spark, plain):
         assert (r["n_a"], r["n_b"]) == (len(x), len(y)) and r["n_links"] >= max(len(x), len(y)) and r["count_sum"] >= r["n_links"]
 
 
+def test_fast_way_only_where_the_file_allows_it(spark):
+    """Both ways find the same ids; another kind of file, or one that does more, goes the library's way."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    both = alignment.Tokenizers(path, public_tokenizers.path("piece_bpe_32k.model"))
+    docs = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts = [" " + (t or "") for t in docs + odd_texts() + TEXTS] + ["\n" * 100_000 + "x", " \t" * 50_000, "é" * 50_000, "12" * 50_000]
+    assert both.fast and both.encode_a(texts) == [x.ids for x in both.a.encode_batch(texts, add_special_tokens=False)]
+    spec = json.load(open(path, encoding="utf-8"))
+    for part, change in (("normalizer", {"type": "Lowercase"}), ("pre_tokenizer", {"type": "Whitespace"}), ("pre_tokenizer", None)):
+        assert alignment.ranked_bytes({**spec, part: change}) is None
+    merges = spec["model"]["merges"]
+    assert alignment.ranked_bytes({**spec, "model": {**spec["model"], "merges": [merges[1], merges[0], *merges[2:]]}}) is None
+    assert alignment.ranked_bytes(json.load(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8"))) is None
+
+
 def dense(m):
     out = np.zeros((len(m.ptr) - 1, m.width), np.int64)
     out[m.rows(), m.cols] = m.vals
