@@ -43,11 +43,21 @@ SPLITTER = {"type": "Sequence", "pretokenizers": [
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 WORD_END = "</w>"
 
-# Words of these characters alone go the short way: the normalizer above only
-# lower-cases them and the splitter only tells letters, digits and others.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-_STOP = "\0"   # stands for the end of a part; no plain word holds it
+# Words of printable ASCII and the letters À-ÿ alone go the short way: the
+# normalizer above only lower-cases them and the splitter only tells letters,
+# digits and others.
+_STOP, _NEXT = "\0", "\1"   # stand for the end of a part and of a word; no such word holds them
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\x01]+")
+
+
+def plain_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which byte ranges go the short way; none that may hold a special token does."""
+    after, before = np.append(buf[1:], np.uint8(0)), np.insert(buf[:-1], 0, 0) if len(buf) else buf
+    tail = lambda x: (x >= 0x80) & (x < 0xC0) & (x != 0x97) & (x != 0xB7)  # noqa: E731 - not the signs × and ÷
+    good = (buf > 32) & (buf < 127) & ~((buf == 60) & (after == 124))
+    good |= (buf == 0xC3) & tail(after) | tail(buf) & (before == 0xC3)
+    bad = np.concatenate([[0], np.cumsum(~good)])
+    return bad[ends] == bad[starts]
 
 
 def cut_at_spaces(spec: dict) -> bool:
@@ -79,18 +89,19 @@ def ranked_parts(spec: dict) -> dict[bytes, int] | None:
     for t, i in vocabulary.items():
         end = t.endswith(WORD_END)
         raw = bytes(letters[c] for c in (t[:-len(WORD_END)] if end else t))
-        if 0 not in raw:  # no plain word holds that byte
+        if 0 not in raw and 1 not in raw:  # no plain word holds these bytes
             out[raw + _STOP.encode() * end] = i
-    return out | {_STOP.encode(): len(vocabulary) + len(special)}
+    n = len(vocabulary) + len(special)
+    return out | {_STOP.encode(): n, _NEXT.encode(): n + 1}
 
 
 class Words:
     """Ids by a ``tokenizers`` file.
 
     If the file's ids of a text are those of its words in turn (`cut_at_spaces`),
-    distinct words are tokenized once: plain words, all of a chunk in one call,
-    by the file's ranks (`ranked_parts`), any other word, also one that may hold
-    a special token, by the whole tokenizer.  With any other file each text is
+    distinct words are tokenized once: plain ones (`plain_words`), all of a
+    chunk in one call, by the file's ranks (`ranked_parts`), any other word, also
+    one that may hold a special token, by the whole tokenizer.  With any other file each text is
     encoded whole.
     """
 
@@ -110,65 +121,94 @@ class Words:
         if ranks:
             import tiktoken
 
-            self.short = tiktoken.Encoding("parts", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
-            self.ends = np.zeros(max(ranks.values()) + 1, bool)
-            self.ends[[i for raw, i in ranks.items() if raw.endswith(_STOP.encode())]] = True
+            self.short = tiktoken.Encoding("parts", pat_str=r"[^\x00\x01]+\x00|\x01", mergeable_ranks=ranks, special_tokens={})
+            self.next = ranks[_NEXT.encode()]
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts."""
         return [np.array(x.ids, np.uint32) for x in self.full.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of words without white space."""
-        out: list[np.ndarray | None] = [None] * len(words)
-        plain, parts, count, rest = [], [], [], []
-        for i, raw in enumerate(words):
-            w = raw.decode()
-            if self.short and _PLAIN.fullmatch(w) and "<|" not in w:
-                own = _PARTS.findall(w.lower())
-                plain.append(i)
-                count.append(len(own))
-                parts += own
-            else:
-                rest.append((i, w))
-        if plain:
-            ids = np.array(self.short.encode_ordinary(_STOP.join(parts) + _STOP), np.uint32)
-            part_end = np.flatnonzero(self.ends[ids]) + 1
-            cut = part_end[np.cumsum(count) - 1]
-            for i, a, b in zip(plain, [0, *cut[:-1].tolist()], cut.tolist()):
-                out[i] = ids[a:b]
-        for (i, _), x in zip(rest, self.texts([w for _, w in rest]) if rest else []):
-            out[i] = x
-        return out
-
-
-def token_chunks(texts: pa.Array, words: Words, seen: dict[bytes, np.ndarray]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def __call__(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the words ``buf[start:end]``, word after word, the number of
+        each word's ids, and which word it is (those of the short way come first)."""
+        raw = buf.tobytes()
+        short = plain_words(buf, starts, ends) if self.short else np.zeros(len(starts), bool)
+        ids, size = [], np.zeros(len(starts), np.int64)
+        if short.any():
+            words = _NEXT.join([raw[i:j].decode() for i, j in zip(starts[short].tolist(), ends[short].tolist())]).lower() + _NEXT
+            got = np.array(self.short.encode_ordinary(_PARTS.sub(r"\g<0>\0", words)), np.uint32)
+            stop = np.flatnonzero(got == self.next)
+            size[short] = np.diff(stop, prepend=-1) - 1
+            ids.append(got[got != self.next])
+        rest = np.flatnonzero(~short)
+        if len(rest):
+            other = self.texts([raw[i:j].decode() for i, j in zip(starts[rest].tolist(), ends[rest].tolist())])
+            size[rest] = [len(x) for x in other]
+            ids += other
+        order = np.concatenate([np.flatnonzero(short), rest])
+        return np.concatenate(ids) if ids else np.zeros(0, np.uint32), size[order], order
+
+
+class Seen:
+    """Ids of the words met so far, by two hashes of each word's bytes (128 bits)."""
+
+    def __init__(self) -> None:
+        self.one = np.zeros(0, np.uint64)    # sorted; the other arrays follow it
+        self.two = np.zeros(0, np.uint64)
+        self.start = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def find(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word is, and whether it is there."""
+        if not len(self.one):
+            return np.zeros(len(one), np.int64), np.zeros(len(one), bool)
+        at = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
+        return at, (self.one[at] == one) & (self.two[at] == two)
+
+    def add(self, one: np.ndarray, two: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        start = len(self.ids) + np.cumsum(size) - size
+        all_one = np.concatenate([self.one, one])
+        # a first hash that is there already with another second one: the new word takes its place
+        order = np.argsort(all_one[::-1], kind="stable")
+        order = len(all_one) - 1 - order
+        keep = np.ones(len(order), bool)
+        keep[1:] = all_one[order][1:] != all_one[order][:-1]
+        order = order[keep]
+        self.one, self.two = all_one[order], np.concatenate([self.two, two])[order]
+        self.start, self.size = np.concatenate([self.start, start])[order], np.concatenate([self.size, size])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+
+def token_chunks(texts: pa.Array, words: Words, seen: Seen) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield (first row, end row, ids, row offsets into the ids), each row closed by ``END``."""
-    how, end = byte_values(41, lower=False), np.array([END], np.uint32)
+    how, check, end = byte_values(41, lower=False), byte_values(42, lower=False), np.array([END], np.uint32)
     for a, b, buf, off in chunks(texts):
-        raw = buf.tobytes()
         if not words.by_word:
+            raw = buf.tobytes()
             ids = [x for t in words.texts([raw[i:j].decode() for i, j in zip(off, off[1:])]) for x in (t, end)]
             at = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
             yield a, b, np.concatenate(ids), at[::2]
             continue
         starts, ends, row = word_ranges(buf, off)
         keys, first, where = np.unique(hash_ranges(buf, starts, ends, how), return_index=True, return_inverse=True)
-        found = [raw[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())]
-        new = [w for w in found if w not in seen]
-        fresh = dict(zip(new, words(new)))
-        ids = [seen[w] if w in seen else fresh[w] for w in found]
-        if len(seen) < CACHED_WORDS:
-            seen.update((w, x.copy()) for w, x in fresh.items())
-        ids.append(end)
-        size = np.array([len(x) for x in ids], np.int64)
-        at = np.concatenate([[0], np.cumsum(size)])
-        # The words of each row, then the closing id as one more word.
+        two = hash_ranges(buf, starts[first], ends[first], check)
+        known = seen.find(keys, two)[1]
+        if not known.all():
+            if len(seen.one) > CACHED_WORDS:
+                seen.__init__()
+                known[:] = False
+            new = np.flatnonzero(~known)
+            ids, size, order = words(buf, starts[first[new]], ends[first[new]])
+            seen.add(keys[new[order]], two[new[order]], ids, size)
+        at = seen.find(keys, two)[0]
+        # The words of each row, then the closing id (last of all ids here) as one more word.
+        flat = np.append(seen.ids, end)
+        start, size = np.append(seen.start[at], len(seen.ids)), np.append(seen.size[at], 1)
         order = np.insert(where, row[1:], len(keys))
         n = size[order]
         to = np.concatenate([[0], np.cumsum(n)])
-        flat = np.concatenate(ids)
-        out = flat[np.repeat(at[order] - to[:-1], n) + np.arange(to[-1])]
+        out = flat[np.repeat(start[order] - to[:-1], n) + np.arange(to[-1])]
         yield a, b, out, to[np.concatenate([[0], row[1:] + np.arange(1, b - a + 1)])]
 
 
@@ -229,7 +269,7 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 def packer(path: str, tiers: tuple[int, ...] = TIERS, step_tokens: int = STEP_TOKENS):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = Words(path), {}
+        words, seen = Words(path), Seen()
         base = TaskContext.get().partitionId() << 40
         made = {"sequence": 0, "row": 0}
         filled: dict[int, int] = {}   # sequences per window size so far

@@ -31,7 +31,7 @@ def words():
 
 def encoded(texts):
     out = []
-    for a, b, ids, off in packing.token_chunks(pa.array(texts, pa.string()), words(), {}):
+    for a, b, ids, off in packing.token_chunks(pa.array(texts, pa.string()), words(), packing.Seen()):
         out += [ids[off[i]:off[i + 1]].tolist() for i in range(b - a)]
     return out
 
@@ -57,11 +57,19 @@ def test_other_tokenizer_files(tmp_path):
         t, words = Tokenizer.from_file(path), packing.Words(path)
         assert (words.by_word, bool(words.short)) == (by_word, short)
         got = []
-        for a, b, ids, off in packing.token_chunks(pa.array(texts, pa.string()), words, {}):
+        for a, b, ids, off in packing.token_chunks(pa.array(texts, pa.string()), words, packing.Seen()):
             got += [ids[off[i]:off[i + 1]].tolist() for i in range(b - a)]
         assert got == [t.encode(x or "", add_special_tokens=False).ids + [1] for x in texts]
 
 
+def test_forgotten_words(monkeypatch, tokenizer):
+    """The cache starts anew when it is full; a chunk needs no other's words."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 5)
+    monkeypatch.setattr("mirrorsmith.llm.text.CHUNK", 60)
+    texts = odd_texts()[:14] + ODD
+    assert encoded(texts) == [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
 def test_ids_of_many_documents(spark, tokenizer):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
     assert encoded(texts) == [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
