@@ -107,6 +107,16 @@ SELECT p_partkey, name, c{_ABBREV_STEPS} AS shortest, CAST(1 + {n} AS BIGINT) AS
 FROM s{_ABBREV_STEPS}""")
 
 
+def _chunks(lines: str) -> str:
+    """The lines' chunks: each order's lines, in order, so many at a time."""
+    return f"""
+WITH placed AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1 AS n FROM {lines} l)
+SELECT l_orderkey AS o_orderkey, n // {q.CHUNK_LINES} AS chunk, COUNT(*) AS n_lines,
+  string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY n) AS part_keys,
+  CAST(SUM(CAST(l_quantity AS DECIMAL(38,10))) AS DOUBLE) AS sum_qty
+FROM placed GROUP BY l_orderkey, n // {q.CHUNK_LINES}"""
+
+
 def oracle_sql() -> dict[str, str]:
     step = (q.DEDUP_FETCH_SIZE + 1) // 2
     fetch = q.default_fetch_size()
@@ -234,6 +244,19 @@ WITH p AS (SELECT l_partkey AS p FROM lineitem ORDER BY l_extendedprice DESC, l_
 SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_lines
 FROM lineitem WHERE l_orderkey % 10 <> 1 GROUP BY l_orderkey
 HAVING bool_or(l_partkey IN (SELECT p FROM p))""",
+        "section_chunks": _chunks("lineitem"),
+        "section_chunks_refresh": _chunks("""(SELECT * REPLACE (l_quantity + CASE WHEN l_orderkey % 10 = 2 THEN 1 ELSE 0 END AS l_quantity)
+  FROM lineitem WHERE l_orderkey % 10 <> 1)"""),
+        "section_chunks_explode": f"""
+SELECT l_orderkey AS o_orderkey,
+  (row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1) // {q.CHUNK_LINES} AS chunk,
+  row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS line_no, l_partkey, l_quantity AS quantity
+FROM lineitem""",
+        "section_chunks_contain": """
+SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_lines,
+  CAST(ROUND(SUM(CAST(l_quantity AS DECIMAL(38,10))), 2) AS DOUBLE) AS sum_qty
+FROM lineitem GROUP BY l_orderkey
+HAVING bool_or(l_returnflag = 'A') AND bool_or(l_returnflag = 'R')""",
         "sales_view_refresh": f"""
 WITH {_STATES}
 SELECT o_custkey AS customer, COUNT(*) AS n_orders, CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(38,10))), 2) AS DOUBLE) AS total

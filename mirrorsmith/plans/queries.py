@@ -18,6 +18,7 @@ from mirrorsmith.functions import types as ty
 from mirrorsmith.functions.constants import KINDS, ZERO_DATETIME, ZERO_GUID
 from mirrorsmith.functions.decode import decode_json, type_list, type_ref, value_any
 from mirrorsmith.functions.literals import key_filter as join_terms, key_term, mask_credentials
+from mirrorsmith.operators import chunks as ck
 from mirrorsmith.operators import incremental as inc
 from mirrorsmith.operators import merge as mg
 from mirrorsmith.operators import quality as qa
@@ -25,7 +26,7 @@ from mirrorsmith.operators import sections as sc
 from mirrorsmith.operators.dedup import first_arrival
 from mirrorsmith.operators.ordinal import with_ordinal
 from mirrorsmith.plans.description import ColumnDesc, TableDescription
-from mirrorsmith.plans.refresh import (commit_answers, containing, default_fetch_size, ensure_snapshot, landed, load_from_pages, lookup,
+from mirrorsmith.plans.refresh import (commit_answers, commit_changes, containing, default_fetch_size, ensure_snapshot, landed, load_from_pages, lookup,
                                        maintain_view, materialize, refresh_and_commit, select_refresh, snapshot_root)
 from mirrorsmith.plans.store import MirrorStore
 from mirrorsmith.session import checkpoint_dir
@@ -393,6 +394,58 @@ def section_contains_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select(tb.key_of_guid(F.col("Ссылка")).alias("o_orderkey"), sc.line_count(F.col("Товары")).cast("long").alias("n_lines"))
 
 
+# Lines per chunk of the scenario: the given orders have few lines each.
+CHUNK_LINES = 2
+CHUNK_COLS = ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+
+
+def _chunked_lines(lines: DataFrame) -> DataFrame:
+    return ck.chunk_lines(lines, "l_orderkey", "lines", CHUNK_COLS, tb.LINE_ORDER, CHUNK_LINES)
+
+
+def _chunk_rows(chunked: DataFrame) -> DataFrame:
+    s = F.col("lines")
+    return chunked.select(F.col("l_orderkey").alias("o_orderkey"), F.col(ck.CHUNK), F.size(s).cast("long").alias("n_lines"),
+                          F.array_join(F.transform(s.getField("l_partkey"), lambda p: p.cast("string")), ",").alias("part_keys"),
+                          sc.line_sum(s, "l_quantity", "decimal(38,10)").cast("double").alias("sum_qty"))
+
+
+def section_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-22 in chunks of bounded size, from flat lines."""
+    return _chunk_rows(_chunked_lines(_t(spark, sf_dir, "lineitem")))
+
+
+def section_chunks_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-23 over chunks, split from the stored documents without a shuffle."""
+    d = order_documents(spark, sf_dir)
+    lines = sc.explode_section(ck.split_section(d, "Ссылка", "Товары", CHUNK_LINES), "Товары", keep=[ck.CHUNK])
+    return lines.select(tb.key_of_guid(F.col("Ссылка")).alias("o_orderkey"), ck.CHUNK, F.col("НомерСтроки").alias("line_no"),
+                        tb.key_of_guid(F.col("Номенклатура")).alias("l_partkey"), F.col("Количество").cast("double").alias("quantity"))
+
+
+def section_chunks_contain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-26 over chunks: orders whose lines hold both return flags A and R,
+    with the totals of their lines."""
+    chunked = _chunked_lines(_t(spark, sf_dir, "lineitem"))
+    found = ck.holding_all(chunked, "l_orderkey", "lines", "l_returnflag", ["A", "R"])
+    sums = ck.totals(chunked, "l_orderkey", "lines", {"qty": ("l_quantity", "decimal(38,10)")})
+    return found.join(sums, "l_orderkey").select(F.col("l_orderkey").alias("o_orderkey"), "n_lines", _dbl(F.col("qty")).alias("sum_qty"))
+
+
+def section_chunks_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OP-22 / OP-30: the chunks of `cur` as a stored table, refreshed to those
+    of `src` by value with the key (order, chunk)."""
+    def chunked(state: str) -> DataFrame:
+        o, li = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
+        return _chunked_lines(fx.line_rows(li, tb.order_state(o, state), changed=state == "src").drop("line_no"))
+
+    key, name = ["l_orderkey", ck.CHUNK], "sections/order_lines"
+    store = MirrorStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/branches/{uuid.uuid4().hex}")
+    store.commit(name, chunked("cur"), bucket_key=key)
+    commit_changes(store, name, chunked("src"), key)
+    return _chunk_rows(store.read(name))
+
+
 # ==========================================================================
 # Merge (OP-29..35)
 # ==========================================================================
@@ -789,6 +842,10 @@ REGISTRY = {
     "section_field_array": section_field_array,
     "section_contains": section_contains,
     "section_contains_indexed": section_contains_indexed,
+    "section_chunks": section_chunks,
+    "section_chunks_explode": section_chunks_explode,
+    "section_chunks_contain": section_chunks_contain,
+    "section_chunks_refresh": section_chunks_refresh,
     "merge_full": merge_full,
     "merge_change_counts": merge_change_counts,
     "merge_inserts": merge_inserts,
