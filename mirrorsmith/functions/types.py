@@ -28,6 +28,8 @@ TYPE_LIST = "varchar[]"
 # Default precision for the unbounded numeric of the source; configurable.
 NUMERIC_PRECISION = 38
 NUMERIC_SCALE = 10
+# Places that numbers are read with, so that one with more than the scale is seen.
+READ_SCALE = 18
 
 _ENGINE_TO_SPARK = {
     "uuid": T.StringType(),

@@ -47,6 +47,7 @@ class TableDescription:
     sort: list[str] = field(default_factory=list)   # source names for $orderby
     version: str | None = None             # mirror name of the version column
     sections: dict[str, SectionDesc] = field(default_factory=dict)  # by column name
+    view: str | None = None                # name of the view within its kind, if not the object's own
 
     def column(self, name: str) -> ColumnDesc:
         for c in self.columns:

@@ -71,7 +71,10 @@ class Mirror:
     def describe(self, table: str) -> TableDescription:
         if table not in self._descriptions:
             source = self.enum_types if table.startswith("Перечисление.") else self.entity_types
-            self._descriptions[table] = cat.describe(source, table, self.short_names)
+            # names that this mirror has given to other tables of the kind
+            used = [n for t, d in self._descriptions.items() if t.split(".", 1)[0] == table.split(".", 1)[0] and d.view
+                    for n in (d.view, *(s.view for s in d.sections.values()))]
+            self._descriptions[table] = cat.describe(source, table, self.short_names, used)
         return self._descriptions[table]
 
     # -- control table ----------------------------------------------------

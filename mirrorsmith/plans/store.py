@@ -374,10 +374,14 @@ class MirrorStore:
     # -- views ------------------------------------------------------------------
     def register(self, table: str, desc: TableDescription | None = None) -> None:
         """Temp views over the current version: the table by its full name
-        (kind and object) and one detail view per section."""
+        (kind and object), by its short one if it has one, and one detail view
+        per section."""
         df = self.read(table, desc.spark_schema() if desc else None)
         df.createOrReplaceTempView(quoted(table))
         if desc:
+            kind = table.split(".", 1)[0]
+            if desc.view and f"{kind}.{desc.view}" != table:
+                df.createOrReplaceTempView(quoted(f"{kind}.{desc.view}"))
             for col, sec in desc.sections.items():
                 detail = df.select(F.explode_outer(col).alias("_l")).filter(F.col("_l").isNotNull()).select("_l.*")
-                detail.createOrReplaceTempView(quoted(f"{table.split('.', 1)[0]}.{sec.view}"))
+                detail.createOrReplaceTempView(quoted(f"{kind}.{sec.view}"))

@@ -120,3 +120,38 @@ def test_assign_names_short(spark):
     df = spark.createDataFrame([("e", 1, "КонтактнаяИнформация")], "entity string, o int, n string")
     got = assign_names(df, ["entity"], "o", "n", short=True, max_bytes=30).first()["name_out"]
     assert got == "КонтактнаяИ"                     # 40 bytes does not fit, 22 does
+
+
+def test_line_types_count_for_their_own_server(spark):
+    """An entity that is a section's line type on one server is an object of its own on another."""
+    schema = "server string, name string, properties array<struct<name:string,type:string>>, keys array<string>"
+    head = [{"name": "Ref_Key", "type": "Edm.Guid"}]
+    lines = [{"name": "Товары", "type": "Collection(StandardODATA.Catalog_А_Товары_RowType)"}]
+    ents = spark.createDataFrame([("S1", "Catalog_А", head + lines, ["Ref_Key"]), ("S1", "Catalog_А_Товары", head, ["Ref_Key"]),
+                                  ("S2", "Catalog_А_Товары", head, ["Ref_Key"])], schema)
+    got = {(r["server"], r["name"]): r["root"] for r in cat.classify_objects(ents, ents.limit(0)).collect()}
+    assert got == {("S1", "Catalog_А"): True, ("S1", "Catalog_А_Товары"): False, ("S2", "Catalog_А_Товары"): True}
+
+
+def test_view_names(spark):
+    name = "РасчетыСКонтрагентамиПоДоговорам"             # 64 bytes
+    assert cat.view_names(spark, name, ["Строки"]) == [name, name + "_Строки"]
+    head, one, two = cat.view_names(spark, name, ["КонтактнаяИнформация", "КонтактнаяИстория"], short=True)
+    assert head == "РасчетыСКонтрагентамиПоД"
+    assert one != two and all(len(n.encode()) <= 63 for n in (one, two))
+    assert cat.view_names(spark, "Имя", ["Аб", "аб"]) == ["Имя", "Имя_Аб", "Имя_а"]          # distinct without regard to case
+    assert cat.view_names(spark, "ИмяФайла", [], used=["имяфайла"]) == ["ИмяФ"]
+    with pytest.raises(ValueError):
+        cat.view_names(spark, "lower", [], used=["lower"])
+
+
+def test_short_names_of_views(spark, metadata, scratch):
+    from mirrorsmith.plans.store import MirrorStore
+    ents, _ = metadata
+    d = cat.describe(ents, "Справочник.Контрагенты", short_names=True, used=["Контрагенты_КонтактнаяИ"])
+    assert d.view == "Контрагенты" and len(d.sections["КонтактнаяИнформация"].view.encode()) <= 63
+    store = MirrorStore(spark, scratch)
+    store.commit(d.table, spark.createDataFrame([], d.spark_schema()))
+    store.register(d.table, d)
+    view = "`Справочник." + d.sections["КонтактнаяИнформация"].view + "`"
+    assert spark.sql(f"SELECT * FROM {view}").columns == ["Ссылка", "НомерСтроки", "Страна"]

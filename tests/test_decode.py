@@ -87,6 +87,16 @@ def test_exact_decimal(spark):
     assert decode_json(df, "j", DESC).first()["Сумма"] == Decimal("12345678901234567.89")
 
 
+def test_decimal_places_are_kept_or_refused(spark):
+    import pytest
+    number = lambda text: decode_json(spark.createDataFrame([('{"Ref_Key":"%s","Сумма":%s}' % (REF, text),)], "j string"), "j", DESC).first()["Сумма"]
+    for text in ("1.1234567891", "-0.0000000001", "1.12345678900", "0.10000000000000000000", "12345678901234567890.1", '"5.5"', "1e-10", "-3E5"):
+        assert number(text) == Decimal(text.strip('"'))
+    for text in ("1.12345678901", "0.33333333333333331", "-1e-11", "123456789012345678901"):
+        with pytest.raises(Exception):
+            number(text)
+
+
 def test_value_any_rules(spark):
     cases = [("v", "StandardODATA.Undefined", (None, "null")),
              ("v", "", (None, "null")),
