@@ -21,6 +21,7 @@ Scores depend on the text alone.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -34,7 +35,6 @@ from mirrorsmith.llm.common import stored
 from mirrorsmith.llm.text import byte_values, chunks, hash_ranges, word_ranges
 
 SAMPLE = 5_000        # labelled documents of each class at most that are learned from
-ENTRIES = 2_000       # lexicon entries at most
 PREFIXES = (4, 5, 6)  # lengths of word beginnings that can be entries
 MIN_SHARE = 0.005     # an entry occurs in this share of the toxic documents at least
 MIN_ODDS = math.log(20)
@@ -45,6 +45,7 @@ WINDOW = 8            # words on each side of a hit that make its context
 CACHED_WORDS = 1 << 20
 HELD_OUT = 5          # a row is held out if crc32(doc_id) mod HELD_OUT is 0
 
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MARKS = "\"'“”„«»‘’‚‹›`"
 PUNCTUATION = MARKS + ".,;:!?()[]{}<>*_~|/\\-–—…¡¿#&%+="
 REPORTING = frozenset("said says say called calls wrote writes quote quoted quotes word term sagte sagt nannte schrieb wort "
@@ -208,9 +209,8 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count: dict[str, list[int]] = {}
     for b in batches:
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            words = {term(w) for w in (text or "").split()}
-            forms = {w for w in words if 3 <= len(w) <= 40}
-            forms |= {w[:n] + "*" for w in words if w.isalpha() for n in PREFIXES if len(w) > n}
+            words = {term(w) for w in WORD.findall(text or "")} - {""}
+            forms = words | {w[:n] + "*" for w in words if w.isalpha() for n in PREFIXES if len(w) > n}
             for w in forms:
                 count.setdefault(w, [0, 0])[toxic] += 1
         while len(count) > 200_000:   # hand on what has been counted
@@ -234,31 +234,41 @@ def choose_entries(rows: list[tuple[str, int]]) -> list[str]:
     a word if a beginning covers it.
     """
     kept: dict[str, int] = {}
+    under: Counter = Counter()   # documents of the entries under each beginning
     for form, n in sorted(rows, key=lambda r: (-r[1] * (0.8 if r[0].endswith("*") else 1.0), -len(r[0]), r[0])):
-        if any(e.endswith("*") and form.startswith(e[:-1]) for e in kept):
+        if any(form[:k] + "*" in kept for k in PREFIXES):
             continue
-        if form.endswith("*") and sum(c for e, c in kept.items() if e.startswith(form[:-1])) >= 0.9 * n:
+        if form.endswith("*") and under[form[:-1]] >= 0.9 * n:
             continue
         kept[form] = n
+        under.update({form[:k]: n for k in PREFIXES})
     return list(kept)
 
 
 def known_forms(counted: DataFrame, begun: list[str]) -> dict[str, str]:
-    """The words under these beginnings, each with its shortest; the most frequent ENTRIES at most."""
+    """The sample's words under these beginnings, each with its shortest."""
     if not begun:
         return {}
     under = F.coalesce(*[F.when((F.length("term") > n) & start.isin(begun), start) for n in PREFIXES for start in [F.concat(F.substring("term", 1, n), F.lit("*"))]])
     words = counted.filter((F.col("toxic") > 0) & ~F.col("term").endswith("*")).withColumn("under", under).filter("under IS NOT NULL")
-    return {r["term"]: r["under"] for r in words.orderBy(F.col("toxic").desc(), "term").limit(ENTRIES).collect()}
-
-
-def needed(present: np.ndarray, toxic: np.ndarray, penalty: float, rounds: int = 300) -> np.ndarray:
-    """Weights (0 or more) of a logistic regression with an L1 penalty on the columns of ``present``."""
-    theta, bias = np.zeros(present.shape[1]), -1.0
-    rate = 4.0 / max(1.0, np.linalg.norm(present, 2) ** 2)
+    return {r["term"]: r["under"] for r in words.orderBy(F.col("toxic").desc(), "term").collect()}
+
+
+def needed(doc: np.ndarray, entry: np.ndarray, entries: int, toxic: np.ndarray, penalty: float, rounds: int = 300) -> np.ndarray:
+    """Weights (0 or more) of a logistic regression with an L1 penalty.  Document
+    ``doc[i]`` holds entry ``entry[i]``; only these pairs are kept in memory."""
+    per_doc = lambda v: np.bincount(doc, v[entry], minlength=len(toxic))
+    per_entry = lambda v: np.bincount(entry, v[doc], minlength=entries)
+    v, norm = np.ones(entries), 1.0
+    for _ in range(100):   # largest eigenvalue of the entries' joint counts
+        v = per_entry(per_doc(v))
+        norm = max(1.0, np.linalg.norm(v))
+        v = v / norm
+    theta, bias = np.zeros(entries), -1.0
+    rate = 4.0 / (1.01 * norm)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(present @ theta + bias, -30, 30)))
-        theta = np.maximum(0, theta - rate * (present.T @ (p - toxic) + penalty))
+        p = 1 / (1 + np.exp(-np.clip(per_doc(theta) + bias, -30, 30)))
+        theta = np.maximum(0, theta - rate * (per_entry(p - toxic) + penalty))
         bias -= 4.0 / len(toxic) * (p - toxic).sum()
     return theta
 
@@ -278,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     odds = lambda t, c: F.log((t + 0.5) / (toxic + 1)) - F.log((c + 0.5) / (clean + 1))
     counted = taught.mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     often = counted.filter((F.col("toxic") >= max(3, MIN_SHARE * toxic)) & (odds(F.col("toxic"), F.col("clean")) >= MIN_ODDS))
-    entries = choose_entries([(r["term"], r["toxic"]) for r in often.orderBy(F.col("toxic").desc(), "term").limit(ENTRIES).collect()])
+    entries = choose_entries([(r["term"], r["toxic"]) for r in often.collect()])   # bounded by the sample and the support
     forms = known_forms(counted.filter(odds(F.col("toxic"), F.col("clean")) > 0), [e for e in entries if e.endswith("*")])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,13 +300,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # One row per sampled document: bounded by the sample.
     seen_in = [(r["toxic"], Counter(dict(zip(r["what"], r["times"])))) for r in taught.mapInArrow(found, "toxic int, what array<long>, times array<long>").collect()]
     y = np.array([label for label, _ in seen_in], float)
-    present = np.zeros((len(seen_in), len(entries)), np.float32)
-    for i, (_, c) in enumerate(seen_in):
-        present[i, [k >> 2 for k in c if not (k >> 1) & 1]] = 1
-    with_toxic, with_clean = present[y == 1].sum(axis=0), present[y == 0].sum(axis=0)
+    pairs = sorted({(i, k >> 2) for i, (_, c) in enumerate(seen_in) for k in c if not (k >> 1) & 1})
+    doc, entry = np.array(pairs, np.int64).reshape(-1, 2).T
+    with_toxic, with_clean = (np.bincount(entry[y[doc] == t], minlength=len(entries)).astype(float) for t in (1, 0))
     surprise = 2 * with_toxic * np.log(np.maximum(with_toxic, 0.5) / (with_toxic + with_clean + 1e-9) * (toxic + clean) / toxic + 1e-9)
     frequent = (with_toxic >= 0.2 * with_toxic.max(initial=0)) & (surprise >= 20)
-    use = np.flatnonzero((surprise >= 12) & (frequent | (needed(present, y, max(PENALTY * toxic, 1.5)) > 0))).tolist()
+    use = np.flatnonzero((surprise >= 12) & (frequent | (needed(doc, entry, len(entries), y, max(PENALTY * toxic, 1.5)) > 0))).tolist()
     lexicon = Lexicon([entries[i] for i in use], forms=forms)
     place = {e: i for i, e in enumerate(use)}
     seen_in = [(label, Counter({4 * place[k >> 2] + (k & 3): n for k, n in c.items() if k >> 2 in place})) for label, c in seen_in]

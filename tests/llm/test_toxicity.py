@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 from collections import Counter
 from zlib import crc32
@@ -131,3 +132,91 @@ def test_misspelled_inflected_term(spark):
     assert toxicity.fit(df, lb).lexicon.entries[0].endswith("*")
     rows = {r["doc_id"]: r for r in toxicity.toxicity_report(df, lb).collect()}
     assert [(rows[len(texts) + i]["n_hits"], rows[len(texts) + i]["predicted"]) for i in range(len(more))] == [(1, 1)] * 3
+
+
+def plain_match(word, lexicon):
+    """(entry, 1 if misspelled) by comparing the word with every entry."""
+    whole = [(i, e) for i, e in enumerate(lexicon.entries) if not e.endswith("*")]
+    begun = [(i, e[:-1]) for i, e in enumerate(lexicon.entries) if e.endswith("*")]
+    place = {e: i for i, e in enumerate(lexicon.entries)}
+    for i, e in whole:
+        if e == word:
+            return i, 0
+    if sure := [(len(b), i) for i, b in begun if word.startswith(b)]:
+        return min(sure)[1], 0
+    near = [i for i, e in whole if len(e) >= toxicity.FUZZY_FROM and distance(e, word) == 1]
+    near += [place[b] for w, b in lexicon.forms.items() if b in place and len(w) >= toxicity.FUZZY_FROM and distance(w, word) == 1]
+    if near:
+        return min(near), 1
+    for k in range(1, len(word) + 1):
+        if slips := [i for i, b in begun if len(b) >= toxicity.FUZZY_FROM and word[k - 1] == b[-1] and distance(word[:k - 1], b[:-1]) == 1]:
+            return min(slips), 1
+    return None
+
+
+def plain_score(text, model):
+    words = toxicity.WORD.findall(text or "")
+    told = Counter()
+    for i, w in enumerate(words):
+        m = plain_match(toxicity.term(w), model.lexicon)
+        if m:
+            told[m, toxicity.quoted(words[max(0, i - toxicity.WINDOW):i], w, words[i + 1:i + 1 + toxicity.WINDOW])] += 1
+    z = model.bias
+    for ((entry, slip), in_quotes), n in told.items():
+        z += model.slopes[in_quotes] * model.lexicon.weights[entry, slip] * (1 + math.log(n))
+    return 1 / (1 + math.exp(-z)), sum(told.values())
+
+
+@pytest.mark.parametrize("inflected", [False, True])
+def test_scores_equal_a_plain_version(spark, inflected):
+    texts, lab = corpus()
+    if inflected:
+        rnd = random.Random(3)
+        texts = [" ".join(w for w in t.split() if w not in ("wretch", "vermin", "numbskull", "dimwit")) for t in texts]
+        texts = [f"{t} {rnd.choice(['idiot', 'idiots', 'idiotic', 'idiotically', 'idiocy'])}" if lab[i][2] else t for i, t in enumerate(texts)]
+    rnd = random.Random(9)
+    for i in range(0, len(texts), 5):   # slips and quotations
+        w = texts[i].split()
+        at = rnd.randrange(len(w))
+        w[at] = rnd.choice([w[at][1:], w[at] + "x", f'"{w[at]}"', "«idjots»", "said: vermiin", "w\u00a0retch", "wretch\u2003x"])
+        texts[i] = " ".join(w)
+    df, lb = frame(spark, texts + odd_texts()), labels(spark, lab[:600])
+    model = toxicity.fit(df, lb)
+    assert any(e.endswith("*") for e in model.lexicon.entries) == inflected
+    for r in toxicity.toxicity_report(df, lb).collect():
+        want, n = plain_score((texts + odd_texts())[r["doc_id"]], model)
+        assert abs(r["score"] - want) < 1e-9 and r["n_hits"] == n
+
+
+def test_chosen_entries_equal_a_plain_version():
+    rnd = random.Random(2)
+    for _ in range(50):
+        rows = {}
+        for _ in range(rnd.randint(1, 60)):
+            w = "".join(rnd.choice("ab") for _ in range(rnd.randint(1, 8)))
+            rows[w] = rnd.randint(1, 30)
+            for k in toxicity.PREFIXES:
+                if len(w) > k:
+                    rows[w[:k] + "*"] = rows.get(w[:k] + "*", 0) + rows[w]
+        kept = {}
+        for form, n in sorted(rows.items(), key=lambda r: (-r[1] * (0.8 if r[0].endswith("*") else 1.0), -len(r[0]), r[0])):
+            if any(e.endswith("*") and form.startswith(e[:-1]) for e in kept):
+                continue
+            if form.endswith("*") and sum(c for e, c in kept.items() if e.startswith(form[:-1])) >= 0.9 * n:
+                continue
+            kept[form] = n
+        assert toxicity.choose_entries(list(rows.items())) == list(kept)
+
+
+def test_the_lexicon_has_no_size_limit(spark):
+    """More terms than any fixed size: each toxic document holds its own group's words."""
+    rnd = random.Random(4)
+    groups = [[f"t{g:02d}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(100)] for g in range(30)]
+    texts = [" ".join([*rnd.sample(["aa", "bb", "cc", "dd"], 3), *(groups[i // 2 % 30] if i % 2 else [])]) for i in range(1200)]
+    rows = [(t, i % 2) for i, t in enumerate(texts)]
+    counted = Counter(w for t, toxic in rows if toxic for w in t.split())
+    often = [(w, n) for w, n in counted.items() if n >= 3 and w[0] == "t"]
+    assert len(toxicity.choose_entries(often)) == len(often) == 3000
+    lb = labels(spark, [(i, 1, toxic) for i, (_, toxic) in enumerate(rows)])
+    report = toxicity.toxicity_report(frame(spark, texts), lb).collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in report)
