@@ -10,7 +10,8 @@ the vectors in double precision.  The radius is the one that keeps ``RECALL``
 of the sample's true neighbours; a query that finds too few in a block widens
 its radius there.
 
-Vectors and queries meet in blocks of bounded size.  Equal vectors are one
+A block of vectors is indexed in one task, through which the queries stream;
+only more than ``QUERY_BLOCK`` queries take a second copy of it.  Equal vectors are one
 entry with its smallest ids, so a vector that a third of the rows share costs
 one entry.
 """
@@ -33,8 +34,8 @@ SAMPLE = 8192          # vectors at most that rotations and radius are learned o
 SAMPLE_QUERIES = 512
 RECALL = 0.98          # of the sample's true neighbours within the radius
 ROUNDS = 12            # of iterative quantization
-VECTOR_BLOCK = 16_384
-QUERY_BLOCK = 1_024
+VECTOR_BLOCK = 8_192   # vectors that are indexed together
+QUERY_BLOCK = 1 << 18  # queries that stream through one copy of a block's index
 K = 20
 
 
@@ -167,13 +168,14 @@ def _searched(codes: Codes, k: int):
 
 
 def valid_vectors(table: DataFrame) -> DataFrame:
-    """vec_id, embedding as doubles: the rows that take part."""
+    """vec_id, embedding as doubles: the rows that take part.  Their vectors must be of one length."""
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")) \
         .filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()) \
         .filter(~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))) \
         .filter(F.exists("embedding", lambda x: x != 0))
-    usual = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.col("count").desc(), "n").first()
-    rows = rows.filter(F.size("embedding") == (usual["n"] if usual else 0))
+    shortest, longest = rows.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if shortest != longest:
+        raise ValueError(f"vectors of different lengths: {shortest} to {longest}")
     return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
@@ -182,10 +184,11 @@ def nearest(table: DataFrame, every: int = 20, k: int = K) -> DataFrame:
 
     ``table`` needs vec_id and embedding; other columns are ignored.  Queries
     are the rows whose vec_id is divisible by ``every``, candidates all rows
-    but the query's own.  Vectors that are null, zero, hold null or non-finite
-    components or have not the usual length take no part, nor do rows without
-    a vec_id; of rows that share a vec_id the smallest vector counts.  Ties go
-    to the smaller vec_id.  With fewer than k candidates all are returned.
+    but the query's own.  Vectors that are null, zero, empty or hold null or
+    non-finite components take no part, nor do rows without a vec_id; others of
+    different lengths are an error.  Of rows that share a vec_id the smallest
+    vector counts.  Ties go to the smaller vec_id.  With fewer than k candidates
+    all are returned.
     """
     spark = table.sparkSession
     valid = stored(valid_vectors(table), "vectors")

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from mirrorsmith.llm import ann
 
@@ -57,7 +58,7 @@ def test_probing_finds_every_code_within_the_radius():
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [1.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]),
-            (40, None), (60, [0.0, 0.0]), (None, [1.0, 0.0]), (7, [-1.0, 0.0]), (8, [1.0, 2.0, 3.0]), (9, [])]
+            (40, None), (60, [0.0, 0.0]), (None, [1.0, 0.0]), (7, [-1.0, 0.0]), (9, [])]
     got = {}
     for r in ann.nearest(frame(spark, rows + rows[:3])).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
@@ -65,6 +66,25 @@ def test_odd_rows(spark):
     assert got == want
 
 
+def test_different_lengths_are_an_error(spark):
+    with pytest.raises(ValueError, match="2 to 3"):
+        ann.nearest(frame(spark, [(0, [1.0, 0.0]), (8, [1.0, 2.0, 3.0])]))
+
+
+def test_blocks_are_copied_once_and_queries_stream(spark, monkeypatch):
+    """Smaller blocks, more of them, and several groups of queries: the same neighbours."""
+    rng = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 8)))]
+    whole = sorted(map(tuple, ann.nearest(frame(spark, rows), every=4, k=5).collect()))
+    want = brute(rows, 4, 5)
+    for vectors, queries in ((100, 1000), (64, 30)):
+        monkeypatch.setattr(ann, "VECTOR_BLOCK", vectors)
+        monkeypatch.setattr(ann, "QUERY_BLOCK", queries)
+        got = sorted(map(tuple, ann.nearest(frame(spark, rows), every=4, k=5).collect()))
+        assert [g[:2] for g in got] == [w[:2] for w in whole]
+        assert sum((i in {x for x, _ in want[q]}) for q, _, i, _ in got) >= 0.95 * 5 * len(want)
+
+
 def test_no_vectors(spark):
     assert ann.nearest(frame(spark, [])).collect() == []
     assert ann.nearest(frame(spark, [(0, None), (20, [0.0])])).collect() == []
