@@ -214,6 +214,7 @@ def nearest(table: DataFrame, every: int = 20, k: int = K) -> DataFrame:
                                     F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int").alias("qb"), F.lit(1).alias("role"),
                                     F.col("vec_id").alias("own"), "embedding", F.lit(None).cast("array<long>").alias("ids")))
     parts = max(shuffle_partitions(spark), vector_blocks * query_blocks)
-    found = sides.repartition(parts, "vb", "qb").sortWithinPartitions("vb", "qb", "role").mapInArrow(_searched(codes, k), "query_id long, vec_id long, score double")
+    # one pair of blocks a task
+    found = sides.repartitionById(parts, F.col("vb") * query_blocks + F.col("qb")).sortWithinPartitions("vb", "qb", "role").mapInArrow(_searched(codes, k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
