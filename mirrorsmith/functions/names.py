@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-# FIXED VALUES: word pattern of the abbreviation and the identifier byte limit.
+# FIXED VALUES: one step of the abbreviation, a word as it sees one, and the identifier byte limit.
+STEP_PATTERN = "(.*)([А-Я]|[A-Z]|_[а-я]|_[a-z])([а-я]+|[a-z]+)(.*)"
 WORD = "([А-Я]|[A-Z]|_[а-я]|_[a-z])([а-я]+|[a-z]+)"
-STEP_PATTERN = "(.*)" + WORD + "(.*)"
 STEP_REPLACEMENT = "$1$2$4"
 MAX_IDENTIFIER_BYTES = 63
 

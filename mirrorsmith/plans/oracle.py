@@ -27,6 +27,7 @@ _KINDS_VALUES = ", ".join(f"('{k}', '{n}', {i})" for i, (k, n) in enumerate(KIND
 _KINDS_CTE = f"kinds(kind, name, idx) AS (VALUES {_KINDS_VALUES})"
 _N_KINDS = len(KINDS)
 
+# FIXED VALUES: source types and their engine types.
 _ENGINE_CASE = """CASE {t}
     WHEN 'Edm.Guid' THEN 'uuid' WHEN 'Edm.Int16' THEN 'int2' WHEN 'Edm.Int32' THEN 'int4'
     WHEN 'Edm.Int64' THEN 'int8' WHEN 'Edm.Double' THEN 'numeric' WHEN 'Edm.DateTime' THEN 'timestamp'
@@ -86,6 +87,7 @@ _REF_LOCAL = """COALESCE(
     CASE WHEN starts_with(ref_src, 'EnumRef.') THEN 'Перечисление.' || substr(ref_src, 9) ELSE ref_src END)"""
 
 
+# FIXED VALUES: one step of the abbreviation.
 def _abbrev(x: str) -> str:
     return f"regexp_replace({x}, '(.*)([А-Я]|[A-Z]|_[а-я]|_[a-z])([а-я]+|[a-z]+)(.*)', '\\1\\2\\4')"
 
