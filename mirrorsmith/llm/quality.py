@@ -4,9 +4,10 @@ Two generative models are counted: one over all documents (raw), one over
 documents labelled good (target).  A token is the shape of a word - its length,
 capitals, digits, punctuation, and whether it repeats the word before - so the
 models describe form in any language, not topic.  Unigrams and bigrams of
-shapes are hashed into buckets.  A document's log weight is the mean over its
-n-grams of log target - log raw, times ``EFFECTIVE``: a sum would let length
-decide.  Documents are drawn without replacement by Gumbel top-k: the k largest
+shapes are hashed into buckets.  A document's log importance is the sum over its
+n-grams of log target - log raw; its log weight is the mean over them times
+``effective``, since with the plain sum (``effective=None``) length decides.
+Documents are drawn without replacement by Gumbel top-k: the k largest
 of log weight + Gumbel noise.  k is the number of documents whose weight per
 n-gram makes good likelier than not.
 
@@ -30,8 +31,9 @@ from mirrorsmith.llm.text import byte_values, chunks, hash_ranges, mix64, word_r
 
 BUCKETS = 1 << 14
 SAMPLE = 20_000      # labelled documents at most that the target model is fitted on
-EFFECTIVE = 64       # n-grams that each document's weight counts for
+EFFECTIVE = 64       # n-grams that each document's weight counts for, unless the caller says otherwise
 SEED = 4
+HELD_OUT = 5         # `judged` holds a label out if crc32(doc_id) mod HELD_OUT is 0
 
 _UPPER, _LOWER, _DIGIT, _PUNCT, _STOP, _CONT = range(6)
 
@@ -124,8 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(ratio, 1.0 if share is None else share)
 
 
-def _scorer(model: Model, columns: int, keep: float | None = None, id_at: int = 0, text_at: int = 1):
-    """Rows to (doc_id, n, log_weight, key); with ``keep``, the rows themselves whose key reaches the cut."""
+def _scorer(model: Model, effective: int | None, columns: int, keep: float | None = None, id_at: int = 0, text_at: int = 1):
+    """Rows to (doc_id, n, log_importance, log_weight, key); with ``keep``, the rows themselves whose key reaches the cut."""
     ratio = model.log_ratio
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,10 +139,13 @@ def _scorer(model: Model, columns: int, keep: float | None = None, id_at: int =
                 weight.append(np.bincount(doc, ratio[bucket], minlength=len(off) - 1).astype(float))
             n = np.concatenate(n) if n else np.zeros(0, np.int64)
             weight = np.concatenate(weight) if weight else np.zeros(0)
-            weight *= EFFECTIVE / np.maximum(n, 1)
+            importance = weight
+            if effective is not None:
+                weight = importance * (effective / np.maximum(n, 1))
             key = weight + b.column(columns).to_numpy(zero_copy_only=False)
             if keep is None:
-                yield pa.RecordBatch.from_arrays([b.column(id_at), pa.array(n, pa.int64()), pa.array(weight, pa.float64()), pa.array(key, pa.float64())], names=["doc_id", "n", "log_weight", "key"])
+                yield pa.RecordBatch.from_arrays([b.column(id_at), pa.array(n, pa.int64()), pa.array(importance, pa.float64()), pa.array(weight, pa.float64()), pa.array(key, pa.float64())],
+                                                 names=["doc_id", "n", "log_importance", "log_weight", "key"])
             else:
                 yield pa.RecordBatch.from_arrays([c for c in b.columns[:columns]], names=b.schema.names[:columns]).filter(pa.array(key >= keep))
     return run
@@ -152,15 +157,16 @@ def gumbel(doc_id: str = "doc_id") -> Column:
     return -F.log(-F.log(u))
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """Per document: doc_id, n (n-grams), log_weight, key (log weight + noise)."""
+def scores(docs: DataFrame, model: Model, effective: int | None = EFFECTIVE) -> DataFrame:
+    """Per document: doc_id, n (n-grams), log_importance (their plain sum), log_weight, key (log weight + noise)."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", gumbel().alias("noise")) \
-        .mapInArrow(_scorer(model, 2), "doc_id long, n long, log_weight double, key double")
+        .mapInArrow(_scorer(model, effective, 2), "doc_id long, n long, log_importance double, log_weight double, key double")
 
 
-def likely_good(model: Model) -> Column:
+def likely_good(model: Model, effective: int | None = EFFECTIVE) -> Column:
     """Whether the weight of one n-gram makes good likelier than not: share x weight >= 1/2."""
-    return F.col("log_weight") / EFFECTIVE >= math.log(0.5 / max(model.good, 1e-9))
+    one = F.col("log_weight") / (F.greatest(F.col("n"), F.lit(1)) if effective is None else effective)
+    return one >= math.log(0.5 / max(model.good, 1e-9))
 
 
 def cut(scored: DataFrame, k: int) -> float:
@@ -171,25 +177,39 @@ def cut(scored: DataFrame, k: int) -> float:
     return ranked.filter(F.col("upto") >= k).agg(F.max("key")).first()[0]
 
 
-def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: doc_id, n, log_weight, key and whether it is drawn (kept).
+def quality_report(docs: DataFrame, labels: DataFrame, effective: int | None = EFFECTIVE) -> DataFrame:
+    """Per document: doc_id, n, log_importance, log_weight, key and whether it is drawn (kept).
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and quality; other
-    columns are ignored.  A null or blank text has weight 0 and is judged by
-    that alone.  Rows that share a doc_id share their noise, each has its own
-    weight.  Without labels, every document is drawn.
+    columns are ignored.  ``effective`` is the number of n-grams that every
+    document's weight counts for; with None the weight is the plain log
+    importance.  A null or blank text has weight 0 and is judged by that alone.
+    Rows that share a doc_id share their noise, each has its own weight.
+    Without labels, every document is drawn.
     """
     model = fit(docs, labels)
-    scored = stored(scores(docs, model), "quality-scores")
-    at = cut(scored, scored.filter(likely_good(model)).count())
+    scored = stored(scores(docs, model, effective), "quality-scores")
+    at = cut(scored, scored.filter(likely_good(model, effective)).count())
     return scored.withColumn("kept", F.col("key") >= F.lit(at))
 
 
-def draw(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, effective: int | None = EFFECTIVE) -> DataFrame:
+    """How labels that the model has not seen fare: quality, kept, documents.
+
+    A fifth of the labels, by their doc_id, is held out of the fit.  A document
+    labelled twice counts as good if any label says so.
+    """
+    held = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % HELD_OUT == 0
+    known = labels.select("doc_id", "quality").filter("doc_id IS NOT NULL AND quality IS NOT NULL")
+    unseen = known.filter(held).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality").cast("int")).alias("quality"))
+    return quality_report(docs, known.filter(~held), effective).join(unseen, "doc_id").groupBy("quality", "kept").agg(F.count("*").alias("documents"))
+
+
+def draw(docs: DataFrame, labels: DataFrame, effective: int | None = EFFECTIVE) -> DataFrame:
     """The drawn documents, with all columns.  Texts are scored again rather than shuffled."""
     model = fit(docs, labels)
-    scored = stored(scores(docs, model), "quality-scores")
-    at = cut(scored, scored.filter(likely_good(model)).count())
+    scored = stored(scores(docs, model, effective), "quality-scores")
+    at = cut(scored, scored.filter(likely_good(model, effective)).count())
     rows, name = renamed(docs)
     return rows.withColumn("noise", gumbel(name["doc_id"])).mapInArrow(
-        _scorer(model, len(name), at, docs.columns.index("doc_id"), docs.columns.index("text")), rows.schema).toDF(*docs.columns)
+        _scorer(model, effective, len(name), at, docs.columns.index("doc_id"), docs.columns.index("text")), rows.schema).toDF(*docs.columns)

@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -97,7 +98,9 @@ def test_scores_cut_and_draw(spark):
     k = 0
     for r in rows:
         c = per[r["doc_id"]]
-        want = 64 * sum(model.log_ratio[b] * n for b, n in c.items()) / max(1, sum(c.values()))
+        plain = sum(model.log_ratio[b] * n for b, n in c.items())
+        assert abs(r["log_importance"] - plain) < 1e-6 * max(1, abs(plain))
+        want = 64 * plain / max(1, sum(c.values()))
         assert abs(r["log_weight"] - want) < 1e-6 * max(1, abs(want)) and r["n"] == sum(c.values())
         k += r["log_weight"] / 64 >= np.log(0.5 / model.good)
     keys = sorted((r["key"] for r in rows), reverse=True)
@@ -117,3 +120,30 @@ def test_empty_tables_and_odd_labels(spark):
     docs = frame(spark, ["a b", None, "", "c"], ids=[None, 1, 1, 2])
     assert len(quality.quality_report(docs, lb).collect()) == 4
     assert quality.draw(docs, labels(spark, [])).count() == 4
+
+
+def test_plain_importance_draws_by_the_sum(spark):
+    texts, lab = corpus(300)
+    df, lb = frame(spark, texts), labels(spark, lab)
+    rows = quality.quality_report(df, lb, effective=None).collect()
+    noise = {r["doc_id"]: r["g"] for r in df.select("doc_id", quality.gumbel().alias("g")).collect()}
+    model = quality.fit(df, lb)
+    k = sum(r["log_importance"] / max(1, r["n"]) >= np.log(0.5 / model.good) for r in rows)
+    keys = sorted((r["key"] for r in rows), reverse=True)
+    for r in rows:
+        assert r["log_weight"] == r["log_importance"] and abs(r["key"] - r["log_importance"] - noise[r["doc_id"]]) < 1e-9
+        assert r["kept"] == (r["key"] >= keys[k - 1])
+    drawn = quality.draw(df, lb, effective=None)
+    assert {r["doc_id"] for r in drawn.collect()} == {r["doc_id"] for r in rows if r["kept"]}
+
+
+def test_held_out_labels(spark):
+    texts, lab = corpus()
+    df, lb = frame(spark, texts), labels(spark, lab)
+    got = {(r["quality"], r["kept"]): r["documents"] for r in quality.judged(df, lb).collect()}
+    unseen = [q for d, q, _ in lab if crc32(str(d).encode()) % 5 == 0]
+    assert got == {(1, True): sum(unseen), (0, False): len(unseen) - sum(unseen)}
+    # what a held-out label says does not matter to the fit
+    other = labels(spark, [(d, 1 - q if crc32(str(d).encode()) % 5 == 0 else q, t) for d, q, t in lab])
+    turned = {(r["quality"], r["kept"]): r["documents"] for r in quality.judged(df, other).collect()}
+    assert turned == {(1 - q, kept): n for (q, kept), n in got.items()}
