@@ -5,7 +5,9 @@ the columns of ``documents``; the last returns packed pieces.  ``run`` writes
 every stage's rows as Parquet in the shared folder and reads them back for the
 next, so a lost executor costs one stage at most.
 
-1. quality: documents drawn by importance resampling stay.
+1. quality: documents drawn by importance resampling stay.  Weights are tempered
+   to ``EFFECTIVE`` n-grams, so that a long clean document whose n-grams are each a
+   little rarer than usual is not outranked by a short poor one.
 2. line_dedup: lines that an earlier document holds go; documents stay.
 3. near_dedup: one document of each group of near duplicates stays (five-word
    shingles, similarity 0.8).
@@ -27,9 +29,11 @@ from pyspark.sql import functions as F
 from mirrorsmith.llm import linededup, mix, neardup, packing, quality
 from mirrorsmith.llm.common import stored, table
 
+EFFECTIVE = 64   # n-grams that each document's weight counts for in the quality stage
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.draw(docs, table(spark, sf_dir, "labels"))
+    return quality.draw(docs, table(spark, sf_dir, "labels"), EFFECTIVE)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
