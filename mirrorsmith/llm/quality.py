@@ -5,10 +5,11 @@ documents labelled good (target).  A token is the shape of a word - its length,
 capitals, digits, punctuation, and whether it repeats the word before - so the
 models describe form in any language, not topic.  Unigrams and bigrams of
 shapes are hashed into buckets.  A document's log importance is the sum over its
-n-grams of log target - log raw; its log weight is the mean over them times
-``effective``, since with the plain sum (``effective=None``) length decides.
+n-grams of log target - log raw, and that is its log weight.  A caller may temper
+it: with ``effective``, the log weight is the mean over the n-grams times that
+number, so that every document's weight counts for as many and length does not decide.
 Documents are drawn without replacement by Gumbel top-k: the k largest
-of log weight + Gumbel noise.  k is the number of documents whose weight per
+of log weight + Gumbel noise.  k is the number of documents whose importance per
 n-gram makes good likelier than not.
 
 The raw model counts every document.  The target model is fitted on a bounded
@@ -31,7 +32,6 @@ from mirrorsmith.llm.text import byte_values, chunks, hash_ranges, mix64, word_r
 
 BUCKETS = 1 << 14
 SAMPLE = 20_000      # labelled documents at most that the target model is fitted on
-EFFECTIVE = 64       # n-grams that each document's weight counts for, unless the caller says otherwise
 SEED = 4
 HELD_OUT = 5         # `judged` holds a label out if crc32(doc_id) mod HELD_OUT is 0
 
@@ -157,14 +157,14 @@ def gumbel(doc_id: str = "doc_id") -> Column:
     return -F.log(-F.log(u))
 
 
-def scores(docs: DataFrame, model: Model, effective: int | None = EFFECTIVE) -> DataFrame:
+def scores(docs: DataFrame, model: Model, effective: int | None = None) -> DataFrame:
     """Per document: doc_id, n (n-grams), log_importance (their plain sum), log_weight, key (log weight + noise)."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", gumbel().alias("noise")) \
         .mapInArrow(_scorer(model, effective, 2), "doc_id long, n long, log_importance double, log_weight double, key double")
 
 
-def likely_good(model: Model, effective: int | None = EFFECTIVE) -> Column:
-    """Whether the weight of one n-gram makes good likelier than not: share x weight >= 1/2."""
+def likely_good(model: Model, effective: int | None = None) -> Column:
+    """Whether the importance of one n-gram, on average, makes good likelier than not: share x weight >= 1/2."""
     one = F.col("log_weight") / (F.greatest(F.col("n"), F.lit(1)) if effective is None else effective)
     return one >= math.log(0.5 / max(model.good, 1e-9))
 
@@ -177,13 +177,13 @@ def cut(scored: DataFrame, k: int) -> float:
     return ranked.filter(F.col("upto") >= k).agg(F.max("key")).first()[0]
 
 
-def quality_report(docs: DataFrame, labels: DataFrame, effective: int | None = EFFECTIVE) -> DataFrame:
+def quality_report(docs: DataFrame, labels: DataFrame, effective: int | None = None) -> DataFrame:
     """Per document: doc_id, n, log_importance, log_weight, key and whether it is drawn (kept).
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and quality; other
-    columns are ignored.  ``effective`` is the number of n-grams that every
-    document's weight counts for; with None the weight is the plain log
-    importance.  A null or blank text has weight 0 and is judged by that alone.
+    columns are ignored.  The log weight is the plain log importance; with
+    ``effective``, every document's weight counts for that many n-grams.  A null
+    or blank text has weight 0 and is judged by that alone.
     Rows that share a doc_id share their noise, each has its own weight.
     Without labels, every document is drawn.
     """
@@ -193,7 +193,7 @@ def quality_report(docs: DataFrame, labels: DataFrame, effective: int | None = E
     return scored.withColumn("kept", F.col("key") >= F.lit(at))
 
 
-def judged(docs: DataFrame, labels: DataFrame, effective: int | None = EFFECTIVE) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, effective: int | None = None) -> DataFrame:
     """How labels that the model has not seen fare: quality, kept, documents.
 
     A fifth of the labels, by their doc_id, is held out of the fit.  A document
@@ -205,7 +205,7 @@ def judged(docs: DataFrame, labels: DataFrame, effective: int | None = EFFECTIVE
     return quality_report(docs, known.filter(~held), effective).join(unseen, "doc_id").groupBy("quality", "kept").agg(F.count("*").alias("documents"))
 
 
-def draw(docs: DataFrame, labels: DataFrame, effective: int | None = EFFECTIVE) -> DataFrame:
+def draw(docs: DataFrame, labels: DataFrame, effective: int | None = None) -> DataFrame:
     """The drawn documents, with all columns.  Texts are scored again rather than shuffled."""
     model = fit(docs, labels)
     scored = stored(scores(docs, model, effective), "quality-scores")

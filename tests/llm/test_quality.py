@@ -93,7 +93,7 @@ def test_scores_cut_and_draw(spark):
         for k in range(lo, lo + half, 97):
             want = np.log((good[k] + .5) / (g + .5 * half) / ((total[k] + .5) / (t + .5 * half)))
             assert abs(model.log_ratio[k] - want) < 1e-9
-    rows = quality.quality_report(df, lb).collect()
+    rows = quality.quality_report(df, lb, effective=64).collect()
     assert len(rows) == len(texts)
     k = 0
     for r in rows:
@@ -107,10 +107,10 @@ def test_scores_cut_and_draw(spark):
     assert all(r["kept"] == (r["key"] >= keys[k - 1]) for r in rows)
     kept = {r["doc_id"] for r in rows if r["kept"]}
     assert all((i in kept) == (i % 7 != 3) for i in range(600))
-    drawn = quality.draw(df, lb)
+    drawn = quality.draw(df, lb, effective=64)
     assert drawn.dtypes == df.dtypes
     assert {tuple(r) for r in drawn.collect()} == {tuple(r) for r in df.collect() if r["doc_id"] in kept}
-    assert sorted(map(tuple, rows)) == sorted(map(tuple, quality.quality_report(df.repartition(8), lb).collect()))
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, quality.quality_report(df.repartition(8), lb, effective=64).collect()))
 
 
 def test_empty_tables_and_odd_labels(spark):
@@ -125,7 +125,7 @@ def test_empty_tables_and_odd_labels(spark):
 def test_plain_importance_draws_by_the_sum(spark):
     texts, lab = corpus(300)
     df, lb = frame(spark, texts), labels(spark, lab)
-    rows = quality.quality_report(df, lb, effective=None).collect()
+    rows = quality.quality_report(df, lb).collect()
     noise = {r["doc_id"]: r["g"] for r in df.select("doc_id", quality.gumbel().alias("g")).collect()}
     model = quality.fit(df, lb)
     k = sum(r["log_importance"] / max(1, r["n"]) >= np.log(0.5 / model.good) for r in rows)
@@ -133,17 +133,17 @@ def test_plain_importance_draws_by_the_sum(spark):
     for r in rows:
         assert r["log_weight"] == r["log_importance"] and abs(r["key"] - r["log_importance"] - noise[r["doc_id"]]) < 1e-9
         assert r["kept"] == (r["key"] >= keys[k - 1])
-    drawn = quality.draw(df, lb, effective=None)
+    drawn = quality.draw(df, lb)
     assert {r["doc_id"] for r in drawn.collect()} == {r["doc_id"] for r in rows if r["kept"]}
 
 
 def test_held_out_labels(spark):
     texts, lab = corpus()
     df, lb = frame(spark, texts), labels(spark, lab)
-    got = {(r["quality"], r["kept"]): r["documents"] for r in quality.judged(df, lb).collect()}
+    got = {(r["quality"], r["kept"]): r["documents"] for r in quality.judged(df, lb, effective=64).collect()}
     unseen = [q for d, q, _ in lab if crc32(str(d).encode()) % 5 == 0]
     assert got == {(1, True): sum(unseen), (0, False): len(unseen) - sum(unseen)}
     # what a held-out label says does not matter to the fit
     other = labels(spark, [(d, 1 - q if crc32(str(d).encode()) % 5 == 0 else q, t) for d, q, t in lab])
-    turned = {(r["quality"], r["kept"]): r["documents"] for r in quality.judged(df, other).collect()}
+    turned = {(r["quality"], r["kept"]): r["documents"] for r in quality.judged(df, other, effective=64).collect()}
     assert turned == {(1 - q, kept): n for (q, kept), n in got.items()}
