@@ -175,6 +175,33 @@ def read_schema(desc: TableDescription) -> T.StructType:
     return T.StructType(_read_fields(desc.columns, desc.sections))
 
 
+def _composite_fields(schema: T.DataType) -> set[str]:
+    """Names of the composite fields of a read schema, at any depth."""
+    if isinstance(schema, T.ArrayType):
+        return _composite_fields(schema.elementType)
+    if not isinstance(schema, T.StructType):
+        return set()
+    texts = {f.name for f in schema if f.dataType == T.StringType()}
+    return {n for n in texts if n + TYPE_SUFFIX in texts}.union(*[_composite_fields(f.dataType) for f in schema])
+
+
+def number_text(body: Column, schema: T.DataType) -> Column:
+    """JSON text whose numbers in composite fields are quoted, so that parsing
+    by ``schema`` keeps their text (`from_json` writes a number read as text
+    anew: ``1.50`` would become ``1.5``).
+
+    A quote that no backslash precedes opens or closes a string, and a closing
+    one is not followed by a name: what is found is always a property, never
+    part of a text.  Numbers with an exponent, and property names that the
+    source escapes, are left to Spark's rendering.
+    """
+    names = sorted(_composite_fields(schema))
+    if not names:
+        return body
+    quoted = "|".join(rf"\Q{n}\E" for n in names)
+    return F.regexp_replace(body, rf'(?<!\\)"({quoted})"(\s*:\s*)(-?[0-9]+(?:\.[0-9]+)?)(?![0-9.eE])', '"$1"$2"$3"')
+
+
 def _sibling(row: Column, c: ColumnDesc) -> Column | None:
     return row.getField(c.name_src + TYPE_SUFFIX) if c.engine == ty.COMPOSITE else None
 
@@ -246,7 +273,8 @@ def decode_sections(df: DataFrame, desc: TableDescription, keep: list[str]) -> D
 def decode_json(df: DataFrame, json_col: str, desc: TableDescription, keep: list[str] | None = None) -> DataFrame:
     """Parse one JSON object per row and project the typed mirror columns."""
     keep = keep or []
-    parsed = df.select(*keep, F.from_json(F.col(json_col), read_schema(desc), FAIL_FAST).alias("_row"))
+    schema = read_schema(desc)
+    parsed = df.select(*keep, F.from_json(number_text(F.col(json_col), schema), schema, FAIL_FAST).alias("_row"))
     if not desc.sections:
         return parsed.select(*keep, *decode_row(F.col("_row"), desc))
     staged = parsed.select(*keep, *decode_row(F.col("_row"), desc, sections=False))

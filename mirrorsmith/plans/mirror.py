@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
-from mirrorsmith.functions.decode import FAIL_FAST
+from mirrorsmith.functions.decode import FAIL_FAST, number_text
 from mirrorsmith.functions.literals import PASSWORD_MASK, key_filter, key_term, request_path
 from mirrorsmith.operators.merge import enum_merge
 from mirrorsmith.plans import catalog as cat
@@ -178,7 +178,7 @@ class Mirror:
             raise MissingAnswers(f"{table}: no answer for " + "; ".join(str(tuple(r)) for r in lost))
         last = given.join(asked, desc.key, "left_semi").withColumn("_n", F.row_number().over(
             Window.partitionBy(*desc.key).orderBy(F.col(SEQ).desc_nulls_last(), F.col("body").desc()))).filter("_n = 1")
-        rows = F.from_json("body", T.StructType([T.StructField("value", schema)]), FAIL_FAST).getField("value")
+        rows = F.from_json(number_text(F.col("body"), schema), T.StructType([T.StructField("value", schema)]), FAIL_FAST).getField("value")
         value = F.coalesce(rows, F.raise_error(F.lit("a key response has no value")).cast(schema))
         commit_answers(self.store, table, decoded_answers(last.select(*desc.key, SEQ, value.alias("v")), desc, schema.elementType), desc.key)
         self.store.prune(table)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from mirrorsmith.functions.decode import FAIL_FAST
+from mirrorsmith.functions.decode import FAIL_FAST, number_text
 from mirrorsmith.functions.literals import request_path
 
 PAGE_SCHEMA = "table string, page_no int, skip bigint, body string"
@@ -76,7 +76,7 @@ def read_pages(pages: DataFrame, row_schema: T.StructType) -> DataFrame:
     # coalesce, not a test: the parsed array is named once and parsed once
     missing = F.raise_error(F.concat(F.lit("page "), F.col("page_no").cast("string"), F.lit(" of "), F.col("table"),
                                      F.lit(" has no rows field"))).cast(array)
-    rows = F.coalesce(F.from_json("body", resp, FAIL_FAST).getField("value"), missing)
+    rows = F.coalesce(F.from_json(number_text(F.col("body"), resp), resp, FAIL_FAST).getField("value"), missing)
     parsed = pages.select("table", "page_no", rows.alias("_rows"))
     # posexplode_outer + null filter: plain posexplode makes the optimizer push
     # an inferred size(from_json(body)) > 0 into the scan, parsing every body twice

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
-from mirrorsmith.functions.decode import FAIL_FAST, decode_row, decode_sections, decode_some, read_schema
+from mirrorsmith.functions.decode import FAIL_FAST, decode_row, decode_sections, decode_some, read_schema, number_text
 from mirrorsmith.plans.description import TableDescription
 from mirrorsmith.plans.refresh import FOUND, SEQ, applied, commit_answers
 from mirrorsmith.plans.store import MirrorStore, mirror_root
@@ -46,7 +46,7 @@ def answers_of(batch: DataFrame, desc: TableDescription) -> DataFrame:
     """
     placed = [F.col(c) for c in ("file_time", "file_name") if c in batch.columns]
     schema = response_schema(desc)
-    parsed = batch.select(F.from_json("value", schema, FAIL_FAST).alias("r"), *placed, F.monotonically_increasing_id().alias("_line"))
+    parsed = batch.select(F.from_json(number_text(F.col("value"), schema), schema, FAIL_FAST).alias("r"), *placed, F.monotonically_increasing_id().alias("_line"))
     need = lambda field: F.coalesce(F.col(f"r.{field}"), F.raise_error(F.lit(f"a key response has no {field}"))
                                     .cast(schema[field].dataType))
     fields = parsed.select(need("keys").alias("k"), need("value").alias("v"), F.col("r.seq").alias(SEQ), *placed, "_line")

@@ -97,6 +97,20 @@ def test_decimal_places_are_kept_or_refused(spark):
             number(text)
 
 
+def test_numbers_in_composites_keep_their_text(spark):
+    def value(field, note="x"):
+        body = '{"Ref_Key":"%s","Description":%s,%s,"Менеджер_Type":"Edm.Double"}' % (REF, json.dumps(note), field)
+        r = decode_json(spark.createDataFrame([(body,)], "j string"), "j", DESC).first()
+        assert r["Наименование"] == note
+        return r["Менеджер"]["value"]
+    for text in ("1.50", "-0.10", "7", "0", "12345678901234567890.000"):
+        assert value('"Менеджер": ' + text) == value('"Менеджер":\n"%s"' % text) == text
+    assert value('"Менеджер":null') is None and value('"Менеджер":true') == "true"
+    # text that looks like the property stays as it is
+    for note in ('"Менеджер":1.50', '\\"Менеджер":1.50', '{"Менеджер": 2.0}', "Менеджер"):
+        assert value('"Менеджер":3.10', note) == "3.10"
+
+
 def test_value_any_rules(spark):
     cases = [("v", "StandardODATA.Undefined", (None, "null")),
              ("v", "", (None, "null")),
