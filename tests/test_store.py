@@ -235,3 +235,17 @@ def test_missing_response_is_no_end(spark, scratch):
     options = {"base_url": "file://" + base, "entity": "E", "fetch_size": "4", "pages_per_partition": "3"}
     with pytest.raises(pg.IncompleteLoad, match="page 3: no response"):
         odata.scan(spark, options, scratch + "/pages", 20)
+
+
+def test_queries_need_no_root_of_their_own(spark, monkeypatch):
+    """Off local no root is set for a query's views; they lie beside the mirror of their inputs."""
+    from mirrorsmith.plans import queries, store as st
+
+    def unset(_):
+        raise RuntimeError("no root")
+    monkeypatch.setattr(st, "mirror_root", unset)
+    sf = "/root/testdata/sf0.001"
+    counts = queries.enum_counts(spark, sf)
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    assert {(r["ref"], r["n_orders"]) for r in counts.collect()} == {tuple(r) for r in orders.groupBy("o_orderpriority").count().collect()}
+    assert queries.materialized_view(spark, sf).count() == queries.VIEW_LIMIT
