@@ -193,3 +193,20 @@ def test_live_source_reads_page_ranges(spark, scratch):
     assert {r["page_no"] for r in read(4, 6).collect()} == {4, 5, 6}
     keys = read(0, max(landed)).transform(lambda p: pg.read_pages(p, spark.createDataFrame([], "K long").schema))
     assert first_arrival(keys.select("page_no", "pos", "row.*"), ["K"]).count() == 23
+
+
+def test_large_bodies_land_in_small_groups(spark, scratch):
+    """A reader takes a group's rows at once, so no group holds many large bodies."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+    from mirrorsmith.sources import pages as pg
+
+    body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4000)), lambda i: F.sha2((F.col("id") * 10_000 + i).cast("string"), 256)), "")
+    made = spark.range(0, 80, 1, 1).select(F.lit("T").alias("table"), F.col("id").cast("int").alias("page_no"), F.col("id").alias("skip"), body.alias("body"))
+    pg.write_pages(made, f"{scratch}/landed")
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{scratch}/landed/**/*.parquet", recursive=True)]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 80 and max(g.total_byte_size for g in groups) < 8 << 20
+    assert pg.read_landed(spark, f"{scratch}/landed").exceptAll(made).count() == 0
