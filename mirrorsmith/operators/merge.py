@@ -94,8 +94,11 @@ def refresh_by_key(cur: DataFrame, fetched: DataFrame, keys: DataFrame, key_cols
 
     ``keys`` are the requested keys, ``fetched`` what the source returned for
     them.  Found keys are upserted, missing ones deleted, other rows kept.
+
+    Only the requested keys, each once and without other columns, are held in a
+    task's memory; the rows of both sides stream past them unsorted.
     """
-    requested = keys.select(*key_cols).distinct()
+    requested = keys.select(*key_cols).distinct().hint("shuffle_hash")
     kept = cur.join(requested, on=key_cols, how="left_anti")
     found = fetched.join(requested, on=key_cols, how="left_semi")
     return kept.unionByName(found)

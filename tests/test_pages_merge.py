@@ -210,3 +210,15 @@ def test_large_bodies_land_in_small_groups(spark, scratch):
     groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
     assert sum(g.num_rows for g in groups) == 80 and max(g.total_byte_size for g in groups) < 8 << 20
     assert pg.read_landed(spark, f"{scratch}/landed").exceptAll(made).count() == 0
+
+
+def test_keyed_refresh_sorts_no_rows(spark):
+    from mirrorsmith.operators import merge as mg
+
+    cur = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (None, "a"), (4, "a")], "k int, v string")
+    src = spark.createDataFrame([(1, "n"), (2, "n"), (5, "n"), (None, "n")], "k int, v string")
+    keys = spark.createDataFrame([(2,), (2,), (4,), (5,), (None,)], "k int")
+    out = mg.refresh_by_key(cur, src, keys, ["k"])
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, "a"), (None, "a"), (2, "n"), (5, "n")], key=repr)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
