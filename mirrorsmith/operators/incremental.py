@@ -52,8 +52,9 @@ def view_delta(changes: DataFrame, group: dict[str, Expr] | list[str], sums: dic
     rows = changes.filter(F.col("action").isin(INSERT, UPDATE, DELETE)).select(F.explode(
         F.when(F.col("action") == DELETE, F.array(gone)).when(F.col("action") == INSERT, F.array(come)).otherwise(F.array(gone, come))).alias("x")).select("x.*")
     _exact(rows, list(sums))
+    # negated, not multiplied: a product of decimals has fewer places
     return rows.groupBy(*list(group)).agg(
-        F.sum("_sign").cast("long").alias(ROW_COUNT), *[F.sum(F.col("_sign") * F.col(s)).alias(s) for s in sums],
+        F.sum("_sign").cast("long").alias(ROW_COUNT), *[F.sum(F.when(F.col("_sign") < 0, -F.col(s)).otherwise(F.col(s))).alias(s) for s in sums],
         *[F.sum(F.when(F.col(s).isNotNull(), F.col("_sign"))).cast("long").alias(VALUE_COUNT + s) for s in sums])
 
 

@@ -149,3 +149,14 @@ def test_second_rounding_ignores_session_zone(spark):
             assert [r[0] for r in df.select(decode_datetime(F.col("s"), False)).collect()] == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_description_sets_the_decimal_places(spark):
+    import pytest
+    desc = DESC.with_scale(18)
+    number = lambda text: decode_json(spark.createDataFrame([('{"Ref_Key":"%s","Сумма":%s}' % (REF, text),)], "j string"), "j", desc).first()["Сумма"]
+    for text in ("131072.02000000002", "0.33333333333333331", "0.012345678901234567", "1e-18", "-3E5", "123456789012345678.1"):
+        assert number(text) == Decimal(text)
+    for text in ("0.1234567890123456789", "1.2345678901234567E-5", "12345678901234567890"):
+        with pytest.raises(Exception):
+            number(text)

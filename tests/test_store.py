@@ -178,6 +178,15 @@ def test_incremental_view_equals_the_view(spark):
         inc.grouped(cur, ["grp"], {"x": lambda r: r("x").cast("double")})
 
 
+def test_incremental_sums_keep_their_places(spark):
+    from decimal import Decimal
+    schema, x = "k long, ver string, grp string, x decimal(38,18)", Decimal("0.000000000000000001")
+    cur, src = (spark.createDataFrame([(i, v, "g", x * i) for i in r], schema) for v, r in (("1", range(1, 9)), ("2", range(4, 20))))
+    sums = {"x": lambda r: r("x")}
+    after = inc.maintained(inc.grouped(cur, ["grp"], sums), inc.view_delta(mg.change_set(cur, src, ["k"], "ver"), ["grp"], sums), ["grp"], ["x"])
+    assert after.first()["x"] == x * sum(range(4, 20))
+
+
 def test_a_refresh_that_would_orphan_rows_makes_no_version(spark, store):
     children = spark.createDataFrame([(1, g(1)), (2, g(2)), (3, None), (4, g(888))], "n int, ref string")
     check = qa.fk_check(children, ["ref"], DESC.key)
