@@ -1,0 +1,59 @@
+"""What the landing of pages and the stored rows take on disk."""
+
+import glob
+import os
+
+from pyspark.sql import functions as F
+
+from mirrorsmith.fixtures import source as fx
+from mirrorsmith.plans import refresh as rf
+from mirrorsmith.sources import pages as pg
+
+
+def _size(path):
+    return sum(os.path.getsize(f) for f in glob.glob(path + "/**/*.parquet", recursive=True))
+
+
+def _rows(spark, n):
+    return spark.range(n).select(F.col("id").alias("n"), F.lit(n).cast("long").alias("total"), F.sha2(F.col("id").cast("string"), 512).alias("v"))
+
+
+def _body():
+    return F.to_json(F.struct("n", F.concat("v", F.reverse("v")).alias("v")))
+
+
+def test_rows_are_exchanged_once_and_before_they_are_printed(spark):
+    pages = fx.land_pages(_rows(spark, 5000), _body(), "n", 100, "T", total_col="total")
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    # to_json above the only exchange, in a plan printed from the top
+    assert plan.count("Exchange ") == 1 and plan.index("StructsToJson") < plan.index("Exchange ")
+
+
+def test_printing_later_gives_the_same_pages(spark):
+    rows = _rows(spark, 1234)
+    plain = fx.land_pages(rows.withColumn("j", _body()), "j", "n", 99, "T", later_copy=F.reverse)
+    late = fx.land_pages(rows, _body(), "n", 99, "T", later_copy=F.reverse, total_col="total")
+    got = {r["page_no"]: r["body"] for r in late.collect()}
+    assert got == {r["page_no"]: r["body"] for r in plain.collect()} and len(got) == (1234 - 99) // 50 + 2
+    for k in (0, 7, 23):
+        first = set(range(0, 99)) if k == 0 else set(range(50 * k + 49, min(50 * k + 99, 1234)))
+        assert all((f'"n":{i},' in got[k]) == (i in first) for i in range(50 * k, min(50 * k + 99, 1234)))
+
+
+def test_overlapping_halves_are_landed_once(spark, scratch):
+    pages = fx.land_pages(_rows(spark, 4000).coalesce(1), _body(), "n", 1000, "T", total_col="total").coalesce(1)
+    pg.write_pages(pages, scratch + "/landed")
+    # 256 hexadecimal digits a row that compress to half, two copies of each row
+    assert _size(scratch + "/landed") < 4000 * 256
+
+
+def test_landing_leaves_the_settings_and_no_shuffle_files(spark, tmp_path):
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.useObjectHashAggregateExec")
+    before = [spark.conf.get(n) for n in names]
+    kept = lambda: {f for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+                    for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+    had = kept()
+    (tmp_path / "t.parquet").write_text("")
+    rf.landed(spark, "T@size", [str(tmp_path / "t.parquet")], lambda: fx.land_pages(_rows(spark, 5000), _body(), "n", 100, "T", total_col="total"))
+    assert [spark.conf.get(n) for n in names] == before
+    assert not kept() - had
